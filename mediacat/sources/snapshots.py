@@ -1,0 +1,118 @@
+"""The keyed catalogue as versioned Parquet.
+
+A plain Parquet table cannot be updated in place. Each commit therefore writes the buckets it changes below a new
+version folder, and then appends one row to a small log: that row is what makes the version visible. Readers take each bucket
+from the newest logged version that wrote it, so a job that dies half way leaves the table as it was.
+One writer at a time.
+"""
+
+from __future__ import annotations
+
+import json
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+KEY = "video_id"
+LOG = "version long, writer string, batch_id long, written array<int>, filled array<int>, schema string"
+
+
+def bucket_of(key: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+class CatalogTable:
+    """A table keyed by `video_id`, stored in a fixed number of hash buckets."""
+
+    def __init__(self, spark: SparkSession, path: str, buckets: int = 64) -> None:
+        self.spark = spark
+        self.path = path.rstrip("/")
+        self.buckets = buckets
+
+    def _log_rows(self) -> DataFrame | None:
+        try:
+            return self.spark.read.schema(LOG).json(f"{self.path}/log")
+        except AnalysisException as exc:
+            if exc.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
+
+    def _newest(self) -> list:
+        """Newest log entry per bucket, at most as many rows as there are buckets; empty before the first commit."""
+        rows = self._log_rows()
+        if rows is None:
+            return []
+        entry = F.struct("version", "schema", F.array_contains("filled", F.col("bucket")).alias("filled"))
+        each = rows.select("*", F.explode("written").alias("bucket")).groupBy("bucket")
+        return each.agg(F.max_by(entry, "version").alias("newest")).select("bucket", "newest.*").collect()
+
+    def version(self) -> int:
+        """Newest visible version, 0 before the first commit."""
+        rows = self._log_rows()
+        return 0 if rows is None else rows.agg(F.max("version")).first()[0] or 0
+
+    def has_batch(self, writer: str, batch_id: int) -> bool:
+        """Whether this writer's batch is part of the table already."""
+        rows = self._log_rows()
+        if rows is None:
+            return False
+        return not rows.filter((F.col("writer") == writer) & (F.col("batch_id") == batch_id)).isEmpty()
+
+    def read(self, only: list[int] | None = None) -> DataFrame | None:
+        """The current rows, of some buckets or all; None before the first commit."""
+        newest = self._newest()
+        if not newest:
+            return None
+        schema = T.StructType.fromJson(json.loads(max(newest, key=lambda row: row["version"])["schema"]))
+        chosen = [r for r in newest if r["filled"] and (only is None or r["bucket"] in only)]
+        if not chosen:
+            return self.spark.createDataFrame([], schema)
+        paths = [f"{self.path}/data/version={r['version']}/bucket={r['bucket']}" for r in chosen]
+        return self.spark.read.schema(schema).parquet(*paths)
+
+    def get(self, video_id: str) -> DataFrame | None:
+        """The row of one video, reading its bucket only."""
+        bucket = self.spark.range(1).select(bucket_of(F.lit(video_id), self.buckets)).first()[0]
+        found = self.read([bucket])
+        return None if found is None else found.filter(F.col(KEY) == video_id)
+
+    def touched(self, keys: DataFrame) -> list[int]:
+        """Buckets that hold the given keys; at most `buckets` numbers."""
+        return [r[0] for r in keys.select(bucket_of(F.col(KEY), self.buckets)).distinct().collect()]
+
+    def commit(self, rows: DataFrame, only: list[int] | None = None, writer: str = "", batch_id: int = -1) -> int:
+        """Store `rows` as the new contents of the buckets `only` (default: of the whole table)."""
+        version = self.version() + 1
+        written = sorted(only) if only is not None else list(range(self.buckets))
+        folder = f"{self.path}/data/version={version}"
+        # Rebalancing merges small buckets' rows into one file and cuts a large bucket into files of the advisory size.
+        stored = rows.withColumn("bucket", bucket_of(F.col(KEY), self.buckets)).hint("rebalance", "bucket")
+        writer_ = stored.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        writer_.partitionBy("bucket").parquet(folder)
+        present = self.spark.read.schema("bucket int").parquet(folder).distinct().collect()
+        filled = sorted(r["bucket"] for r in present)
+        entry = self.spark.createDataFrame([(version, writer, batch_id, written, filled, rows.schema.json())], LOG)
+        entry.coalesce(1).write.mode("append").json(f"{self.path}/log")
+        return version
+
+    def apply(
+        self,
+        changes: DataFrame,
+        change: Callable[[DataFrame, DataFrame], DataFrame],
+        writer: str = "",
+        batch_id: int = -1,
+    ) -> int | None:
+        """Commit `change(current, changes)` for the buckets that the changes touch; the others are not read.
+
+        A batch that this writer has committed before is skipped (None), which makes replays safe.
+        """
+        if batch_id >= 0 and self.has_batch(writer, batch_id):
+            return None
+        only = self.touched(changes)
+        current = self.read(only)
+        if current is None:
+            raise ValueError("commit a first version before applying changes")
+        return self.commit(change(current, changes), only, writer, batch_id)
