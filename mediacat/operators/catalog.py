@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mediacat.schemas import EMBEDDING_MODEL
+from mediacat.schemas import EMBED_ROWS_PER_RUN, EMBEDDING_MODEL, STATUS_LIMIT
 
 KEY = "video_id"
 
@@ -202,13 +202,13 @@ def persist_lifecycle(target: DataFrame, records: DataFrame, seq: str) -> DataFr
     return upsert_replace(target, lifecycle_rows(records)[0], seq)
 
 
-def pending_embedding(catalog: DataFrame, limit: int | None = None) -> DataFrame:
-    """Videos that are ready and wait for an embedding, oldest first."""
+def pending_embedding(catalog: DataFrame, limit: int | None = EMBED_ROWS_PER_RUN) -> DataFrame:
+    """The oldest videos that are ready and wait for an embedding; all of them with limit=None."""
     waiting = catalog.filter((F.col("status") == "ready") & (F.col("embedding_status") == "pending"))
     return waiting if limit is None else waiting.orderBy("created_at", KEY).limit(limit)
 
 
-def by_status(catalog: DataFrame, status: str, limit: int) -> DataFrame:
+def by_status(catalog: DataFrame, status: str, limit: int = STATUS_LIMIT) -> DataFrame:
     """The oldest videos with a status."""
     return catalog.filter(F.col("status") == status).orderBy("created_at", KEY).limit(limit)
 
