@@ -1 +1,137 @@
-"""Queries."""
+"""Queries over model jobs. The model itself is the user's; here small functions over whole texts stand in for it."""
+
+from __future__ import annotations
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from mediacat.operators import catalog as oc
+from mediacat.operators import reports
+from mediacat.operators.embed import embed, generate
+from mediacat.plans import embedding, views
+from mediacat.plans.registry import query
+from mediacat.plans.views import time_text, with_views
+from mediacat.session import run_dir
+from mediacat.sources.snapshots import CatalogTable
+from mediacat.sources.vectors import read_vector_table, write_vectors
+
+NOW = "2024-12-31 00:00:00"
+LETTERS = "aeiou"
+MIN_CHARS = 100
+
+
+def count_letters(rows: pd.DataFrame) -> list[list[int]]:
+    """One count per vowel over the whole text; short texts are refused, texts without vowels have no vector."""
+    vectors = []
+    for text in rows["text"]:
+        if len(text) < MIN_CHARS:
+            raise ValueError(f"text of {len(text)} characters is too short")
+        counts = [text.count(letter) for letter in LETTERS]
+        vectors.append(counts if any(counts) else [])
+    return vectors
+
+
+def count_words(rows: pd.DataFrame, kind: str, prompt: str | None) -> list[str]:
+    return [f"{prompt or kind}: {text.count(' ') + 1} words" for text in rows["text"]]
+
+
+def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = views.table(spark, sf_dir, "documents")
+    return documents.select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("video_id"), "text")
+
+
+_COUNTS = [f"(length(text) - length(replace(text, '{letter}', '')))" for letter in LETTERS]
+
+_EMBEDDED = f"""embedded AS (SELECT 'd' || doc_id AS video_id,
+    CASE WHEN length(text) >= {MIN_CHARS} THEN CASE WHEN {' + '.join(_COUNTS)} = 0 THEN '' ELSE
+    concat_ws(',', {', '.join(_COUNTS)}) END END AS vector,
+    CASE WHEN length(text) < {MIN_CHARS} THEN 'text of ' || length(text) || ' characters is too short' END AS error
+    FROM documents)"""
+
+
+def _vector_text() -> object:
+    return F.array_join(F.transform("embedding", lambda x: x.cast("int").cast("string")), ",")
+
+
+@query("V7", sql=f"WITH {_EMBEDDED} SELECT * FROM embedded")
+def embed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embedded = embed(_texts(spark, sf_dir), count_letters)
+    return embedded.select("video_id", _vector_text().alias("vector"), "error")
+
+
+@query(
+    "V8",
+    sql=f"""WITH {_EMBEDDED} SELECT video_id, CASE WHEN coalesce(vector, '') <> '' THEN 'embedded' ELSE 'embedding' END
+        AS status, CASE WHEN coalesce(vector, '') <> '' THEN 5 ELSE 0 END AS embedding_dim,
+        CASE WHEN coalesce(vector, '') <> '' THEN 'embeddings/' || video_id || '.npy' END AS embedding_s3,
+        CASE WHEN coalesce(vector, '') <> '' THEN '{NOW}' END AS embedded_at FROM embedded""",
+)
+def store_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows without a vector stay `embedding`."""
+    embedded = embed(_texts(spark, sf_dir), count_letters)
+    staged = oc.store_stage(embedded, F.lit(NOW).cast("timestamp"))
+    shown = staged.select("video_id", "status", "embedding_dim", "embedding_s3", "embedded_at")
+    return shown.withColumn("embedded_at", time_text("embedded_at"))
+
+
+@query(
+    "K8", "V7",
+    sql=f"""WITH {_EMBEDDED} SELECT video_id, vector, 5 AS vector_dim, 'embeddings/' || video_id || '.npy' AS embedding_s3,
+        'letters' AS embed_model FROM embedded WHERE coalesce(vector, '') <> ''""",
+)
+def write_vector_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors written by model and read back."""
+    folder = run_dir(spark, "vectors")
+    write_vectors(embed(_texts(spark, sf_dir), count_letters), folder, "letters")
+    stored = read_vector_table(spark, folder, "letters")
+    return stored.select("video_id", _vector_text().alias("vector"), "vector_dim", "embedding_s3", "embed_model")
+
+
+@query(
+    "V10",
+    sql="""SELECT 'd' || doc_id AS video_id, 'chapter: ' || (length(text) - length(replace(text, ' ', '')) + 1) || ' words'
+        AS text, NULL::VARCHAR AS error FROM documents""",
+)
+def generate_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return generate(_texts(spark, sf_dir), count_words, "chapter")
+
+
+@query(
+    "K10", "A2",
+    sql=f"""WITH {_EMBEDDED} SELECT 'run-1' AS run_id, 'EmbeddingsGenerated' AS metric,
+        count(*) FILTER (coalesce(vector, '') <> '') AS value, 'Count' AS unit FROM embedded
+        UNION ALL SELECT 'run-1', 'EmbeddingsFailed', count(*) FILTER (coalesce(vector, '') = ''), 'Count' FROM embedded""",
+)
+def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = run_dir(spark, "metrics")
+    results = oc.embedding_result_rows(embed(_texts(spark, sf_dir), count_letters), "letters")
+    if not reports.append_run_metrics(oc.embedding_summary(results), "run-1", folder):
+        raise RuntimeError("metrics were not written")
+    return spark.read.parquet(folder)
+
+
+@query(
+    "Q5", "V7", "K8", "K6", "K10", "S8",
+    sql=with_views(
+        f"""SELECT c.video_id, status, CASE WHEN n IS NULL THEN embedding_status WHEN coalesce(vector, '') <> '' THEN 'embedded'
+            ELSE 'embedding_failed' END AS embedding_status,
+        CASE WHEN coalesce(vector, '') <> '' THEN 'embeddings/' || c.video_id || '.npy' END AS embedding_s3,
+        CASE WHEN n IS NOT NULL THEN error END AS embed_error, CASE WHEN n IS NOT NULL THEN '{NOW}' END AS embedded_at
+        FROM catalog c LEFT JOIN (SELECT 'v' || substr(e.video_id, 2) AS video_id, 1 AS n, vector, error FROM embedded e
+            JOIN catalog k ON k.video_id = 'v' || substr(e.video_id, 2) WHERE status = 'ready' AND embedding_status = 'pending')
+        USING (video_id)""",
+        "catalog",
+        ctes=_EMBEDDED,
+    ),
+)
+def embedding_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All waiting catalogue videos that have a text go through the embedding run."""
+    folder = run_dir(spark, "embedding")
+    table = CatalogTable(spark, f"{folder}/catalog", buckets=8)
+    table.commit(views.catalog(spark, sf_dir))
+    content = _texts(spark, sf_dir).withColumn("video_id", F.concat(F.lit("v"), F.substr("video_id", F.lit(2))))
+    now = F.lit(NOW).cast("timestamp")
+    embedding.run(spark, table, content, count_letters, folder, "run-1", now, limit=None, model="letters")
+    current = table.read().withColumn("embedded_at", time_text("embedded_at"))
+    return current.select("video_id", "status", "embedding_status", "embedding_s3", "embed_error", "embedded_at")

@@ -1 +1,185 @@
-"""Queries."""
+"""Queries over vectors and search responses."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from mediacat.functions.hits import parse_hits as hits_of
+from mediacat.operators import search as os_
+from mediacat.operators.search import Search
+from mediacat.plans import views
+from mediacat.plans.registry import query
+from mediacat.plans.views import with_views
+from mediacat.schemas import MODALITIES
+from mediacat.session import run_dir
+
+ALL = Search(limit=10, threshold=None, modalities=None)
+
+
+def _scored(queries: str, where: str = "true") -> str:
+    return f"""scored AS (SELECT query_id, clip_id, video_id, modality, start_sec, end_sec,
+        round(list_cosine_similarity(v.embedding, q.embedding), 6) + 0.0 AS score
+        FROM vectors v CROSS JOIN {queries} q WHERE {where})"""
+
+
+_CONFIDENCE = """CASE WHEN score >= 0.30 THEN 'high' WHEN score >= 0.15 THEN 'medium' WHEN score >= 0.0 THEN 'low'
+    ELSE 'none' END AS confidence"""
+
+
+def _top(limit: int, where: str = "true", skip: int = 0) -> str:
+    return f"""SELECT query_id, clip_id, video_id, modality, start_sec, end_sec, score, (rank - {skip})::INTEGER AS rank,
+        {_CONFIDENCE} FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, clip_id) AS rank
+        FROM scored WHERE {where}) WHERE rank > {skip} AND rank <= {skip + limit}"""
+
+
+@query("V1", "J7", sql=with_views(_top(10), "vectors", "first_query", ctes=_scored("first_query")))
+def search_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return os_.search(views.vectors(spark, sf_dir), views.first_query(spark, sf_dir), ALL)
+
+
+@query("V1", "J7", sql=with_views(_top(10), "vectors", "label_queries", ctes=_scored("label_queries")))
+def search_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One query per label. 99 is out of range, so the default limit holds."""
+    queries = views.label_queries(spark, sf_dir)
+    return os_.search(views.vectors(spark, sf_dir), queries, Search(limit=99, threshold=None, modalities=None))
+
+
+@query(
+    "V3",
+    sql=with_views(_top(50, "score >= 0.30"), "vectors", "label_queries", ctes=_scored("label_queries")),
+)
+def search_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    options = Search(limit=50, threshold="high", modalities=None)
+    return os_.search(views.vectors(spark, sf_dir), views.label_queries(spark, sf_dir), options)
+
+
+@query(
+    "V2",
+    sql=with_views(
+        f"""SELECT query_id, video_id, clip_id, modality, start_sec, end_sec, score, hits, rank::INTEGER AS rank,
+        {_CONFIDENCE} FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, video_id) AS rank
+            FROM (SELECT *, count(*) OVER (PARTITION BY query_id, video_id) AS hits FROM scored WHERE score >= 0.0
+                QUALIFY row_number() OVER (PARTITION BY query_id, video_id ORDER BY score DESC, clip_id) = 1))
+        WHERE rank <= 5""",
+        "vectors",
+        "label_queries",
+        ctes=_scored("label_queries"),
+    ),
+)
+def search_by_video(spark: SparkSession, sf_dir: str) -> DataFrame:
+    options = Search(limit=5, group_by="video", threshold="low", modalities=None)
+    return os_.search(views.vectors(spark, sf_dir), views.label_queries(spark, sf_dir), options)
+
+
+_ALLOWED = "video_id IN (SELECT 'v' || label FROM embeddings GROUP BY label HAVING count(*) > (SELECT count(*) / 10 FROM embeddings))"
+
+
+@query("V4", sql=with_views(_top(10), "vectors", "label_queries", ctes=_scored("label_queries", _ALLOWED)))
+def search_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only videos with more clips than average."""
+    vectors = views.vectors(spark, sf_dir)
+    clips = vectors.groupBy("video_id").agg(F.count(F.lit(1)).alias("clips"))
+    average = vectors.agg((F.count(F.lit(1)) / 10).alias("average"))
+    allowed = clips.join(average, F.col("clips") > F.col("average"))
+    return os_.search(vectors, views.label_queries(spark, sf_dir), ALL, allowed)
+
+
+@query(
+    "V5",
+    sql=with_views(
+        _top(10, "score >= 0.15"),
+        "vectors",
+        "label_queries",
+        ctes=_scored("label_queries", "modality IN ('visual', 'conversation')"),
+    ),
+)
+def search_modalities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The default options: visual and conversation, medium confidence, ten hits."""
+    return os_.search(views.vectors(spark, sf_dir), views.label_queries(spark, sf_dir))
+
+
+_CLIPS = """rows AS (SELECT vec_id // 4 AS clip_id, CASE vec_id % 4 WHEN 0 THEN 'visual' WHEN 1 THEN 'conversation'
+    WHEN 2 THEN 'text_in_video' ELSE 'logo' END AS modality, embedding::DOUBLE[] AS embedding FROM embeddings),
+    scored AS (SELECT query_id, clip_id, 'v' || clip_id AS video_id, modality, clip_id * 5.0::DOUBLE AS start_sec,
+        clip_id * 5.0::DOUBLE + 5 AS end_sec,
+        round(list_cosine_similarity(r.embedding, q.embedding), 6) + 0.0 AS score FROM rows r CROSS JOIN label_queries q
+        QUALIFY row_number() OVER (PARTITION BY query_id, clip_id ORDER BY score DESC, modality) = 1)"""
+
+
+@query("V5", sql=with_views(_top(10), "label_queries", ctes=_CLIPS))
+def search_best_modality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clips with four modalities each: a clip scores as its best modality."""
+    clip = F.floor(F.col("clip_id") / 4)
+    vectors = views.vectors(spark, sf_dir).withColumns(
+        {
+            "clip_id": clip,
+            "video_id": F.concat(F.lit("v"), clip.cast("string")),
+            "start_sec": clip * F.lit(5.0),
+            "end_sec": clip * F.lit(5.0) + 5,
+        }
+    )
+    options = Search(threshold=None, modalities=MODALITIES)
+    return os_.search(vectors, views.label_queries(spark, sf_dir), options)
+
+
+@query("V6", sql=with_views(_top(10, skip=10), "vectors", "label_queries", ctes=_scored("label_queries")))
+def search_next_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second ten hits, continued after the last hit of the first ten; ranks count within the page."""
+    vectors, queries = views.vectors(spark, sf_dir), views.label_queries(spark, sf_dir)
+    first = os_.next_cursor(os_.search(vectors, queries, ALL)).collect()
+    after = {row["query_id"]: (row["score"], row["clip_id"]) for row in first}
+    return os_.search(vectors, queries, Search(threshold=None, modalities=None, after=after))
+
+
+@query(
+    "A7",
+    sql=with_views(
+        "SELECT query_id, least(count(*), 50) AS total FROM scored WHERE score >= 0.15 GROUP BY query_id",
+        "vectors",
+        "label_queries",
+        ctes=_scored("label_queries"),
+    ),
+)
+def search_hit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    options = Search(limit=50, modalities=None)
+    return os_.hit_counts(os_.search(views.vectors(spark, sf_dir), views.label_queries(spark, sf_dir), options))
+
+
+@query("V9")
+def search_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The search over a stored table of cells, of which a quarter is read per query."""
+    folder = run_dir(spark, "cells")
+    queries = views.label_queries(spark, sf_dir)
+    celled = os_.assign_cells(views.vectors(spark, sf_dir), dim=64, bits=6)
+    celled.hint("rebalance", "cell").write.partitionBy("cell").parquet(folder)
+    return os_.search_approx(spark.read.parquet(folder), queries, ALL, bits=6, probes=16)
+
+
+@query("V9", sql=with_views(_top(10), "vectors", "label_queries", ctes=_scored("label_queries")))
+def search_all_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with every cell probed, which is the exact answer."""
+    celled = os_.assign_cells(views.vectors(spark, sf_dir), dim=64, bits=4)
+    return os_.search_approx(celled, views.label_queries(spark, sf_dir), ALL, bits=4, probes=16)
+
+
+@query(
+    "P19",
+    sql="""SELECT event_id, 0::INTEGER AS position, 'v' || user_id AS video_id, user_id + 0.5::DOUBLE AS score,
+        1.0::DOUBLE AS start, 2.5::DOUBLE AS "end", 'high' AS confidence, 't' || event_id AS thumbnail_url FROM events
+        WHERE event_type = 'click'
+        UNION ALL SELECT event_id, 2, '', 0, 0, 0, '', '' FROM events WHERE event_type = 'click'""",
+)
+def parse_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Responses of several shapes: two hits with a stray number, no array, no data, no JSON, an empty array."""
+    user, event = F.col("user_id").cast("string"), F.col("event_id").cast("string")
+    two = F.concat(
+        F.lit('{"data":[{"video_id":"v'), user, F.lit('","score":'), user,
+        F.lit('.5,"start":1,"end":2.5,"confidence":"high","thumbnail_url":"t'), event,
+        F.lit('"},7,{"video_id":5,"score":"0.9","start":null,"end":true}]}'),
+    )
+    kind = F.col("event_type")
+    response = F.when(kind == "click", two).when(kind == "view", '{"data":"none"}').when(kind == "error", "oops")
+    response = response.when(kind == "signup", '{"data":[]}').otherwise('{"page":1}')
+    rows = views.table(spark, sf_dir, "events").select("event_id", response.alias("response"))
+    return hits_of(rows, "response")

@@ -1 +1,188 @@
-"""Queries."""
+"""Queries that run a stream over the given tables until all of it is read, and return what came out."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from mediacat.operators import catalog as oc
+from mediacat.operators.validate import validate
+from mediacat.plans import ingestion, views
+from mediacat.plans.object_queries import _DESCRIBED, _RULES, _VIDEO_KEY
+from mediacat.plans.catalog_queries import _LATEST, _REPLACED
+from mediacat.plans.registry import query
+from mediacat.plans.task_queries import _RESULTS, HALF_DAY, _results, deadline_sql
+from mediacat.plans.views import time_text, with_views
+from mediacat.schemas import OBJECT_LISTING, TASK_EVENTS
+from mediacat.session import run_dir
+from mediacat.sources import manifests
+from mediacat.sources.snapshots import CatalogTable
+from mediacat.streaming.deadlines import DeadlineTable, deadline_join
+from mediacat.streaming.ingest import stream_listing, stream_manifests
+from mediacat.streaming.sinks import progress_stream, upsert_stream
+
+NOW = "2024-12-31 00:00:00"
+
+
+def _finish(stream: StreamingQuery) -> None:
+    stream.awaitTermination()
+    if stream.exception() is not None:
+        raise stream.exception()
+
+
+def _append_in_order(rows: DataFrame, folder: str, order: str, parts: int = 3) -> None:
+    """Write the rows as `parts` appends in ascending order, as they would have arrived."""
+    low, high = rows.agg(F.min(order), F.max(order)).first()
+    step = (high - low) / parts
+    for part in range(parts):
+        inside = F.col(order) >= F.lit(low + part * step)
+        if part < parts - 1:
+            inside = inside & (F.col(order) < F.lit(low + (part + 1) * step))
+        rows.filter(inside).coalesce(1).write.mode("append").parquet(folder)
+
+
+def _to_parquet(stream: DataFrame, folder: str) -> DataFrame:
+    writer = stream.writeStream.format("parquet").option("path", f"{folder}/out")
+    _finish(writer.option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start())
+    return stream.sparkSession.read.schema(stream.schema).parquet(f"{folder}/out")
+
+
+@query("T1", "S3", "T6", sql=with_views(f"SELECT {_DESCRIBED} FROM objects WHERE {_VIDEO_KEY}", "objects"))
+def stream_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Objects of a listing that grows: one run over the first part, a second one over what is new since."""
+    folder = run_dir(spark, "objects")
+    listing = views.objects(spark, sf_dir).select(*OBJECT_LISTING.names)
+    videos = F.col("s3_key").endswith(".mp4")
+    for part in (listing.filter(videos), listing.filter(~videos)):
+        part.write.mode("append").parquet(f"{folder}/listing")
+        found = _to_parquet(stream_listing(spark, f"{folder}/listing"), folder)
+    return found.withColumn("last_modified", time_text("last_modified"))
+
+
+@query(
+    "T2", "K7", "K9", "Q6",
+    sql=with_views(
+        "SELECT s3_key, trim(video_id) AS video_id, status, size_bytes FROM checked WHERE len(errors) = 0",
+        "objects",
+        ctes=_RULES,
+    ),
+)
+def manifest_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A manifest per index is queued and all are worked off, one per batch; what is done moves to the archive."""
+    folder = run_dir(spark, "queue")
+    valid, _ = validate(views.objects(spark, sf_dir), now=F.lit(NOW).cast("timestamp"))
+    for index in range(4):
+        queued = valid.filter(F.col("index_id") == f"idx_{index}").drop("size_corrected").coalesce(1)
+        manifests.write_manifest(queued, f"{folder}/pending", f"run-{index}")
+    stream = stream_manifests(spark, f"{folder}/pending/*", f"{folder}/processed", array_files=False)
+    return _to_parquet(stream.select("s3_key", "video_id", "status", "size_bytes"), folder)
+
+
+@query("T3", "J2", "T6", sql=deadline_sql(HALF_DAY))
+def stream_deadline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcomes of submissions while events arrive in three batches; users submit again and again."""
+    folder = run_dir(spark, "deadline")
+    events = views.task_events(spark, sf_dir).select("event_id", F.col("user_id").cast("string").alias("key"), "status", "ts")
+    _append_in_order(events, f"{folder}/events", "ts")
+    table = DeadlineTable(spark, f"{folder}/table", HALF_DAY)
+    arriving = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/events")
+    _finish(table.stream(arriving, f"{folder}/checkpoint"))
+    table.add(events.limit(0), 1_000_000, final=True)
+    outcome = table.outcomes().withColumn("user_id", F.col("key").cast("long")).drop("key")
+    return outcome.withColumns({c: time_text(c) for c in ("submitted_at", "ended_at")})
+
+
+@query(
+    "T3",
+    sql=with_views(
+        """SELECT s3_key AS task_id, created_at AS submitted_at,
+        CASE WHEN latency >= 0 AND latency < 1200 THEN 'ready' ELSE 'timeout' END AS status,
+        CASE WHEN latency >= 0 AND latency < 1200 THEN indexed_at END AS ended_at
+        FROM (SELECT *, epoch(try_cast(indexed_at AS TIMESTAMP)) - epoch(created_at::TIMESTAMP) AS latency FROM raw_metadata)
+        WHERE created_at::TIMESTAMP + to_seconds(1200) < (SELECT least(max(created_at::TIMESTAMP),
+            max(try_cast(indexed_at AS TIMESTAMP)) FILTER (status = 'ready')) - to_seconds(600) FROM raw_metadata)""",
+        "raw_metadata",
+    ),
+)
+def stream_deadline_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Indexing tasks with one submission each, joined with their ends; tasks that the watermark has not passed stay open."""
+    folder = run_dir(spark, "tasks")
+    raw = views.raw_metadata(spark, sf_dir)
+    stamp = F.try_to_timestamp("indexed_at")
+    start = raw.select(F.col("s3_key").alias("task_id"), F.lit("submitted").alias("status"), F.col("created_at").cast("timestamp").alias("ts"))
+    end = raw.filter((F.col("status") == "ready") & stamp.isNotNull()).select(F.col("s3_key").alias("task_id"), "status", stamp.alias("ts"))
+    log = start.unionByName(end).withColumn("video_id", F.lit(None).cast("string"))
+    log.select(*TASK_EVENTS.names).write.parquet(f"{folder}/log")
+    events = spark.readStream.schema(TASK_EVENTS).parquet(f"{folder}/log")
+    outcome = _to_parquet(deadline_join(events.filter(F.col("status") == "submitted"), events), folder)
+    return outcome.withColumns({c: time_text(c) for c in ("submitted_at", "ended_at")})
+
+
+@query("T4", "K2", "S8", sql=with_views(_REPLACED, "catalog", "updates", ctes=_LATEST))
+def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Updates arriving in three batches are put into the stored catalogue."""
+    folder = run_dir(spark, "upsert")
+    table = CatalogTable(spark, f"{folder}/catalog", buckets=8)
+    table.commit(views.catalog(spark, sf_dir).withColumn("updated_at", F.lit(None).cast("timestamp")))
+    changes = views.updates(spark, sf_dir)
+    _append_in_order(changes, f"{folder}/changes", "seq")
+    arriving = spark.readStream.schema(changes.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/changes")
+
+    def change(current: DataFrame, new: DataFrame) -> DataFrame:
+        return oc.upsert_replace(current, new, "seq")
+
+    _finish(upsert_stream(arriving, table, change, f"{folder}/checkpoint", "updates"))
+    current = table.read()
+    return current.withColumns({c: time_text(c) for c in ("created_at", "updated_at")})
+
+
+@query("T5", sql=f"WITH {_RESULTS} SELECT run_id, item_id, status FROM results WHERE status <> 'embedding'")
+def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Finished items, passed on as they come."""
+    folder = run_dir(spark, "progress")
+    items = _results(spark, sf_dir).select("run_id", "item_id", "status")
+    items.write.parquet(f"{folder}/items")
+    arriving = spark.readStream.schema(items.schema).parquet(f"{folder}/items")
+    _finish(progress_stream(arriving, f"{folder}/out", f"{folder}/checkpoint"))
+    return spark.read.schema(items.schema).parquet(f"{folder}/out")
+
+
+@query(
+    "T2", "J1", "K5", "T4", "S6",
+    sql=with_views(
+        f"""SELECT coalesce(e.video_id, 'no-id-' || o.s3_key) AS video_id, o.s3_key, 'idx_9' AS index_id, coalesce(e.status, 'timeout') AS status,
+        e.task_id, '{NOW}' AS indexed_at, CASE WHEN e.status = 'ready' THEN 'pending' ELSE 'skipped' END AS embedding_status
+        FROM checked o LEFT JOIN (SELECT doc_id, 's' || doc_id AS video_id, 't' || doc_id AS task_id,
+            CASE WHEN quality = 1 THEN 'ready' ELSE 'failed' END AS status FROM labels) e USING (doc_id)
+        WHERE len(errors) = 0""",
+        "objects",
+        ctes=_RULES,
+    ),
+)
+def ingestion_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Queued objects get the outcome of their task, by label quality; objects without a task time out."""
+    folder = run_dir(spark, "ingestion")
+    valid, _ = validate(views.objects(spark, sf_dir), now=F.lit(NOW).cast("timestamp"))
+    known = views.objects(spark, sf_dir).select("doc_id", "s3_key")
+    number = F.col("doc_id").cast("string")
+    events = views.table(spark, sf_dir, "labels").join(known, "doc_id").select(
+        F.concat(F.lit("t"), number).alias("task_id"),
+        F.concat(F.lit("s"), number).alias("video_id"),
+        "s3_key",
+        F.when(F.col("quality") == 1, "ready").otherwise("failed").alias("status"),
+        F.lit(NOW).cast("timestamp").alias("ts"),
+        F.col("doc_id").alias("event_id"),
+    )
+    for index in ("idx_0", "idx_1", "idx_2", "idx_3"):
+        queued = valid.filter(F.col("index_id") == index).drop("size_corrected").coalesce(1)
+        manifests.write_manifest(queued, f"{folder}/pending", index)
+    now = F.lit(NOW).cast("timestamp")
+    table = CatalogTable(spark, f"{folder}/catalog", buckets=8)
+    empty = ingestion.task_rows(valid.limit(0), events, "idx_9", now)
+    table.commit(empty)
+    stream = ingestion.run(
+        spark, table, f"{folder}/pending/*", events, "idx_9", f"{folder}/checkpoint", now=now, array_files=False
+    )
+    _finish(stream)
+    return table.read().withColumn("indexed_at", time_text("indexed_at"))
