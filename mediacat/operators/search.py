@@ -24,6 +24,7 @@ from mediacat.schemas import DEFAULT_MODALITIES, SEARCH_LIMIT, SEARCH_LIMIT_MAX
 
 # The query block is shipped to every task, so its size is checked; more queries are searched block after block.
 MAX_BLOCK_BYTES = 32 << 20
+MAX_SCORE_BYTES = 64 << 20  # scores that a task holds at a time
 SCORE_DIGITS = 6
 HIT_COLUMNS = ["clip_id", "video_id", "modality", "start_sec", "end_sec"]
 
@@ -129,27 +130,30 @@ def batch_matrix(batch: pa.RecordBatch) -> tuple[pa.RecordBatch, np.ndarray]:
     return batch, matrix / norms[:, None]
 
 
-def batch_scores(batch: pa.RecordBatch, block: QueryBlock) -> tuple[pa.RecordBatch, np.ndarray]:
-    batch, matrix = batch_matrix(batch)
-    return batch, np.round(matrix @ block.matrix.T, SCORE_DIGITS) + 0.0  # + 0.0 turns -0.0 into 0.0
+def batch_scores(matrix: np.ndarray, queries: np.ndarray) -> np.ndarray:
+    return np.round(matrix @ queries.T, SCORE_DIGITS) + 0.0  # + 0.0 turns -0.0 into 0.0
 
 
 def _passing(
     batch: pa.RecordBatch, scores: np.ndarray, q: int, block: QueryBlock, floor: float, cursor: tuple | None
 ) -> np.ndarray:
     """Positions of the batch's rows that are hits of query `q`."""
-    mine = scores[:, q]
-    keep = mine >= floor
+    keep = scores >= floor
     if block.probes is not None:
         keep &= np.isin(batch.column("cell").to_numpy(), block.probes[q])
     if cursor is not None:
         score, last = cursor
         ids = batch.column("clip_id")
         behind = pc.greater(ids, pa.scalar(last, ids.type)).to_numpy(zero_copy_only=False)
-        keep &= (mine < score) | ((mine == score) & behind)
+        keep &= (scores < score) | ((scores == score) & behind)
     return np.flatnonzero(keep)
 
 
+def _most_repeats(ids: pa.Array) -> int:
+    """How often the most frequent id occurs; so many rows more are needed to be sure of enough distinct ids."""
+    return int(np.bincount(ids.dictionary_encode().indices.to_numpy()).max()) if len(ids) else 1
+
+
 def _ordered_hits(batch: pa.RecordBatch, rows: np.ndarray, scores: np.ndarray, query: pa.Array) -> pa.Table:
     hits = pa.Table.from_batches([batch.select(HIT_COLUMNS).take(pa.array(rows))])
     hits = hits.append_column("score", pa.array(scores)).add_column(0, "query_id", query)
@@ -175,28 +179,40 @@ def _shortlist(scores: np.ndarray, rows: np.ndarray, limit: int) -> np.ndarray:
     return rows[scores[rows] >= least]
 
 
-def _top_clips(block: QueryBlock, options: Search, query_type: pa.DataType, single: bool) -> Callable:
-    """Per task and query the best clips. `single` says that a clip has one row, so the best rows are the best clips."""
-    limit, floor, after = options.rows, options.floor, dict(options.after or {})
+def _query_chunks(block: QueryBlock, rows: int) -> Iterator[tuple[range, np.ndarray]]:
+    """The block in pieces whose scores against a batch of `rows` stay within MAX_SCORE_BYTES."""
+    step = max(1, MAX_SCORE_BYTES // (8 * max(1, rows)))
+    for start in range(0, len(block.ids), step):
+        yield range(start, min(start + step, len(block.ids))), block.matrix[start : start + step]
+
+
+def _top_clips(block: QueryBlock, options: Search, query_type: pa.DataType) -> Callable:
+    """Per task and query the best clips, each with its best row."""
+    limit, after = options.rows, dict(options.after or {})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: dict[int, pa.Table] = {}
+        least = np.full(len(block.ids), options.floor)  # rises to the last score that still counts
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            batch, scores = batch_scores(batch, block)
-            for q, query_id in enumerate(block.ids):
-                rows = _passing(batch, scores, q, block, floor, after.get(query_id))
-                if single:
-                    rows = _shortlist(scores[:, q], rows, limit)
-                if rows.size == 0:
-                    continue
-                query = pa.array([query_id] * rows.size, query_type)
-                hits = _ordered_hits(batch, rows, scores[rows, q], query)
-                if q in best:
-                    hits = _sorted_hits(pa.concat_tables([best[q], hits]))
-                first, _ = _first_rows(hits, "clip_id")
-                best[q] = hits.take(pa.array(np.sort(first)[:limit]))
+            batch, matrix = batch_matrix(batch)
+            repeats = _most_repeats(batch.column("clip_id"))
+            for part, queries in _query_chunks(block, len(matrix)):
+                scores = batch_scores(matrix, queries)
+                for column in np.flatnonzero((scores >= least[part.start : part.stop]).any(axis=0)):
+                    q, mine = part.start + column, scores[:, column]
+                    rows = _passing(batch, mine, q, block, least[q], after.get(block.ids[q]))
+                    rows = _shortlist(mine, rows, limit * repeats)
+                    if rows.size == 0:
+                        continue
+                    hits = _ordered_hits(batch, rows, mine[rows], pa.array([block.ids[q]] * rows.size, query_type))
+                    if q in best:
+                        hits = _sorted_hits(pa.concat_tables([best[q], hits]))
+                    first, _ = _first_rows(hits, "clip_id")
+                    best[q] = hits.take(pa.array(np.sort(first)[:limit]))
+                    if best[q].num_rows == limit:
+                        least[q] = best[q]["score"][limit - 1].as_py()
         for hits in best.values():
             yield from hits.combine_chunks().to_batches()
 
@@ -205,22 +221,23 @@ def _top_clips(block: QueryBlock, options: Search, query_type: pa.DataType, sing
 
 def _video_hits(block: QueryBlock, options: Search, query_type: pa.DataType) -> Callable:
     """Per batch, query and video: the best clip and the number of hits."""
-    floor = options.floor
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            batch, scores = batch_scores(batch, block)
-            for q, query_id in enumerate(block.ids):
-                rows = _passing(batch, scores, q, block, floor, None)
-                if rows.size == 0:
-                    continue
-                query = pa.array([query_id] * rows.size, query_type)
-                hits = _ordered_hits(batch, rows, scores[rows, q], query)
-                first, counts = _first_rows(hits, "video_id")
-                videos = hits.take(pa.array(first)).append_column("hits", pa.array(counts.astype(np.int64)))
-                yield from videos.combine_chunks().to_batches()
+            batch, matrix = batch_matrix(batch)
+            for part, queries in _query_chunks(block, len(matrix)):
+                scores = batch_scores(matrix, queries)
+                for column in np.flatnonzero((scores >= options.floor).any(axis=0)):
+                    q, mine = part.start + column, scores[:, column]
+                    rows = _passing(batch, mine, q, block, options.floor, None)
+                    if rows.size == 0:
+                        continue
+                    hits = _ordered_hits(batch, rows, mine[rows], pa.array([block.ids[q]] * rows.size, query_type))
+                    first, counts = _first_rows(hits, "video_id")
+                    videos = hits.take(pa.array(first)).append_column("hits", pa.array(counts.astype(np.int64)))
+                    yield from videos.combine_chunks().to_batches()
 
     return run
 
@@ -262,10 +279,8 @@ def _search_block(
     rows = _candidates(vectors, block, options, allowed).select(*HIT_COLUMNS, *cell, "embedding")
     query_type = to_arrow_type(queries.schema["query_id"].dataType)
     if options.group_by == "clip":
-        single = options.modalities is not None and len(options.modalities) == 1
-        schema = _hit_schema(vectors, queries)
-        hits = rows.mapInArrow(_top_clips(block, options, query_type, single), schema)
-        if not single:
+        hits = rows.mapInArrow(_top_clips(block, options, query_type), _hit_schema(vectors, queries))
+        if options.modalities is None or len(options.modalities) > 1:  # rows of a clip may lie in several tasks
             window = Window.partitionBy("query_id", "clip_id").orderBy(F.desc("score"), "modality")
             hits = hits.withColumn("_rn", F.row_number().over(window)).filter(F.col("_rn") == 1).drop("_rn")
         ranked = _rank(hits, "clip_id", options.rows)

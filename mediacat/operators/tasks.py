@@ -17,7 +17,8 @@ MICROS = 1_000_000
 def first_terminal(events: DataFrame, key: str = "task_id", extra: Sequence[str] = ()) -> DataFrame:
     """The earliest ready or failed event per task, with further columns of that event."""
     ended = events.filter(F.col("status").isin(*TERMINAL_TASK_STATUSES))
-    first = F.min(F.struct("ts", "event_id", "status", *extra)).alias("_first")
+    order = ["ts", "event_id"] if "event_id" in events.columns else ["ts"]
+    first = F.min(F.struct(*order, "status", *extra)).alias("_first")
     columns = [F.col("_first.status").alias("status"), F.col("_first.ts").alias("ended_at")]
     return ended.groupBy(key).agg(first).select(key, *columns, *[f"_first.{c}" for c in extra])
 

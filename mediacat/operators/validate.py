@@ -95,10 +95,10 @@ def _rules() -> list[Column]:
 
 def check(df: DataFrame) -> DataFrame:
     """Add `errors`, normalise the text fields and correct sizes that disagree with the byte count."""
-    checked = df.withColumn("errors", F.concat("type_errors", F.array_compact(F.array(*_rules())))).drop("type_errors")
+    rows = df.withColumn("errors", F.concat("type_errors", F.array_compact(F.array(*_rules())))).drop("type_errors")
     expected = fo.size_mb(F.col("size_bytes"))
     off = F.coalesce(F.abs(expected - F.col("size_mb")) > SIZE_TOLERANCE_MB, F.lit(False))
-    return checked.withColumns(
+    return rows.withColumns(
         {
             "video_id": fo.strip_blanks(F.col("video_id")),
             "s3_key": fo.strip_blanks(F.col("s3_key")),
@@ -109,22 +109,37 @@ def check(df: DataFrame) -> DataFrame:
     )
 
 
+def checked(
+    df: DataFrame, index_id: str | None = None, now: Column | None = None, source: str = DEFAULT_SOURCE
+) -> DataFrame:
+    """All rows, enriched and normalised, with their `errors`."""
+    return check(enrich(coerce(df), index_id, F.current_timestamp() if now is None else now, source))
+
+
 def validate(
     df: DataFrame, index_id: str | None = None, now: Column | None = None, source: str = DEFAULT_SOURCE
 ) -> tuple[DataFrame, DataFrame]:
-    """(valid, rejects): rejects carry their error codes, valid rows have the canonical columns."""
-    checked = check(enrich(coerce(df), index_id, F.current_timestamp() if now is None else now, source))
-    valid = checked.filter(F.size("errors") == 0).drop("errors")
-    return valid, checked.filter(F.size("errors") > 0).drop("size_corrected")
+    """(valid, rejects): rejects carry their error codes, valid rows have the canonical columns.
+
+    Using both reads the input twice; `write_checked` splits it in one pass.
+    """
+    rows = checked(df, index_id, now, source)
+    valid = rows.filter(F.size("errors") == 0).drop("errors")
+    return valid, rows.filter(F.size("errors") > 0).drop("size_corrected")
+
+
+def write_checked(rows: DataFrame, path: str) -> None:
+    """Write checked rows below `valid=true` and `valid=false`."""
+    split = rows.withColumn("valid", F.size("errors") == 0)
+    split.write.mode("overwrite").partitionBy("valid").parquet(path)
 
 
 def validation_summary(
     df: DataFrame, index_id: str | None = None, now: Column | None = None, source: str = DEFAULT_SOURCE
 ) -> DataFrame:
     """One row with the counts of valid, invalid and size-corrected records."""
-    checked = check(enrich(coerce(df), index_id, F.current_timestamp() if now is None else now, source))
     good = F.size("errors") == 0
-    return checked.agg(
+    return checked(df, index_id, now, source).agg(
         F.count_if(good).alias("valid"),
         F.count_if(~good).alias("invalid"),
         F.count_if(good & F.col("size_corrected")).alias("size_corrected"),

@@ -370,5 +370,4 @@ def manifest_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = run_dir(spark, "manifest")
     valid, _ = validate(views.objects(spark, sf_dir), now=_now())
     manifests.write_manifest(valid, folder, "all")
-    _, files = manifests.oldest_manifest(spark, folder)
-    return manifests.read_manifest(spark, files).select("s3_key", "status", "size_bytes")
+    return manifests.read_manifest(spark, manifests.oldest_manifest(spark, folder)).select("s3_key", "status", "size_bytes")

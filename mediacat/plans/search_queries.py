@@ -72,17 +72,14 @@ def search_by_video(spark: SparkSession, sf_dir: str) -> DataFrame:
     return os_.search(views.vectors(spark, sf_dir), views.label_queries(spark, sf_dir), options)
 
 
-_ALLOWED = "video_id IN (SELECT 'v' || label FROM embeddings GROUP BY label HAVING count(*) > (SELECT count(*) / 10 FROM embeddings))"
+_ALLOWED = "video_id IN (SELECT video_id FROM catalog WHERE status = 'ready')"
 
 
-@query("V4", sql=with_views(_top(10), "vectors", "label_queries", ctes=_scored("label_queries", _ALLOWED)))
+@query("V4", sql=with_views(_top(10), "catalog", "vectors", "label_queries", ctes=_scored("label_queries", _ALLOWED)))
 def search_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Only videos with more clips than average."""
-    vectors = views.vectors(spark, sf_dir)
-    clips = vectors.groupBy("video_id").agg(F.count(F.lit(1)).alias("clips"))
-    average = vectors.agg((F.count(F.lit(1)) / 10).alias("average"))
-    allowed = clips.join(average, F.col("clips") > F.col("average"))
-    return os_.search(vectors, views.label_queries(spark, sf_dir), ALL, allowed)
+    """Only videos that the catalogue has as ready."""
+    ready = views.catalog(spark, sf_dir).filter(F.col("status") == "ready")
+    return os_.search(views.vectors(spark, sf_dir), views.label_queries(spark, sf_dir), ALL, ready)
 
 
 @query(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -31,15 +33,15 @@ def _finish(stream: StreamingQuery) -> None:
         raise stream.exception()
 
 
-def _append_in_order(rows: DataFrame, folder: str, order: str, parts: int = 3) -> None:
-    """Write the rows as `parts` appends in ascending order, as they would have arrived."""
+def _in_order(rows: DataFrame, order: str, parts: int = 3) -> Iterator[DataFrame]:
+    """The rows as `parts` deliveries in ascending order, as they would have arrived."""
     low, high = rows.agg(F.min(order), F.max(order)).first()
     step = (high - low) / parts
     for part in range(parts):
         inside = F.col(order) >= F.lit(low + part * step)
         if part < parts - 1:
             inside = inside & (F.col(order) < F.lit(low + (part + 1) * step))
-        rows.filter(inside).coalesce(1).write.mode("append").parquet(folder)
+        yield rows.filter(inside)
 
 
 def _to_parquet(stream: DataFrame, folder: str) -> DataFrame:
@@ -73,7 +75,7 @@ def manifest_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = run_dir(spark, "queue")
     valid, _ = validate(views.objects(spark, sf_dir), now=F.lit(NOW).cast("timestamp"))
     for index in range(4):
-        queued = valid.filter(F.col("index_id") == f"idx_{index}").drop("size_corrected").coalesce(1)
+        queued = valid.filter(F.col("index_id") == f"idx_{index}").drop("size_corrected")
         manifests.write_manifest(queued, f"{folder}/pending", f"run-{index}")
     stream = stream_manifests(spark, f"{folder}/pending/*", f"{folder}/processed", array_files=False)
     return _to_parquet(stream.select("s3_key", "video_id", "status", "size_bytes"), folder)
@@ -81,13 +83,14 @@ def manifest_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("T3", "J2", "T6", sql=deadline_sql(HALF_DAY))
 def stream_deadline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Outcomes of submissions while events arrive in three batches; users submit again and again."""
+    """Outcomes of submissions while events arrive in three deliveries; users submit again and again."""
     folder = run_dir(spark, "deadline")
     events = views.task_events(spark, sf_dir).select("event_id", F.col("user_id").cast("string").alias("key"), "status", "ts")
-    _append_in_order(events, f"{folder}/events", "ts")
     table = DeadlineTable(spark, f"{folder}/table", HALF_DAY)
-    arriving = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/events")
-    _finish(table.stream(arriving, f"{folder}/checkpoint"))
+    for delivery in _in_order(events, "ts"):
+        delivery.write.mode("append").parquet(f"{folder}/events")
+        arriving = spark.readStream.schema(events.schema).parquet(f"{folder}/events")
+        _finish(table.stream(arriving, f"{folder}/checkpoint"))
     table.add(events.limit(0), 1_000_000, final=True)
     outcome = table.outcomes().withColumn("user_id", F.col("key").cast("long")).drop("key")
     return outcome.withColumns({c: time_text(c) for c in ("submitted_at", "ended_at")})
@@ -121,18 +124,19 @@ def stream_deadline_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("T4", "K2", "S8", sql=with_views(_REPLACED, "catalog", "updates", ctes=_LATEST))
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Updates arriving in three batches are put into the stored catalogue."""
+    """Updates arriving in two deliveries are put into the stored catalogue."""
     folder = run_dir(spark, "upsert")
     table = CatalogTable(spark, f"{folder}/catalog", buckets=8)
     table.commit(views.catalog(spark, sf_dir).withColumn("updated_at", F.lit(None).cast("timestamp")))
     changes = views.updates(spark, sf_dir)
-    _append_in_order(changes, f"{folder}/changes", "seq")
-    arriving = spark.readStream.schema(changes.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/changes")
 
     def change(current: DataFrame, new: DataFrame) -> DataFrame:
         return oc.upsert_replace(current, new, "seq")
 
-    _finish(upsert_stream(arriving, table, change, f"{folder}/checkpoint", "updates"))
+    for delivery in _in_order(changes, "seq", parts=2):
+        delivery.write.mode("append").parquet(f"{folder}/changes")
+        arriving = spark.readStream.schema(changes.schema).parquet(f"{folder}/changes")
+        _finish(upsert_stream(arriving, table, change, f"{folder}/checkpoint", "updates"))
     current = table.read()
     return current.withColumns({c: time_text(c) for c in ("created_at", "updated_at")})
 
@@ -175,7 +179,7 @@ def ingestion_run(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("doc_id").alias("event_id"),
     )
     for index in ("idx_0", "idx_1", "idx_2", "idx_3"):
-        queued = valid.filter(F.col("index_id") == index).drop("size_corrected").coalesce(1)
+        queued = valid.filter(F.col("index_id") == index).drop("size_corrected")
         manifests.write_manifest(queued, f"{folder}/pending", index)
     now = F.lit(NOW).cast("timestamp")
     table = CatalogTable(spark, f"{folder}/catalog", buckets=8)

@@ -33,38 +33,38 @@ def write_manifest(df: DataFrame, folder: str, run_id: str | None = None, order:
     return path
 
 
-def manifest_name(path: Column) -> Column:
-    """Name of the manifest a file belongs to: its folder for a part file, else the file itself."""
-    name = F.substring_index(path, "/", -1)
-    return F.when(name.startswith("part-"), F.substring_index(F.substring_index(path, "/", -2), "/", 1)).otherwise(name)
+def manifest_path(file: Column) -> Column:
+    """Path of the manifest a file belongs to: its folder for a part file, else the file itself."""
+    name = F.substring_index(file, "/", -1)
+    folder = F.left(file, F.length(file) - F.length(name) - 1)
+    return F.when(name.startswith("part-"), folder).otherwise(file)
 
 
-def oldest_manifest(spark: SparkSession, folder: str) -> tuple[str, list[str]] | None:
-    """Name and files of the manifest that was modified first, None if there is none."""
+def oldest_manifest(spark: SparkSession, folder: str) -> str | None:
+    """Path of the manifest that was modified first, a folder or a single file; None if there is none."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
     listed = files.load(folder).filter(F.col("length") > 0)
-    listed = listed.select("path", "modificationTime", manifest_name(F.col("path")).alias("name"))
-    oldest = listed.groupBy("name").agg(F.min("modificationTime").alias("at"), F.collect_set("path").alias("paths"))
-    first = oldest.orderBy("at", "name").limit(1).first()
-    return (first["name"], sorted(first["paths"])) if first else None
+    oldest = listed.groupBy(manifest_path(F.col("path")).alias("path")).agg(F.min("modificationTime").alias("at"))
+    first = oldest.orderBy("at", "path").limit(1).first()
+    return first["path"] if first else None
 
 
-def read_manifest(spark: SparkSession, files: list[str], limit: int | None = None, schema: T.StructType = MANIFEST) -> DataFrame:
+def read_manifest(
+    spark: SparkSession, path: str, limit: int | None = None, schema: T.StructType = MANIFEST
+) -> DataFrame:
     """Records of one manifest with their position; with `limit` the first ones in file order.
 
-    Files of a folder are JSON Lines, a single `.json` file is one array.
+    A folder holds JSON Lines, a single `.json` file holds one array.
     """
-    lines = all(f.rsplit("/", 1)[-1].startswith("part-") for f in files)
-    if lines:
-        text = spark.read.text(files).select("value", "_metadata.file_path", "_metadata.file_block_start")
+    if path.endswith(".json"):
+        rows = spark.read.schema(schema).option("multiLine", True).json(path)
+        rows = rows.select(F.monotonically_increasing_id().alias("position"), "*")
+    else:
+        text = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")
         rows = text.select(
-            F.from_json("value", schema).alias("record"),
             F.struct("file_path", "file_block_start", F.monotonically_increasing_id().alias("row")).alias("position"),
-        )
-        rows = rows.select("position", "record.*")
-    else:
-        rows = spark.read.schema(schema).option("multiLine", True).json(files)
-        rows = rows.select(F.monotonically_increasing_id().alias("position"), "*")
+            F.from_json("value", schema).alias("record"),
+        ).select("position", "record.*")
     return rows if limit is None else rows.orderBy("position").limit(limit)
 
 
@@ -73,4 +73,4 @@ def read_manifests(spark: SparkSession, folder: str, limit: int = MANIFEST_ROWS_
     found = oldest_manifest(spark, folder)
     if found is None:
         return spark.createDataFrame([], MANIFEST)
-    return read_manifest(spark, found[1], limit).drop("position")
+    return read_manifest(spark, found, limit).drop("position")

@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-KEY = "video_id"
+from mediacat.operators.catalog import KEY, split_blank_keys, upsert_outcomes, upsert_replace, upsert_summary
+
 LOG = "version long, writer string, batch_id long, written array<int>, filled array<int>, schema string"
 
 
@@ -116,3 +117,11 @@ class CatalogTable:
         if current is None:
             raise ValueError("commit a first version before applying changes")
         return self.commit(change(current, changes), only, writer, batch_id)
+
+
+def upsert_batch(table: CatalogTable, updates: DataFrame, seq: str, guard: bool = False) -> dict[str, int]:
+    """Upsert whole rows into the table; returns the counts success, skipped, failed and total."""
+    usable, _ = split_blank_keys(updates)
+    counts = upsert_summary(upsert_outcomes(table.read(table.touched(usable)), updates, seq, guard)).first()
+    table.apply(usable, lambda current, changes: upsert_replace(current, changes, seq, guard))
+    return counts.asDict()

@@ -50,6 +50,7 @@ class DeadlineTable:
     """
 
     EVENTS = "event_id long, key string, status string, ts timestamp, window long, batch long"
+    LISTED_WINDOWS = 500
     PROGRESS = "batch long, closed long, newest long, late long"
 
     def __init__(
@@ -62,9 +63,11 @@ class DeadlineTable:
         self.lateness_sec = lateness_sec
         self.slice_sec = slice_sec
 
-    def _table(self, name: str, schema: str | T.StructType) -> DataFrame:
+    def _table(self, name: str, schema: str | T.StructType, below: str = "") -> DataFrame:
+        """A stored table, or those of its folders that match `below`; empty when there is nothing."""
+        reader = self.spark.read.schema(schema).option("basePath", f"{self.path}/{name}")
         try:
-            return self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
+            return reader.parquet(f"{self.path}/{name}{below}")
         except AnalysisException as exc:
             if exc.getCondition() == "PATH_NOT_FOUND":
                 return self.spark.createDataFrame([], schema)
@@ -101,12 +104,20 @@ class DeadlineTable:
         self._replace(self.spark.createDataFrame(row, self.PROGRESS).coalesce(1), "progress", "batch")
 
     def _close(self, first: int, last: int, batch_id: int) -> None:
-        window, events = F.col("window"), self._table("events", self.EVENTS)
-        events = events.filter((window >= first) & (window <= last + 1) & (F.col("batch") <= batch_id))
+        window = F.col("window")
+        events = self._windows(first, last + 1).filter((window >= first) & (window <= last + 1))
+        events = events.filter(F.col("batch") <= batch_id)
         outcome = task_deadline(events, self.deadline_sec, "key", self.slice_sec)
         outcome = outcome.filter(self._window("submitted_at") <= last).withColumn("batch", F.lit(batch_id))
         self._replace(outcome, "outcomes", "batch")
 
+    def _windows(self, first: int, last: int) -> DataFrame:
+        """Events of a range of windows. A short range is named folder by folder, so that old ones are not listed."""
+        if last - first >= self.LISTED_WINDOWS:
+            return self._table("events", self.EVENTS)
+        names = ",".join(str(w) for w in range(first, last + 1))
+        return self._table("events", self.EVENTS, f"/window={{{names}}}")
+
     def outcomes(self) -> DataFrame:
         """(event_id, key, submitted_at, status, ended_at) of all submissions that are certain."""
         schema = "event_id long, key string, submitted_at timestamp, status string, ended_at timestamp, batch long"
