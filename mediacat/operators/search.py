@@ -40,7 +40,7 @@ class Search:
     group_by: str = "clip"
     threshold: str | None = "medium"
     modalities: Sequence[str] | None = DEFAULT_MODALITIES
-    after: Mapping[object, tuple[float, object]] | None = None  # query id to (score, id) of the last hit seen
+    after: Mapping[object, tuple[float, object, int]] | None = None  # query id to (score, id, rank) of the last hit seen
     thresholds: Mapping[str, float] = field(default_factory=lambda: THRESHOLDS)
 
     def __post_init__(self) -> None:
@@ -186,9 +186,15 @@ def _query_chunks(block: QueryBlock, rows: int) -> Iterator[tuple[range, np.ndar
         yield range(start, min(start + step, len(block.ids))), block.matrix[start : start + step]
 
 
-def _top_clips(block: QueryBlock, options: Search, query_type: pa.DataType) -> Callable:
-    """Per task and query the best clips, each with its best row."""
-    limit, after = options.rows, dict(options.after or {})
+def _top_clips(block: QueryBlock, options: Search, query_type: pa.DataType, single: bool) -> Callable:
+    """Per task and query the best clips, each with its best row.
+
+    Where a clip has a single row, rows up to the cursor are left out here. Otherwise a row behind the cursor may belong to a
+    clip that was seen already by a better row in another task, so the clips up to the cursor are found again.
+    """
+    cursors = dict(options.after or {})
+    limits = [options.rows + (0 if single or i not in cursors else cursors[i][2]) for i in block.ids]
+    after = {i: cursor[:2] for i, cursor in cursors.items()} if single else {}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: dict[int, pa.Table] = {}
@@ -203,6 +209,7 @@ def _top_clips(block: QueryBlock, options: Search, query_type: pa.DataType) -> C
                 for column in np.flatnonzero((scores >= least[part.start : part.stop]).any(axis=0)):
                     q, mine = part.start + column, scores[:, column]
                     rows = _passing(batch, mine, q, block, least[q], after.get(block.ids[q]))
+                    limit = limits[q]
                     rows = _shortlist(mine, rows, limit * repeats)
                     if rows.size == 0:
                         continue
@@ -250,10 +257,26 @@ def confidence(score: Column, thresholds: Mapping[str, float] = THRESHOLDS) -> C
     return word
 
 
-def _rank(hits: DataFrame, by: str, limit: int) -> DataFrame:
-    """Best rows per query. The limit is applied before the shuffle as well, so one query stays small."""
+def _rank(hits: DataFrame, by: str, options: Search, block: QueryBlock) -> DataFrame:
+    """Best rows per query, after the cursor; ranks go on from page to page.
+
+    The limit is applied before the shuffle as well, so one query stays small.
+    """
     window = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc(by))
-    return hits.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= limit)
+    rank = F.row_number().over(window)
+    cursors = [(i, *options.after[i]) for i in block.ids if i in options.after] if options.after else []
+    if not cursors:
+        return hits.withColumn("rank", rank).filter(F.col("rank") <= options.rows)
+    fields = [hits.schema["query_id"], T.StructField("_score", T.DoubleType())]
+    fields += [T.StructField("_last", hits.schema[by].dataType), T.StructField("_seen", T.IntegerType())]
+    table = hits.sparkSession.createDataFrame(cursors, T.StructType(fields))
+    # one row per query of the block, whose size is checked
+    rows = hits.join(F.broadcast(table), "query_id", "left")
+    behind = (F.col("score") < F.col("_score")) | ((F.col("score") == F.col("_score")) & (F.col(by) > F.col("_last")))
+    rows = rows.filter(F.col("_score").isNull() | behind).withColumn("rank", rank)
+    rows = rows.filter(F.col("rank") <= options.rows)
+    shifted = rows.withColumn("rank", F.col("rank") + F.coalesce("_seen", F.lit(0)))
+    return shifted.drop("_score", "_last", "_seen")
 
 
 def _candidates(vectors: DataFrame, block: QueryBlock, options: Search, allowed: DataFrame | None) -> DataFrame:
@@ -279,11 +302,12 @@ def _search_block(
     rows = _candidates(vectors, block, options, allowed).select(*HIT_COLUMNS, *cell, "embedding")
     query_type = to_arrow_type(queries.schema["query_id"].dataType)
     if options.group_by == "clip":
-        hits = rows.mapInArrow(_top_clips(block, options, query_type), _hit_schema(vectors, queries))
-        if options.modalities is None or len(options.modalities) > 1:  # rows of a clip may lie in several tasks
+        single = options.modalities is not None and len(options.modalities) == 1
+        hits = rows.mapInArrow(_top_clips(block, options, query_type, single), _hit_schema(vectors, queries))
+        if not single:  # rows of a clip may lie in several tasks
             window = Window.partitionBy("query_id", "clip_id").orderBy(F.desc("score"), "modality")
             hits = hits.withColumn("_rn", F.row_number().over(window)).filter(F.col("_rn") == 1).drop("_rn")
-        ranked = _rank(hits, "clip_id", options.rows)
+        ranked = _rank(hits, "clip_id", options, block)
     else:
         schema = _hit_schema(vectors, queries, [T.StructField("hits", T.LongType())])
         parts = rows.mapInArrow(_video_hits(block, options, query_type), schema)
@@ -292,20 +316,10 @@ def _search_block(
         videos = parts.groupBy("query_id", "video_id").agg(best, F.sum("hits").alias("hits"))
         clip = [f"best.{c}" for c in ("clip_id", "modality", "start_sec", "end_sec", "score")]
         videos = videos.select("query_id", "video_id", *clip, "hits")
-        if options.after:
-            videos = videos.filter(_behind_cursor(options.after, "video_id"))
-        ranked = _rank(videos, "video_id", options.rows)
+        ranked = _rank(videos, "video_id", options, block)
     return ranked.withColumn("confidence", confidence(F.col("score"), options.thresholds))
 
 
-def _behind_cursor(after: Mapping[object, tuple[float, object]], by: str) -> Column:
-    keep = F.lit(True)
-    for query_id, (score, last) in after.items():
-        behind = (F.col("score") < score) | ((F.col("score") == score) & (F.col(by) > last))
-        keep = F.when(F.col("query_id") == query_id, behind).otherwise(keep)
-    return keep
-
-
 def search(
     vectors: DataFrame, queries: DataFrame, options: Search = Search(), allowed: DataFrame | None = None
 ) -> DataFrame:
@@ -325,9 +339,9 @@ def search(
 
 
 def next_cursor(hits: DataFrame, by: str = "clip_id") -> DataFrame:
-    """Per query the (score, id) to continue after; bounded by the queries' block size."""
-    last = F.max_by(F.struct("score", by), F.col("rank")).alias("last")
-    return hits.groupBy("query_id").agg(last, F.count(F.lit(1)).alias("hits")).select("query_id", "last.*", "hits")
+    """Per query the (score, id, rank) to continue after, for `Search.after`; no more rows than queries."""
+    last = F.max(F.struct("rank", "score", by)).alias("last")
+    return hits.groupBy("query_id").agg(last).select("query_id", "last.score", f"last.{by}", "last.rank")
 
 
 def hit_counts(hits: DataFrame) -> DataFrame:

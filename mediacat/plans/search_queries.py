@@ -28,7 +28,7 @@ _CONFIDENCE = """CASE WHEN score >= 0.30 THEN 'high' WHEN score >= 0.15 THEN 'me
 
 
 def _top(limit: int, where: str = "true", skip: int = 0) -> str:
-    return f"""SELECT query_id, clip_id, video_id, modality, start_sec, end_sec, score, (rank - {skip})::INTEGER AS rank,
+    return f"""SELECT query_id, clip_id, video_id, modality, start_sec, end_sec, score, rank::INTEGER AS rank,
         {_CONFIDENCE} FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, clip_id) AS rank
         FROM scored WHERE {where}) WHERE rank > {skip} AND rank <= {skip + limit}"""
 
@@ -122,10 +122,10 @@ def search_best_modality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("V6", sql=with_views(_top(10, skip=10), "vectors", "label_queries", ctes=_scored("label_queries")))
 def search_next_page(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The second ten hits, continued after the last hit of the first ten; ranks count within the page."""
+    """The second ten hits, continued after the last hit of the first ten."""
     vectors, queries = views.vectors(spark, sf_dir), views.label_queries(spark, sf_dir)
     first = os_.next_cursor(os_.search(vectors, queries, ALL)).collect()
-    after = {row["query_id"]: (row["score"], row["clip_id"]) for row in first}
+    after = {row["query_id"]: (row["score"], row["clip_id"], row["rank"]) for row in first}
     return os_.search(vectors, queries, Search(threshold=None, modalities=None, after=after))
 
 
