@@ -11,36 +11,46 @@ from mediacat.session import shared_dir
 
 
 def running_totals(
-    df: DataFrame, group: Sequence[str], order: Sequence[str], totals: Mapping[str, Column]
+    df: DataFrame,
+    group: Sequence[str],
+    order: Sequence[str],
+    totals: Mapping[str, Column],
+    mins: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Add to each row the sums of the `totals` columns over the rows of its group up to and including it.
 
+    The sums over the whole group come along as `{name}_total`, the smallest values of the `mins` columns under their names.
     `order` must be unique within a group. Rows are cut into ranges of (group, order), so a group of any size is spread over
     many tasks; each range then needs only the sums of the ranges before it, one row per range and group.
     The ranges come from a sample, so the cut rows are checkpointed: a recomputed range could
     differ from the one its offset was computed for.
     """
     shared_dir(df.sparkSession)
-    inputs = {f"_in_{name}": value for name, value in totals.items()}
+    mins = mins or {}
+    inputs = {f"_in_{name}": value for name, value in {**totals, **mins}.items()}
     cut = df.withColumns(inputs).repartitionByRange(*group, *order)
-    cut = cut.withColumn("_range", F.spark_partition_id()).checkpoint()
-    sums = [F.sum(f"_in_{name}").alias(f"_sum_{name}") for name in totals]
-    ranges = cut.groupBy("_range", *group).agg(*sums)
-    before = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = ranges.select(
-        F.col("_range").alias("_range_of"),
-        *[F.col(g).alias(f"_group_{g}") for g in group],
+    # one struct as key: nulls in it are equal, and the window below and the join share one shuffle
+    cut = cut.withColumn("_piece", F.struct(F.spark_partition_id().alias("range"), *group)).checkpoint()
+
+    parts = [F.sum(f"_in_{name}").alias(f"_sum_{name}") for name in totals]
+    parts += [F.min(f"_in_{name}").alias(f"_min_{name}") for name in mins]
+    pieces = cut.groupBy("_piece").agg(*parts)
+    whole = Window.partitionBy(*[F.col(f"_piece.{g}") for g in group])
+    before = whole.orderBy("_piece.range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = pieces.select(
+        F.col("_piece").alias("_piece_of"),
         *[F.coalesce(F.sum(f"_sum_{n}").over(before), F.lit(0)).alias(f"_offset_{n}") for n in totals],
+        *[F.sum(f"_sum_{n}").over(whole).alias(f"{n}_total") for n in totals],
+        *[F.min(f"_min_{n}").over(whole).alias(n) for n in mins],
     )
-    inside = Window.partitionBy("_range", *group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+
+    inside = Window.partitionBy("_piece").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = cut.withColumns({f"_local_{n}": F.sum(f"_in_{n}").over(inside) for n in totals})
-    same = F.col("_range") == F.col("_range_of")
-    for g in group:
-        same = same & F.col(g).eqNullSafe(F.col(f"_group_{g}"))
-    result = {n: F.col(f"_local_{n}") + F.col(f"_offset_{n}") for n in totals}
-    return local.join(offsets, same, "inner").select(*df.columns, *[c.alias(n) for n, c in result.items()])
+    joined = local.join(offsets, F.col("_piece") == F.col("_piece_of"), "inner")
+    running = [(F.col(f"_local_{n}") + F.col(f"_offset_{n}")).alias(n) for n in totals]
+    return joined.select(*df.columns, *running, *[f"{n}_total" for n in totals], *mins)
 
 
 def row_positions(df: DataFrame, order: Sequence[str], name: str = "position") -> DataFrame:
     """1-based position of each row in the unique order, over the whole table."""
-    return running_totals(df.withColumn("_all", F.lit(0)), ["_all"], order, {name: F.lit(1)}).drop("_all")
+    return running_totals(df, [], order, {name: F.lit(1)}).drop(f"{name}_total")

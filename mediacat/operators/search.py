@@ -24,6 +24,7 @@ from mediacat.schemas import DEFAULT_MODALITIES, SEARCH_LIMIT, SEARCH_LIMIT_MAX
 
 # The query block is shipped to every task, so its size is checked; more queries are searched block after block.
 MAX_BLOCK_BYTES = 32 << 20
+FEW_QUERIES, MAX_DIM = 256, 16_384  # as many queries of such a length are collected without being measured first
 MAX_SCORE_BYTES = 64 << 20  # scores that a task holds at a time
 SCORE_DIGITS = 6
 HIT_COLUMNS = ["clip_id", "video_id", "modality", "start_sec", "end_sec"]
@@ -74,36 +75,52 @@ class QueryBlock:
         return self.matrix.shape[1]
 
 
+def _block(rows: list) -> QueryBlock:
+    vectors = [r["embedding"] for r in rows]
+    lengths = {len(v) if v is not None else 0 for v in vectors}
+    if len(lengths) != 1 or 0 in lengths:
+        raise ValueError("query vectors must have one length")
+    matrix = np.array(vectors, dtype=np.float64)
+    norms = np.linalg.norm(matrix, axis=1, keepdims=True)
+    if not np.all(norms > 0):
+        raise ValueError("query vectors must not be zero or contain nulls")
+    ids = [r["query_id"] for r in rows]
+    if len(set(ids)) != len(ids):
+        raise ValueError("query_id must be unique")
+    return QueryBlock(ids, matrix / norms)
+
+
 def query_blocks(queries: DataFrame, max_bytes: int = MAX_BLOCK_BYTES) -> Iterator[QueryBlock]:
-    """The queries as blocks of at most `max_bytes`. Measured before anything is collected."""
+    """The queries as blocks of at most `max_bytes`; no more than that is ever collected at a time."""
+    queries = queries.select("query_id", "embedding")
+    few = min(FEW_QUERIES, max(1, max_bytes // (8 * MAX_DIM)))
+    short = F.when(F.size("embedding") <= MAX_DIM, F.col("embedding")).alias("embedding")
+    rows = queries.select("query_id", short).limit(few + 1).collect()
+    if len(rows) <= few and all(r["embedding"] is not None for r in rows):
+        if rows:
+            yield _block(rows)
+        return
     size = queries.agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_distinct("query_id").alias("ids"),
         F.min(F.size("embedding")).alias("low"),
         F.max(F.size("embedding")).alias("high"),
+        F.count_if(F.col("embedding").isNull()).alias("nulls"),
     ).first()
-    if size["rows"] == 0:
-        return
     if size["ids"] != size["rows"]:
         raise ValueError("query_id must be unique")
-    if size["low"] != size["high"] or size["low"] < 1:
+    if size["low"] != size["high"] or size["low"] < 1 or size["nulls"]:
         raise ValueError("query vectors must have one length")
     per_block = max(1, max_bytes // (8 * size["high"]))
-    if size["rows"] <= per_block:
-        parts = [queries]
-    else:  # hash-cut with head room; a block that still came out too large is an error and not a crash
-        count = -(-2 * size["rows"] // per_block)
-        parts = [queries.filter(F.pmod(F.xxhash64("query_id"), F.lit(count)) == i) for i in range(count)]
-    for part in parts:
-        rows = part.select("query_id", "embedding").orderBy("query_id").limit(per_block + 1).collect()
+    # cut by hash with head room; a block that still came out too large is an error and not a crash
+    count = 1 if size["rows"] <= per_block else -(-2 * size["rows"] // per_block)
+    for part in range(count):
+        inside = F.pmod(F.xxhash64("query_id"), F.lit(count)) == part
+        rows = queries.filter(inside).limit(per_block + 1).collect()
         if len(rows) > per_block:
             raise ValueError("query block over its size bound")
         if rows:
-            matrix = np.array([r["embedding"] for r in rows], dtype=np.float64)
-            norms = np.linalg.norm(matrix, axis=1, keepdims=True)
-            if not np.all(norms > 0):
-                raise ValueError("query vectors must not be zero or contain nulls")
-            yield QueryBlock([r["query_id"] for r in rows], matrix / norms)
+            yield _block(rows)
 
 
 def usable_vectors(vectors: DataFrame, dim: int) -> DataFrame:

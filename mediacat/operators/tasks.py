@@ -97,15 +97,14 @@ def batch_progress(
 ) -> DataFrame:
     """Per finished item: items done and failed so far, percent of the run, seconds since the run's first item."""
     failed = F.when(succeeded(F.col("status")), 0).otherwise(1)
-    counted = running_totals(results, [run], [finished, item], {"done": F.lit(1), "failed": failed})
-    runs = results.groupBy(F.col(run).alias("_run")).agg(F.count(F.lit(1)).alias("total"), F.min(finished).alias("_start"))
-    joined = counted.join(runs, F.col(run).eqNullSafe(F.col("_run")), "inner")
-    return joined.select(
+    sums, first = {"done": F.lit(1), "failed": failed}, {"_start": F.col(finished)}
+    counted = running_totals(results, [run], [finished, item], sums, first)
+    return counted.select(
         *results.columns,
         "done",
         "failed",
-        "total",
-        F.round(F.col("done") / F.col("total") * 100, 1).alias("percent"),
+        F.col("done_total").alias("total"),
+        F.round(F.col("done") / F.col("done_total") * 100, 1).alias("percent"),
         (F.unix_timestamp(finished) - F.unix_timestamp("_start")).alias("elapsed_sec"),
     )
 

@@ -135,6 +135,7 @@ def test_blocks_of_queries_give_the_same_hits(spark, rows, queries, monkeypatch)
     blocks = list(os_.query_blocks(q, max_bytes=8 * DIM * 3))
     assert len(blocks) > 1 and sorted(i for b in blocks for i in b.ids) == [i for i, _ in queries]
     original = os_.query_blocks
+    assert whole and len(list(os_.query_blocks(q))) == 1
     monkeypatch.setattr(os_, "query_blocks", lambda df: original(df, 8 * DIM * 3))
     monkeypatch.setattr(os_, "MAX_SCORE_BYTES", 1)
     assert found(os_.search(vectors, q, options)) == whole

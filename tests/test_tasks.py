@@ -63,14 +63,17 @@ def test_fixture_counts_of_the_half_day_deadline(spark):
 
 def test_running_totals_with_a_hot_group(spark):
     rng = random.Random(5)
-    rows = [("hot" if rng.random() < 0.5 else f"g{rng.randrange(5)}", rng.randrange(50), i, rng.randrange(9)) for i in range(2000)]
+    rows = [("hot" if rng.random() < 0.5 else rng.choice(["g1", "g2", None]), rng.randrange(50), i, rng.randrange(9)) for i in range(2000)]
     df = spark.createDataFrame(rows, "g string, t int, id int, x int").repartition(16)
-    got = {(r.g, r.id): (r.n, r.s) for r in running_totals(df, ["g"], ["t", "id"], {"n": F.lit(1), "s": F.col("x")}).collect()}
+    sums = {"n": F.lit(1), "s": F.col("x")}
+    out = running_totals(df, ["g"], ["t", "id"], sums, {"low": F.col("t")}).collect()
     expected, state = {}, {}
-    for g, t, i, x in sorted(rows):
+    for g, t, i, x in sorted(rows, key=lambda r: r[1:3]):
         n, s = state.get(g, (0, 0))
         state[g] = expected[(g, i)] = (n + 1, s + x)
-    assert got == expected
+    assert {(r.g, r.id): (r.n, r.s) for r in out} == expected
+    assert {(r.g, r.n_total, r.s_total) for r in out} == {(g, *v) for g, v in state.items()}
+    assert {(r.g, r.low) for r in out} == {(g, min(r[1] for r in rows if r[0] == g)) for g in state}
 
 
 def test_hot_group_is_spread_over_ranges(spark):
