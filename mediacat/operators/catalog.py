@@ -1,8 +1,11 @@
 """Keyed-table operators: whole-row and column-wise upserts, deletes, lookups.
 
-Each one takes the current table and a set of changes and returns the new table. The table is never the side that has to
-move: every join puts the changes on the build side, so Spark can broadcast them whenever it measures them as
-small, and only shuffles the table when they are not.
+Each one takes the current table and a set of changes and returns the new table. Every join puts the changes on the build
+side. With `few`, for changes whose number the caller has checked, they are broadcast and the table is scanned without
+being shuffled; otherwise Spark decides by the sizes it measures.
+
+The `_parts` functions return the new table as two pieces: rows that come out of the table, still in the table's file
+order when `few`, and rows that are new in it. The stored table uses this to write the first piece without moving it.
 """
 
 from __future__ import annotations
@@ -12,7 +15,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mediacat.schemas import EMBED_ROWS_PER_RUN, EMBEDDING_MODEL, STATUS_LIMIT
+from mediacat.schemas import EMBED_ROWS_PER_RUN, STATUS_LIMIT
 
 KEY = "video_id"
 
@@ -30,9 +33,13 @@ def split_blank_keys(df: DataFrame, key: str = KEY) -> tuple[DataFrame, DataFram
     return df.filter(usable), df.filter(~usable)
 
 
-def _existing_keys(target: DataFrame, keys: DataFrame, key: str = KEY) -> DataFrame:
+def _build(side: DataFrame, few: bool) -> DataFrame:
+    return F.broadcast(side) if few else side
+
+
+def _existing_keys(target: DataFrame, keys: DataFrame, key: str = KEY, few: bool = False) -> DataFrame:
     """Keys found in the table: at most as many as asked for, so later joins stay on the small side."""
-    return target.select(key).join(keys.select(key).distinct(), key, "left_semi")
+    return target.select(key).join(_build(keys.select(key).distinct(), few), key, "left_semi")
 
 
 def _effective(updates: DataFrame, seq: str, guard: bool) -> DataFrame:
@@ -46,24 +53,38 @@ def _effective(updates: DataFrame, seq: str, guard: bool) -> DataFrame:
     return latest_per_key(updates, [final.desc(), F.when(final, F.col(seq)).asc(), F.desc(seq)])
 
 
-def upsert_replace(target: DataFrame, updates: DataFrame, seq: str, guard: bool = False) -> DataFrame:
-    """Put whole rows by key, last write wins. With `guard`, rows already `embedded` are left alone.
-
-    `seq` orders repeated writes of a key and is not stored.
-    """
+def replace_parts(
+    target: DataFrame, updates: DataFrame, seq: str, guard: bool = False, few: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """The pieces of `upsert_replace`: rows that stay as they are, and rows that are put."""
     updates = split_blank_keys(updates)[0]
     wins = _effective(updates, seq, guard)
     keys = updates.select(KEY).distinct()
     if guard:
-        locked = target.filter(F.col("status") == "embedded")
-        wins = wins.join(_existing_keys(locked, keys), KEY, "left_anti")
-        hit = target.join(keys.withColumn("_hit", F.lit(True)), KEY, "left")
+        locked = _existing_keys(target.filter(F.col("status") == "embedded"), keys, few=few)
+        wins = wins.join(_build(locked, few), KEY, "left_anti")
+        hit = target.join(_build(keys.withColumn("_hit", F.lit(True)), few), KEY, "left")
         kept = hit.filter(F.col("_hit").isNull() | F.col("status").eqNullSafe("embedded")).drop("_hit")
     else:
-        kept = target.join(keys, KEY, "left_anti")
+        kept = target.join(_build(keys, few), KEY, "left_anti")
     columns = target.columns + [c for c in wins.columns if c not in target.columns and c != seq]
-    wins = wins.select(*[c for c in columns if c in wins.columns])
-    return kept.unionByName(wins, allowMissingColumns=True).select(*columns)
+    types = {f.name: f.dataType for f in [*wins.schema.fields, *target.schema.fields]}
+
+    def shaped(df: DataFrame) -> DataFrame:
+        return df.select(*[F.col(c).cast(types[c]) if c in df.columns else F.lit(None).cast(types[c]).alias(c) for c in columns])
+
+    return shaped(kept), shaped(wins)
+
+
+def upsert_replace(
+    target: DataFrame, updates: DataFrame, seq: str, guard: bool = False, few: bool = False
+) -> DataFrame:
+    """Put whole rows by key, last write wins. With `guard`, rows already `embedded` are left alone.
+
+    `seq` orders repeated writes of a key and is not stored.
+    """
+    kept, wins = replace_parts(target, updates, seq, guard, few)
+    return kept.unionByName(wins)
 
 
 def upsert_outcomes(target: DataFrame, updates: DataFrame, seq: str, guard: bool = False) -> DataFrame:
@@ -93,15 +114,15 @@ def upsert_summary(outcomes: DataFrame) -> DataFrame:
     )
 
 
-def upsert_merge(
-    target: DataFrame, updates: DataFrame, seq: str, columns: Mapping[str, Column | None], key: str = KEY
-) -> DataFrame:
-    """Set named columns by key and keep the others; an absent key makes a new row.
-
-    `columns` maps a column to the condition under which an update sets it (None: always). "Not set" is told
-    by that condition and not by null, so that null can be written too. Repeated updates of a key are folded column by column in
-    `seq` order, as if applied one after the other.
-    """
+def merge_parts(
+    target: DataFrame,
+    updates: DataFrame,
+    seq: str,
+    columns: Mapping[str, Column | None],
+    key: str = KEY,
+    few: bool = False,
+) -> tuple[DataFrame, DataFrame]:
+    """The pieces of `upsert_merge`: the table's rows with their changes, and rows for absent keys."""
     folds = []
     for name, condition in columns.items():
         setting = F.max_by(F.struct(F.col(name).alias("v")), F.col(seq))
@@ -111,21 +132,42 @@ def upsert_merge(
         folds.append(setting.alias(f"_set_{name}"))
     changes = split_blank_keys(updates, key)[0].groupBy(key).agg(*folds)
 
-    def merged(name: str, old: Column) -> Column:
-        if name not in columns:
-            return old.alias(name)
-        change = F.col(f"_set_{name}")
-        return F.when(change.isNotNull(), change["v"]).otherwise(old).alias(name)
-
     names = target.columns + [c for c in columns if c not in target.columns]
     types = {f.name: f.dataType for f in [*updates.schema.fields, *target.schema.fields]}
-    empty = {name: F.lit(None).cast(types[name]) for name in names}
-    updated = target.join(changes, key, "left").select(
-        key, *[merged(n, F.col(n) if n in target.columns else empty[n]) for n in names if n != key]
-    )
-    fresh = changes.join(_existing_keys(target, changes, key), key, "left_anti")
-    inserted = fresh.select(key, *[merged(n, empty[n]) for n in names if n != key])
-    return updated.unionByName(inserted).select(*names)
+
+    def merged(df: DataFrame) -> DataFrame:
+        out = [F.col(key)]
+        for name in names:
+            if name == key:
+                continue
+            old = F.col(name) if name in df.columns else F.lit(None).cast(types[name])
+            if name in columns:
+                change = F.col(f"_set_{name}")
+                old = F.when(change.isNotNull(), change["v"].cast(types[name])).otherwise(old)
+            out.append(old.alias(name))
+        return df.select(*out).select(*names)
+
+    present = _existing_keys(target, changes, key, few)
+    fresh = changes.join(_build(present, few), key, "left_anti")
+    return merged(target.join(_build(changes, few), key, "left")), merged(fresh)
+
+
+def upsert_merge(
+    target: DataFrame,
+    updates: DataFrame,
+    seq: str,
+    columns: Mapping[str, Column | None],
+    key: str = KEY,
+    few: bool = False,
+) -> DataFrame:
+    """Set named columns by key and keep the others; an absent key makes a new row.
+
+    `columns` maps a column to the condition under which an update sets it (None: always). "Not set" is told
+    by that condition and not by null, so that null can be written too. Repeated updates of a key are folded column by column in
+    `seq` order, as if applied one after the other.
+    """
+    updated, fresh = merge_parts(target, updates, seq, columns, key, few)
+    return updated.unionByName(fresh)
 
 
 def update_status(target: DataFrame, updates: DataFrame, seq: str, now: Column, extras: Sequence[str] = ()) -> DataFrame:
@@ -134,9 +176,16 @@ def update_status(target: DataFrame, updates: DataFrame, seq: str, now: Column,
     return upsert_merge(target, stamped, seq, dict.fromkeys(["status", "updated_at", *extras]))
 
 
+def delete_parts(target: DataFrame, keys: DataFrame, few: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The pieces of `delete_rows`: what stays, and nothing new."""
+    gone = keys.select("index_id", KEY).distinct()
+    kept = target.join(_build(gone, few), ["index_id", KEY], "left_anti").select(*target.columns)
+    return kept, target.limit(0)
+
+
 def delete_rows(target: DataFrame, keys: DataFrame) -> DataFrame:
     """Remove the videos named by (index_id, video_id)."""
-    return target.join(keys.select("index_id", KEY).distinct(), ["index_id", KEY], "left_anti").select(*target.columns)
+    return delete_parts(target, keys)[0]
 
 
 def delete_index(target: DataFrame, index_id: str) -> DataFrame:
@@ -166,8 +215,10 @@ def write_task_results(
     return upsert_replace(target, rows, "_seq")
 
 
-def apply_embedding_results(target: DataFrame, results: DataFrame, now: Column, seq: str = "video_id") -> DataFrame:
-    """Mark videos embedded with their vector path, or embedding_failed with the error."""
+def embedding_parts(
+    target: DataFrame, results: DataFrame, now: Column, seq: str = KEY, few: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """The pieces of `apply_embedding_results`."""
     done = F.coalesce(F.col("embedding_s3") != "", F.lit(False))
     error = F.col("error") if "error" in results.columns else F.lit("unknown")
     changes = results.select(
@@ -179,7 +230,13 @@ def apply_embedding_results(target: DataFrame, results: DataFrame, now: Column,
         now.alias("embedded_at"),
     )
     sets = {"embedding_status": None, "embedding_s3": done, "embed_error": ~done, "embedded_at": None}
-    return upsert_merge(target, changes, "_seq", sets)
+    return merge_parts(target, changes, "_seq", sets, few=few)
+
+
+def apply_embedding_results(target: DataFrame, results: DataFrame, now: Column, seq: str = KEY) -> DataFrame:
+    """Mark videos embedded with their vector path, or embedding_failed with the error."""
+    updated, fresh = embedding_parts(target, results, now, seq)
+    return updated.unionByName(fresh)
 
 
 def embedding_summary(results: DataFrame) -> DataFrame:
@@ -217,7 +274,7 @@ def vector_path(video_id: Column) -> Column:
     return F.concat(F.lit("embeddings/"), video_id, F.lit(".npy"))
 
 
-def embedding_result_rows(embedded: DataFrame, model: str = EMBEDDING_MODEL) -> DataFrame:
+def embedding_result_rows(embedded: DataFrame, model: str) -> DataFrame:
     """Embedding output with the path of the stored vector; no path where there is an error or no vector."""
     stored = F.col("error").isNull() & (F.size("embedding") > 0)
     return embedded.select(

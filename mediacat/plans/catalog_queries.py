@@ -11,7 +11,7 @@ from mediacat.plans import views
 from mediacat.plans.registry import query
 from mediacat.plans.views import time_text, with_views
 from mediacat.session import run_dir
-from mediacat.sources.snapshots import CatalogTable
+from mediacat.sources.snapshots import CatalogTable, put
 
 NOW = "2024-12-31 00:00:00"
 _T = "'%Y-%m-%d %H:%M:%S'"
@@ -121,6 +121,15 @@ def update_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(rows)
 
 
+def _deleted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The videos of customers with an order in state P."""
+    orders = views.table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "P")
+    return orders.select(
+        F.concat(F.lit("idx_"), (F.col("o_custkey") % 4).cast("string")).alias("index_id"),
+        F.concat(F.lit("v"), F.col("o_custkey").cast("string")).alias("video_id"),
+    )
+
+
 @query(
     "K11", "J3",
     sql=with_views(
@@ -130,12 +139,7 @@ def update_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def delete_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = views.table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "P")
-    keys = orders.select(
-        F.concat(F.lit("idx_"), (F.col("o_custkey") % 4).cast("string")).alias("index_id"),
-        F.concat(F.lit("v"), F.col("o_custkey").cast("string")).alias("video_id"),
-    )
-    return _shown(oc.delete_rows(views.catalog(spark, sf_dir), keys))
+    return _shown(oc.delete_rows(views.catalog(spark, sf_dir), _deleted(spark, sf_dir)))
 
 
 @query("K11", sql=with_views(f"SELECT {_CATALOG} FROM catalog WHERE index_id <> 'idx_3'", "catalog"))
@@ -344,5 +348,21 @@ def catalog_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
     table.commit(views.catalog(spark, sf_dir).withColumn("updated_at", F.lit(None).cast("timestamp")))
     changes = views.updates(spark, sf_dir)
     for _ in range(2):
-        table.apply(changes, lambda current, new: oc.upsert_replace(current, new, "seq"), "check", 0)
+        table.apply(changes, put("seq"), "check", 0)
+    return _shown(table.read())
+
+
+@query(
+    "K11", "S8",
+    sql=with_views(
+        f"""SELECT {_CATALOG} FROM catalog WHERE (index_id, video_id) NOT IN
+        (SELECT 'idx_' || (o_custkey % 4), 'v' || o_custkey FROM orders WHERE o_orderstatus = 'P')""",
+        "catalog",
+    ),
+)
+def catalog_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The delete through the stored table."""
+    table = CatalogTable(spark, run_dir(spark, "catalog"), buckets=8)
+    table.commit(views.catalog(spark, sf_dir))
+    table.apply(_deleted(spark, sf_dir), oc.delete_parts)
     return _shown(table.read())

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from mediacat.operators import catalog as oc
 from mediacat.operators.embed import BatchFunction, embed
 from mediacat.operators.reports import append_run_metrics
-from mediacat.schemas import EMBED_ROWS_PER_RUN, EMBEDDING_MODEL
+from mediacat.schemas import EMBED_ROWS_PER_RUN
 from mediacat.sources.snapshots import CatalogTable
 from mediacat.sources.vectors import write_vectors
 
@@ -20,9 +20,9 @@ def run(
     fn: BatchFunction,
     folder: str,
     run_id: str,
+    model: str,
     now: Column | None = None,
     limit: int | None = EMBED_ROWS_PER_RUN,
-    model: str = EMBEDDING_MODEL,
 ) -> DataFrame:
     """Embed up to `limit` waiting videos (None: all) whose input rows are in `content` by `video_id`; returns the summary.
 
@@ -36,7 +36,8 @@ def run(
     stored = spark.read.parquet(output)
     write_vectors(stored, f"{folder}/vectors/run={run_id}", model, mode="overwrite")
     results = oc.embedding_result_rows(stored, model)
-    table.apply(results, lambda current, changes: oc.apply_embedding_results(current, changes, now))
+    done = f"embedding:{run_id}"  # a repeated run changes nothing
+    table.apply(results, lambda current, new, few: oc.embedding_parts(current, new, now, few=few), done, 0)
     summary = oc.embedding_summary(results)
     append_run_metrics(summary, run_id, f"{folder}/run_metrics")
     return summary

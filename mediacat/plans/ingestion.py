@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from mediacat.operators import catalog as oc
 from mediacat.operators.tasks import task_status
-from mediacat.sources.snapshots import CatalogTable
+from mediacat.sources.snapshots import CatalogTable, put
 from mediacat.streaming.ingest import stream_manifests
 from mediacat.streaming.sinks import upsert_stream
 
@@ -34,7 +34,8 @@ def run(
     now = F.current_timestamp() if now is None else now
     manifests = stream_manifests(spark, queue, archive, array_files)
 
-    def change(current: DataFrame, rows: DataFrame) -> DataFrame:
-        return oc.upsert_replace(current, rows.withColumn("_seq", F.coalesce("task_id", F.lit(""))), "_seq")
+    def prepare(manifest: DataFrame) -> DataFrame:
+        rows = task_rows(manifest, events, index_id, now)
+        return rows.withColumn("_seq", F.coalesce("task_id", F.lit("")))
 
-    return upsert_stream(manifests, table, change, checkpoint, "ingestion", prepare=lambda m: task_rows(m, events, index_id, now))
+    return upsert_stream(manifests, table, put("_seq"), checkpoint, "ingestion", prepare=prepare)

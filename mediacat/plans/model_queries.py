@@ -7,9 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mediacat.operators import catalog as oc
-from mediacat.operators import reports
+from mediacat.operators import reports, tasks
 from mediacat.operators.embed import embed, generate
-from mediacat.plans import embedding, views
+from mediacat.plans import embedding, lifecycle, views
 from mediacat.plans.registry import query
 from mediacat.plans.views import time_text, with_views
 from mediacat.session import run_dir
@@ -132,6 +132,72 @@ def embedding_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     table.commit(views.catalog(spark, sf_dir))
     content = _texts(spark, sf_dir).withColumn("video_id", F.concat(F.lit("v"), F.substr("video_id", F.lit(2))))
     now = F.lit(NOW).cast("timestamp")
-    embedding.run(spark, table, content, count_letters, folder, "run-1", now, limit=None, model="letters")
+    embedding.run(spark, table, content, count_letters, folder, "run-1", "letters", now, limit=None)
     current = table.read().withColumn("embedded_at", time_text("embedded_at"))
     return current.select("video_id", "status", "embedding_status", "embedding_s3", "embed_error", "embedded_at")
+
+
+_LIFECYCLE = f"""{_EMBEDDED}, lived AS (SELECT doc_id AS pos, CASE WHEN doc_id % 50 = 0 THEN 'http' ELSE 's3' END
+        || '://raw/' || doc_id AS s3_uri, CASE WHEN quality IS NOT NULL THEN 'd' || doc_id END AS video_id,
+    CASE WHEN doc_id % 50 = 0 THEN 'not an object URI: http://raw/' || doc_id
+        WHEN quality IS NULL THEN 'task did not complete within 1200s'
+        WHEN quality = 0 THEN 'indexing failed: task t' || doc_id ELSE error END AS error, vector
+    FROM documents LEFT JOIN labels USING (doc_id) JOIN embedded ON embedded.video_id = 'd' || doc_id),
+    records AS (SELECT pos, s3_uri, video_id, CASE WHEN error IS NOT NULL THEN 'failed' WHEN vector = '' THEN 'embedding'
+        ELSE 'embedded' END AS status, error, CASE WHEN error IS NULL AND vector <> '' THEN
+        'embeddings/' || video_id || '.npy' END AS embedding_s3 FROM lived)"""
+
+
+def _lifecycle(spark: SparkSession, sf_dir: str) -> tuple[CatalogTable, DataFrame]:
+    """Every document is an input; labels are its task events, and its text is what the model reads."""
+    folder = run_dir(spark, "lifecycle")
+    number = F.col("doc_id").cast("string")
+    uri = F.concat(F.when(F.col("doc_id") % 50 == 0, "http").otherwise("s3"), F.lit("://raw/"), number)
+    inputs = views.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("pos"), uri.alias("s3_uri"))
+    events = views.table(spark, sf_dir, "labels").select(
+        uri.alias("s3_uri"),
+        F.concat(F.lit("t"), number).alias("task_id"),
+        F.concat(F.lit("d"), number).alias("video_id"),
+        F.when(F.col("quality") == 1, "ready").otherwise("failed").alias("status"),
+        F.lit(NOW).cast("timestamp").alias("ts"),
+    )
+    table = CatalogTable(spark, f"{folder}/catalog", buckets=8)
+    table.commit(views.catalog(spark, sf_dir))
+    now = F.lit(NOW).cast("timestamp")
+    records = lifecycle.run(
+        spark, table, inputs, events, _texts(spark, sf_dir), count_letters, folder, "idx_9", "letters", now
+    )
+    return table, records
+
+
+@query(
+    "J6", "Q7", "V7", "V8", "P4",
+    sql=f"WITH {_LIFECYCLE} SELECT pos, s3_uri, video_id, status, error, embedding_s3 FROM records",
+)
+def lifecycle_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, records = _lifecycle(spark, sf_dir)
+    return records.select("pos", "s3_uri", "video_id", "status", "error", "embedding_s3")
+
+
+@query(
+    "K12", "K2", "S8",
+    sql=with_views(
+        """SELECT video_id, status, NULL AS error, NULL AS embedding_s3 FROM catalog
+        UNION ALL SELECT video_id, status, error, embedding_s3 FROM records WHERE video_id IS NOT NULL""",
+        "catalog",
+        ctes=_LIFECYCLE,
+    ),
+)
+def lifecycle_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table, _ = _lifecycle(spark, sf_dir)
+    return table.read().select("video_id", "status", "error", "embedding_s3")
+
+
+@query(
+    "A3",
+    sql=f"""WITH {_LIFECYCLE} SELECT count(*) FILTER (status = 'embedded') AS success,
+        count(*) FILTER (status <> 'embedded') AS failed, count(*) AS total FROM records""",
+)
+def lifecycle_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, records = _lifecycle(spark, sf_dir)
+    return tasks.batch_summary(records)

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from mediacat.operators import catalog as oc
 from mediacat.operators.validate import validate
 from mediacat.plans import ingestion, views
 from mediacat.plans.object_queries import _DESCRIBED, _RULES, _VIDEO_KEY
@@ -19,7 +18,7 @@ from mediacat.plans.views import time_text, with_views
 from mediacat.schemas import OBJECT_LISTING, TASK_EVENTS
 from mediacat.session import run_dir
 from mediacat.sources import manifests
-from mediacat.sources.snapshots import CatalogTable
+from mediacat.sources.snapshots import CatalogTable, put
 from mediacat.streaming.deadlines import DeadlineTable, deadline_join
 from mediacat.streaming.ingest import stream_listing, stream_manifests
 from mediacat.streaming.sinks import progress_stream, upsert_stream
@@ -129,14 +128,10 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = CatalogTable(spark, f"{folder}/catalog", buckets=8)
     table.commit(views.catalog(spark, sf_dir).withColumn("updated_at", F.lit(None).cast("timestamp")))
     changes = views.updates(spark, sf_dir)
-
-    def change(current: DataFrame, new: DataFrame) -> DataFrame:
-        return oc.upsert_replace(current, new, "seq")
-
     for delivery in _in_order(changes, "seq", parts=2):
         delivery.write.mode("append").parquet(f"{folder}/changes")
         arriving = spark.readStream.schema(changes.schema).parquet(f"{folder}/changes")
-        _finish(upsert_stream(arriving, table, change, f"{folder}/checkpoint", "updates"))
+        _finish(upsert_stream(arriving, table, put("seq"), f"{folder}/checkpoint", "updates"))
     current = table.read()
     return current.withColumns({c: time_text(c) for c in ("created_at", "updated_at")})
 

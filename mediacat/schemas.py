@@ -29,7 +29,6 @@ SUCCESS_STATUSES = ("embedded", "indexed")
 BYTES_PER_MB = 1_048_576
 SIZE_TOLERANCE_MB = 0.1
 DEFAULT_SOURCE = "s3-ingest"
-EMBEDDING_MODEL = "Marengo-retrieval-2.7"
 MANIFEST_ROWS_PER_RUN = 50
 EMBED_ROWS_PER_RUN = 200
 INDEX_DEADLINE_SEC = 1200

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mediacat.schemas import RAW_METADATA
 
@@ -16,6 +17,15 @@ def read_raw_metadata(spark: SparkSession, path: str, multi_line: bool = True) -
     return spark.read.schema(RAW_METADATA).option("multiLine", multi_line).json(path)
 
 
+def read_raw_rejects(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """(path, text) of the documents that `read_raw_metadata` could not parse."""
+    bad = "_corrupt_record"
+    schema = T.StructType([*RAW_METADATA.fields, T.StructField(bad, T.StringType())])
+    reader = spark.read.schema(schema).option("multiLine", multi_line).option("columnNameOfCorruptRecord", bad)
+    rows = reader.json(path).select("video_id", bad, F.col("_metadata.file_path").alias("path"))
+    return rows.filter(F.col(bad).isNotNull()).select("path", F.col(bad).alias("text"))
+
+
 def write_partition(df: DataFrame, path: str, dt: str) -> None:
     """Replace the partition `dt=...` and leave all others alone, so a rerun gives the same table."""
     dated = df.withColumn("dt", F.lit(dt))

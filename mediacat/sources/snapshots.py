@@ -1,30 +1,48 @@
 """The keyed catalogue as versioned Parquet.
 
-A plain Parquet table cannot be updated in place. Each commit therefore writes the buckets it changes below a new
-version folder, and then appends one row to a small log: that row is what makes the version visible. Readers take each bucket
-from the newest logged version that wrote it, so a job that dies half way leaves the table as it was.
-One writer at a time.
+A plain Parquet table cannot be updated in place. Each commit therefore writes the buckets it changes into a new folder
+below `data`, and then one small file below `log/version=N` that says which folder holds each bucket: that file is what
+makes the version visible. Readers follow the newest one, so a job that dies half way leaves the table as it was. One writer at a
+time; a second one that commits the same version fails.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable
+from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mediacat.operators.catalog import KEY, split_blank_keys, upsert_outcomes, upsert_replace, upsert_summary
+from mediacat.operators.catalog import KEY, replace_parts, split_blank_keys, upsert_outcomes, upsert_summary
 
-LOG = "version long, writer string, batch_id long, written array<int>, filled array<int>, schema string"
+# Changes within both bounds are broadcast to the scan of the table; they are measured before.
+FEW_CHANGES, FEW_BYTES = 100_000, 64 << 20
+
+# (current rows, changes, whether they are few) to (rows from the table, rows new in it)
+Change = Callable[[DataFrame, DataFrame, bool], tuple[DataFrame, DataFrame]]
+
+LOG = "version long, schema string, held map<string,string>, batches map<string,long>"
 
 
 def bucket_of(key: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
 
+@dataclass
+class State:
+    """A version: where each non-empty bucket lies, and the last batch of each writer."""
+
+    version: int = 0
+    schema: T.StructType | None = None
+    held: dict[int, str] = field(default_factory=dict)
+    batches: dict[str, int] = field(default_factory=dict)
+
+
 class CatalogTable:
     """A table keyed by `video_id`, stored in a fixed number of hash buckets."""
 
@@ -33,46 +51,42 @@ class CatalogTable:
         self.path = path.rstrip("/")
         self.buckets = buckets
 
-    def _log_rows(self) -> DataFrame | None:
+    def _numbers(self, folder: str, name: str) -> DataFrame:
+        """The numbers N for which there are files below `folder/**/name=N/`, by listing alone."""
+        files = self.spark.read.format("binaryFile").option("recursiveFileLookup", True).load(f"{self.path}/{folder}")
+        return files.select(F.regexp_extract("path", f"{name}=([0-9]+)/[^/]*$", 1).try_cast("long").alias("n"))
+
+    def state(self) -> State:
+        """The newest version; its size is bounded by the number of buckets and writers."""
         try:
-            return self.spark.read.schema(LOG).json(f"{self.path}/log")
+            newest = self._numbers("log", "version").agg(F.max("n")).first()[0]
         except AnalysisException as exc:
-            if exc.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
-
-    def _newest(self) -> list:
-        """Newest log entry per bucket, at most as many rows as there are buckets; empty before the first commit."""
-        rows = self._log_rows()
-        if rows is None:
-            return []
-        entry = F.struct("version", "schema", F.array_contains("filled", F.col("bucket")).alias("filled"))
-        each = rows.select("*", F.explode("written").alias("bucket")).groupBy("bucket")
-        return each.agg(F.max_by(entry, "version").alias("newest")).select("bucket", "newest.*").collect()
+            if exc.getCondition() != "PATH_NOT_FOUND":
+                raise
+            newest = None
+        if newest is None:
+            return State()
+        row = self.spark.read.schema(LOG).json(f"{self.path}/log/version={newest}").first()
+        held = {int(bucket): folder for bucket, folder in row["held"].items()}
+        return State(row["version"], T.StructType.fromJson(json.loads(row["schema"])), held, dict(row["batches"]))
 
     def version(self) -> int:
         """Newest visible version, 0 before the first commit."""
-        rows = self._log_rows()
-        return 0 if rows is None else rows.agg(F.max("version")).first()[0] or 0
+        return self.state().version
 
-    def has_batch(self, writer: str, batch_id: int) -> bool:
-        """Whether this writer's batch is part of the table already."""
-        rows = self._log_rows()
-        if rows is None:
-            return False
-        return not rows.filter((F.col("writer") == writer) & (F.col("batch_id") == batch_id)).isEmpty()
-
-    def read(self, only: list[int] | None = None) -> DataFrame | None:
+    def read(self, only: list[int] | None = None, state: State | None = None) -> DataFrame | None:
         """The current rows, of some buckets or all; None before the first commit."""
-        newest = self._newest()
-        if not newest:
+        state = state or self.state()
+        if state.schema is None:
             return None
-        schema = T.StructType.fromJson(json.loads(max(newest, key=lambda row: row["version"])["schema"]))
-        chosen = [r for r in newest if r["filled"] and (only is None or r["bucket"] in only)]
-        if not chosen:
-            return self.spark.createDataFrame([], schema)
-        paths = [f"{self.path}/data/version={r['version']}/bucket={r['bucket']}" for r in chosen]
-        return self.spark.read.schema(schema).parquet(*paths)
+        paths = [
+            f"{self.path}/{folder}/bucket={bucket}"
+            for bucket, folder in sorted(state.held.items())
+            if only is None or bucket in only
+        ]
+        if not paths:
+            return self.spark.createDataFrame([], state.schema)
+        return self.spark.read.schema(state.schema).parquet(*paths)
 
     def get(self, video_id: str) -> DataFrame | None:
         """The row of one video, reading its bucket only."""
@@ -80,48 +94,73 @@ class CatalogTable:
         found = self.read([bucket])
         return None if found is None else found.filter(F.col(KEY) == video_id)
 
-    def touched(self, keys: DataFrame) -> list[int]:
-        """Buckets that hold the given keys; at most `buckets` numbers."""
-        return [r[0] for r in keys.select(bucket_of(F.col(KEY), self.buckets)).distinct().collect()]
-
-    def commit(self, rows: DataFrame, only: list[int] | None = None, writer: str = "", batch_id: int = -1) -> int:
-        """Store `rows` as the new contents of the buckets `only` (default: of the whole table)."""
-        version = self.version() + 1
-        written = sorted(only) if only is not None else list(range(self.buckets))
-        folder = f"{self.path}/data/version={version}"
-        # Rebalancing merges small buckets' rows into one file and cuts a large bucket into files of the advisory size.
-        stored = rows.withColumn("bucket", bucket_of(F.col(KEY), self.buckets)).hint("rebalance", "bucket")
-        writer_ = stored.write.mode("overwrite").option("partitionOverwriteMode", "static")
-        writer_.partitionBy("bucket").parquet(folder)
-        present = self.spark.read.schema("bucket int").parquet(folder).distinct().collect()
-        filled = sorted(r["bucket"] for r in present)
-        entry = self.spark.createDataFrame([(version, writer, batch_id, written, filled, rows.schema.json())], LOG)
-        entry.coalesce(1).write.mode("append").json(f"{self.path}/log")
-        return version
+    def touched(self, changes: DataFrame) -> tuple[list[int], bool]:
+        """Buckets that hold the changes' keys, at most `buckets` numbers, and whether the changes are few."""
+        size = F.octet_length(F.to_json(F.struct("*")))
+        sizes = changes.select(bucket_of(F.col(KEY), self.buckets).alias("bucket"), size.alias("size"))
+        found = sizes.groupBy("bucket").agg(F.count("*").alias("rows"), F.sum("size").alias("bytes")).collect()
+        few = sum(r["rows"] for r in found) <= FEW_CHANGES and sum(r["bytes"] for r in found) <= FEW_BYTES
+        return [r["bucket"] for r in found], few
 
-    def apply(
+    def commit(
         self,
-        changes: DataFrame,
-        change: Callable[[DataFrame, DataFrame], DataFrame],
-        writer: str = "",
-        batch_id: int = -1,
-    ) -> int | None:
-        """Commit `change(current, changes)` for the buckets that the changes touch; the others are not read.
-
-        A batch that this writer has committed before is skipped (None), which makes replays safe.
+        rows: DataFrame,
+        only: list[int] | None = None,
+        writer: str | None = None,
+        batch_id: int = 0,
+        state: State | None = None,
+        in_place: DataFrame | None = None,
+    ) -> int:
+        """Store `rows` as the new contents of the buckets `only` (default: of the whole table).
+
+        Rows are brought together by bucket: rebalancing merges small buckets into one file each and cuts a large bucket into
+        files of the advisory size. Rows `in_place` are stored too, but as they lie: they must come from the
+        table's own files without a shuffle, so that each task holds few buckets.
         """
-        if batch_id >= 0 and self.has_batch(writer, batch_id):
-            return None
-        only = self.touched(changes)
-        current = self.read(only)
-        if current is None:
+        state = state or self.state()
+        version = state.version + 1
+        folder = f"data/{uuid.uuid4().hex}"
+        bucket = bucket_of(F.col(KEY), self.buckets)
+        stored = rows.withColumn("bucket", bucket).hint("rebalance", "bucket")
+        if in_place is not None:
+            stored = in_place.withColumn("bucket", bucket).unionByName(stored)
+        stored.write.partitionBy("bucket").parquet(f"{self.path}/{folder}")
+        filled = [r["n"] for r in self._numbers(folder, "bucket").distinct().collect() if r["n"] is not None]
+        kept = {} if only is None else {b: v for b, v in state.held.items() if b not in only}
+        held = {str(b): v for b, v in {**kept, **dict.fromkeys(filled, folder)}.items()}
+        batches = state.batches if writer is None else {**state.batches, writer: batch_id}
+        entry = self.spark.createDataFrame([(version, rows.schema.json(), held, batches)], LOG)
+        entry.coalesce(1).write.json(f"{self.path}/log/version={version}")
+        return version
+
+    def apply(self, changes: DataFrame, change: Change, writer: str | None = None, batch_id: int = 0) -> int | None:
+        """Commit what `change(current, changes, few)` returns for the buckets that the changes touch; others are not read.
+
+        `change` returns the two pieces described in `operators.catalog`. When there are few changes, the rows that stay
+        are copied from file to file without a shuffle. Batches of a writer are numbered upwards; one that is in the
+        table already is skipped (None), which makes replays safe.
+        """
+        state = self.state()
+        if state.schema is None:
             raise ValueError("commit a first version before applying changes")
-        return self.commit(change(current, changes), only, writer, batch_id)
+        if writer is not None and batch_id <= state.batches.get(writer, -1):
+            return None
+        only, few = self.touched(changes)
+        kept, fresh = change(self.read(only, state), changes, few)
+        if few:
+            return self.commit(fresh, only, writer, batch_id, state, in_place=kept)
+        return self.commit(kept.unionByName(fresh), only, writer, batch_id, state)
+
+
+def put(seq: str, guard: bool = False) -> Change:
+    """Change that puts whole rows."""
+    return lambda current, updates, few: replace_parts(current, updates, seq, guard, few)
 
 
 def upsert_batch(table: CatalogTable, updates: DataFrame, seq: str, guard: bool = False) -> dict[str, int]:
     """Upsert whole rows into the table; returns the counts success, skipped, failed and total."""
     usable, _ = split_blank_keys(updates)
-    counts = upsert_summary(upsert_outcomes(table.read(table.touched(usable)), updates, seq, guard)).first()
-    table.apply(usable, lambda current, changes: upsert_replace(current, changes, seq, guard))
+    only, _ = table.touched(usable)
+    counts = upsert_summary(upsert_outcomes(table.read(only), updates, seq, guard)).first()
+    table.apply(usable, put(seq, guard))
     return counts.asDict()

@@ -11,10 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mediacat.operators.catalog import vector_path
-from mediacat.schemas import EMBEDDING_MODEL
 
 
-def vector_rows(df: DataFrame, model: str = EMBEDDING_MODEL) -> DataFrame:
+def vector_rows(df: DataFrame, model: str) -> DataFrame:
     """Storable vectors: float32, with dimension, model and path. Rows without a vector are left out."""
     kept = df.filter(F.size("embedding") > 0)
     return kept.select(
@@ -26,7 +25,7 @@ def vector_rows(df: DataFrame, model: str = EMBEDDING_MODEL) -> DataFrame:
     )
 
 
-def write_vectors(df: DataFrame, path: str, model: str = EMBEDDING_MODEL, mode: str = "append") -> None:
+def write_vectors(df: DataFrame, path: str, model: str, mode: str = "append") -> None:
     """Write vectors below `embed_model=...`; `overwrite` replaces that model's vectors only."""
     writer = vector_rows(df, model).write.mode(mode).option("partitionOverwriteMode", "dynamic")
     writer.partitionBy("embed_model").parquet(path)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from mediacat.sources.snapshots import CatalogTable
+from mediacat.sources.snapshots import CatalogTable, Change
 
 FINISHED = ("embedded", "indexed", "failed", "skipped", "ready", "timeout")
 
@@ -16,7 +16,7 @@ FINISHED = ("embedded", "indexed", "failed", "skipped", "ready", "timeout")
 def upsert_stream(
     changes: DataFrame,
     table: CatalogTable,
-    change: Callable[[DataFrame, DataFrame], DataFrame],
+    change: Change,
     checkpoint: str,
     writer: str,
     available_now: bool = True,

@@ -1,13 +1,15 @@
 """Upserts, merges, deletes, lookups and the stored table."""
 
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from mediacat.operators import catalog as oc
 from mediacat.operators import paging
-from mediacat.sources.snapshots import CatalogTable, upsert_batch
+from mediacat.sources import snapshots
+from mediacat.sources.snapshots import CatalogTable, put, upsert_batch
 
 
 def now():
@@ -156,10 +158,7 @@ def test_deep_pages_equal_shallow_ones(spark, monkeypatch):
     assert [found(paging.numbered_page(df, ["video_id"], p, 60)) for p in range(1, 10)] == shallow
 
 
-def replace(current, changes):
-    return oc.upsert_replace(current, changes, "seq")
-
-
+replace = put("seq")
 UPDATES = "video_id string, status string, note string, seq long"
 
 
@@ -171,7 +170,7 @@ def test_stored_table(spark, folder):
     stored.commit(table(spark, [(f"v{i}", "new", None) for i in range(20)]))
     assert stored.get("v3").first().status == "new" and stored.get("nope").count() == 0
     stored.apply(table(spark, [("v3", "changed", "n", 1), ("w", "added", "n", 2)], UPDATES), replace, "w", 0)
-    assert stored.version() == 2 and stored.has_batch("w", 0)
+    assert stored.version() == 2 and stored.state().batches == {"w": 0}
     assert stored.apply(table(spark, [("v3", "again", "n", 1)], UPDATES), replace, "w", 0) is None
     assert stored.read().count() == 21 and stored.get("v3").first().status == "changed"
 
@@ -180,15 +179,14 @@ def test_stored_table_rewrites_only_touched_buckets(spark, folder):
     stored = CatalogTable(spark, folder, buckets=16)
     stored.commit(table(spark, [(f"v{i}", "new", None) for i in range(100)]))
     stored.apply(table(spark, [("v5", "x", None, 1)], UPDATES), replace)
-    entries = {r["bucket"]: r["version"] for r in stored._newest()}
-    assert sorted(entries.values()) == [1] * 15 + [2]
+    assert sorted(Counter(stored.state().held.values()).values()) == [1, 15]
 
 
 def test_unfinished_commit_is_invisible(spark, folder):
     stored = CatalogTable(spark, folder, buckets=2)
     stored.commit(table(spark, [("a", "s", None)]))
     lost = table(spark, [("zzz", "lost", None)]).withColumn("bucket", F.lit(0))
-    lost.write.partitionBy("bucket").parquet(f"{folder}/data/version=2")
+    lost.write.partitionBy("bucket").parquet(f"{folder}/data/lost")
     assert found(stored.read()) == [("a", "s", None)]
     stored.commit(table(spark, [("b", "s", None)]))
     assert found(stored.read()) == [("b", "s", None)]
@@ -203,6 +201,15 @@ def test_stored_table_gains_columns(spark, folder):
     assert len(rows) == 10 and rows["v1"] == 7 and rows["v2"] is None
 
 
+def test_second_writer_of_a_version_fails(spark, folder):
+    stored = CatalogTable(spark, folder, buckets=2)
+    before = stored.state()
+    stored.commit(table(spark, [("a", "s", None)]))
+    with pytest.raises(Exception, match="already exists|ALREADY_EXISTS"):
+        stored.commit(table(spark, [("b", "s", None)]), state=before)
+    assert stored.version() == 1 and found(stored.read()) == [("a", "s", None)]
+
+
 def test_emptied_table_is_empty(spark, folder):
     stored = CatalogTable(spark, folder, buckets=2)
     stored.commit(table(spark, [("a", "s", None)]))
@@ -216,3 +223,37 @@ def test_upsert_batch_counts(spark, folder):
     updates = table(spark, [("a", "ready", None, 1), ("b", "failed", None, 2), (None, "x", None, 3)], UPDATES)
     assert upsert_batch(stored, updates, "seq", guard=True) == {"success": 1, "skipped": 1, "failed": 1, "total": 3}
     assert found(stored.read(), "video_id", "status") == [("a", "embedded"), ("b", "failed")]
+
+
+@pytest.mark.parametrize("limit", [0, 100_000])
+def test_many_and_few_changes_give_the_same_table(spark, folder, monkeypatch, limit):
+    monkeypatch.setattr(snapshots, "FEW_CHANGES", limit)
+    rows = [(f"v{i}", "embedded" if i % 3 else "ready", f"n{i}") for i in range(200)]
+    updates = [(f"v{i}", "failed", "new", i) for i in range(100, 260)]
+    stored = CatalogTable(spark, folder, buckets=4)
+    stored.commit(table(spark, rows))
+    stored.apply(table(spark, updates, UPDATES), put("seq", guard=True))
+    whole = oc.upsert_replace(table(spark, rows), table(spark, updates, UPDATES), "seq", guard=True)
+    assert found(stored.read()) == found(whole)
+    stored.apply(table(spark, [("v7", "x", None, 1)], UPDATES), lambda c, n, few: oc.merge_parts(c, n, "seq", {"status": None}, few=few))
+    assert stored.get("v7").first().status == "x" and stored.read().count() == 260
+    doomed = stored.read().select("video_id", F.lit("i").alias("index_id")).limit(0)
+    stored.commit(stored.read().withColumn("index_id", F.lit("i")))
+    stored.apply(doomed.unionByName(table(spark, [("v7", "i"), ("v8", "j")], "video_id string, index_id string")), oc.delete_parts)
+    assert stored.get("v7").count() == 0 and stored.read().count() == 259
+
+
+def test_few_changes_leave_the_table_in_place(spark, folder):
+    """A wide table is scanned and written without a shuffle of its rows."""
+    stored = CatalogTable(spark, folder, buckets=4)
+    stored.commit(table(spark, [(f"v{i}", "ready", "n") for i in range(100)]))
+    current = stored.read()
+    updates = table(spark, [("v1", "x", None, 1)], UPDATES)
+    for kept, _ in (
+        oc.replace_parts(current, updates, "seq", few=True),
+        oc.replace_parts(current, updates, "seq", guard=True, few=True),
+        oc.merge_parts(current, updates, "seq", {"status": None}, few=True),
+    ):
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        scan = plan.index("FileScan parquet")
+        assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan[:scan]

@@ -13,7 +13,7 @@ from mediacat.plans import batch_metadata
 from mediacat.schemas import RAW_METADATA, VIDEO
 from mediacat.sources import manifests, vectors
 from mediacat.sources import objects as so
-from mediacat.sources.metadata import read_raw_metadata, write_partition
+from mediacat.sources.metadata import read_raw_metadata, read_raw_rejects, write_partition
 
 
 def put(path, text):
@@ -32,6 +32,8 @@ def test_raw_metadata_documents(spark, folder):
     assert set(rows) == {"v1", "v2", "v3", None}
     assert json.loads(rows["v1"].tags) == ["x", "y"] and json.loads(rows["v2"].tags) == {"k": 1}
     assert batch_metadata.transform(df).count() == 3
+    rejects = read_raw_rejects(spark, folder).collect()
+    assert [(r.path[-6:], r.text) for r in rejects] == [("c.json", '{"video_id": "broken')]
 
 
 def test_partition_rerun_keeps_other_dates(spark, folder):

@@ -8,10 +8,9 @@ from datetime import datetime, timedelta, timezone
 
 import pytest
 
-from mediacat.operators import catalog as oc
 from mediacat.operators.tasks import task_deadline
 from mediacat.plans import ingestion
-from mediacat.sources.snapshots import CatalogTable
+from mediacat.sources.snapshots import CatalogTable, put
 from mediacat.streaming.deadlines import DeadlineTable, deadline_join
 from mediacat.streaming.ingest import stream_files, stream_manifests
 from mediacat.streaming.sinks import progress_stream, upsert_stream
@@ -137,13 +136,9 @@ def test_upsert_stream_survives_replay(spark, folder, stored):
     rows = [("a", "new", "n", 1), ("b", "new", "n", 2)]
     changes = spark.createDataFrame(rows, "video_id string, status string, note string, seq long")
     changes.write.parquet(f"{folder}/changes")
-
-    def change(current, new):
-        return oc.upsert_replace(current, new, "seq")
-
     for checkpoint in ("c1", "c2"):  # a lost checkpoint delivers batch 0 again
         arriving = spark.readStream.schema(changes.schema).parquet(f"{folder}/changes")
-        upsert_stream(arriving, stored, change, f"{folder}/{checkpoint}", "w").awaitTermination()
+        upsert_stream(arriving, stored, put("seq"), f"{folder}/{checkpoint}", "w").awaitTermination()
     assert stored.version() == 2
     assert sorted((r.video_id, r.status) for r in stored.read().collect()) == [("a", "new"), ("b", "new")]
 
