@@ -18,12 +18,12 @@ def read_raw_metadata(spark: SparkSession, path: str, multi_line: bool = True) -
 
 
 def read_raw_rejects(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """(path, text) of the documents that `read_raw_metadata` could not parse."""
+    """(path, text, video_id) of the documents that could not be parsed, with the id where it could be read."""
     bad = "_corrupt_record"
     schema = T.StructType([*RAW_METADATA.fields, T.StructField(bad, T.StringType())])
     reader = spark.read.schema(schema).option("multiLine", multi_line).option("columnNameOfCorruptRecord", bad)
-    rows = reader.json(path).select("video_id", bad, F.col("_metadata.file_path").alias("path"))
-    return rows.filter(F.col(bad).isNotNull()).select("path", F.col(bad).alias("text"))
+    rows = reader.json(path).select(F.col("_metadata.file_path").alias("path"), F.col(bad).alias("text"), "video_id")
+    return rows.filter(F.col("text").isNotNull())
 
 
 def write_partition(df: DataFrame, path: str, dt: str) -> None:
