@@ -15,6 +15,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from mediacat.operators.joins import spread_join
 from mediacat.schemas import EMBED_ROWS_PER_RUN, STATUS_LIMIT
 
 KEY = "video_id"
@@ -93,13 +94,13 @@ def upsert_outcomes(target: DataFrame, updates: DataFrame, seq: str, guard: bool
     if not guard:
         return updates.withColumn("outcome", F.when(keyed, "written").otherwise("failed"))
     locked = _existing_keys(target.filter(F.col("status") == "embedded"), updates)
-    locked = locked.select(F.col(KEY).alias("_locked_key"), F.lit(True).alias("_locked"))
-    first = updates.filter(F.col("status") == "embedded").groupBy(F.col(KEY).alias("_final_key"))
-    first = first.agg(F.min(seq).alias("_final_seq"))
-    joined = updates.join(locked, F.col(KEY) == F.col("_locked_key"), "left")
-    joined = joined.join(first, F.col(KEY) == F.col("_final_key"), "left")
-    skipped = F.col("_locked").isNotNull() | F.coalesce(F.col(seq) > F.col("_final_seq"), F.lit(False))
+    final = updates.filter(F.col("status") == "embedded").groupBy(KEY).agg(F.min(seq).alias("_final"))
+    # locked keys and first final updates as one side, so that the updates are joined once
+    side = final.unionByName(locked.withColumn("_locked", F.lit(True)), allowMissingColumns=True).groupBy(KEY)
+    side = side.agg(F.min("_final").alias("_final"), F.max("_locked").alias("_locked"))
+    skipped = F.col("_locked").isNotNull() | F.coalesce(F.col(seq) > F.col("_final"), F.lit(False))
     outcome = F.when(~F.coalesce(keyed, F.lit(False)), "failed").when(skipped, "skipped").otherwise("written")
+    joined = spread_join(updates, side, KEY, "left")
     return joined.withColumn("outcome", outcome).select(*updates.columns, "outcome")
 
 

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
+from mediacat.operators.joins import spread_join
 from mediacat.operators.paging import clamp_limit
 from mediacat.schemas import DEFAULT_MODALITIES, SEARCH_LIMIT, SEARCH_LIMIT_MAX
 
@@ -302,7 +303,7 @@ def _candidates(vectors: DataFrame, block: QueryBlock, options: Search, allowed:
     if options.modalities is not None:
         rows = rows.filter(F.col("modality").isin(*options.modalities))
     if allowed is not None:
-        rows = rows.join(allowed.select("video_id").distinct(), "video_id", "left_semi")
+        rows = spread_join(rows, allowed.select("video_id").distinct(), "video_id", "left_semi")
     return rows
 
 

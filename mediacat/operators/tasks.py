@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mediacat.operators.catalog import latest_per_key
+from mediacat.operators.joins import spread_join
 from mediacat.operators.running import running_totals
 from mediacat.schemas import INDEX_DEADLINE_SEC, SUCCESS_STATUSES, TERMINAL_TASK_STATUSES
 
@@ -27,7 +28,7 @@ def task_status(
     submitted: DataFrame, events: DataFrame, key: str = "task_id", extra: Sequence[str] = (), missing: str = "pending"
 ) -> DataFrame:
     """Submitted tasks with their final status, or the word `missing` while there is none."""
-    joined = submitted.join(first_terminal(events, key, extra), key, "left")
+    joined = spread_join(submitted, first_terminal(events, key, extra), key, "left")
     return joined.withColumn("status", F.coalesce("status", F.lit(missing)))
 
 
@@ -120,11 +121,13 @@ def batch_summary(results: DataFrame, *by: str) -> DataFrame:
 def batch_results(inputs: DataFrame, results: DataFrame, seq: str, key: str = "s3_uri") -> DataFrame:
     """One result per input in input order (`pos`); inputs that repeat a key share its latest result."""
     latest = latest_per_key(results, [F.desc(seq)], key).drop(seq)
-    return inputs.join(latest, key, "left").orderBy("pos")
+    return spread_join(inputs, latest, key, "left").orderBy("pos")
 
 
 def requested_found(requested: DataFrame, found: DataFrame, key: str = "s3_key") -> DataFrame:
     """One row: keys asked for and keys found. Repeats count each time."""
+    asked = requested.groupBy(key).agg(F.count(F.lit(1)).alias("times"))
     known = found.select(F.col(key).alias("_found")).distinct()
-    joined = requested.join(known, F.col(key) == F.col("_found"), "left")
-    return joined.agg(F.count(F.lit(1)).alias("requested"), F.count("_found").alias("found"))
+    joined = asked.join(known, F.col(key) == F.col("_found"), "left")
+    hits = F.coalesce(F.sum(F.when(F.col("_found").isNotNull(), F.col("times"))), F.lit(0))
+    return joined.agg(F.coalesce(F.sum("times"), F.lit(0)).alias("requested"), hits.alias("found"))
