@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from mediacat.functions.objects import split_uri
 from mediacat.operators import catalog as oc
 from mediacat.operators.embed import BatchFunction, embed
+from mediacat.operators.joins import spread_join
 from mediacat.operators.tasks import first_terminal
 from mediacat.schemas import INDEX_DEADLINE_SEC
 from mediacat.sources.snapshots import CatalogTable, put
@@ -43,7 +44,7 @@ def embed_stage(records: DataFrame, embedded: DataFrame, now: Column) -> DataFra
     output = output.select(
         oc.KEY, F.col("status").alias("model_status"), "model_error", "embedding_dim", "embedding_s3", "embedded_at"
     )
-    joined = records.join(output, oc.KEY, "left")
+    joined = spread_join(records, output, oc.KEY, "left")  # many records may have no id
     ran = (F.col("status") == "indexed") & F.col("model_status").isNotNull()
     status = F.when(ran & F.col("model_error").isNotNull(), "failed").when(ran, F.col("model_status"))
     return joined.withColumns(
@@ -79,4 +80,4 @@ def run(
     final = spark.read.parquet(f"{folder}/records")
     keyed = oc.lifecycle_rows(final)[0].withColumn("_seq", F.col("s3_uri"))
     table.apply(keyed, put("_seq"))
-    return inputs.join(final, "s3_uri", "left").orderBy("pos")
+    return spread_join(inputs, final, "s3_uri", "left").orderBy("pos")

@@ -13,12 +13,14 @@ RESULT_CONF = {
     "spark.sql.ansi.enabled": "true",
 }
 
-# Settings for speed: runtime re-planning with splitting of skewed join partitions.
+# Settings for speed: runtime re-planning with splitting of skewed join partitions, stream state outside the heap.
 SPEED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 

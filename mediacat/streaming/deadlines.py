@@ -94,8 +94,8 @@ class DeadlineTable:
         if newest is not None:
             kept = events.filter(on_time).select("event_id", "key", "status", "ts", self._window("ts").alias("window"))
             self._replace(kept.withColumn("batch", F.lit(batch_id)), "events", "window", "batch")
-            closed = seen["oldest"] - 1 if closed is None else closed
             certain = (newest - self.lateness_sec * MICROS) // (self.deadline_sec * MICROS) - 2
+            closed = min(seen["oldest"] - 1, certain) if closed is None else closed
             until = newest // (self.deadline_sec * MICROS) if final else certain
             if until > closed:
                 self._close(closed + 1, until, batch_id)

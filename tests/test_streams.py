@@ -105,6 +105,18 @@ def test_late_events_are_counted_and_left_out(spark, folder):
     assert table.late_rows().first().late == 1
 
 
+def test_older_events_within_the_lateness_count(spark, folder):
+    def at(sec):
+        return START + timedelta(seconds=sec)
+
+    table = DeadlineTable(spark, folder, 100, lateness_sec=600)
+    table.add(spark.createDataFrame([], EVENTS), 0)
+    table.add(spark.createDataFrame([(1, "a", "ready", at(10_000))], EVENTS), 1)
+    table.add(spark.createDataFrame([(2, "a", "submitted", at(9_500)), (3, "a", "failed", at(9_550))], EVENTS), 2)
+    table.add(spark.createDataFrame([(4, "b", "submitted", at(20_000))], EVENTS), 3)
+    assert status_of(table.outcomes()) == {2: "failed"}
+
+
 def test_deadline_join_equals_batch(spark, folder):
     rng = random.Random(8)
     log = []
