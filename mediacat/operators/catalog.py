@@ -14,7 +14,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from mediacat.functions.metadata import iso_text
 from mediacat.operators.joins import spread_join
 from mediacat.schemas import EMBED_ROWS_PER_RUN, STATUS_LIMIT
 
@@ -297,7 +299,7 @@ def store_stage(records: DataFrame, now: Column) -> DataFrame:
 
 
 def served_projection(catalog: DataFrame) -> DataFrame:
-    """The 14 columns of the read API: missing values become '' or 0, optional ones stay null when empty."""
+    """The 14 columns of the read API, times as ISO text: missing values become '' or 0, optional ones null when empty."""
     always = {
         "video_id": "", "s3_key": "", "s3_uri": "", "index_id": "", "status": "", "embedding_status": "",
         "size_bytes": 0, "size_mb": 0.0, "created_at": "",
@@ -307,6 +309,8 @@ def served_projection(catalog: DataFrame) -> DataFrame:
 
     def given(name: str) -> Column:
         column = F.col(name) if name in catalog.columns else F.lit(None)
+        if name in catalog.columns and isinstance(catalog.schema[name].dataType, T.TimestampType):
+            column = iso_text(column)
         return column.cast(kinds.get(name, "string"))
 
     columns = [F.coalesce(given(n), F.lit(d).cast(kinds.get(n, "string"))).alias(n) for n, d in always.items()]

@@ -15,9 +15,14 @@ from mediacat.schemas import INDEX_DEADLINE_SEC, SUCCESS_STATUSES, TERMINAL_TASK
 MICROS = 1_000_000
 
 
-def first_terminal(events: DataFrame, key: str = "task_id", extra: Sequence[str] = ()) -> DataFrame:
-    """The earliest ready or failed event per task, with further columns of that event."""
-    ended = events.filter(F.col("status").isin(*TERMINAL_TASK_STATUSES))
+def first_terminal(
+    events: DataFrame,
+    key: str = "task_id",
+    extra: Sequence[str] = (),
+    terminal: Sequence[str] = TERMINAL_TASK_STATUSES,
+) -> DataFrame:
+    """The earliest final event per task, with further columns of that event."""
+    ended = events.filter(F.col("status").isin(*terminal))
     order = ["ts", "event_id"] if "event_id" in events.columns else ["ts"]
     first = F.min(F.struct(*order, "status", *extra)).alias("_first")
     columns = [F.col("_first.status").alias("status"), F.col("_first.ts").alias("ended_at")]
@@ -25,10 +30,15 @@ def first_terminal(events: DataFrame, key: str = "task_id", extra: Sequence[str]
 
 
 def task_status(
-    submitted: DataFrame, events: DataFrame, key: str = "task_id", extra: Sequence[str] = (), missing: str = "pending"
+    submitted: DataFrame,
+    events: DataFrame,
+    key: str = "task_id",
+    extra: Sequence[str] = (),
+    missing: str = "pending",
+    terminal: Sequence[str] = TERMINAL_TASK_STATUSES,
 ) -> DataFrame:
     """Submitted tasks with their final status, or the word `missing` while there is none."""
-    joined = spread_join(submitted, first_terminal(events, key, extra), key, "left")
+    joined = spread_join(submitted, first_terminal(events, key, extra, terminal), key, "left")
     return joined.withColumn("status", F.coalesce("status", F.lit(missing)))
 
 

@@ -309,7 +309,7 @@ def embedding_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     "P18",
     sql=with_views(
         f"""SELECT video_id, '' AS s3_key, '' AS s3_uri, index_id, coalesce(status, '') AS status, embedding_status,
-        0::BIGINT AS size_bytes, 0::DOUBLE AS size_mb, strftime(created_at, {_T}) AS created_at,
+        0::BIGINT AS size_bytes, 0::DOUBLE AS size_mb, strftime(created_at, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS created_at,
         NULL::VARCHAR AS indexed_at, NULL::VARCHAR AS embedded_at, NULL::VARCHAR AS embedding_s3,
         NULL::DOUBLE AS duration_sec, source AS tag FROM catalog""",
         "catalog",
@@ -317,7 +317,7 @@ def embedding_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def served_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The read API's columns; the tags map is shown by its one entry."""
-    tagged = _shown(views.catalog(spark, sf_dir)).withColumn("tags", F.create_map(F.lit("segment"), F.col("source")))
+    tagged = views.catalog(spark, sf_dir).withColumn("tags", F.create_map(F.lit("segment"), F.col("source")))
     served = oc.served_projection(tagged)
     return served.withColumn("tag", served["tags"]["segment"]).drop("tags")
 

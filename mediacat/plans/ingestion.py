@@ -8,14 +8,19 @@ from pyspark.sql.streaming import StreamingQuery
 
 from mediacat.operators import catalog as oc
 from mediacat.operators.tasks import task_status
+from mediacat.schemas import TERMINAL_TASK_STATUSES
 from mediacat.sources.snapshots import CatalogTable, put
 from mediacat.streaming.ingest import stream_manifests
 from mediacat.streaming.sinks import upsert_stream
 
 
 def task_rows(manifest: DataFrame, events: DataFrame, index_id: str, now: Column) -> DataFrame:
-    """Catalogue rows for manifest records from their task events, by `s3_key`; no final event means `timeout`."""
-    done = task_status(manifest.select("s3_key"), events, "s3_key", ("video_id", "task_id"), "timeout")
+    """Catalogue rows for manifest records from their task events, by `s3_key`.
+
+    An upload that failed is final too; no final event means `timeout`.
+    """
+    final = (*TERMINAL_TASK_STATUSES, "upload_failed")
+    done = task_status(manifest.select("s3_key"), events, "s3_key", ("video_id", "task_id"), "timeout", final)
     return oc.task_result_rows(done, index_id, now)
 
 

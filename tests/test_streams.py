@@ -168,9 +168,9 @@ def test_ingestion_of_array_manifests(spark, folder):
     from pyspark.sql import functions as F
 
     put(f"{folder}/pending/one.json", json.dumps([{"s3_key": "k1"}, {"s3_key": "k2"}]), age=100)
-    put(f"{folder}/pending/two.json", json.dumps([{"s3_key": "k3", "presigned_url": "u"}]), age=50)
+    put(f"{folder}/pending/two.json", json.dumps([{"s3_key": "k3", "presigned_url": "u"}, {"s3_key": "k4"}]), age=50)
     events = spark.createDataFrame(
-        [("t1", "v1", "k1", "ready", START), ("t3", None, "k3", "failed", START)],
+        [("t1", "v1", "k1", "ready", START), ("t3", None, "k3", "failed", START), (None, None, "k4", "upload_failed", START)],
         "task_id string, video_id string, s3_key string, status string, ts timestamp",
     )
     now = F.lit("2024-06-01").cast("timestamp")
@@ -178,5 +178,5 @@ def test_ingestion_of_array_manifests(spark, folder):
     table.commit(ingestion.task_rows(spark.createDataFrame([], "s3_key string"), events, "idx", now))
     ingestion.run(spark, table, f"{folder}/pending", events, "idx", f"{folder}/c", now=now).awaitTermination()
     got = sorted((r.video_id, r.status, r.embedding_status) for r in table.read().collect())
-    assert got == [("no-id-k2", "timeout", "skipped"), ("no-id-k3", "failed", "skipped"), ("v1", "ready", "pending")]
+    assert got == [("no-id-k2", "timeout", "skipped"), ("no-id-k3", "failed", "skipped"), ("no-id-k4", "upload_failed", "skipped"), ("v1", "ready", "pending")]
     assert table.version() == 3
