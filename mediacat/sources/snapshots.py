@@ -138,7 +138,7 @@ class CatalogTable:
 
         `change` returns the two pieces described in `operators.catalog`. When there are few changes, the rows that stay
         are copied from file to file without a shuffle. Batches of a writer are numbered upwards; one that is in the
-        table already is skipped (None), which makes replays safe.
+        table already is skipped (None), which makes replays safe. `commit(read())` now and then tidies up small files.
         """
         state = self.state()
         if state.schema is None:
@@ -146,6 +146,8 @@ class CatalogTable:
         if writer is not None and batch_id <= state.batches.get(writer, -1):
             return None
         only, few = self.touched(changes)
+        if not only:
+            return None
         kept, fresh = change(self.read(only, state), changes, few)
         if few:
             return self.commit(fresh, only, writer, batch_id, state, in_place=kept)

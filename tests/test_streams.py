@@ -10,7 +10,8 @@ import pytest
 
 from mediacat.operators.tasks import task_deadline
 from mediacat.plans import ingestion
-from mediacat.sources.snapshots import CatalogTable, put
+from mediacat.sources.snapshots import CatalogTable
+from mediacat.sources.snapshots import put as put_rows
 from mediacat.streaming.deadlines import DeadlineTable, deadline_join
 from mediacat.streaming.ingest import stream_files, stream_manifests
 from mediacat.streaming.sinks import progress_stream, upsert_stream
@@ -150,7 +151,7 @@ def test_upsert_stream_survives_replay(spark, folder, stored):
     changes.write.parquet(f"{folder}/changes")
     for checkpoint in ("c1", "c2"):  # a lost checkpoint delivers batch 0 again
         arriving = spark.readStream.schema(changes.schema).parquet(f"{folder}/changes")
-        upsert_stream(arriving, stored, put("seq"), f"{folder}/{checkpoint}", "w").awaitTermination()
+        upsert_stream(arriving, stored, put_rows("seq"), f"{folder}/{checkpoint}", "w").awaitTermination()
     assert stored.version() == 2
     assert sorted((r.video_id, r.status) for r in stored.read().collect()) == [("a", "new"), ("b", "new")]
 
