@@ -1,6 +1,6 @@
 """The batch metadata job: JSON metadata to a dated, derived Parquet partition.
 
-    spark-submit -m mediacat.plans.batch_metadata --input s3a://bucket/metadata/ --output s3a://bucket/processed/ [--dt 2024-01-15]
+    python -m mediacat.plans.batch_metadata --input s3a://bucket/metadata/ --output s3a://bucket/processed/ --dt 2024-01-15
 """
 
 from __future__ import annotations
@@ -50,14 +50,22 @@ def utc_today() -> str:
 
 
 def run(
-    spark: SparkSession, input_path: str, output_path: str, dt: str | None = None, drop_empty: bool = False
+    spark: SparkSession,
+    input_path: str,
+    output_path: str,
+    dt: str | None = None,
+    drop_empty: bool = False,
+    multi_line: bool = True,
 ) -> dict[str, int]:
-    """Read, derive and write one partition in a single pass; returns the rows read and written."""
+    """Read, derive and write one partition in a single pass; returns the rows read and written.
+
+    With `multi_line` the input is one document or array per file, so the output is rebalanced into fewer files.
+    """
     read, written = Observation("read"), Observation("written")
-    raw = read_raw_metadata(spark, input_path).observe(read, F.count(F.lit(1)).alias("rows"))
+    raw = read_raw_metadata(spark, input_path, multi_line).observe(read, F.count(F.lit(1)).alias("rows"))
     out = transform(raw)
     out = (drop_null_columns(out) if drop_empty else out).observe(written, F.count(F.lit(1)).alias("rows"))
-    write_partition(out, output_path, dt or utc_today())
+    write_partition(out, output_path, dt or utc_today(), rebalance=multi_line)
     return {"read": read.get["rows"], "written": written.get["rows"]}
 
 
@@ -67,8 +75,10 @@ def main() -> None:
     parser.add_argument("--output", required=True)
     parser.add_argument("--dt", help="partition date, default today in UTC")
     parser.add_argument("--drop-empty-columns", action="store_true")
+    parser.add_argument("--json-lines", action="store_true", help="input has one record per line and can be split")
     args = parser.parse_args()
-    counts = run(build_session("batch-metadata"), args.input, args.output, args.dt, args.drop_empty_columns)
+    spark = build_session("batch-metadata")
+    counts = run(spark, args.input, args.output, args.dt, args.drop_empty_columns, not args.json_lines)
     print(f"rows read {counts['read']}, written {counts['written']}")
 
 

@@ -26,8 +26,12 @@ def read_raw_rejects(spark: SparkSession, path: str, multi_line: bool = True) ->
     return rows.filter(F.col("text").isNotNull())
 
 
-def write_partition(df: DataFrame, path: str, dt: str) -> None:
-    """Replace the partition `dt=...` and leave all others alone, so a rerun gives the same table."""
+def write_partition(df: DataFrame, path: str, dt: str, rebalance: bool = False) -> None:
+    """Replace the partition `dt=...` and leave all others alone, so a rerun gives the same table.
+
+    `rebalance` costs a shuffle and gives files of the advisory size, which input of very many small files needs.
+    """
     dated = df.withColumn("dt", F.lit(dt))
+    dated = dated.hint("rebalance") if rebalance else dated
     writer = dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy("dt").parquet(path)

@@ -94,6 +94,27 @@ class CatalogTable:
         found = self.read([bucket])
         return None if found is None else found.filter(F.col(KEY) == video_id)
 
+    def page(self, limit: int, last_key: str | None = None) -> tuple[DataFrame, str | None]:
+        """The next `limit` rows after `last_key` and the key to go on from, None at the end.
+
+        The order is the table's own, bucket by bucket, so a page reads one or two buckets and not the table.
+        """
+        state = self.state()
+        if state.schema is None:
+            raise ValueError("nothing is committed yet")
+        first = -1
+        if last_key is not None:
+            first = self.spark.range(1).select(bucket_of(F.lit(last_key), self.buckets)).first()[0]
+        rows: list = []
+        for bucket in sorted(b for b in state.held if b >= first):
+            held = self.read([bucket], state)
+            held = held.filter(F.col(KEY) > last_key) if bucket == first else held
+            rows += held.orderBy(KEY).limit(limit - len(rows)).collect()
+            if len(rows) == limit:
+                break
+        page = self.spark.createDataFrame(rows, state.schema)
+        return page, rows[-1][KEY] if len(rows) == limit else None
+
     def touched(self, changes: DataFrame) -> tuple[list[int], bool]:
         """Buckets that hold the changes' keys, at most `buckets` numbers, and whether the changes are few."""
         size = F.octet_length(F.to_json(F.struct("*")))

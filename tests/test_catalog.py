@@ -257,3 +257,15 @@ def test_few_changes_leave_the_table_in_place(spark, folder):
         plan = kept._jdf.queryExecution().executedPlan().toString()
         scan = plan.index("FileScan parquet")
         assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan[:scan]
+
+
+def test_stored_pages_follow_each_other(spark, folder):
+    stored = CatalogTable(spark, folder, buckets=4)
+    stored.commit(table(spark, [(f"v{i}", "s", None) for i in range(50)]))
+    seen, last = [], None
+    while True:
+        page, last = stored.page(15, last)
+        seen += [r.video_id for r in page.collect()]
+        if last is None:
+            break
+    assert len(seen) == 50 and set(seen) == {f"v{i}" for i in range(50)}

@@ -2,7 +2,6 @@
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from mediacat.operators import search as os_
 from mediacat.operators.search import Search
