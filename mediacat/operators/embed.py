@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 BatchFunction = Callable[[pd.DataFrame], Sequence[object]]
+SPLIT_BYTES = 128 << 20  # size of an input split
 GENERATE_KINDS = ("summary", "chapter", "highlight")
 
 
@@ -30,6 +31,17 @@ def _isolate(fn: BatchFunction, rows: pd.DataFrame) -> list[tuple[object, str |
     return [_isolate(fn, rows.iloc[i : i + 1])[0] for i in range(len(rows))]
 
 
+def _tasks_wanted(df: DataFrame) -> int:
+    """Number of tasks to spread the input over, 0 to leave it as it is read.
+
+    A model is slow, so small input is dealt out to all cores. Large input has splits enough and is not moved.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    estimated = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return cores if estimated < cores * SPLIT_BYTES else 0
+
+
 def _run(
     df: DataFrame,
     fn: BatchFunction,
@@ -40,7 +52,7 @@ def _run(
     batch_rows: int,
     tasks: int | None,
 ) -> DataFrame:
-    """Rows are spread evenly over `tasks` where given, so that no key or input file decides how long the job takes."""
+    """Run `fn` over batches of rows; input too small to give every core a part is spread first."""
     fields = [df.schema[k] for k in keys]
     schema = T.StructType([*fields, T.StructField(name, kind), T.StructField("error", T.StringType())])
 
@@ -54,6 +66,7 @@ def _run(
                 out["error"] = pd.Series([e for _, e in results], dtype=object)
                 yield out
 
+    tasks = _tasks_wanted(df) if tasks is None else tasks
     return (df.repartition(tasks) if tasks else df).mapInPandas(run, schema)
 
 
