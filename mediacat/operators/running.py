@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mediacat.session import shared_dir
+from mediacat.session import run_dir
 
 
 def running_totals(
@@ -22,15 +22,17 @@ def running_totals(
     The sums over the whole group come along as `{name}_total`, the smallest values of the `mins` columns under their names.
     `order` must be unique within a group. Rows are cut into ranges of (group, order), so a group of any size is spread over
     many tasks; each range then needs only the sums of the ranges before it, one row per range and group.
-    The ranges come from a sample, so the cut rows are checkpointed: a recomputed range could
+    The ranges come from a sample, so the cut rows are written to the shared folder first: a recomputed range could
     differ from the one its offset was computed for.
     """
-    shared_dir(df.sparkSession)
+    spark, folder = df.sparkSession, run_dir(df.sparkSession, "running")
     mins = mins or {}
     inputs = {f"_in_{name}": value for name, value in {**totals, **mins}.items()}
     cut = df.withColumns(inputs).repartitionByRange(*group, *order)
     # one struct as key: nulls in it are equal, and the window below and the join share one shuffle
-    cut = cut.withColumn("_piece", F.struct(F.spark_partition_id().alias("range"), *group)).checkpoint()
+    cut = cut.withColumn("_piece", F.struct(F.spark_partition_id().alias("range"), *group))
+    cut.write.parquet(folder)
+    cut = spark.read.schema(cut.schema).parquet(folder)
 
     parts = [F.sum(f"_in_{name}").alias(f"_sum_{name}") for name in totals]
     parts += [F.min(f"_in_{name}").alias(f"_min_{name}") for name in mins]

@@ -113,15 +113,12 @@ def query_blocks(queries: DataFrame, max_bytes: int = MAX_BLOCK_BYTES) -> Iterat
     if size["low"] != size["high"] or size["low"] < 1 or size["nulls"]:
         raise ValueError("query vectors must have one length")
     per_block = max(1, max_bytes // (8 * size["high"]))
-    # cut by hash with head room; a block that still came out too large is an error and not a crash
-    count = 1 if size["rows"] <= per_block else -(-2 * size["rows"] // per_block)
-    for part in range(count):
-        inside = F.pmod(F.xxhash64("query_id"), F.lit(count)) == part
-        rows = queries.filter(inside).limit(per_block + 1).collect()
-        if len(rows) > per_block:
-            raise ValueError("query block over its size bound")
-        if rows:
-            yield _block(rows)
+    last = None
+    for _ in range(0, size["rows"], per_block):
+        rest = queries if last is None else queries.filter(F.col("query_id") > F.lit(last))
+        rows = rest.orderBy("query_id").limit(per_block).collect()
+        yield _block(rows)
+        last = rows[-1]["query_id"]
 
 
 def usable_vectors(vectors: DataFrame, dim: int) -> DataFrame:
