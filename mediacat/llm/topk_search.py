@@ -27,7 +27,7 @@ LONG_MAX = np.iinfo(np.int64).max
 
 def _matrix(column: pa.ChunkedArray, size: int) -> np.ndarray:
     values = column.combine_chunks()
-    return values.flatten().to_numpy(zero_copy_only=False).reshape(-1, size) if len(values) else np.zeros((0, size))
+    return values.flatten().to_numpy(zero_copy_only=False).reshape(len(values), size)
 
 
 def statistics(rows: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -57,7 +57,7 @@ def cell_top(rows: np.ndarray, row_ids: np.ndarray, queries: np.ndarray, query_i
     most = np.abs(rows).max(initial=0) * np.abs(queries).max(initial=0) * size
     safe = most < 2.0**52  # doubles hold all sums exactly
     levels = []
-    if most < 2.0**40:
+    if most < 2.0**40 and size:
         for segments in SEGMENTS:
             weights, mean, spread = statistics(rows, segments)
             _, query_mean, query_spread = statistics(queries, segments)
