@@ -13,14 +13,14 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mediacat.llm.common import held_out, slices, text_bytes
 
 ORDER = 4
 SAMPLE_DOCS = 600
-"""Documents per language that the models and the rejection bound are fitted on, in the order of a hash of their ids."""
+"""Documents per language that the models and the rejection bound are fitted on, chosen by a hash of their ids."""
 SAMPLE_CHARS = 20_000
 """Longer documents are not taken into the sample; every text is scored whole."""
 MAX_LANGUAGES = 256
@@ -178,24 +178,26 @@ def fit(samples: dict[str, list[str]]) -> dict | None:
 
 
 def train(docs: DataFrame) -> dict | None:
-    """Fit on a bounded sample of the documents with a language that are not held out."""
-    known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
-    short = known.where(F.length("text").between(1, SAMPLE_CHARS))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (
-        short.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"))
-        .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= SAMPLE_DOCS).select("doc_id", F.col("lang").alias("lang_")).distinct()
-    )
-    if chosen.select("lang_").distinct().limit(MAX_LANGUAGES + 1).count() > MAX_LANGUAGES:
+    """Fit on a bounded sample of the documents with a language that are not held out.
+
+    A document is taken if the hash of its id lies in the share that leaves `SAMPLE_DOCS` of its language, so the only thing
+    that is gathered by language is a count.
+    """
+    parts = 1 << 20
+    known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out() & F.length("text").between(1, SAMPLE_CHARS))
+    known = known.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text")
+    counts = known.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()
+    if len(counts) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    rows = (
-        short.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text")
-        .join(F.broadcast(chosen), "doc_id")  # at most SAMPLE_DOCS x MAX_LANGUAGES ids
-        .where("lang = lang_").select("doc_id", "lang", "text").collect()
-    )
+    if not counts:
+        return None
+    share = F.create_map(*(F.lit(x) for r in counts for x in (r["lang"], min(parts, -(-parts * SAMPLE_DOCS // r["count"])))))
+    rows = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(parts)) < share[F.col("lang")]).collect()
     samples: dict[str, list[str]] = {}
     for row in sorted(rows, key=lambda r: (r["lang"], r["doc_id"], r["text"])):
-        samples.setdefault(row["lang"], []).append(row["text"])
+        held = samples.setdefault(row["lang"], [])
+        if len(held) < 2 * SAMPLE_DOCS:
+            held.append(row["text"])
     return fit(samples)
 
 
