@@ -18,7 +18,6 @@ from pyspark.sql import types as T
 
 from mediacat.functions.metadata import iso_text
 from mediacat.operators.joins import spread_join
-from mediacat.schemas import EMBED_ROWS_PER_RUN, STATUS_LIMIT
 
 KEY = "video_id"
 
@@ -262,15 +261,23 @@ def persist_lifecycle(target: DataFrame, records: DataFrame, seq: str) -> DataFr
     return upsert_replace(target, lifecycle_rows(records)[0], seq)
 
 
-def pending_embedding(catalog: DataFrame, limit: int | None = EMBED_ROWS_PER_RUN) -> DataFrame:
-    """The oldest videos that are ready and wait for an embedding; all of them with limit=None."""
-    waiting = catalog.filter((F.col("status") == "ready") & (F.col("embedding_status") == "pending"))
-    return waiting if limit is None else waiting.orderBy("created_at", KEY).limit(limit)
+def oldest(rows: DataFrame, limit: int | None = None, after: tuple[object, str] | None = None) -> DataFrame:
+    """Rows in the order of (created_at, video_id), rows without a time first: all, or `limit` after the key `after`."""
+    if after is not None:
+        at, key = F.lit(after[0]), F.lit(after[1])
+        later = (F.col("created_at") > at) | (F.col("created_at").eqNullSafe(at) & (F.col(KEY) > key))
+        rows = rows.filter(F.col("created_at").isNotNull() | (F.col(KEY) > key) if after[0] is None else later)
+    return rows if limit is None else rows.orderBy(F.col("created_at").asc_nulls_first(), KEY).limit(limit)
 
 
-def by_status(catalog: DataFrame, status: str, limit: int = STATUS_LIMIT) -> DataFrame:
-    """The oldest videos with a status."""
-    return catalog.filter(F.col("status") == status).orderBy("created_at", KEY).limit(limit)
+def pending_embedding(catalog: DataFrame, limit: int | None = None, after: tuple[object, str] | None = None) -> DataFrame:
+    """The videos that are ready and wait for an embedding: all, or the oldest `limit` after (created_at, video_id)."""
+    return oldest(catalog.filter((F.col("status") == "ready") & (F.col("embedding_status") == "pending")), limit, after)
+
+
+def by_status(catalog: DataFrame, status: str, limit: int | None = None, after: tuple[object, str] | None = None) -> DataFrame:
+    """The videos with a status: all, or the oldest `limit` after (created_at, video_id)."""
+    return oldest(catalog.filter(F.col("status") == status), limit, after)
 
 
 def vector_path(video_id: Column) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -13,8 +14,10 @@ SPLIT_BYTES = 128 << 20  # size of an input split
 GENERATE_KINDS = ("summary", "chapter", "highlight")
 
 
-def _isolate(fn: BatchFunction, rows: pd.DataFrame) -> list[tuple[object, str | None]]:
-    """(result, error) per row. A batch that fails is tried again row by row, to find the rows at fault.
+def _isolate(fn: BatchFunction, rows: pd.DataFrame, render: Callable[[object], object]) -> list[tuple[object, str | None]]:
+    """(rendered result, error) per row. A batch that fails is halved and tried again, to find the rows at fault.
+
+    A result that cannot be rendered is its row's own error.
 
     Only exceptions of the function count; a worker that dies fails the task, which Spark then repeats.
     """
@@ -22,13 +25,31 @@ def _isolate(fn: BatchFunction, rows: pd.DataFrame) -> list[tuple[object, str |
         results = list(fn(rows))
         if len(results) != len(rows):
             raise ValueError(f"{len(results)} results for {len(rows)} rows")
-        return [(r, None) for r in results]
+        return [_rendered(r, render) for r in results]
     except MemoryError:
         raise
     except Exception as exc:  # noqa: BLE001 - the error is data here
         if len(rows) == 1:
             return [(None, str(exc) or type(exc).__name__)]
-    return [_isolate(fn, rows.iloc[i : i + 1])[0] for i in range(len(rows))]
+    half = len(rows) // 2
+    return _isolate(fn, rows.iloc[:half], render) + _isolate(fn, rows.iloc[half:], render)
+
+
+def _rendered(result: object, render: Callable[[object], object]) -> tuple[object, str | None]:
+    try:
+        return (None if result is None else render(result)), None
+    except Exception as exc:  # noqa: BLE001 - the error is data here
+        return None, str(exc) or type(exc).__name__
+
+
+def _floats(vector: object) -> np.ndarray:
+    """A flat vector of 32-bit floats; anything else raises."""
+    if not isinstance(vector, np.ndarray) and any(x is None for x in vector):
+        raise ValueError("a vector holds a null")
+    values = np.asarray(vector, dtype=np.float32)
+    if values.ndim != 1:
+        raise ValueError(f"a vector has one dimension, not {values.ndim}")
+    return values
 
 
 def _tasks_wanted(df: DataFrame) -> int:
@@ -60,9 +81,9 @@ def _run(
         for batch in batches:
             for start in range(0, len(batch), batch_rows):
                 rows = batch.iloc[start : start + batch_rows]
-                results = _isolate(fn, rows)
+                results = _isolate(fn, rows, render)
                 out = rows[list(keys)].reset_index(drop=True)
-                out[name] = pd.Series([None if e is not None or r is None else render(r) for r, e in results], dtype=object)
+                out[name] = pd.Series([r for r, _ in results], dtype=object)
                 out["error"] = pd.Series([e for _, e in results], dtype=object)
                 yield out
 
@@ -80,7 +101,7 @@ def embed(
     """(keys, embedding, error): `fn` maps a batch of rows to one vector per row. Its result must depend on the row only,
     since Spark may run a task twice. A null vector without an error means that the model had none."""
     floats = T.ArrayType(T.FloatType())
-    return _run(df, fn, keys, "embedding", floats, lambda v: [float(x) for x in v], batch_rows, tasks)
+    return _run(df, fn, keys, "embedding", floats, _floats, batch_rows, tasks)
 
 
 def generate(

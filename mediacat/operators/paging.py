@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 
 from mediacat.operators.catalog import KEY
 from mediacat.operators.running import row_positions
-from mediacat.schemas import LIST_LIMIT, LIST_LIMIT_MAX, PAGE_SIZE
+from mediacat.schemas import LIST_LIMIT, PAGE_SIZE
 
 # A page that ends within this many rows is found by a bounded top-n; deeper pages rank the table.
 SHALLOW_ROWS = 10_000
 
 
 def clamp_limit(value: object, default: int, maximum: int) -> int:
-    """Requested limit, or the default when it is not an integer in 1..maximum."""
+    """For requests from outside: the limit, or the default when it is not an integer in 1..maximum. Operators take limits as they are."""
     if value is None or not re.fullmatch(r"[+-]?[0-9]+", str(value)):
         return default
     return int(value) if 0 < int(value) <= maximum else default
@@ -29,15 +29,21 @@ def get_video(catalog: DataFrame, video_id: str, index_id: str | None = None) ->
     return found if index_id is None else found.filter(F.col("index_id") == index_id)
 
 
-def list_videos(catalog: DataFrame, limit: object = None, last_key: str | None = None) -> DataFrame:
-    """The page after `last_key` in key order."""
+def whole_limit(limit: int) -> int:
+    if not isinstance(limit, int) or limit < 1:
+        raise ValueError(f"a limit is a whole number from 1: {limit!r}")
+    return limit
+
+
+def list_videos(catalog: DataFrame, limit: int = LIST_LIMIT, last_key: str | None = None) -> DataFrame:
+    """The page of `limit` videos after `last_key` in key order."""
     rows = catalog if not last_key else catalog.filter(F.col(KEY) > last_key)
-    return rows.orderBy(KEY).limit(clamp_limit(limit, LIST_LIMIT, LIST_LIMIT_MAX))
+    return rows.orderBy(KEY).limit(whole_limit(limit))
 
 
-def page_info(page: DataFrame, limit: object = None) -> DataFrame:
+def page_info(page: DataFrame, limit: int = LIST_LIMIT) -> DataFrame:
     """One row with the page's row count and the key to continue after, null on a page that is not full."""
-    full = clamp_limit(limit, LIST_LIMIT, LIST_LIMIT_MAX)
+    full = whole_limit(limit)
     counted = page.agg(F.count(F.lit(1)).alias("count"), F.max(KEY).alias("last"))
     return counted.select("count", F.when(F.col("count") == full, F.col("last")).alias("last_evaluated_key"))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,9 +20,15 @@ def status_profile(batch: DataFrame, *by: str) -> DataFrame:
     )
 
 
-def latency_quantiles(batch: DataFrame, *by: str, accuracy: int = 10_000) -> DataFrame:
-    """Median, 90th and 99th percentile of the indexing latency. Ranks are off by at most 1/accuracy."""
-    p50, p90, p99 = [F.percentile_approx("indexing_latency_sec", F.lit(q), F.lit(accuracy)) for q in (0.5, 0.9, 0.99)]
+def latency_quantiles(batch: DataFrame, *by: str) -> DataFrame:
+    """Median, 90th and 99th percentile of the indexing latency: the smallest latency that this share of the rows does not exceed.
+
+    Exact. The partial aggregates hold counts per distinct latency, in whole seconds, not the rows.
+    """
+    kind = batch.schema["indexing_latency_sec"].dataType
+    p50, p90, p99 = [
+        F.expr(f"percentile_disc({q}) WITHIN GROUP (ORDER BY indexing_latency_sec)").cast(kind) for q in (0.5, 0.9, 0.99)
+    ]
     known = batch.filter(F.col("indexing_latency_sec").isNotNull())
     return known.groupBy(*by).agg(
         F.count(F.lit(1)).alias("videos"), p50.alias("p50_sec"), p90.alias("p90_sec"), p99.alias("p99_sec")
@@ -52,9 +59,18 @@ def run_metrics(summary: DataFrame, run_id: str) -> DataFrame:
     return summary.select(F.lit(run_id).alias("run_id"), metrics)
 
 
+def _has_run(summary: DataFrame, run_id: str, path: str) -> bool:
+    try:
+        return not summary.sparkSession.read.parquet(path).filter(F.col("run_id") == run_id).isEmpty()
+    except AnalysisException:  # nothing is stored yet
+        return False
+
+
 def append_run_metrics(summary: DataFrame, run_id: str, path: str) -> bool:
-    """Append the metric rows. A failure is not fatal to the run: it returns False."""
+    """Append the metric rows, once for each run id. A failure is not fatal to the run: it returns False."""
     try:
+        if _has_run(summary, run_id, path):
+            return True
         run_metrics(summary, run_id).coalesce(1).write.mode("append").parquet(path)
     except Exception:  # noqa: BLE001 - metrics must not stop the run that they describe
         return False

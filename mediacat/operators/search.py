@@ -20,8 +20,8 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from mediacat.operators.joins import spread_join
-from mediacat.operators.paging import clamp_limit
-from mediacat.schemas import DEFAULT_MODALITIES, SEARCH_LIMIT, SEARCH_LIMIT_MAX
+from mediacat.operators.paging import whole_limit
+from mediacat.schemas import DEFAULT_MODALITIES, SEARCH_LIMIT
 
 # The query block is shipped to every task, so its size is checked; more queries are searched block after block.
 MAX_BLOCK_BYTES = 32 << 20
@@ -38,7 +38,7 @@ THRESHOLDS = {"low": 0.0, "medium": 0.15, "high": 0.30}
 class Search:
     """Options of a search."""
 
-    limit: object = None
+    limit: int | None = None
     group_by: str = "clip"
     threshold: str | None = "medium"
     modalities: Sequence[str] | None = DEFAULT_MODALITIES
@@ -53,7 +53,7 @@ class Search:
 
     @property
     def rows(self) -> int:
-        return clamp_limit(self.limit, SEARCH_LIMIT, SEARCH_LIMIT_MAX)
+        return SEARCH_LIMIT if self.limit is None else whole_limit(self.limit)
 
     @property
     def floor(self) -> float:

@@ -10,6 +10,7 @@ from mediacat.operators import paging
 from mediacat.plans import views
 from mediacat.plans.registry import query
 from mediacat.plans.views import time_text, with_views
+from mediacat.schemas import LIST_LIMIT, LIST_LIMIT_MAX
 from mediacat.session import run_dir
 from mediacat.sources.snapshots import CatalogTable, put
 
@@ -155,7 +156,7 @@ def get_video(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("Q2", sql=with_views(f"SELECT {_CATALOG} FROM catalog WHERE video_id > 'v1' ORDER BY video_id LIMIT 20", "catalog"))
 def list_videos_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The default page size, since 500 is out of range."""
-    return _shown(paging.list_videos(views.catalog(spark, sf_dir), 500, "v1"))
+    return _shown(paging.list_videos(views.catalog(spark, sf_dir), paging.clamp_limit(500, LIST_LIMIT, LIST_LIMIT_MAX), "v1"))
 
 
 @query(
@@ -209,7 +210,7 @@ def get_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "Q4",
     sql=with_views(
-        f"SELECT {_CATALOG} FROM (SELECT * FROM catalog WHERE status = 'failed' ORDER BY created_at, video_id LIMIT 100)",
+        f"SELECT {_CATALOG} FROM (SELECT * FROM catalog WHERE status = 'failed')",
         "catalog",
     ),
 )
@@ -220,8 +221,7 @@ def get_by_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "Q5",
     sql=with_views(
-        f"""SELECT {_CATALOG} FROM (SELECT * FROM catalog WHERE status = 'ready' AND embedding_status = 'pending'
-        ORDER BY created_at, video_id LIMIT 200)""",
+        f"""SELECT {_CATALOG} FROM (SELECT * FROM catalog WHERE status = 'ready' AND embedding_status = 'pending')""",
         "catalog",
     ),
 )
@@ -229,6 +229,21 @@ def pending_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(oc.pending_embedding(views.catalog(spark, sf_dir)))
 
 
+@query(
+    "Q4",
+    sql=with_views(
+        f"""SELECT {_CATALOG} FROM (SELECT * FROM catalog WHERE status = 'failed'
+        ORDER BY created_at, video_id LIMIT 50 OFFSET 30)""",
+        "catalog",
+    ),
+)
+def next_by_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The page of 50 after the first 30 failed videos, continued by key."""
+    catalog = views.catalog(spark, sf_dir)
+    last = oc.by_status(catalog, "failed", 30).orderBy(F.desc("created_at"), F.desc(oc.KEY)).first()
+    return _shown(oc.by_status(catalog, "failed", 50, (last["created_at"], last[oc.KEY])))
+
+
 def _task_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.raw_metadata(spark, sf_dir).withColumn("task_id", F.concat(F.lit("task-"), "s3_key"))
 

@@ -2,17 +2,28 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mediacat.operators import catalog as oc
 from mediacat.operators.embed import BatchFunction, embed
 from mediacat.operators.reports import append_run_metrics
-from mediacat.schemas import EMBED_ROWS_PER_RUN
 from mediacat.sources.snapshots import CatalogTable
 from mediacat.sources.vectors import write_vectors
 
 
+def _once(spark: SparkSession, path: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """What is stored at `path`, or else what `make` gives, stored there first. Files of a job that died are replaced."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:  # nothing there, or no finished files
+        make().write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+
+
 def run(
     spark: SparkSession,
     table: CatalogTable,
@@ -22,21 +33,19 @@ def run(
     run_id: str,
     model: str,
     now: Column | None = None,
-    limit: int | None = EMBED_ROWS_PER_RUN,
+    limit: int | None = None,
 ) -> DataFrame:
-    """Embed up to `limit` waiting videos (None: all) whose input rows are in `content` by `video_id`; returns the summary.
+    """Embed the oldest `limit` waiting videos (None: all) whose input rows are in `content` by `video_id`; returns the summary.
 
-    The model's output is written first and read back, so that nothing after it calls the model again.
+    A run can be repeated under its id: the videos that it picked and the model's output are stored before anything follows from
+    them and are used again, so its vectors, catalogue changes and metrics are the same and count once.
     """
     now = F.current_timestamp() if now is None else now
-    waiting = oc.pending_embedding(table.read(), limit).select(oc.KEY)
-    embedded = embed(content.join(waiting, oc.KEY, "left_semi"), fn, (oc.KEY,))
-    output = f"{folder}/model_output/run={run_id}"
-    embedded.write.mode("overwrite").parquet(output)
-    stored = spark.read.parquet(output)
+    picked = _once(spark, f"{folder}/picked/run={run_id}", lambda: oc.pending_embedding(table.read(), limit).select(oc.KEY))
+    stored = _once(spark, f"{folder}/model_output/run={run_id}", lambda: embed(content.join(picked, oc.KEY, "left_semi"), fn, (oc.KEY,)))
     write_vectors(stored, f"{folder}/vectors/run={run_id}", model, mode="overwrite")
     results = oc.embedding_result_rows(stored, model)
-    done = f"embedding:{run_id}"  # a repeated run changes nothing
+    done = f"embedding:{run_id}"  # the table skips a repeated run
     table.apply(results, lambda current, new, few: oc.embedding_parts(current, new, now, few=few), done, 0)
     summary = oc.embedding_summary(results)
     append_run_metrics(summary, run_id, f"{folder}/run_metrics")

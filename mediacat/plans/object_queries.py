@@ -345,13 +345,13 @@ def manifest_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     "K7", "S6", "Q6",
     sql=with_views(
         """SELECT s3_key, trim(video_id) AS video_id, size_bytes, strftime(last_modified, '%Y-%m-%dT%H:%M:%S') || '+00:00'
-        AS last_modified FROM checked WHERE len(errors) = 0 AND index_id = 'idx_0' ORDER BY s3_key LIMIT 50""",
+        AS last_modified FROM checked WHERE len(errors) = 0 AND index_id = 'idx_0'""",
         "objects",
         ctes=_RULES,
     ),
 )
 def oldest_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One manifest per index is written; the one written first is read, up to the rows of one run."""
+    """One manifest per index is written; the one written first is read."""
     folder = run_dir(spark, "manifests")
     valid, _ = validate(views.objects(spark, sf_dir), now=_now())
     for index in ("idx_0", "idx_1", "idx_2", "idx_3"):

@@ -29,13 +29,10 @@ SUCCESS_STATUSES = ("embedded", "indexed")
 BYTES_PER_MB = 1_048_576
 SIZE_TOLERANCE_MB = 0.1
 DEFAULT_SOURCE = "s3-ingest"
-MANIFEST_ROWS_PER_RUN = 50
-EMBED_ROWS_PER_RUN = 200
 INDEX_DEADLINE_SEC = 1200
 SEARCH_LIMIT, SEARCH_LIMIT_MAX = 10, 50
 LIST_LIMIT, LIST_LIMIT_MAX = 20, 100
 PAGE_SIZE = 50
-STATUS_LIMIT = 100
 MODALITIES = ("visual", "conversation", "text_in_video", "logo")
 DEFAULT_MODALITIES = ("visual", "conversation")
 

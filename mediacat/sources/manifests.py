@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mediacat.functions.metadata import compact
-from mediacat.schemas import MANIFEST_ROWS_PER_RUN, VIDEO
+from mediacat.schemas import VIDEO
 
 # A manifest record is a catalogue record, with times as text and an optional signed address.
 MANIFEST = T.StructType(
@@ -68,8 +68,8 @@ def read_manifest(
     return rows if limit is None else rows.orderBy("position").limit(limit)
 
 
-def read_manifests(spark: SparkSession, folder: str, limit: int = MANIFEST_ROWS_PER_RUN) -> DataFrame:
-    """The first records of the oldest manifest; no rows when there is no manifest."""
+def read_manifests(spark: SparkSession, folder: str, limit: int | None = None) -> DataFrame:
+    """The records of the oldest manifest, with `limit` the first ones; no rows when there is no manifest."""
     found = oldest_manifest(spark, folder)
     if found is None:
         return spark.createDataFrame([], MANIFEST)

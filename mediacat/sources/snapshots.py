@@ -26,7 +26,7 @@ FEW_CHANGES, FEW_BYTES = 100_000, 64 << 20
 # (current rows, changes, whether they are few) to (rows from the table, rows new in it)
 Change = Callable[[DataFrame, DataFrame, bool], tuple[DataFrame, DataFrame]]
 
-LOG = "version long, schema string, held map<string,string>, batches map<string,long>"
+LOG = "version long, schema string, buckets int, held map<string,string>, batches map<string,long>"
 
 
 def bucket_of(key: Column, buckets: int) -> Column:
@@ -39,12 +39,16 @@ class State:
 
     version: int = 0
     schema: T.StructType | None = None
+    buckets: int | None = None
     held: dict[int, str] = field(default_factory=dict)
     batches: dict[str, int] = field(default_factory=dict)
 
 
 class CatalogTable:
-    """A table keyed by `video_id`, stored in a fixed number of hash buckets."""
+    """A table keyed by `video_id`, stored in a fixed number of hash buckets.
+
+    `buckets` counts for a new table only; the number that a table was written with is stored in it.
+    """
 
     def __init__(self, spark: SparkSession, path: str, buckets: int = 64) -> None:
         self.spark = spark
@@ -68,7 +72,8 @@ class CatalogTable:
             return State()
         row = self.spark.read.schema(LOG).json(f"{self.path}/log/version={newest}").first()
         held = {int(bucket): folder for bucket, folder in row["held"].items()}
-        return State(row["version"], T.StructType.fromJson(json.loads(row["schema"])), held, dict(row["batches"]))
+        self.buckets = row["buckets"] or self.buckets
+        return State(row["version"], T.StructType.fromJson(json.loads(row["schema"])), self.buckets, held, dict(row["batches"]))
 
     def version(self) -> int:
         """Newest visible version, 0 before the first commit."""
@@ -90,8 +95,9 @@ class CatalogTable:
 
     def get(self, video_id: str) -> DataFrame | None:
         """The row of one video, reading its bucket only."""
+        state = self.state()
         bucket = self.spark.range(1).select(bucket_of(F.lit(video_id), self.buckets)).first()[0]
-        found = self.read([bucket])
+        found = self.read([bucket], state)
         return None if found is None else found.filter(F.col(KEY) == video_id)
 
     def page(self, limit: int, last_key: str | None = None) -> tuple[DataFrame, str | None]:
@@ -147,11 +153,16 @@ class CatalogTable:
             stored = in_place.withColumn("bucket", bucket).unionByName(stored)
         stored.write.partitionBy("bucket").parquet(f"{self.path}/{folder}")
         filled = [r["n"] for r in self._numbers(folder, "bucket").distinct().collect() if r["n"] is not None]
+        if only is not None and not set(filled) <= set(only):
+            raise ValueError(f"the new rows belong to other buckets than the changes: {sorted(set(filled) - set(only))[:10]}")
         kept = {} if only is None else {b: v for b, v in state.held.items() if b not in only}
         held = {str(b): v for b, v in {**kept, **dict.fromkeys(filled, folder)}.items()}
         batches = state.batches if writer is None else {**state.batches, writer: batch_id}
-        entry = self.spark.createDataFrame([(version, rows.schema.json(), held, batches)], LOG)
-        entry.coalesce(1).write.json(f"{self.path}/log/version={version}")
+        if self.version() >= version:
+            raise RuntimeError(f"version {version} already exists")
+        entry = self.spark.createDataFrame([(version, rows.schema.json(), self.buckets, held, batches)], LOG)
+        # no finished entry is there: what is left of a writer that died is replaced
+        entry.coalesce(1).write.mode("overwrite").json(f"{self.path}/log/version={version}")
         return version
 
     def apply(self, changes: DataFrame, change: Change, writer: str | None = None, batch_id: int = 0) -> int | None:
@@ -166,6 +177,10 @@ class CatalogTable:
             raise ValueError("commit a first version before applying changes")
         if writer is not None and batch_id <= state.batches.get(writer, -1):
             return None
+        # evaluated once: what the buckets are chosen by is what is applied
+        changes_path = f"{self.path}/changes/{uuid.uuid4().hex}"
+        changes.write.parquet(changes_path)
+        changes = self.spark.read.schema(changes.schema).parquet(changes_path)
         only, few = self.touched(changes)
         if not only:
             return None
@@ -182,6 +197,7 @@ def put(seq: str, guard: bool = False) -> Change:
 
 def upsert_batch(table: CatalogTable, updates: DataFrame, seq: str, guard: bool = False) -> dict[str, int]:
     """Upsert whole rows into the table; returns the counts success, skipped, failed and total."""
+    table.state()
     usable, _ = split_blank_keys(updates)
     only, _ = table.touched(usable)
     counts = upsert_summary(upsert_outcomes(table.read(only), updates, seq, guard)).first()

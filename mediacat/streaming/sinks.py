@@ -24,14 +24,18 @@ def upsert_stream(
 ) -> StreamingQuery:
     """Apply each micro-batch of changes to the table. The table remembers the batch ids, so a replay changes nothing.
 
+    Batch ids count from 0 for every new checkpoint, so they are remembered by writer and by the id that the stream keeps in
+    its checkpoint.
+
     `prepare` turns a micro-batch into changes with batch operators, such as joins with static tables.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
+        stream = table.spark.read.text(f"{checkpoint}/metadata").select(F.get_json_object("value", "$.id")).first()[0]
         ready = prepare(batch).persist()
         try:
             if not ready.isEmpty():
-                table.apply(ready, change, writer, batch_id)
+                table.apply(ready, change, f"{writer}:{stream}", batch_id)
         finally:
             ready.unpersist()
 

@@ -210,6 +210,63 @@ def test_second_writer_of_a_version_fails(spark, folder):
     assert stored.version() == 1 and found(stored.read()) == [("a", "s", None)]
 
 
+def test_bucket_number_is_the_tables_own(spark, folder):
+    CatalogTable(spark, folder, buckets=8).commit(table(spark, [(f"v{i}", "s", None) for i in range(20)]))
+    opened = CatalogTable(spark, folder)
+    assert opened.get("v1").count() == 1
+    opened.apply(table(spark, [(f"v{i}", "t", None, 1) for i in range(20)], UPDATES), replace)
+    assert opened.read().count() == 20 and {r.status for r in opened.read().collect()} == {"t"}
+
+
+def test_log_entry_of_a_dead_writer_is_replaced(spark, folder):
+    import os
+
+    stored = CatalogTable(spark, folder, buckets=2)
+    stored.commit(table(spark, [("a", "s", None)]))
+    os.makedirs(f"{folder}/log/version=2/_temporary/0")
+    assert stored.version() == 1
+    stored.commit(table(spark, [("b", "s", None)]))
+    assert stored.version() == 2 and found(stored.read()) == [("b", "s", None)]
+
+
+def test_rows_for_other_buckets_are_refused(spark, folder):
+    stored = CatalogTable(spark, folder, buckets=8)
+    stored.commit(table(spark, [(f"v{i}", "s", None) for i in range(45)]))
+    other = table(spark, [(f"w{i}", "s", None) for i in range(40)])
+    with pytest.raises(ValueError, match="other buckets"):
+        stored.apply(table(spark, [("v1", "s", None, 1)], UPDATES), lambda current, new, few: (current, other))
+    assert stored.version() == 1 and stored.read().count() == 45
+
+
+def test_changes_that_differ_each_time_are_evaluated_once(spark, folder):
+    stored = CatalogTable(spark, folder, buckets=16)
+    stored.commit(table(spark, [(f"v{i}", "s", None) for i in range(40)]))
+    changes = spark.range(5).select(
+        F.concat(F.lit("x"), (F.rand() * 1e9).cast("long")).alias("video_id"), F.lit("n").alias("status"), F.lit(None).cast("string").alias("note"),
+        F.lit(1).cast("long").alias("seq"),
+    )
+    stored.apply(changes, replace)
+    assert stored.read().count() == 45
+
+
+def test_statuses_are_read_whole_or_page_by_page(spark):
+    rows = [(f"v{i:03}", "failed", None if i % 7 == 0 else i // 3) for i in range(250)] + [("z", "ready", 1)]
+    df = spark.createDataFrame(rows, "video_id string, status string, at long").select("video_id", "status", F.timestamp_seconds("at").alias("created_at"))
+    assert oc.by_status(df, "failed").count() == 250
+    seen, after = [], None
+    while page := oc.by_status(df, "failed", 60, after).collect():
+        seen += [r.video_id for r in page]
+        after = (page[-1].created_at, page[-1].video_id)
+    assert len(seen) == 250 and sorted(seen) == sorted(r[0] for r in rows[:250])
+
+
+def test_operators_refuse_limits_that_are_none(spark):
+    df = table(spark, [("a", "s", None)])
+    for limit in (0, -1, "x"):
+        with pytest.raises(ValueError):
+            paging.list_videos(df, limit)
+
+
 def test_emptied_table_is_empty(spark, folder):
     stored = CatalogTable(spark, folder, buckets=2)
     stored.commit(table(spark, [("a", "s", None)]))

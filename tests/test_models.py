@@ -22,6 +22,13 @@ def test_failing_rows_are_isolated(spark):
     assert sum(e is not None for _, e in got.values()) == 5
 
 
+def test_a_vector_that_is_no_vector_is_its_rows_error(spark):
+    odd = {2: [None], 3: ["x"], 4: 5, 5: [[1.0], [2.0]]}
+    got = {r.video_id: (r.embedding, r.error) for r in embed(rows(spark, 8), lambda b: [odd.get(x, [x, 1]) for x in b["x"]], batch_rows=4).collect()}
+    assert all(got[f"v{i}"][0] is None and got[f"v{i}"][1] for i in odd)
+    assert got["v1"] == ([1.0, 1.0], None) and got["v7"] == ([7.0, 1.0], None)
+
+
 def test_wrong_number_of_results_is_an_error_of_the_batch(spark):
     got = embed(rows(spark, 4), lambda batch: [[1.0]] * (len(batch) + 1)).collect()
     assert {r.error for r in got} == {"2 results for 1 rows"}

@@ -149,11 +149,48 @@ def test_upsert_stream_survives_replay(spark, folder, stored):
     rows = [("a", "new", "n", 1), ("b", "new", "n", 2)]
     changes = spark.createDataFrame(rows, "video_id string, status string, note string, seq long")
     changes.write.parquet(f"{folder}/changes")
-    for checkpoint in ("c1", "c2"):  # a lost checkpoint delivers batch 0 again
+    for checkpoint in ("c1", "c1", "c2"):  # a restart, and a lost checkpoint that delivers everything again
         arriving = spark.readStream.schema(changes.schema).parquet(f"{folder}/changes")
         upsert_stream(arriving, stored, put_rows("seq"), f"{folder}/{checkpoint}", "w").awaitTermination()
-    assert stored.version() == 2
-    assert sorted((r.video_id, r.status) for r in stored.read().collect()) == [("a", "new"), ("b", "new")]
+        assert sorted((r.video_id, r.status) for r in stored.read().collect()) == [("a", "new"), ("b", "new")]
+    batches = stored.state().batches
+    assert len(batches) == 2 and set(batches.values()) == {0}
+    writer = next(iter(batches))
+    assert stored.apply(changes, put_rows("seq"), writer, 0) is None  # a batch that is delivered twice
+
+
+def test_a_new_checkpoint_loses_nothing(spark, folder, stored):
+    for name, key in (("one", "b"), ("two", "c")):
+        changes = spark.createDataFrame([(key, "new", "n", 1)], "video_id string, status string, note string, seq long")
+        changes.write.parquet(f"{folder}/{name}")
+        arriving = spark.readStream.schema(changes.schema).parquet(f"{folder}/{name}")
+        upsert_stream(arriving, stored, put_rows("seq"), f"{folder}/checkpoint-{name}", "w").awaitTermination()
+    assert sorted(r.video_id for r in stored.read().collect()) == ["a", "b", "c"]
+
+
+def test_a_repeated_embedding_run_changes_nothing(spark, folder):
+    from pyspark.sql import functions as F
+
+    from mediacat.plans import embedding
+
+    table = CatalogTable(spark, f"{folder}/catalog", buckets=2)
+    rows = spark.range(6).select(
+        F.concat(F.lit("v"), "id").alias("video_id"), F.lit("ready").alias("status"), F.lit("pending").alias("embedding_status"),
+        F.timestamp_seconds("id").alias("created_at"), *(F.lit(None).cast(k).alias(n) for n, k in
+        (("embedding_s3", "string"), ("embed_error", "string"), ("embed_model", "string"), ("embedded_at", "timestamp"))),
+    )
+    table.commit(rows)
+    content = rows.select("video_id")
+
+    def seen():
+        vectors = sorted(r.video_id for r in spark.read.parquet(f"{folder}/run/vectors/run=r1").collect())
+        done = sorted(r.video_id for r in table.read().filter("embedding_status = 'embedded'").collect())
+        return vectors, done, sorted((r.metric, r.value) for r in spark.read.parquet(f"{folder}/run/run_metrics").collect())
+
+    for _ in range(2):
+        summary = embedding.run(spark, table, content, lambda b: [[1.0]] * len(b), f"{folder}/run", "r1", "m", limit=3).first()
+        assert summary["success"] == 3
+        assert seen() == (["v0", "v1", "v2"], ["v0", "v1", "v2"], [("EmbeddingsFailed", 0), ("EmbeddingsGenerated", 3)])
 
 
 def test_progress_passes_finished_rows_only(spark, folder):
