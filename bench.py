@@ -23,6 +23,7 @@ HEADLINE = (
     "task_status", "task_deadline", "stage_latency", "batch_progress", "batch_summary", "batch_results",
     "search_topk", "search_multi", "search_by_video", "search_filtered", "search_next_page", "parse_hits",
     "embed_text", "generate_text", "write_vector_table",
+    "deep_page", "search_approx", "stream_upsert", "ingestion_run", "embedding_run",
 )
 RUNS = 2
 

@@ -359,6 +359,43 @@ def next_cursor(hits: DataFrame, by: str = "clip_id") -> DataFrame:
     return hits.groupBy("query_id").agg(last).select("query_id", "last.score", f"last.{by}", "last.rank")
 
 
+def _passing_rows(block: QueryBlock, options: Search, query_type: pa.DataType) -> Callable:
+    """Per task and query the number of rows that pass."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(block.ids), np.int64)
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            batch, matrix = batch_matrix(batch)
+            for part, queries in _query_chunks(block, len(matrix)):
+                scores = batch_scores(matrix, queries)
+                for column in np.flatnonzero((scores >= options.floor).any(axis=0)):
+                    q = part.start + column
+                    total[q] += _passing(batch, scores[:, column], q, block, options.floor, None).size
+        found = np.flatnonzero(total)
+        ids = pa.array([block.ids[q] for q in found], query_type)
+        yield pa.RecordBatch.from_arrays([ids, pa.array(total[found])], names=["query_id", "total"])
+
+    return run
+
+
+def count_passing(
+    vectors: DataFrame, queries: DataFrame, options: Search = Search(), allowed: DataFrame | None = None
+) -> DataFrame:
+    """Per query the number of all vectors that pass the threshold, whatever the limit; queries without any are left out."""
+    kind = queries.schema["query_id"].dataType
+    schema = T.StructType([T.StructField("query_id", kind), T.StructField("total", T.LongType())])
+    result = None
+    for block in query_blocks(queries):
+        rows = _candidates(vectors, block, options, allowed).select(*HIT_COLUMNS, "embedding")
+        part = rows.mapInArrow(_passing_rows(block, options, to_arrow_type(kind)), schema)
+        result = part if result is None else result.unionByName(part)
+    if result is None:
+        return vectors.sparkSession.createDataFrame([], schema)
+    return result.groupBy("query_id").agg(F.sum("total").alias("total"))
+
+
 def hit_counts(hits: DataFrame) -> DataFrame:
     """Number of hits per query."""
     return hits.groupBy("query_id").agg(F.count(F.lit(1)).alias("total"))
