@@ -24,7 +24,7 @@ def test_filters_and_columns_reach_the_scan(spark, folder):
     stored = spark.read.parquet(folder)
     text = plan(paging.get_video(stored, "v1").select("status"))
     assert "EqualTo(video_id,v1)" in text and "ReadSchema: struct<video_id:string,status:string>" in text
-    text = plan(oc.pending_embedding(stored))
+    text = plan(oc.pending_embedding(stored, 200))
     assert "EqualTo(status,ready)" in text and "EqualTo(embedding_status,pending)" in text
     assert "TakeOrderedAndProject" in text
 
