@@ -50,10 +50,12 @@ class Search:
             raise ValueError(f"unknown grouping: {self.group_by}")
         if self.threshold is not None and self.threshold not in self.thresholds:
             raise ValueError(f"unknown threshold: {self.threshold}")
+        if self.limit is not None:
+            whole_limit(self.limit)
 
     @property
     def rows(self) -> int:
-        return SEARCH_LIMIT if self.limit is None else whole_limit(self.limit)
+        return SEARCH_LIMIT if self.limit is None else self.limit
 
     @property
     def floor(self) -> float:

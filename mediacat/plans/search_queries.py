@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from mediacat.functions.hits import parse_hits as hits_of
 from mediacat.operators import search as os_
+from mediacat.operators.paging import clamp_limit
 from mediacat.operators.search import Search
 from mediacat.plans import views
 from mediacat.plans.registry import query
 from mediacat.plans.views import with_views
-from mediacat.schemas import MODALITIES
+from mediacat.schemas import MODALITIES, SEARCH_LIMIT, SEARCH_LIMIT_MAX
 from mediacat.session import run_dir
 
 ALL = Search(limit=10, threshold=None, modalities=None)
@@ -40,9 +41,9 @@ def search_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("V1", "J7", sql=with_views(_top(10), "vectors", "label_queries", ctes=_scored("label_queries")))
 def search_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One query per label. 99 is out of range, so the default limit holds."""
+    """One query per label. A request for 99 is out of the served range, so it gets the default limit."""
     queries = views.label_queries(spark, sf_dir)
-    return os_.search(views.vectors(spark, sf_dir), queries, Search(limit=99, threshold=None, modalities=None))
+    return os_.search(views.vectors(spark, sf_dir), queries, Search(limit=clamp_limit(99, SEARCH_LIMIT, SEARCH_LIMIT_MAX), threshold=None, modalities=None))
 
 
 @query(

@@ -155,8 +155,8 @@ def test_unusable_vectors_and_queries(spark, queries):
 
 
 def test_options_are_checked():
-    assert Search(limit=51).rows == 10 and Search(limit="50").rows == 50
-    for wrong in ({"group_by": "scene"}, {"threshold": "extreme"}):
+    assert Search(limit=51).rows == 51 and Search().rows == 10
+    for wrong in ({"group_by": "scene"}, {"threshold": "extreme"}, {"limit": 0}, {"limit": "50"}):
         with pytest.raises(ValueError):
             Search(**wrong)
 
