@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mediacat.llm.common import LAST_ID, flat, ids, slices, text_bytes, written
+from mediacat.llm.common import flat, ids, slices, text_bytes, written
 
 SPAN = 50
 GRAM = 16
