@@ -42,6 +42,42 @@ def task_status(
     return joined.withColumn("status", F.coalesce("status", F.lit(missing)))
 
 
+def submission_outcome(
+    wanted: DataFrame, events: DataFrame, key: str, now: Column, deadline_sec: int = INDEX_DEADLINE_SEC
+) -> DataFrame:
+    """What became of the latest submission of each `key` in `wanted`, one row per distinct key.
+
+    `events` holds (key, task_id, video_id, status, ts); the key is needed on `submitted` and `upload_failed` events only, ends are
+    found by their task. Statuses: ready or failed by the first end before the deadline; upload_failed; timeout
+    once `now` has reached the deadline, whatever ends later; indexing while the task may still end in time; pending while
+    nothing is submitted. The log is cut down to the wanted keys and then to their tasks before anything is grouped.
+    """
+    keys = wanted.select(key).distinct()
+    handed_in = events.filter(F.col("status").isin("submitted", "upload_failed"))
+    handed_in = spread_join(handed_in.select(key, "task_id", "status", "ts"), keys, key, "left_semi")
+    latest = latest_per_key(handed_in, [F.desc("ts"), F.desc("task_id"), F.desc("status")], key).select(
+        key, "task_id", F.col("status").alias("_handed"), F.col("ts").alias("submitted_at")
+    )
+    ends = events.filter(F.col("status").isin(*TERMINAL_TASK_STATUSES)).select("task_id", "video_id", "status", "ts")
+    ends = spread_join(ends, latest.select("task_id"), "task_id", "left_semi")
+    first = latest_per_key(ends, [F.asc("ts"), F.asc("status"), F.asc("video_id")], "task_id")
+    first = first.select("task_id", "video_id", F.col("status").alias("_end"), F.col("ts").alias("ended_at"))
+    joined = spread_join(keys.join(latest, key, "left"), first, "task_id", "left")
+    due = F.col("submitted_at") + F.make_dt_interval(secs=F.lit(deadline_sec))
+    in_time = F.coalesce(F.col("ended_at") < due, F.lit(False)) & (F.col("ended_at") <= now)
+    status = (
+        F.when(F.col("_handed").isNull(), "pending")
+        .when(F.col("_handed") == "upload_failed", "upload_failed")
+        .when(in_time, F.col("_end"))
+        .when(now >= due, "timeout")
+        .otherwise("indexing")
+    )
+    return joined.select(
+        key, "task_id", F.when(in_time, F.col("video_id")).alias("video_id"), status.alias("status"), "submitted_at",
+        F.when(in_time, F.col("ended_at")).alias("ended_at"),
+    )
+
+
 def task_deadline(
     events: DataFrame,
     deadline_sec: int = INDEX_DEADLINE_SEC,

@@ -9,20 +9,22 @@ from mediacat.functions.objects import split_uri
 from mediacat.operators import catalog as oc
 from mediacat.operators.embed import BatchFunction, embed
 from mediacat.operators.joins import spread_join
-from mediacat.operators.tasks import first_terminal
-from mediacat.schemas import INDEX_DEADLINE_SEC
+from mediacat.operators.tasks import submission_outcome
+from mediacat.schemas import INDEX_DEADLINE_SEC, OPEN_TASK_STATUSES
 from mediacat.sources.snapshots import CatalogTable, put
 from mediacat.sources.vectors import write_vectors
 
 
 def index_stage(inputs: DataFrame, events: DataFrame, index_id: str, now: Column) -> DataFrame:
-    """One record per input URI: `indexed` where its task is ready, else `failed` with the reason."""
-    uris = inputs.select("s3_uri").distinct()
-    tasks = first_terminal(events, "s3_uri", ("task_id", "video_id")).withColumnRenamed("status", "task_status")
-    joined = uris.join(tasks, "s3_uri", "left")
+    """One record per input URI by its latest submission: `indexed` where that is ready, `indexing` while it may still end in
+    time, else `failed` with the reason."""
+    joined = submission_outcome(inputs, events, "s3_uri", now).withColumnRenamed("status", "task_status")
+    undecided = F.col("task_status").isin(*OPEN_TASK_STATUSES)
     error = (
         F.when(split_uri(F.col("s3_uri")).isNull(), F.concat(F.lit("not an object URI: "), "s3_uri"))
-        .when(F.col("task_status").isNull(), f"task did not complete within {INDEX_DEADLINE_SEC}s")
+        .when(undecided, F.lit(None))
+        .when(F.col("task_status") == "timeout", f"task did not complete within {INDEX_DEADLINE_SEC}s")
+        .when(F.col("task_status") == "upload_failed", "upload failed")
         .when(F.col("task_status") == "failed", F.concat(F.lit("indexing failed: task "), "task_id"))
         .when(F.coalesce("video_id", F.lit("")) == "", "no video_id before embedding")
     )
@@ -31,7 +33,7 @@ def index_stage(inputs: DataFrame, events: DataFrame, index_id: str, now: Column
         F.lit(index_id).alias("index_id"),
         "task_id",
         "video_id",
-        F.when(error.isNull(), "indexed").otherwise("failed").alias("status"),
+        F.when(error.isNotNull(), "failed").when(undecided, "indexing").otherwise("indexed").alias("status"),
         error.alias("error"),
         now.alias("created_at"),
         F.when(F.col("task_status") == "ready", F.col("ended_at")).alias("indexed_at"),

@@ -138,32 +138,42 @@ def embedding_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _LIFECYCLE = f"""{_EMBEDDED}, lived AS (SELECT doc_id AS pos, CASE WHEN doc_id % 50 = 0 THEN 'http' ELSE 's3' END
-        || '://raw/' || doc_id AS s3_uri, CASE WHEN quality IS NOT NULL THEN 'd' || doc_id END AS video_id,
-    CASE WHEN doc_id % 50 = 0 THEN 'not an object URI: http://raw/' || doc_id
-        WHEN quality IS NULL THEN 'task did not complete within 1200s'
+        || '://raw/' || doc_id AS s3_uri, CASE WHEN quality IS NOT NULL AND doc_id % 10 <> 3 THEN 'd' || doc_id END AS video_id,
+    quality IS NULL AND doc_id % 10 = 7 AS waiting,
+    CASE WHEN doc_id % 50 = 0 THEN 'not an object URI: http://raw/' || doc_id WHEN waiting THEN NULL
+        WHEN quality IS NULL OR doc_id % 10 = 3 THEN 'task did not complete within 1200s'
         WHEN quality = 0 THEN 'indexing failed: task t' || doc_id ELSE error END AS error, vector
     FROM documents LEFT JOIN labels USING (doc_id) JOIN embedded ON embedded.video_id = 'd' || doc_id),
-    records AS (SELECT pos, s3_uri, video_id, CASE WHEN error IS NOT NULL THEN 'failed' WHEN vector = '' THEN 'embedding'
-        ELSE 'embedded' END AS status, error, CASE WHEN error IS NULL AND vector <> '' THEN
+    records AS (SELECT pos, s3_uri, video_id, CASE WHEN error IS NOT NULL THEN 'failed' WHEN waiting THEN 'indexing' WHEN vector = '' THEN 'embedding'
+        ELSE 'embedded' END AS status, error, CASE WHEN error IS NULL AND NOT waiting AND vector <> '' THEN
         'embeddings/' || video_id || '.npy' END AS embedding_s3 FROM lived)"""
 
 
 def _lifecycle(spark: SparkSession, sf_dir: str) -> tuple[CatalogTable, DataFrame]:
-    """Every document is an input; labels are its task events, and its text is what the model reads."""
+    """Every document is an input and submitted; labels say how its task ends, and its text is what the model reads.
+
+    Every tenth task ends at its deadline, which is too late; one in ten was submitted so recently that it may still end.
+    """
     folder = run_dir(spark, "lifecycle")
     number = F.col("doc_id").cast("string")
     uri = F.concat(F.when(F.col("doc_id") % 50 == 0, "http").otherwise("s3"), F.lit("://raw/"), number)
     inputs = views.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("pos"), uri.alias("s3_uri"))
-    events = views.table(spark, sf_dir, "labels").select(
-        uri.alias("s3_uri"),
-        F.concat(F.lit("t"), number).alias("task_id"),
+    now = F.lit(NOW).cast("timestamp")
+    ago = F.when(F.col("doc_id") % 10 == 7, 600).otherwise(3600)
+    handed_in = now - F.make_dt_interval(secs=ago)
+    task = [uri.alias("s3_uri"), F.concat(F.lit("t"), number).alias("task_id")]
+    submitted = views.table(spark, sf_dir, "documents").select(
+        *task, F.lit(None).cast("string").alias("video_id"), F.lit("submitted").alias("status"), handed_in.alias("ts")
+    )
+    ends = views.table(spark, sf_dir, "labels").select(
+        *task,
         F.concat(F.lit("d"), number).alias("video_id"),
         F.when(F.col("quality") == 1, "ready").otherwise("failed").alias("status"),
-        F.lit(NOW).cast("timestamp").alias("ts"),
+        (handed_in + F.make_dt_interval(secs=F.when(F.col("doc_id") % 10 == 3, 1200).otherwise(300))).alias("ts"),
     )
+    events = submitted.unionByName(ends)
     table = CatalogTable(spark, f"{folder}/catalog", buckets=8)
     table.commit(views.catalog(spark, sf_dir))
-    now = F.lit(NOW).cast("timestamp")
     records = lifecycle.run(
         spark, table, inputs, events, _texts(spark, sf_dir), count_letters, folder, "idx_9", "letters", now
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -24,6 +24,7 @@ from mediacat.streaming.ingest import stream_listing, stream_manifests
 from mediacat.streaming.sinks import progress_stream, upsert_stream
 
 NOW = "2024-12-31 00:00:00"
+LATER = "2024-12-31 01:00:00"
 
 
 def _finish(stream: StreamingQuery) -> None:
@@ -147,41 +148,60 @@ def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(items.schema).parquet(f"{folder}/out")
 
 
+_INGESTED = """ingested AS (SELECT o.*, quality, CASE WHEN doc_id % 13 = 0 THEN 'pending' WHEN doc_id % 17 = 0 THEN 'upload_failed'
+        WHEN quality IS NOT NULL AND doc_id % 5 <> 2 THEN CASE WHEN quality = 1 THEN 'ready' ELSE 'failed' END
+        WHEN quality IS NULL AND doc_id % 3 = 0 AND doc_id % 2 = 0 THEN 'ready' ELSE 'timeout' END AS outcome,
+    quality IS NULL AND doc_id % 3 = 0 AND doc_id % 13 <> 0 AND doc_id % 17 <> 0 AS later
+    FROM checked o LEFT JOIN labels USING (doc_id) WHERE len(errors) = 0)"""
+
+
 @query(
-    "T2", "J1", "K5", "T4", "S6",
+    "T2", "J1", "J2", "K5", "T4", "S6",
     sql=with_views(
-        f"""SELECT coalesce(e.video_id, 'no-id-' || o.s3_key) AS video_id, o.s3_key, 'idx_9' AS index_id, coalesce(e.status, 'timeout') AS status,
-        e.task_id, '{NOW}' AS indexed_at, CASE WHEN e.status = 'ready' THEN 'pending' ELSE 'skipped' END AS embedding_status
-        FROM checked o LEFT JOIN (SELECT doc_id, 's' || doc_id AS video_id, 't' || doc_id AS task_id,
-            CASE WHEN quality = 1 THEN 'ready' ELSE 'failed' END AS status FROM labels) e USING (doc_id)
-        WHERE len(errors) = 0""",
+        f"""SELECT CASE WHEN outcome IN ('ready', 'failed') THEN 's' || doc_id ELSE 'no-id-' || s3_key END AS video_id, s3_key,
+        'idx_9' AS index_id, outcome AS status, CASE WHEN outcome NOT IN ('pending', 'upload_failed') THEN 't' || doc_id END AS task_id,
+        CASE WHEN later THEN '{LATER}' ELSE '{NOW}' END AS indexed_at,
+        CASE WHEN outcome = 'ready' THEN 'pending' ELSE 'skipped' END AS embedding_status FROM ingested""",
         "objects",
-        ctes=_RULES,
+        ctes=f"{_RULES}, {_INGESTED}",
     ),
 )
 def ingestion_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Queued objects get the outcome of their task, by label quality; objects without a task time out."""
+    """Queued objects get the outcome of their latest submission; a second look an hour later settles what was undecided.
+
+    By document number: every 13th object is never submitted, every 17th upload fails, one in seven had an earlier task that
+    failed, one in five tasks ends at its deadline. Unlabelled ones end late or never, one in three after the first look.
+    """
     folder = run_dir(spark, "ingestion")
-    valid, _ = validate(views.objects(spark, sf_dir), now=F.lit(NOW).cast("timestamp"))
-    known = views.objects(spark, sf_dir).select("doc_id", "s3_key")
-    number = F.col("doc_id").cast("string")
-    events = views.table(spark, sf_dir, "labels").join(known, "doc_id").select(
-        F.concat(F.lit("t"), number).alias("task_id"),
-        F.concat(F.lit("s"), number).alias("video_id"),
-        "s3_key",
-        F.when(F.col("quality") == 1, "ready").otherwise("failed").alias("status"),
-        F.lit(NOW).cast("timestamp").alias("ts"),
-        F.col("doc_id").alias("event_id"),
-    )
+    now, later = F.lit(NOW).cast("timestamp"), F.lit(LATER).cast("timestamp")
+    valid, _ = validate(views.objects(spark, sf_dir), now=now)
+    n, nothing = F.col("doc_id"), F.lit(None).cast("string")
+    known = views.objects(spark, sf_dir).select("doc_id", "s3_key").filter(n % 13 != 0)
+    known = known.join(views.table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id", "left")
+    waits = F.col("quality").isNull() & (n % 3 == 0)
+    at = now - F.make_dt_interval(secs=F.when(waits, 600).otherwise(3600))
+
+    def event(rows: DataFrame, prefix: str, video: Column, status: Column, ts: Column) -> DataFrame:
+        task = F.when(status != F.lit("upload_failed"), F.concat(F.lit(prefix), n.cast("string")))
+        return rows.select(task.alias("task_id"), video.alias("video_id"), "s3_key", status.alias("status"), ts.alias("ts"))
+
+    def after(seconds: Column | int) -> Column:
+        return at + F.make_dt_interval(secs=F.lit(seconds) if isinstance(seconds, int) else seconds)
+
+    video = F.concat(F.lit("s"), n.cast("string"))
+    again = known.filter(n % 7 == 1)
+    ended = known.filter(F.col("quality").isNotNull() & (n % 17 != 0))
+    word = F.when(F.col("quality") == 1, "ready").otherwise("failed")
+    log = event(known, "t", nothing, F.when(n % 17 == 0, "upload_failed").otherwise("submitted"), at)
+    log = log.unionByName(event(again, "a", nothing, F.lit("submitted"), after(-3600)))
+    log = log.unionByName(event(again, "a", nothing, F.lit("failed"), after(-3500)))
+    log = log.unionByName(event(ended, "t", video, word, after(F.when(n % 5 == 2, 1200).otherwise(600))))
+    log = log.unionByName(event(known.filter(waits & (n % 17 != 0) & (n % 2 == 0)), "t", video, F.lit("ready"), after(900)))
     for index in ("idx_0", "idx_1", "idx_2", "idx_3"):
         queued = valid.filter(F.col("index_id") == index).drop("size_corrected")
         manifests.write_manifest(queued, f"{folder}/pending", index)
-    now = F.lit(NOW).cast("timestamp")
     table = CatalogTable(spark, f"{folder}/catalog", buckets=8)
-    empty = ingestion.task_rows(valid.limit(0), events, "idx_9", now)
-    table.commit(empty)
-    stream = ingestion.run(
-        spark, table, f"{folder}/pending/*", events, "idx_9", f"{folder}/checkpoint", now=now, array_files=False
-    )
-    _finish(stream)
+    table.commit(ingestion.task_rows(valid.limit(0), log, "idx_9", now))
+    _finish(ingestion.run(spark, table, f"{folder}/pending/*", log, "idx_9", f"{folder}/checkpoint", now=now, array_files=False))
+    ingestion.settle(table, log, "idx_9", later)
     return table.read().withColumn("indexed_at", time_text("indexed_at"))

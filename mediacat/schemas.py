@@ -23,6 +23,7 @@ DEFAULT_CONTENT_TYPE = "application/octet-stream"
 STATUSES = ("pending", "indexing", "indexed", "embedding", "embedded", "failed", "skipped")
 EMBEDDING_STATUSES = ("pending", "embedded", "embedding_failed", "skipped")
 TERMINAL_TASK_STATUSES = ("ready", "failed")
+OPEN_TASK_STATUSES = ("pending", "indexing")
 SUCCESS_STATUSES = ("embedded", "indexed")
 
 # Defaults, limits and time-outs.

@@ -190,9 +190,14 @@ class CatalogTable:
         return self.commit(kept.unionByName(fresh), only, writer, batch_id, state)
 
 
-def put(seq: str, guard: bool = False) -> Change:
-    """Change that puts whole rows."""
-    return lambda current, updates, few: replace_parts(current, updates, seq, guard, few)
+def put(seq: str, guard: bool = False, gone: str | None = None) -> Change:
+    """Change that puts whole rows. A last write whose column `gone` is true takes its row away."""
+
+    def change(current: DataFrame, updates: DataFrame, few: bool) -> tuple[DataFrame, DataFrame]:
+        kept, fresh = replace_parts(current, updates, seq, guard, few)
+        return (kept, fresh) if gone is None else (kept.drop(gone), fresh.filter(~F.col(gone)).drop(gone))
+
+    return change
 
 
 def upsert_batch(table: CatalogTable, updates: DataFrame, seq: str, guard: bool = False) -> dict[str, int]:

@@ -205,16 +205,34 @@ def test_progress_passes_finished_rows_only(spark, folder):
 def test_ingestion_of_array_manifests(spark, folder):
     from pyspark.sql import functions as F
 
+    def at(seconds):
+        return START + timedelta(seconds=seconds)
+
     put(f"{folder}/pending/one.json", json.dumps([{"s3_key": "k1"}, {"s3_key": "k2"}]), age=100)
-    put(f"{folder}/pending/two.json", json.dumps([{"s3_key": "k3", "presigned_url": "u"}, {"s3_key": "k4"}]), age=50)
-    events = spark.createDataFrame(
-        [("t1", "v1", "k1", "ready", START), ("t3", None, "k3", "failed", START), (None, None, "k4", "upload_failed", START)],
-        "task_id string, video_id string, s3_key string, status string, ts timestamp",
-    )
-    now = F.lit("2024-06-01").cast("timestamp")
+    put(f"{folder}/pending/two.json", json.dumps([{"s3_key": "k3", "presigned_url": "u"}, *({"s3_key": f"k{i}"} for i in (4, 5, 6, 7))]), age=50)
+    log = [
+        ("t0", None, "k1", "submitted", at(-5000)), ("t0", None, None, "failed", at(-4000)), ("t1", None, "k1", "submitted", at(0)),
+        ("t1", "v1", None, "ready", at(1199)), ("t3", None, "k3", "submitted", at(0)), ("t3", None, None, "failed", at(5)),
+        (None, None, "k4", "upload_failed", at(0)), ("t5", None, "k5", "submitted", at(0)), ("t5", "v5", None, "ready", at(1200)),
+        ("t6", None, "k6", "submitted", at(900)), ("t6", "v6", None, "ready", at(1900)),
+        ("t7", None, "k7", "submitted", at(900)),
+    ]
+    events = spark.createDataFrame(log, "task_id string, video_id string, s3_key string, status string, ts timestamp")
+    now = F.lit(at(1500)).cast("timestamp")
     table = CatalogTable(spark, f"{folder}/catalog", buckets=2)
     table.commit(ingestion.task_rows(spark.createDataFrame([], "s3_key string"), events, "idx", now))
     ingestion.run(spark, table, f"{folder}/pending", events, "idx", f"{folder}/c", now=now).awaitTermination()
-    got = sorted((r.video_id, r.status, r.embedding_status) for r in table.read().collect())
-    assert got == [("no-id-k2", "timeout", "skipped"), ("no-id-k3", "failed", "skipped"), ("no-id-k4", "upload_failed", "skipped"), ("v1", "ready", "pending")]
+
+    def rows():
+        return sorted((r.video_id, r.status, r.embedding_status) for r in table.read().collect())
+
+    decided = [
+        ("no-id-k3", "failed", "skipped"), ("no-id-k4", "upload_failed", "skipped"), ("no-id-k5", "timeout", "skipped"),
+        ("v1", "ready", "pending"),
+    ]
+    open_rows = [("no-id-k2", "pending", "skipped"), ("no-id-k6", "indexing", "skipped"), ("no-id-k7", "indexing", "skipped")]
+    assert rows() == sorted(decided + open_rows)
     assert table.version() == 3
+    for _ in range(2):
+        ingestion.settle(table, events, "idx", F.lit(at(5000)).cast("timestamp"))
+        assert rows() == sorted(decided + [open_rows[0], ("v6", "ready", "pending"), ("no-id-k7", "timeout", "skipped")])
