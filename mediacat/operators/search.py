@@ -181,11 +181,10 @@ def _sorted_hits(hits: pa.Table) -> pa.Table:
     return hits.sort_by([("score", "descending"), ("clip_id", "ascending"), ("modality", "ascending")])
 
 
-def _first_rows(table: pa.Table, column: str) -> tuple[np.ndarray, np.ndarray]:
-    """Position of the first row of each distinct value, and how many rows have it."""
+def _first_rows(table: pa.Table, column: str) -> np.ndarray:
+    """Position of the first row of each distinct value."""
     codes = table[column].combine_chunks().dictionary_encode().indices.to_numpy()
-    _, first, counts = np.unique(codes, return_index=True, return_counts=True)
-    return first, counts
+    return np.unique(codes, return_index=True)[1]
 
 
 def _shortlist(scores: np.ndarray, rows: np.ndarray, limit: int) -> np.ndarray:
@@ -203,11 +202,12 @@ def _query_chunks(block: QueryBlock, rows: int) -> Iterator[tuple[range, np.ndar
         yield range(start, min(start + step, len(block.ids))), block.matrix[start : start + step]
 
 
-def _top_clips(block: QueryBlock, options: Search, query_type: pa.DataType, single: bool) -> Callable:
-    """Per task and query the best clips, each with its best row.
+def _top_rows(block: QueryBlock, options: Search, query_type: pa.DataType, by: str, single: bool) -> Callable:
+    """Per task and query the best clips or videos, each with its best row.
 
-    Where a clip has a single row, rows up to the cursor are left out here. Otherwise a row behind the cursor may belong to a
-    clip that was seen already by a better row in another task, so the clips up to the cursor are found again.
+    The task that holds the best row of a winner ranks it at least as high as the whole table does, so no winner is lost.
+    Where a clip has a single row, rows up to the cursor are left out here. Otherwise a row behind the cursor may belong to one that
+    was seen already by a better row in another task, so those up to the cursor are found again.
     """
     cursors = dict(options.after or {})
     limits = [options.rows + (0 if single or i not in cursors else cursors[i][2]) for i in block.ids]
@@ -220,7 +220,7 @@ def _top_clips(block: QueryBlock, options: Search, query_type: pa.DataType, sing
             if batch.num_rows == 0:
                 continue
             batch, matrix = batch_matrix(batch)
-            repeats = _most_repeats(batch.column("clip_id"))
+            repeats = _most_repeats(batch.column(by))
             for part, queries in _query_chunks(block, len(matrix)):
                 scores = batch_scores(matrix, queries)
                 for column in np.flatnonzero((scores >= least[part.start : part.stop]).any(axis=0)):
@@ -233,8 +233,8 @@ def _top_clips(block: QueryBlock, options: Search, query_type: pa.DataType, sing
                     hits = _ordered_hits(batch, rows, mine[rows], pa.array([block.ids[q]] * rows.size, query_type))
                     if q in best:
                         hits = _sorted_hits(pa.concat_tables([best[q], hits]))
-                    first, _ = _first_rows(hits, "clip_id")
-                    best[q] = hits.take(pa.array(np.sort(first)[:limit]))
+                    firsts = hits.take(pa.array(np.sort(_first_rows(hits, by))))
+                    best[q] = firsts.sort_by([("score", "descending"), (by, "ascending")]).slice(0, limit)
                     if best[q].num_rows == limit:
                         least[q] = best[q]["score"][limit - 1].as_py()
         for hits in best.values():
@@ -243,29 +243,52 @@ def _top_clips(block: QueryBlock, options: Search, query_type: pa.DataType, sing
     return run
 
 
-def _video_hits(block: QueryBlock, options: Search, query_type: pa.DataType) -> Callable:
-    """Per batch, query and video: the best clip and the number of hits."""
+def _counted(block: QueryBlock, options: Search, query_type: pa.DataType) -> Callable:
+    """Per batch the hits of each video for the queries that are listed with it in `_for`."""
+    position = {i: q for q, i in enumerate(block.ids)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows == 0:
                 continue
             batch, matrix = batch_matrix(batch)
+            lists = batch.column("_for")
+            named = lists.flatten().dictionary_encode()
+            wanted = np.array([position[i] for i in named.dictionary.to_pylist()], np.int64)[named.indices.to_numpy()]
+            owner = np.repeat(np.arange(len(matrix)), pc.list_value_length(lists).to_numpy())
+            videos = batch.column("video_id").dictionary_encode()
+            video = videos.indices.to_numpy().astype(np.int64)
             for part, queries in _query_chunks(block, len(matrix)):
-                scores = batch_scores(matrix, queries)
-                for column in np.flatnonzero((scores >= options.floor).any(axis=0)):
-                    q, mine = part.start + column, scores[:, column]
-                    rows = _passing(batch, mine, q, block, options.floor, None)
-                    if rows.size == 0:
-                        continue
-                    hits = _ordered_hits(batch, rows, mine[rows], pa.array([block.ids[q]] * rows.size, query_type))
-                    first, counts = _first_rows(hits, "video_id")
-                    videos = hits.take(pa.array(first)).append_column("hits", pa.array(counts.astype(np.int64)))
-                    yield from videos.combine_chunks().to_batches()
+                here = (wanted >= part.start) & (wanted < part.stop)
+                rows, q = owner[here], wanted[here]
+                passing = batch_scores(matrix, queries)[rows, q - part.start] >= options.floor
+                if block.probes is not None:
+                    cells = batch.column("cell").to_numpy()[rows]
+                    for one in np.unique(q):
+                        passing &= (q != one) | np.isin(cells, block.probes[one])
+                pairs, hits = np.unique(video[rows[passing]] * len(block.ids) + q[passing], return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([block.ids[i] for i in pairs % len(block.ids)], query_type),
+                        videos.dictionary.take(pa.array(pairs // len(block.ids))),
+                        pa.array(hits.astype(np.int64)),
+                    ],
+                    names=["query_id", "video_id", "hits"],
+                )
 
     return run
 
 
+def _with_hits(winners: DataFrame, rows: DataFrame, block: QueryBlock, options: Search, query_type: pa.DataType) -> DataFrame:
+    """The winning videos with the number of their vectors that pass: a second scan, which scores the winners' vectors only."""
+    key = T.StructType([winners.schema["query_id"], winners.schema["video_id"], T.StructField("hits", T.LongType())])
+    lists = winners.groupBy("video_id").agg(F.collect_list("query_id").alias("_for"))  # no longer than the block
+    listed = spread_join(rows, lists, "video_id", "left").filter(F.col("_for").isNotNull())
+    parts = listed.select("video_id", "embedding", "_for", *([] if block.probes is None else ["cell"]))
+    counts = parts.mapInArrow(_counted(block, options, query_type), key).groupBy("query_id", "video_id")
+    return winners.join(counts.agg(F.sum("hits").alias("hits")), ["query_id", "video_id"])
+
+
 def confidence(score: Column, thresholds: Mapping[str, float] = THRESHOLDS) -> Column:
     """Word of the highest threshold the score reaches, 'none' below all."""
     word = F.lit("none")
@@ -306,10 +329,10 @@ def _candidates(vectors: DataFrame, block: QueryBlock, options: Search, allowed:
     return rows
 
 
-def _hit_schema(vectors: DataFrame, queries: DataFrame, extra: Sequence[T.StructField] = ()) -> T.StructType:
+def _hit_schema(vectors: DataFrame, queries: DataFrame) -> T.StructType:
     query = T.StructField("query_id", queries.schema["query_id"].dataType)
     fields = [T.StructField(c, vectors.schema[c].dataType) for c in HIT_COLUMNS]
-    return T.StructType([query, *fields, T.StructField("score", T.DoubleType()), *extra])
+    return T.StructType([query, *fields, T.StructField("score", T.DoubleType())])
 
 
 def _search_block(
@@ -318,22 +341,18 @@ def _search_block(
     cell = [] if block.probes is None else ["cell"]
     rows = _candidates(vectors, block, options, allowed).select(*HIT_COLUMNS, *cell, "embedding")
     query_type = to_arrow_type(queries.schema["query_id"].dataType)
-    if options.group_by == "clip":
-        single = options.modalities is not None and len(options.modalities) == 1
-        hits = rows.mapInArrow(_top_clips(block, options, query_type, single), _hit_schema(vectors, queries))
-        if not single:  # rows of a clip may lie in several tasks
-            window = Window.partitionBy("query_id", "clip_id").orderBy(F.desc("score"), "modality")
-            hits = hits.withColumn("_rn", F.row_number().over(window)).filter(F.col("_rn") == 1).drop("_rn")
-        ranked = _rank(hits, "clip_id", options, block)
-    else:
-        schema = _hit_schema(vectors, queries, [T.StructField("hits", T.LongType())])
-        parts = rows.mapInArrow(_video_hits(block, options, query_type), schema)
-        order = [(-F.col("score")).alias("low"), "clip_id", "modality", "start_sec", "end_sec", "score"]
-        best = F.min(F.struct(*order)).alias("best")  # highest score, ties to the smaller id
-        videos = parts.groupBy("query_id", "video_id").agg(best, F.sum("hits").alias("hits"))
-        clip = [f"best.{c}" for c in ("clip_id", "modality", "start_sec", "end_sec", "score")]
-        videos = videos.select("query_id", "video_id", *clip, "hits")
-        ranked = _rank(videos, "video_id", options, block)
+    by = f"{options.group_by}_id"
+    if by == "video_id":
+        rows = rows.filter(F.col(by).isNotNull())
+    single = by == "clip_id" and options.modalities is not None and len(options.modalities) == 1
+    hits = rows.mapInArrow(_top_rows(block, options, query_type, by, single), _hit_schema(vectors, queries))
+    if not single:  # rows of one clip or video may lie in several tasks
+        order = [F.desc("score"), "clip_id", "modality", "start_sec", "end_sec"]
+        window = Window.partitionBy("query_id", by).orderBy(*order)
+        hits = hits.withColumn("_rn", F.row_number().over(window)).filter(F.col("_rn") == 1).drop("_rn")
+    ranked = _rank(hits, by, options, block)
+    if by == "video_id":
+        ranked = _with_hits(ranked, rows, block, options, query_type)
     return ranked.withColumn("confidence", confidence(F.col("score"), options.thresholds))
 
 
@@ -344,7 +363,8 @@ def search(
 
     `vectors` has (clip_id, video_id, modality, start_sec, end_sec, embedding), `queries` has (query_id, embedding). `allowed`
     limits the search to some videos. With group_by="video" a hit is a video with its best clip and the number of its
-    vectors that pass the threshold.
+    vectors that pass the threshold; vectors without a video take no part. That takes two scans: the first sends `limit` videos per
+    task and query into the shuffle, the second counts for the winners.
     """
     result = None
     for block in query_blocks(queries):
@@ -406,7 +426,8 @@ def hit_counts(hits: DataFrame) -> DataFrame:
 MAX_CELL_BITS = 16
 
 
-def _planes(dim: int, bits: int, seed: int) -> np.ndarray:
+def hyperplanes(dim: int, bits: int, seed: int = 7) -> np.ndarray:
+    """Normal vectors of the hyperplanes that cut the cells, one per column."""
     if not 1 <= bits <= MAX_CELL_BITS:
         raise ValueError(f"bits must be in 1..{MAX_CELL_BITS}")
     return np.random.default_rng(seed).standard_normal((dim, bits))
@@ -417,7 +438,7 @@ def assign_cells(vectors: DataFrame, dim: int, bits: int = 6, seed: int = 7) ->
 
     Written with `partitionBy("cell")`, a search reads only the folders of the cells it looks into.
     """
-    planes = _planes(dim, bits, seed)
+    planes = hyperplanes(dim, bits, seed)
     weights = 1 << np.arange(bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -433,7 +454,7 @@ def assign_cells(vectors: DataFrame, dim: int, bits: int = 6, seed: int = 7) ->
 
 def _probe_cells(block: QueryBlock, bits: int, seed: int, probes: int) -> QueryBlock:
     """Per query the `probes` cells that are cheapest to reach from its own."""
-    margins = block.matrix @ _planes(block.dim, bits, seed)
+    margins = block.matrix @ hyperplanes(block.dim, bits, seed)
     cells = np.arange(1 << bits)
     sides = (cells[:, None] >> np.arange(bits)) & 1
     chosen = []

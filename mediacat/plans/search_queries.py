@@ -143,7 +143,26 @@ def search_hit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return os_.count_passing(views.vectors(spark, sf_dir), views.label_queries(spark, sf_dir), Search(modalities=None))
 
 
-@query("V9")
+def _probed(dim: int, bits: int, probes: int) -> str:
+    """Cells of the vectors and the cells looked into per query; the seeded hyperplanes are written out."""
+    planes = ", ".join(f"({i}, {[float(x) for x in plane]}::DOUBLE[])" for i, plane in enumerate(os_.hyperplanes(dim, bits).T))
+    return f"""planes AS (SELECT * FROM (VALUES {planes}) AS p(side, plane)),
+        cells AS (SELECT clip_id, sum(CASE WHEN list_inner_product(embedding, plane) > 0 THEN 1 << side ELSE 0 END) AS cell
+            FROM vectors CROSS JOIN planes GROUP BY clip_id),
+        margins AS (SELECT query_id, side, list_inner_product(embedding, plane) AS margin FROM label_queries CROSS JOIN planes),
+        probed AS (SELECT query_id, cell FROM margins CROSS JOIN range({1 << bits}) AS r(cell) GROUP BY query_id, cell
+            QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY
+                sum(CASE WHEN (((cell >> side) & 1) = 1) <> (margin > 0) THEN abs(margin) ELSE 0 END), cell) <= {probes})"""
+
+
+_IN_PROBED = """EXISTS (SELECT 1 FROM cells c JOIN probed p ON c.cell = p.cell
+    WHERE c.clip_id = v.clip_id AND p.query_id = q.query_id)"""
+
+
+@query(
+    "V9",
+    sql=with_views(_top(10), "vectors", "label_queries", ctes=f'{_probed(64, 6, 16)}, {_scored("label_queries", _IN_PROBED)}'),
+)
 def search_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The search over a stored table of cells, of which a quarter is read per query."""
     folder = run_dir(spark, "cells")

@@ -1,6 +1,7 @@
 """Search against a brute-force ranking."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from mediacat.operators import search as os_
@@ -127,6 +128,24 @@ def test_group_by_video_counts_all_hits(spark, rows, queries):
         assert {r.video_id: r.clip_id for r in mine} == {v: b[1] for v, b in best.items()}
 
 
+@pytest.mark.parametrize("limit, parts", [(1, 3), (3, 7), (4, 1)])
+def test_few_videos_with_ties(spark, rows, queries, limit, parts):
+    """Vectors repeat, so videos tie; the smaller id wins, wherever the rows lie."""
+    vectors, q = frames(spark, rows, queries, parts)
+    whole = os_.search(vectors, q, Search(limit=50, group_by="video", threshold=None, modalities=None)).collect()
+    got = os_.search(vectors, q, Search(limit=limit, group_by="video", threshold=None, modalities=None)).collect()
+    assert sorted(map(tuple, got)) == sorted(tuple(r) for r in whole if r["rank"] <= limit)
+
+
+def test_few_rows_of_a_search_by_video_are_shuffled(spark, rows, queries):
+    vectors, q = frames(spark, rows, queries, 4)
+    block = next(os_.query_blocks(q))
+    options = Search(limit=2, group_by="video", threshold=None, modalities=None)
+    run = os_._top_rows(block, options, pa.string(), "video_id", False)
+    leaving = vectors.mapInArrow(run, os_._hit_schema(vectors, q)).count()
+    assert leaving <= 4 * len(queries) * 2
+
+
 def test_blocks_of_queries_give_the_same_hits(spark, rows, queries, monkeypatch):
     vectors, q = frames(spark, rows, queries)
     options = Search(threshold=None, modalities=None)
