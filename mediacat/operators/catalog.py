@@ -22,7 +22,7 @@ from mediacat.operators.joins import spread_join
 KEY = "video_id"
 
 
-def latest_per_key(df: DataFrame, order: Sequence[Column], key: str = KEY) -> DataFrame:
+def latest_per_key(df: DataFrame, order: Sequence[Column], key: str | Sequence[str] = KEY) -> DataFrame:
     """Last write per key. The `rn = 1` filter is applied on each side of the shuffle, so that a hot key
     sends one row per task and not all of its rows."""
     window = Window.partitionBy(key).orderBy(*order)

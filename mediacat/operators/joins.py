@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def spread_join(left: DataFrame, right: DataFrame, key: str, how: str) -> DataFrame:
+def spread_join(left: DataFrame, right: DataFrame, key: str | Sequence[str], how: str) -> DataFrame:
     """Join on `key` (left, left_semi or left_anti) so that Spark can split a hot key of the left side over many tasks.
 
     Spark splits a skewed partition only if both sides come straight out of a shuffle for the join. A right side that was
@@ -14,7 +16,9 @@ def spread_join(left: DataFrame, right: DataFrame, key: str, how: str) -> DataFr
     shuffle of its own, which costs one more pass of the right side and none of the left. A right side that
     is small enough is broadcast as ever.
     """
-    other = f"_{key}_of_right"
-    keyed = right.withColumnRenamed(key, other)
-    same = (F.col(key) == F.col(other)) & (F.xxhash64(key) == F.xxhash64(other))
-    return left.join(keyed, same, how).drop(other)
+    keys = [key] if isinstance(key, str) else list(key)
+    others = {k: f"_{k}_of_right" for k in keys}
+    same = F.xxhash64(*keys) == F.xxhash64(*others.values())
+    for k, other in others.items():
+        same = (F.col(k) == F.col(other)) & same
+    return left.join(right.withColumnsRenamed(others), same, how).drop(*others.values())

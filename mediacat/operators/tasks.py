@@ -23,10 +23,9 @@ def first_terminal(
 ) -> DataFrame:
     """The earliest final event per task, with further columns of that event."""
     ended = events.filter(F.col("status").isin(*terminal))
-    order = ["ts", "event_id"] if "event_id" in events.columns else ["ts"]
-    first = F.min(F.struct(*order, "status", *extra)).alias("_first")
-    columns = [F.col("_first.status").alias("status"), F.col("_first.ts").alias("ended_at")]
-    return ended.groupBy(key).agg(first).select(key, *columns, *[f"_first.{c}" for c in extra])
+    order = ["ts", *(["event_id"] if "event_id" in events.columns else []), "status", *extra]
+    first = latest_per_key(ended, [F.asc(c) for c in order], key)
+    return first.select(key, "status", F.col("ts").alias("ended_at"), *extra)
 
 
 def task_status(
@@ -86,36 +85,37 @@ def task_deadline(
 ) -> DataFrame:
     """Each submission with its first ready or failed event in [submitted, submitted + deadline), else `timeout`.
 
-    `events` holds (event_id, key, status, ts) with statuses submitted, ready, failed and others. Time is cut into slices, and the
-    first terminal event after a submission is either in its own slice or the first one of a later slice. So rows
-    meet only a summary of one row per key and slice: no pairs are formed, and a key with very many
-    events is spread over its slices.
+    `events` holds (event_id, key, status, ts) with statuses submitted, ready, failed and others. What follows a submission
+    depends on its time alone, so events are first reduced to one row per key and time, with partial aggregates. Time is
+    cut into slices: the first final event from a time on is either in its own slice or the first one of a later slice. So
+    no pairs are formed, a key with very many events is spread over its slices, and any number of events at one
+    time is one row.
     """
-    terminal = F.col("status").isin(*TERMINAL_TASK_STATUSES)
-    relevant = events.filter(terminal | (F.col("status") == "submitted")).select(
-        "event_id", key, "status", "ts", F.floor(F.unix_micros("ts") / (slice_sec * MICROS)).alias("_slice")
-    )
-    mark = F.when(terminal, F.struct("ts", "event_id", "status"))
+    relevant = events.filter(F.col("status").isin("submitted", *TERMINAL_TASK_STATUSES))
 
-    per_slice = relevant.groupBy(key, "_slice").agg(F.min(mark).alias("_first"))
-    # Both windows run backwards in time: a frame that grows is kept up row by row, one that shrinks is recomputed.
-    later = Window.partitionBy(key).orderBy(F.desc("_slice")).rowsBetween(Window.unboundedPreceding, -1)
-    per_slice = per_slice.select(
-        F.col(key).alias("_key_of"),
-        F.col("_slice").alias("_slice_of"),
-        F.last("_first", ignorenulls=True).over(later).alias("_later"),
-    )
+    def earliest(word: str) -> Column:
+        return F.min(F.when(F.col("status") == word, F.col("event_id"))).alias(f"_{word}")
 
-    ahead = Window.partitionBy(key, "_slice").orderBy(F.desc("ts"), terminal.desc(), F.desc("event_id"))
-    ahead = ahead.rowsBetween(Window.unboundedPreceding, 0)
-    own = relevant.withColumn("_own", F.last(mark, ignorenulls=True).over(ahead))
-    submitted = own.filter(F.col("status") == "submitted")
-    matched = submitted.join(
-        per_slice, (F.col(key) == F.col("_key_of")) & (F.col("_slice") == F.col("_slice_of")), "left"
-    )
+    words = TERMINAL_TASK_STATUSES
+    times = relevant.groupBy(key, "ts").agg(*[earliest(word) for word in words])
+    ids = F.least(*[F.col(f"_{word}") for word in words])
+    status = F.coalesce(*[F.when(F.col(f"_{word}") == ids, word) for word in words])
+    mark = F.when(ids.isNotNull(), F.struct("ts", status.alias("status"))).alias("_mark")
+    times = times.select(key, "ts", F.floor(F.unix_micros("ts") / (slice_sec * MICROS)).alias("_slice"), mark)
+
+    # Both windows run backwards in time: a frame that grows is kept up row by row, one that shrinks is recomputed.
+    first = latest_per_key(times.filter(F.col("_mark").isNotNull()), [F.asc("ts")], [key, "_slice"])
+    slices = times.select(key, "_slice").distinct().join(first.select(key, "_slice", "_mark"), [key, "_slice"], "left")
+    after = Window.partitionBy(key).orderBy(F.desc("_slice")).rowsBetween(Window.unboundedPreceding, -1)
+    later = slices.select(key, "_slice", F.last("_mark", ignorenulls=True).over(after).alias("_later"))
+    own = Window.partitionBy(key, "_slice").orderBy(F.desc("ts")).rowsBetween(Window.unboundedPreceding, 0)
+    marked = times.withColumn("_own", F.last("_mark", ignorenulls=True).over(own)).join(later, [key, "_slice"])
     nearest = F.coalesce("_own", "_later")
     in_time = nearest["ts"] < F.col("ts") + F.make_dt_interval(secs=F.lit(deadline_sec))
-    return matched.withColumn("_hit", F.when(in_time, nearest)).select(
+    outcome = marked.select(key, "ts", F.when(in_time, nearest).alias("_hit"))
+
+    submitted = relevant.filter(F.col("status") == "submitted").select("event_id", key, "ts")
+    return spread_join(submitted, outcome, [key, "ts"], "left").select(
         "event_id",
         key,
         F.col("ts").alias("submitted_at"),
