@@ -22,12 +22,14 @@ from pyspark.sql.pandas.types import to_arrow_type
 from mediacat.operators.joins import spread_join
 from mediacat.operators.paging import whole_limit
 from mediacat.schemas import DEFAULT_MODALITIES, SEARCH_LIMIT
+from mediacat.session import run_dir
 
 # The query block is shipped to every task, so its size is checked; more queries are searched block after block.
 MAX_BLOCK_BYTES = 32 << 20
 FEW_QUERIES, MAX_DIM = 256, 16_384  # as many queries of such a length are collected without being measured first
 MAX_SCORE_BYTES = 64 << 20  # scores that a task holds at a time
 SCORE_DIGITS = 6
+CURSOR = ("_score", "_last", "_seen")
 HIT_COLUMNS = ["clip_id", "video_id", "modality", "start_sec", "end_sec"]
 
 # Score needed for each confidence word; callers may pass their own.
@@ -43,6 +45,7 @@ class Search:
     threshold: str | None = "medium"
     modalities: Sequence[str] | None = DEFAULT_MODALITIES
     after: Mapping[object, tuple[float, object, int]] | None = None  # query id to (score, id, rank) of the last hit seen
+    index_id: str | None = None  # search the vectors of one index; reads its folder only where the table is partitioned by it
     thresholds: Mapping[str, float] = field(default_factory=lambda: THRESHOLDS)
 
     def __post_init__(self) -> None:
@@ -66,12 +69,13 @@ class Search:
 class QueryBlock:
     """Query ids with their unit vectors, row by row; bounded by MAX_BLOCK_BYTES.
 
-    `probes` holds the cells to look into per query, or None to look everywhere.
+    `probes` holds the cells to look into per query, or None to look everywhere; `cursors` the last hits seen.
     """
 
     ids: list
     matrix: np.ndarray
     probes: list[np.ndarray] | None = None
+    cursors: Mapping[object, tuple[float, object, int]] = field(default_factory=dict)
 
     @property
     def dim(self) -> int:
@@ -88,17 +92,18 @@ def _block(rows: list) -> QueryBlock:
     if not np.all(norms > 0):
         raise ValueError("query vectors must not be zero or contain nulls")
     ids = [r["query_id"] for r in rows]
-    if len(set(ids)) != len(ids):
-        raise ValueError("query_id must be unique")
-    return QueryBlock(ids, matrix / norms)
+    if len(set(ids)) != len(ids) or None in ids:
+        raise ValueError("query_id must be unique and not null")
+    seen = {r["query_id"]: tuple(r[c] for c in CURSOR) for r in rows if CURSOR[0] in r and r[CURSOR[0]] is not None}
+    return QueryBlock(ids, matrix / norms, cursors=seen)
 
 
 def query_blocks(queries: DataFrame, max_bytes: int = MAX_BLOCK_BYTES) -> Iterator[QueryBlock]:
     """The queries as blocks of at most `max_bytes`; no more than that is ever collected at a time."""
-    queries = queries.select("query_id", "embedding")
+    queries = queries.select("query_id", "embedding", *[c for c in CURSOR if c in queries.columns])
     few = min(FEW_QUERIES, max(1, max_bytes // (8 * MAX_DIM)))
-    short = F.when(F.size("embedding") <= MAX_DIM, F.col("embedding")).alias("embedding")
-    rows = queries.select("query_id", short).limit(few + 1).collect()
+    short = F.when(F.size("embedding") <= MAX_DIM, F.col("embedding"))
+    rows = queries.withColumn("embedding", short).limit(few + 1).collect()
     if len(rows) <= few and all(r["embedding"] is not None for r in rows):
         if rows:
             yield _block(rows)
@@ -111,7 +116,7 @@ def query_blocks(queries: DataFrame, max_bytes: int = MAX_BLOCK_BYTES) -> Iterat
         F.count_if(F.col("embedding").isNull()).alias("nulls"),
     ).first()
     if size["ids"] != size["rows"]:
-        raise ValueError("query_id must be unique")
+        raise ValueError("query_id must be unique and not null")
     if size["low"] != size["high"] or size["low"] < 1 or size["nulls"]:
         raise ValueError("query vectors must have one length")
     per_block = max(1, max_bytes // (8 * size["high"]))
@@ -322,6 +327,8 @@ def _rank(hits: DataFrame, by: str, options: Search, block: QueryBlock) -> DataF
 def _candidates(vectors: DataFrame, block: QueryBlock, options: Search, allowed: DataFrame | None) -> DataFrame:
     """The vectors to score: filters come first, so that they reach the scan."""
     rows = usable_vectors(vectors, block.dim)
+    if options.index_id is not None:
+        rows = rows.filter(F.col("index_id") == options.index_id)
     if options.modalities is not None:
         rows = rows.filter(F.col("modality").isin(*options.modalities))
     if allowed is not None:
@@ -338,6 +345,7 @@ def _hit_schema(vectors: DataFrame, queries: DataFrame) -> T.StructType:
 def _search_block(
     vectors: DataFrame, queries: DataFrame, block: QueryBlock, options: Search, allowed: DataFrame | None
 ) -> DataFrame:
+    options = replace(options, after={**(options.after or {}), **block.cursors})
     cell = [] if block.probes is None else ["cell"]
     rows = _candidates(vectors, block, options, allowed).select(*HIT_COLUMNS, *cell, "embedding")
     query_type = to_arrow_type(queries.schema["query_id"].dataType)
@@ -356,27 +364,45 @@ def _search_block(
     return ranked.withColumn("confidence", confidence(F.col("score"), options.thresholds))
 
 
+def _block_by_block(queries: DataFrame, find: Callable[[QueryBlock], DataFrame]) -> DataFrame:
+    """What `find` gives for all blocks of queries. One block stays a plan; of several each one's result is written to the
+    shared folder before the next but one is collected, so the driver never holds more than two."""
+    blocks = query_blocks(queries)
+    first = next(blocks, None)
+    if first is None:
+        raise ValueError("no queries")
+    found, second = find(first), next(blocks, None)
+    if second is None:
+        return found
+    folder = run_dir(queries.sparkSession, "search")
+    found.write.parquet(folder)
+    while second is not None:
+        find(second).write.mode("append").parquet(folder)
+        second = next(blocks, None)
+    return queries.sparkSession.read.schema(found.schema).parquet(folder)
+
+
 def search(
-    vectors: DataFrame, queries: DataFrame, options: Search = Search(), allowed: DataFrame | None = None
+    vectors: DataFrame,
+    queries: DataFrame,
+    options: Search = Search(),
+    allowed: DataFrame | None = None,
+    after: DataFrame | None = None,
 ) -> DataFrame:
     """Ranked hits per query: exact cosine similarity over the whole vector table.
 
     `vectors` has (clip_id, video_id, modality, start_sec, end_sec, embedding), `queries` has (query_id, embedding). `allowed`
     limits the search to some videos. With group_by="video" a hit is a video with its best clip and the number of its
     vectors that pass the threshold; vectors without a video take no part. That takes two scans: the first sends `limit` videos per
-    task and query into the shuffle, the second counts for the winners.
+    task and query into the shuffle, the second counts for the winners. `after` goes on behind the rows of `next_cursor`.
     """
-    result = None
-    for block in query_blocks(queries):
-        found = _search_block(vectors, queries, block, options, allowed)
-        result = found if result is None else result.unionByName(found)
-    if result is None:
-        raise ValueError("no queries")
-    return result
+    if after is not None:
+        queries = queries.select("query_id", "embedding").join(after.toDF("query_id", *CURSOR), "query_id", "left")
+    return _block_by_block(queries, lambda block: _search_block(vectors, queries, block, options, allowed))
 
 
 def next_cursor(hits: DataFrame, by: str = "clip_id") -> DataFrame:
-    """Per query the (score, id, rank) to continue after, for `Search.after`; no more rows than queries."""
+    """Per query the (score, id, rank) to continue after; no more rows than queries."""
     last = F.max(F.struct("rank", "score", by)).alias("last")
     return hits.groupBy("query_id").agg(last).select("query_id", "last.score", f"last.{by}", "last.rank")
 
@@ -408,14 +434,13 @@ def count_passing(
     """Per query the number of all vectors that pass the threshold, whatever the limit; queries without any are left out."""
     kind = queries.schema["query_id"].dataType
     schema = T.StructType([T.StructField("query_id", kind), T.StructField("total", T.LongType())])
-    result = None
-    for block in query_blocks(queries):
+
+    def count(block: QueryBlock) -> DataFrame:
         rows = _candidates(vectors, block, options, allowed).select(*HIT_COLUMNS, "embedding")
-        part = rows.mapInArrow(_passing_rows(block, options, to_arrow_type(kind)), schema)
-        result = part if result is None else result.unionByName(part)
-    if result is None:
-        return vectors.sparkSession.createDataFrame([], schema)
-    return result.groupBy("query_id").agg(F.sum("total").alias("total"))
+        parts = rows.mapInArrow(_passing_rows(block, options, to_arrow_type(kind)), schema)
+        return parts.groupBy("query_id").agg(F.sum("total").alias("total"))
+
+    return _block_by_block(queries, count)
 
 
 def hit_counts(hits: DataFrame) -> DataFrame:
@@ -477,13 +502,11 @@ def search_approx(
 
     Scores are exact; hits in other cells are missed. probes = 2 ** bits gives the exact answer.
     """
-    result = None
-    for block in query_blocks(queries):
+
+    def near(block: QueryBlock) -> DataFrame:
         block = _probe_cells(block, bits, seed, probes)
         wanted = sorted({int(c) for cells in block.probes for c in cells})
-        near = celled if len(wanted) == 1 << bits else celled.filter(F.col("cell").isin(wanted))
-        found = _search_block(near, queries, block, options, allowed)
-        result = found if result is None else result.unionByName(found)
-    if result is None:
-        raise ValueError("no queries")
-    return result
+        rows = celled if len(wanted) == 1 << bits else celled.filter(F.col("cell").isin(wanted))
+        return _search_block(rows, queries, block, options, allowed)
+
+    return _block_by_block(queries, near)

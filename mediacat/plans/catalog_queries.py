@@ -13,6 +13,7 @@ from mediacat.plans.views import time_text, with_views
 from mediacat.schemas import LIST_LIMIT, LIST_LIMIT_MAX
 from mediacat.session import run_dir
 from mediacat.sources.snapshots import CatalogTable, put
+from mediacat.sources.snapshots import upsert_batch as upsert
 
 NOW = "2024-12-31 00:00:00"
 _T = "'%Y-%m-%d %H:%M:%S'"
@@ -367,6 +368,24 @@ def catalog_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(table.read())
 
 
+@query(
+    "K3", "A1", "S8",
+    sql=with_views(
+        """SELECT count(*) FILTER (outcome = 'written') AS success, count(*) FILTER (outcome = 'skipped') AS skipped,
+        count(*) FILTER (outcome = 'failed') AS failed, count(*) AS total FROM outcomes""",
+        "catalog",
+        "updates",
+        ctes=_OUTCOMES,
+    ),
+)
+def upsert_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A guarded batch into the stored table, and its counts."""
+    table = CatalogTable(spark, run_dir(spark, "catalog"), buckets=8)
+    table.commit(views.catalog(spark, sf_dir).withColumn("updated_at", F.lit(None).cast("timestamp")))
+    counts = upsert(table, views.updates(spark, sf_dir), "seq", guard=True)
+    return spark.createDataFrame([counts], "success long, skipped long, failed long, total long")
+
+
 @query(
     "K11", "S8",
     sql=with_views(

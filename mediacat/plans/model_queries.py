@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import io
+from collections.abc import Iterator
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +18,7 @@ from mediacat.plans.registry import query
 from mediacat.plans.views import time_text, with_views
 from mediacat.session import run_dir
 from mediacat.sources.snapshots import CatalogTable
+from mediacat.sources.vectors import decode_vectors as vectors_of
 from mediacat.sources.vectors import read_vector_table, write_vectors
 
 NOW = "2024-12-31 00:00:00"
@@ -97,6 +102,34 @@ def generate_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return generate(_texts(spark, sf_dir), count_words, "chapter")
 
 
+def _as_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        contents = []
+        for vector in batch["embedding"]:
+            file = io.BytesIO()
+            np.save(file, np.asarray(vector, np.float32), allow_pickle=False)
+            contents.append(file.getvalue())
+        yield pd.DataFrame({"video_id": batch["video_id"], "content": contents})
+
+
+@query(
+    "S7",
+    sql="""SELECT 'v' || vec_id AS video_id, len(embedding) AS dim, embedding[1]::DOUBLE AS first, embedding[-1]::DOUBLE AS last,
+        list_min(embedding)::DOUBLE AS low, list_max(embedding)::DOUBLE AS high FROM embeddings""",
+)
+def decode_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings as contents of single-vector files, read back."""
+    named = views.table(spark, sf_dir, "embeddings").select(
+        F.concat(F.lit("v"), F.col("vec_id").cast("string")).alias("video_id"), "embedding"
+    )
+    files = named.mapInPandas(_as_files, "video_id string, content binary")
+    vector = F.col("embedding")
+    ends = {"first": F.element_at(vector, 1), "last": F.element_at(vector, -1), "low": F.array_min(vector), "high": F.array_max(vector)}
+    return vectors_of(files).select(
+        "video_id", F.size(vector).cast("long").alias("dim"), *[c.cast("double").alias(n) for n, c in ends.items()]
+    )
+
+
 @query(
     "K10", "A2",
     sql=f"""WITH {_EMBEDDED} SELECT 'run-1' AS run_id, 'EmbeddingsGenerated' AS metric,

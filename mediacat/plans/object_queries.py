@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from mediacat.functions import objects as fo
 from mediacat.functions.metadata import compact_json
 from mediacat.operators import reports, retention, tasks
-from mediacat.operators.validate import coerce, enrich, validate, validation_summary
+from mediacat.operators.validate import checked, coerce, enrich, validate, validation_summary
 from mediacat.plans import views
 from mediacat.plans.registry import query
 from mediacat.plans.views import time_text, with_views
@@ -260,6 +260,36 @@ def validate_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codes.unionByName(valid.select("event_id", F.lit("").alias("errors")))
 
 
+@query(
+    "D3", "D4", "P8",
+    sql="""SELECT event_id, 'video/mp4' AS content_type, array_to_string(list_filter([
+            CASE WHEN event_id % 4 = 3 THEN 'bad:embedding_status' END,
+            CASE WHEN event_id % 7 = 0 THEN 'negative:size_bytes' END, CASE WHEN event_id % 5 < 2 THEN 'negative:size_mb' END,
+            CASE WHEN event_id % 3 < 2 THEN 'negative:duration_sec' END, CASE WHEN event_id % 11 < 2 THEN 'negative:fps' END],
+        lambda x: x IS NOT NULL), ',') AS errors FROM events""",
+)
+def validate_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Negative numbers and NaN in every column that must not be negative, and unknown embedding statuses, on events."""
+    n, nan = F.col("event_id"), F.lit(float("nan"))
+    name = n.cast("string")
+    states = F.when(n % 4 == 0, "pending").when(n % 4 == 1, "embedding_failed").when(n % 4 == 2, "skipped")
+    rows = views.table(spark, sf_dir, "events").select(
+        "event_id",
+        F.concat(F.lit("v"), name).alias("video_id"),
+        F.concat(F.lit("events/"), name).alias("s3_key"),
+        F.lit("s3://raw/events").alias("s3_uri"),
+        F.lit("idx_0").alias("index_id"),
+        F.col("ts").cast("timestamp").alias("last_modified"),
+        F.when(n % 7 == 0, -n - 1).otherwise(n).alias("size_bytes"),
+        F.when(n % 5 == 0, nan).when(n % 5 == 1, -0.5).otherwise(1.0).alias("size_mb"),
+        F.when(n % 3 == 0, nan).when(n % 3 == 1, -1.0).otherwise(F.col("value")).alias("duration_sec"),
+        F.when(n % 11 == 0, -30.0).when(n % 11 == 1, nan).otherwise(24.0).alias("fps"),
+        states.otherwise("odd").alias("embedding_status"),
+        F.lit(" Video/MP4\t").alias("content_type"),
+    )
+    return checked(rows, now=_now()).select("event_id", "content_type", F.array_join("errors", ",").alias("errors"))
+
+
 @query(
     "D9", "D10",
     sql=with_views(

@@ -125,9 +125,20 @@ def search_best_modality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def search_next_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The second ten hits, continued after the last hit of the first ten."""
     vectors, queries = views.vectors(spark, sf_dir), views.label_queries(spark, sf_dir)
-    first = os_.next_cursor(os_.search(vectors, queries, ALL)).collect()
-    after = {row["query_id"]: (row["score"], row["clip_id"], row["rank"]) for row in first}
-    return os_.search(vectors, queries, Search(threshold=None, modalities=None, after=after))
+    return os_.search(vectors, queries, ALL, after=os_.next_cursor(os_.search(vectors, queries, ALL)))
+
+
+_IN_INDEX = "v.clip_id % 4 = 1"
+
+
+@query("V1", "S7", "K8", sql=with_views(_top(10), "vectors", "label_queries", ctes=_scored("label_queries", _IN_INDEX)))
+def search_in_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The search in one index of a vector table that is stored by index."""
+    folder = run_dir(spark, "indexes")
+    index = F.concat(F.lit("idx_"), (F.col("clip_id") % 4).cast("string"))
+    views.vectors(spark, sf_dir).withColumn("index_id", index).write.partitionBy("index_id").parquet(folder)
+    options = Search(threshold=None, modalities=None, index_id="idx_1")
+    return os_.search(spark.read.parquet(folder), views.label_queries(spark, sf_dir), options)
 
 
 @query(

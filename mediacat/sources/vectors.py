@@ -42,13 +42,16 @@ def _decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"video_id": batch["video_id"], "embedding": vectors})
 
 
+def decode_vectors(files: DataFrame) -> DataFrame:
+    """(video_id, embedding) of rows (video_id, content) that hold a `.npy` file each."""
+    return files.select("video_id", "content").mapInPandas(_decode, "video_id string, embedding array<float>")
+
+
 def read_vectors(spark: SparkSession, folder: str) -> DataFrame:
     """(video_id, embedding) of all `{video_id}.npy` files below a folder."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.npy")
     name = F.regexp_replace(F.substring_index("path", "/", -1), r"\.npy\z", "")
-    return files.load(folder).select(name.alias("video_id"), "content").mapInPandas(
-        _decode, "video_id string, embedding array<float>"
-    )
+    return decode_vectors(files.load(folder).select(name.alias("video_id"), "content"))
 
 
 def missing_vectors(vectors: DataFrame, wanted: DataFrame) -> DataFrame:

@@ -137,6 +137,24 @@ def test_few_videos_with_ties(spark, rows, queries, limit, parts):
     assert sorted(map(tuple, got)) == sorted(tuple(r) for r in whole if r["rank"] <= limit)
 
 
+@pytest.mark.parametrize("max_bytes", [8 * DIM * 3, 32 << 20])
+def test_cursors_and_indexes(spark, rows, queries, monkeypatch, max_bytes):
+    vectors, q = frames(spark, rows, queries)
+    original = os_.query_blocks
+    monkeypatch.setattr(os_, "query_blocks", lambda df: original(df, max_bytes))
+    options = Search(limit=15, threshold=None, modalities=None)
+    first = os_.search(vectors, q, options)
+    second = os_.search(vectors, q, options, after=os_.next_cursor(first.filter("query_id <> 'q1'")))
+    whole = brute(rows, queries, 30)
+    expected = {k: v[:15] if k == "q1" else v[15:] for k, v in whole.items()}
+    assert found(second) == expected
+    in_two = vectors.selectExpr("*", "if(clip_id % 2 = 0, 'even', 'odd') AS index_id")
+    even = found(os_.search(in_two, q, Search(limit=15, threshold=None, modalities=None, index_id="even")))
+    assert even == brute([r for r in rows if r[0] % 2 == 0], queries, 15)
+    with pytest.raises(ValueError):
+        os_.search(vectors, spark.createDataFrame([(None, [1.0] * DIM), ("a", [1.0] * DIM)], q.schema))
+
+
 def test_few_rows_of_a_search_by_video_are_shuffled(spark, rows, queries):
     vectors, q = frames(spark, rows, queries, 4)
     block = next(os_.query_blocks(q))
