@@ -69,16 +69,17 @@ def run(
     """Process the inputs (`pos`, `s3_uri`) and return one record per input, in order; repeats share a record.
 
     `events` holds task events with `s3_uri`, `content` the model's input rows by `video_id`. Vectors and catalogue are written;
-    records without an id cannot be stored and are only returned.
+    records without an id cannot be stored and are only returned. A later run in the same folder takes the place of the earlier
+    one, and decides what was still `indexing`.
     """
     now = F.current_timestamp() if now is None else now
     records = index_stage(inputs, events, index_id, now)
     wanted = records.filter(F.col("status") == "indexed").select(oc.KEY)
     output = f"{folder}/model_output"
-    embed(content.join(wanted, oc.KEY, "left_semi"), fn, (oc.KEY,)).write.parquet(output)
+    embed(content.join(wanted, oc.KEY, "left_semi"), fn, (oc.KEY,)).write.mode("overwrite").parquet(output)
     embedded = spark.read.parquet(output)
-    write_vectors(embedded, f"{folder}/vectors", model)
-    embed_stage(records, embedded, now).write.parquet(f"{folder}/records")
+    write_vectors(embedded, f"{folder}/vectors", model, mode="overwrite")
+    embed_stage(records, embedded, now).write.mode("overwrite").parquet(f"{folder}/records")
     final = spark.read.parquet(f"{folder}/records")
     keyed = oc.lifecycle_rows(final)[0].withColumn("_seq", F.col("s3_uri"))
     table.apply(keyed, put("_seq"))

@@ -21,7 +21,7 @@ from mediacat.sources import manifests
 from mediacat.sources.snapshots import CatalogTable, put
 from mediacat.streaming.deadlines import DeadlineTable, deadline_join
 from mediacat.streaming.ingest import stream_listing, stream_manifests
-from mediacat.streaming.sinks import progress_stream, upsert_stream
+from mediacat.streaming.sinks import late_rows, progress_stream, upsert_stream
 
 NOW = "2024-12-31 00:00:00"
 LATER = "2024-12-31 01:00:00"
@@ -122,6 +122,31 @@ def stream_deadline_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outcome.withColumns({c: time_text(c) for c in ("submitted_at", "ended_at")})
 
 
+@query(
+    "T6",
+    sql=with_views(
+        """SELECT count(*) FILTER (NOT late) AS kept, count(*) FILTER (late) AS late FROM (SELECT event_id % 2 = 1 AND
+            ts <= (SELECT date_trunc('milliseconds', max(ts)) FROM task_events WHERE event_id % 2 = 0) - to_hours(12) AS late
+            FROM task_events)""",
+        "task_events",
+    ),
+)
+def late_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the events come after the other half; those behind its watermark are left out and counted."""
+    folder = run_dir(spark, "late")
+    events = views.task_events(spark, sf_dir).select("event_id", "ts", "status")
+    late = 0
+    for odd in (0, 1):
+        events.filter(F.col("event_id") % 2 == odd).write.mode("append").parquet(f"{folder}/events")
+        arriving = spark.readStream.schema(events.schema).parquet(f"{folder}/events").withWatermark("ts", "12 hours")
+        writer = arriving.dropDuplicates(["event_id", "ts"]).writeStream.format("parquet").option("path", f"{folder}/out")
+        stream = writer.option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
+        _finish(stream)
+        late += late_rows(stream)
+    kept = spark.read.schema(events.schema).parquet(f"{folder}/out").agg(F.count(F.lit(1)).alias("kept"))
+    return kept.withColumn("late", F.lit(late).cast("long"))
+
+
 @query("T4", "K2", "S8", sql=with_views(_REPLACED, "catalog", "updates", ctes=_LATEST))
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Updates arriving in two deliveries are put into the stored catalogue."""

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import re
+import shutil
 import tempfile
 import uuid
 
@@ -57,7 +59,8 @@ def shuffle_conf(input_bytes: int, partition_bytes: int = 128 << 20, ceiling: in
 def shared_dir(spark: SparkSession) -> str:
     """Folder that every executor can reach, as the cluster names it in `spark.checkpoint.dir`.
 
-    Only a local master may go without it: there one machine runs everything, so a temporary folder will do.
+    Only a local master may go without it: there one machine runs everything, so a temporary folder will do,
+    which goes when the program ends.
     """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
@@ -66,6 +69,7 @@ def shared_dir(spark: SparkSession) -> str:
         if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="mediacat-")
+        atexit.register(shutil.rmtree, named, ignore_errors=True)
     if named and not current:
         context.setCheckpointDir(named)
     return (named or current).rstrip("/")

@@ -43,6 +43,15 @@ def upsert_stream(
     return (query.trigger(availableNow=True) if available_now else query).start()
 
 
+def late_rows(stream: StreamingQuery) -> int:
+    """Rows that a stream left out because they were behind its watermark, by its own progress reports.
+
+    Spark keeps the last `spark.sql.streaming.numRecentProgressUpdates` reports; a stream that runs on is asked between them.
+    """
+    reports = stream.recentProgress
+    return sum(operator["numRowsDroppedByWatermark"] for report in reports for operator in report["stateOperators"])
+
+
 def finished_rows(results: DataFrame) -> DataFrame:
     """Records that have reached a final status."""
     return results.filter(F.col("status").isin(*FINISHED))
