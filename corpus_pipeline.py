@@ -41,7 +41,7 @@ STAGES = [
     ("best-fit packing", packed),
 ]
 
-# A fitted classifier and a greedy packing are not SQL; tests/llm/test_pipeline.py has a brute-force version.
+# A fitted classifier and a greedy packing are not SQL; tests/llm/test_others.py has a brute-force version.
 ORACLE_SQL = None
 
 
