@@ -15,10 +15,16 @@ from mediacat.sources.snapshots import CatalogTable, put
 from mediacat.sources.vectors import write_vectors
 
 
+METADATA = "map<string,string>"
+
+
 def index_stage(inputs: DataFrame, events: DataFrame, index_id: str, now: Column) -> DataFrame:
     """One record per input URI by its latest submission: `indexed` where that is ready, `indexing` while it may still end in
-    time, else `failed` with the reason."""
+    time, else `failed` with the reason. Records keep the `metadata` map of their input, of the last one where a URI repeats."""
     joined = submission_outcome(inputs, events, "s3_uri", now).withColumnRenamed("status", "task_status")
+    given = inputs if "metadata" in inputs.columns else inputs.withColumn("metadata", F.lit(None).cast(METADATA))
+    given = oc.latest_per_key(given, [F.desc("pos")], "s3_uri").select("s3_uri", F.col("metadata").cast(METADATA).alias("metadata"))
+    joined = joined.join(given, "s3_uri")
     undecided = F.col("task_status").isin(*OPEN_TASK_STATUSES)
     error = (
         F.when(split_uri(F.col("s3_uri")).isNull(), F.concat(F.lit("not an object URI: "), "s3_uri"))
@@ -37,6 +43,7 @@ def index_stage(inputs: DataFrame, events: DataFrame, index_id: str, now: Column
         error.alias("error"),
         now.alias("created_at"),
         F.when(F.col("task_status") == "ready", F.col("ended_at")).alias("indexed_at"),
+        F.coalesce("metadata", F.create_map().cast(METADATA)).alias("metadata"),
     )
 
 
@@ -66,7 +73,7 @@ def run(
     model: str,
     now: Column | None = None,
 ) -> DataFrame:
-    """Process the inputs (`pos`, `s3_uri`) and return one record per input, in order; repeats share a record.
+    """Process the inputs (`pos`, `s3_uri` and, if wanted, a map `metadata`) and return one record per input, in order; repeats share a record.
 
     `events` holds task events with `s3_uri`, `content` the model's input rows by `video_id`. Vectors and catalogue are written;
     records without an id cannot be stored and are only returned. A later run in the same folder takes the place of the earlier
@@ -83,4 +90,4 @@ def run(
     final = spark.read.parquet(f"{folder}/records")
     keyed = oc.lifecycle_rows(final)[0].withColumn("_seq", F.col("s3_uri"))
     table.apply(keyed, put("_seq"))
-    return spread_join(inputs, final, "s3_uri", "left").orderBy("pos")
+    return spread_join(inputs.drop("metadata"), final, "s3_uri", "left").orderBy("pos")

@@ -170,14 +170,14 @@ def embedding_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return current.select("video_id", "status", "embedding_status", "embedding_s3", "embed_error", "embedded_at")
 
 
-_LIFECYCLE = f"""{_EMBEDDED}, lived AS (SELECT doc_id AS pos, CASE WHEN doc_id % 50 = 0 THEN 'http' ELSE 's3' END
+_LIFECYCLE = f"""{_EMBEDDED}, lived AS (SELECT doc_id AS pos, lang, CASE WHEN doc_id % 50 = 0 THEN 'http' ELSE 's3' END
         || '://raw/' || doc_id AS s3_uri, CASE WHEN quality IS NOT NULL AND doc_id % 10 <> 3 THEN 'd' || doc_id END AS video_id,
     quality IS NULL AND doc_id % 10 = 7 AS waiting,
     CASE WHEN doc_id % 50 = 0 THEN 'not an object URI: http://raw/' || doc_id WHEN waiting THEN NULL
         WHEN quality IS NULL OR doc_id % 10 = 3 THEN 'task did not complete within 1200s'
         WHEN quality = 0 THEN 'indexing failed: task t' || doc_id ELSE error END AS error, vector
     FROM documents LEFT JOIN labels USING (doc_id) JOIN embedded ON embedded.video_id = 'd' || doc_id),
-    records AS (SELECT pos, s3_uri, video_id, CASE WHEN error IS NOT NULL THEN 'failed' WHEN waiting THEN 'indexing' WHEN vector = '' THEN 'embedding'
+    records AS (SELECT pos, s3_uri, video_id, lang, CASE WHEN error IS NOT NULL THEN 'failed' WHEN waiting THEN 'indexing' WHEN vector = '' THEN 'embedding'
         ELSE 'embedded' END AS status, error, CASE WHEN error IS NULL AND NOT waiting AND vector <> '' THEN
         'embeddings/' || video_id || '.npy' END AS embedding_s3 FROM lived)"""
 
@@ -190,7 +190,8 @@ def _lifecycle(spark: SparkSession, sf_dir: str) -> tuple[CatalogTable, DataFram
     folder = run_dir(spark, "lifecycle")
     number = F.col("doc_id").cast("string")
     uri = F.concat(F.when(F.col("doc_id") % 50 == 0, "http").otherwise("s3"), F.lit("://raw/"), number)
-    inputs = views.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("pos"), uri.alias("s3_uri"))
+    extra = F.create_map(F.lit("lang"), F.col("lang")).alias("metadata")
+    inputs = views.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("pos"), uri.alias("s3_uri"), extra)
     now = F.lit(NOW).cast("timestamp")
     ago = F.when(F.col("doc_id") % 10 == 7, 600).otherwise(3600)
     handed_in = now - F.make_dt_interval(secs=ago)
@@ -215,25 +216,25 @@ def _lifecycle(spark: SparkSession, sf_dir: str) -> tuple[CatalogTable, DataFram
 
 @query(
     "J6", "Q7", "V7", "V8", "P4",
-    sql=f"WITH {_LIFECYCLE} SELECT pos, s3_uri, video_id, status, error, embedding_s3 FROM records",
+    sql=f"WITH {_LIFECYCLE} SELECT pos, s3_uri, video_id, status, error, embedding_s3, lang FROM records",
 )
 def lifecycle_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, records = _lifecycle(spark, sf_dir)
-    return records.select("pos", "s3_uri", "video_id", "status", "error", "embedding_s3")
+    return records.select("pos", "s3_uri", "video_id", "status", "error", "embedding_s3", F.col("metadata")["lang"].alias("lang"))
 
 
 @query(
     "K12", "K2", "S8",
     sql=with_views(
-        """SELECT video_id, status, NULL AS error, NULL AS embedding_s3 FROM catalog
-        UNION ALL SELECT video_id, status, error, embedding_s3 FROM records WHERE video_id IS NOT NULL""",
+        """SELECT video_id, status, NULL AS error, NULL AS embedding_s3, NULL AS lang FROM catalog
+        UNION ALL SELECT video_id, status, error, embedding_s3, lang FROM records WHERE video_id IS NOT NULL""",
         "catalog",
         ctes=_LIFECYCLE,
     ),
 )
 def lifecycle_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     table, _ = _lifecycle(spark, sf_dir)
-    return table.read().select("video_id", "status", "error", "embedding_s3")
+    return table.read().select("video_id", "status", "error", "embedding_s3", F.col("metadata")["lang"].alias("lang"))
 
 
 @query(
