@@ -81,6 +81,23 @@ def manifest_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _to_parquet(stream.select("s3_key", "video_id", "status", "size_bytes"), folder)
 
 
+@query(
+    "K9", "T2",
+    sql=with_views("SELECT s3_key, trim(video_id) AS video_id, size_bytes FROM checked WHERE len(errors) = 0", "objects", ctes=_RULES),
+)
+def archived_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What lies in the archive after a manifest per index and one more are worked off: all but the last, which no batch follows."""
+    folder = run_dir(spark, "archive")
+    valid, _ = validate(views.objects(spark, sf_dir), now=F.lit(NOW).cast("timestamp"))
+    records = valid.drop("size_corrected")
+    for index in range(4):
+        manifests.write_manifest(records.filter(F.col("index_id") == f"idx_{index}"), f"{folder}/pending", f"run-{index}")
+    manifests.write_manifest(records.orderBy("s3_key").limit(1), f"{folder}/pending", "run-last")
+    _to_parquet(stream_manifests(spark, f"{folder}/pending/*", f"{folder}/processed", array_files=False), folder)
+    archived = spark.read.schema(manifests.MANIFEST).option("recursiveFileLookup", True).json(f"{folder}/processed")
+    return archived.select("s3_key", "video_id", "size_bytes")
+
+
 @query("T3", "J2", "T6", sql=deadline_sql(HALF_DAY))
 def stream_deadline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Outcomes of submissions while events arrive in three deliveries; users submit again and again."""
