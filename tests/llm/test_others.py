@@ -102,6 +102,49 @@ def test_pages_without_an_article_element(spark):
         assert got[i] == f"Title {i} Long running text {i} that says many things & more {'x' * i}. one {i} two"
 
 
+@pytest.mark.parametrize("element", ["article", "main", "div"])
+@pytest.mark.parametrize("wrapper", ["div class='content-sidebar-wrap'", "div class='main has-sidebar'", "form id=aspnetForm", "div class='main has-comments'"])
+def test_wrappers_with_dropped_words(spark, element, wrapper):
+    tag = wrapper.split()[0]
+    inner = "<h1>Title {i}</h1><p>Long running text number {i} that goes on for a while {j}.</p><div class='share'>Share {i}</div>"
+    body = (
+        f"<body><nav>Menu {{i}}</nav><{wrapper}><{element} class=c>{inner}</{element}><div class=sidebar><p>Side {{i}}</p></div>"
+        f"<form><p>Search {{i}}</p></form><div class=comments><p>I say {{i}}</p></div></{tag}></body>"
+    )
+    nested = f"<body><form><{wrapper}><{element} class=c>{inner}</{element}></{tag}</form></body>"
+    inside = f"<body><{element} class=c><{wrapper}>{inner}</{tag}></{element}><div class=comments><p>{'I say so at length ' * 20}{{i}}</p></div></body>"
+    for shape in (body, nested, inside):
+        rows = [page(i, shape.format(i=i, j="x" * i)) for i in range(12)]
+        got = {r["page_id"]: r["text"] for r in html_wrapper.extract_articles(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+        for i in range(12):
+            assert got[i] == f"Title {i} Long running text number {i} that goes on for a while {'x' * i}."
+
+
+def test_one_page_of_another_layout():
+    """The wrapper of the host has its article elsewhere."""
+    pages = [f"<body><article><h1>T{i}</h1><p>Long running text {i}</p></article></body>" for i in range(9)]
+    pages.append("<body><form id=aspnetForm><p>A page of its own with some running text</p><div class=sidebar>Side</div></form></body>")
+    trees = [html_wrapper.parse(p) for p in pages]
+    whole = html_wrapper.wrap(trees[0])
+    for tree in trees[1:]:
+        whole = html_wrapper.merge(whole, html_wrapper.wrap(tree))
+    assert html_wrapper.article_text(trees[-1], whole) == "A page of its own with some running text"
+    assert html_wrapper.article_text(trees[0], whole) == "T0 Long running text 0"
+
+
+def test_teasers_and_comments_beside_the_article_stay_out():
+    teaser = "<article><p>Teaser {i}</p></article>"
+    shape = (
+        "<body><div class=c><h1>T{i}</h1><p>Long running text {i} of the article, which has no element of its own</p></div>"
+        f"<div class=sidebar>{teaser}{teaser}</div><div class=comments><article><p>{'I say so at length ' * 20}{{i}}</p></article></div></body>"
+    )
+    trees = [html_wrapper.parse(shape.format(i=i)) for i in range(5)]
+    whole = html_wrapper.wrap(trees[0])
+    for tree in trees[1:]:
+        whole = html_wrapper.merge(whole, html_wrapper.wrap(tree))
+    assert html_wrapper.article_text(trees[3], whole) == "T3 Long running text 3 of the article, which has no element of its own"
+
+
 def test_odd_pages(spark):
     deep = "<div>" * 400 + "<p>deep &lt;text" + "</div>" * 300
     rows = [
