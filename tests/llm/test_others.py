@@ -132,6 +132,28 @@ def test_one_page_of_another_layout():
     assert html_wrapper.article_text(trees[0], whole) == "T0 Long running text 0"
 
 
+@pytest.mark.parametrize("copies", [3, 1000])
+def test_hosts_of_copies_keep_their_text(spark, copies):
+    shapes = {"a": "<p>only", "b": "<div><h1>Title</h1><p>One paragraph of text</p></div>", "c": "<form><p>One paragraph"}
+    rows = [(i, f"https://{h}.example/{i}", f"<script>{i}</script>{body}") for i in range(copies) for h, body in shapes.items()]
+    rows += [(7, "https://d.example/", "<p>only")] * copies
+    got = html_wrapper.extract_articles(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)).collect()
+    assert len(got) == 4 * copies
+    want = {"a": "only", "b": "Title One paragraph of text", "c": "One paragraph", "d": "only"}
+    assert all(r["text"] == want[r["url"][8]] for r in got)
+
+
+def test_pages_repeated_do_not_hide_the_host_own_text():
+    pages = [f"<body><div>All rights reserved</div><div class=c><p>Long running text {i}</p></div></body>" for i in (0, 0, 0, 1, 2)]
+    for some, own in ((pages, False), (pages[:4], True)):
+        whole = html_wrapper.wrap(html_wrapper.parse(some[0]))
+        for text in some[1:]:
+            whole = html_wrapper.merge(whole, html_wrapper.wrap(html_wrapper.parse(text)))
+        assert html_wrapper.expression(whole) == "<><body><div>#TEXT</> <div.c><p>#SLOT</></></></>"
+        text = whole[html_wrapper.PARTS][0][html_wrapper.PARTS][0][html_wrapper.PARTS][0]
+        assert (len(text[html_wrapper.PAGES]) < html_wrapper.TEMPLATE_PAGES) == own
+
+
 def test_teasers_and_comments_beside_the_article_stay_out():
     teaser = "<article><p>Teaser {i}</p></article>"
     shape = (
