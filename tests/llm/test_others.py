@@ -281,6 +281,19 @@ def test_odd_conversations(spark):
     assert preference.preference_turns(*preference.swapped_endings(df.limit(0))).collect() == []
 
 
+def test_next_conversation_across_gaps(spark):
+    """3,000 even ids over many ranges, a conversation without an answer and ids at both ends of the type."""
+    least, most = -(2**63), 2**63 - 1
+    ids = [least, *range(0, 6000, 2), 10**12, most - 5, most]
+    silent = {40, 10**12}
+    rows = [(i, 0, "user", f"ask {i}") for i in ids] + [(i, 1, "assistant", f"answer {i}") for i in ids if i not in silent]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(7)
+    assert sorted(tuple(r) for r in preference.next_ids(df).collect()) == list(zip(ids, ids[1:]))
+    got = {r["pair_id"]: r["text"] for r in preference.preference_turns(*preference.swapped_endings(df)).where("part = 'rejected'").collect()}
+    want = {a: f"<|assistant|>\nanswer {b}<|end|>\n" for a, b in zip(ids, ids[1:]) if not {a, b} & silent}
+    assert got == want
+
+
 # pipeline
 
 
