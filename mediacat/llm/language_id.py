@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mediacat.llm.common import held_out, slices, text_bytes
@@ -22,7 +22,8 @@ ORDER = 4
 SAMPLE_DOCS = 600
 """Documents per language that the models and the rejection bound are fitted on, chosen by a hash of their ids."""
 SAMPLE_CHARS = 20_000
-"""Longer documents are not taken into the sample; every text is scored whole."""
+"""Characters that a sampled document gives: all, or of a longer one `PIECES` pieces from all over it; every text is scored whole."""
+PIECES = 20
 MAX_LANGUAGES = 256
 REJECT_QUANTILE = 0.995
 UNDETERMINED = "und"
@@ -177,22 +178,35 @@ def fit(samples: dict[str, list[str]]) -> dict | None:
     return {**model, "names": names, "bounds": np.array(bounds)}
 
 
+def sampled_text() -> Column:
+    """`text`, or of one over `SAMPLE_CHARS` characters `PIECES` pieces of that much in all, parted by blanks.
+
+    The text is cut into equal stretches, and a hash of id and stretch tells where in it the piece begins.
+    """
+    size = SAMPLE_CHARS // PIECES
+    stretch = f"(length(text) div {PIECES})"
+    begin = f"CAST(i * {stretch} + pmod(xxhash64(doc_id, i), {stretch} - {size} + 1) + 1 AS int)"
+    pieces = F.expr(f"concat_ws(' ', transform(sequence(0, {PIECES - 1}), i -> substring(text, {begin}, {size})))")
+    return F.when(F.length("text") <= SAMPLE_CHARS, F.col("text")).otherwise(pieces)
+
+
 def train(docs: DataFrame) -> dict | None:
     """Fit on a bounded sample of the documents with a language that are not held out.
 
-    A document is taken if the hash of its id lies in the share that leaves `SAMPLE_DOCS` of its language, so the only thing
-    that is gathered by language is a count.
+    A document of any length is taken if the hash of its id lies in the share that leaves `SAMPLE_DOCS` of its language, so
+    the only thing that is gathered by language is a count. A long one gives pieces (`sampled_text`), so a language has
+    about `SAMPLE_DOCS` times `SAMPLE_CHARS` characters at most.
     """
     parts = 1 << 20
-    known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out() & F.length("text").between(1, SAMPLE_CHARS))
-    known = known.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text")
+    known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out() & (F.length("text") > 0))
+    known = known.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     counts = known.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()
     if len(counts) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     if not counts:
         return None
     share = F.create_map(*(F.lit(x) for r in counts for x in (r["lang"], min(parts, -(-parts * SAMPLE_DOCS // r["count"])))))
-    rows = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(parts)) < share[F.col("lang")]).collect()
+    rows = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(parts)) < share[F.col("lang")]).select("doc_id", "lang", sampled_text().alias("text")).collect()
     samples: dict[str, list[str]] = {}
     for row in sorted(rows, key=lambda r: (r["lang"], r["doc_id"], r["text"])):
         held = samples.setdefault(row["lang"], [])

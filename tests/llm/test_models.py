@@ -149,6 +149,35 @@ def test_language_of_held_out_documents(spark, docs):
     assert all(0 <= g["score"] <= 1 for _, g in held) and sum(g["rejected"] for _, g in held) < 0.05 * len(held)
 
 
+def test_languages_of_long_documents_only(spark):
+    """Every document of xx is longer than what a document gives to the sample; yy has short ones and one long one."""
+    rng = random.Random(5)
+
+    def words(letters, n):
+        return " ".join("".join(rng.choices(letters, k=rng.randint(2, 7))) for _ in range(n))
+
+    rows = [(i, words("abcdefg", 8_000), "xx", "s", 0) for i in range(30)] + [(i, words("nopqrst", 200), "yy", "s", 0) for i in range(100, 130)]
+    assert min(len(r[1]) for r in rows[:30]) > language_id.SAMPLE_CHARS
+    df = spark.createDataFrame(rows, util.SCHEMA)
+    assert language_id.train(df)["names"] == ["xx", "yy"]
+    got = {r["doc_id"]: r for r in language_id.identify(df).collect()}
+    assert all(got[r[0]]["lang_pred"] == r[2] for r in rows) and sum(r["rejected"] for r in got.values()) <= 3
+
+
+def test_sample_of_a_long_text(spark):
+    """Pieces from all over the text, each in its own stretch; characters beyond 16 bits count as one."""
+    long = "".join(chr(0x10000 + i) for i in range(50_007))
+    edge = "e" * language_id.SAMPLE_CHARS
+    rows = [(1, long), (2, edge), (3, edge + "f"), (4, "short"), (5, long)]
+    got = {r["doc_id"]: r["text"] for r in util.documents(spark, rows).select("doc_id", language_id.sampled_text().alias("text")).collect()}
+    assert got[2] == edge and got[4] == "short" and len(got[3]) == language_id.SAMPLE_CHARS + language_id.PIECES - 1
+    stretch = len(long) // language_id.PIECES
+    for i, piece in enumerate(got[1].split(" ")):
+        start = ord(piece[0]) - 0x10000
+        assert piece == long[start : start + language_id.SAMPLE_CHARS // language_id.PIECES] and i * stretch <= start and start + len(piece) <= (i + 1) * stretch
+    assert i == language_id.PIECES - 1 and got[1] != got[5]
+
+
 def test_odd_languages(spark, docs):
     odd = util.odd_documents(spark)
     rows = language_id.identify(util.clashing(docs.unionByName(odd.withColumn("doc_id", odd.doc_id + 10**6)))).where("doc_id >= 1000000 or doc_id is null").collect()
