@@ -6,8 +6,8 @@
    anchors to hash buckets and learns which occur elsewhere.
 3. Those anchors are sent again with the bytes around them that a window through the anchor can reach, equal contexts
    of a chunk once with their smallest id. A bucket sorts the suffixes that begin at the anchors, and the reversed
-   prefixes before them, deep-shallow: multikey quicksort over 8-byte characters to a shallow depth, then blind tries for
-   what still agrees. From the longest common prefixes of neighbours follow the classes of equal windows at every
+   prefixes before them, deep-shallow: by 8-byte characters to a shallow depth, then blind tries for what still agrees. The
+   shallow phase is NumPy's sort of the first character and of the next ones among ties, in place of multikey quicksort. From the longest common prefixes of neighbours follow the classes of equal windows at every
    offset, and of each class the smallest id. Bytes decide, never hashes.
 4. Every context gets back one bit per window; the chunk marks the bytes.
 
