@@ -11,8 +11,9 @@
    offset, and of each class the smallest id. Bytes decide, never hashes.
 4. Every context gets back one bit per window; the chunk marks the bytes.
 
-Hot passages leave a chunk once, so no bucket holds more rows of one text than there are chunks. Nothing passes the driver
-but one byte count.
+Contexts that lie wholly inside a hot passage leave a chunk once. Those of anchors near its edges also hold bytes of their
+own documents and leave it once per document, and one bucket takes all contexts of a gram: with a passage in very many
+documents a task grows with their number. Nothing passes the driver but one byte count.
 """
 
 from __future__ import annotations
