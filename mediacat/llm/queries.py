@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from mediacat.llm import (
     bpe_duckdb,
+    bpe_segment_tree,
     exact_dedup,
     html_wrapper,
     language_id,
@@ -61,11 +62,15 @@ def op10_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preference.preference_turns(*preference.swapped_endings(table(spark, sf_dir, "conversations")))
 
 
+def op13_segment_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_segment_tree.encode_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_topk_search, op2_simhash, op3_html_articles, op4_exact_dedup, op5_bpe, op6_quality, op7_language, op8_packing,
-        op9_suffix_dedup, op10_preference,
+        op9_suffix_dedup, op10_preference, op13_segment_bpe,
     )
 }
 
