@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from mediacat.llm import (
     bpe_duckdb,
@@ -13,11 +14,13 @@ from mediacat.llm import (
     html_wrapper,
     language_id,
     packing,
+    periodic_runs,
     preference,
     quality_crf,
     simhash,
     suffix_dedup,
     topk_search,
+    whitening,
 )
 from mediacat.llm.common import table
 
@@ -62,6 +65,16 @@ def op10_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preference.preference_turns(*preference.swapped_endings(table(spark, sf_dir, "conversations")))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic_runs.with_periodic_tails(table(spark, sf_dir, "documents"))
+    return periodic_runs.digests(periodic_runs.periodic_runs(docs))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whitening.whiten(whitening.whole_vectors(table(spark, sf_dir, "embeddings")))
+    return rows.withColumn("deviation", F.expr("try_cast(deviation as long)"))
+
+
 def op13_segment_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_segment_tree.encode_documents(table(spark, sf_dir, "documents"))
 
@@ -70,7 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_topk_search, op2_simhash, op3_html_articles, op4_exact_dedup, op5_bpe, op6_quality, op7_language, op8_packing,
-        op9_suffix_dedup, op10_preference, op13_segment_bpe,
+        op9_suffix_dedup, op10_preference, op11_periodic_runs, op12_whitening, op13_segment_bpe,
     )
 }
 
