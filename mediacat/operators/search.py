@@ -324,9 +324,8 @@ def _rank(hits: DataFrame, by: str, options: Search, block: QueryBlock) -> DataF
     return shifted.drop("_score", "_last", "_seen")
 
 
-def _candidates(vectors: DataFrame, block: QueryBlock, options: Search, allowed: DataFrame | None) -> DataFrame:
-    """The vectors to score: filters come first, so that they reach the scan."""
-    rows = usable_vectors(vectors, block.dim)
+def eligible(rows: DataFrame, options: Search, allowed: DataFrame | None) -> DataFrame:
+    """The rows that a search may find, whatever their vectors."""
     if options.index_id is not None:
         rows = rows.filter(F.col("index_id") == options.index_id)
     if options.modalities is not None:
@@ -336,6 +335,11 @@ def _candidates(vectors: DataFrame, block: QueryBlock, options: Search, allowed:
     return rows
 
 
+def _candidates(vectors: DataFrame, block: QueryBlock, options: Search, allowed: DataFrame | None) -> DataFrame:
+    """The vectors to score: filters come first, so that they reach the scan."""
+    return eligible(usable_vectors(vectors, block.dim), options, allowed)
+
+
 def _hit_schema(vectors: DataFrame, queries: DataFrame) -> T.StructType:
     query = T.StructField("query_id", queries.schema["query_id"].dataType)
     fields = [T.StructField(c, vectors.schema[c].dataType) for c in HIT_COLUMNS]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from mediacat.functions.hits import parse_hits as hits_of
 from mediacat.operators import search as os_
+from mediacat.operators import vector_index
 from mediacat.operators.paging import clamp_limit
 from mediacat.operators.search import Search
 from mediacat.plans import views
@@ -154,33 +155,87 @@ def search_hit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return os_.count_passing(views.vectors(spark, sf_dir), views.label_queries(spark, sf_dir), Search(modalities=None))
 
 
-def _probed(dim: int, bits: int, probes: int) -> str:
-    """Cells of the vectors and the cells looked into per query; the seeded hyperplanes are written out."""
-    planes = ", ".join(f"({i}, {[float(x) for x in plane]}::DOUBLE[])" for i, plane in enumerate(os_.hyperplanes(dim, bits).T))
-    return f"""planes AS (SELECT * FROM (VALUES {planes}) AS p(side, plane)),
-        cells AS (SELECT clip_id, sum(CASE WHEN list_inner_product(embedding, plane) > 0 THEN 1 << side ELSE 0 END) AS cell
-            FROM vectors CROSS JOIN planes GROUP BY clip_id),
-        margins AS (SELECT query_id, side, list_inner_product(embedding, plane) AS margin FROM label_queries CROSS JOIN planes),
-        probed AS (SELECT query_id, cell FROM margins CROSS JOIN range({1 << bits}) AS r(cell) GROUP BY query_id, cell
-            QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY
-                sum(CASE WHEN (((cell >> side) & 1) = 1) <> (margin > 0) THEN abs(margin) ELSE 0 END), cell) <= {probes})"""
+# The index of the next queries: small enough to be fitted again in SQL.
+CELLS, PARTS, WORDS, ROUNDS, PROBES, RERANK, DIM = 16, 32, 32, 3, 12, 100, 64
+
+
+def _lloyd(name: str, rows: str, count: int, rounds: int) -> str:
+    """Rounds of nearest centre and mean. `rows` has (part, n, v): part number, place in the sample, vector."""
+    steps = [f"{name}0 AS MATERIALIZED (SELECT part, n AS c, v AS centre FROM {rows} WHERE n < {count})"]
+    for i in range(rounds):
+        near, means, old = f"{name}_near{i}", f"{name}_mean{i}", f"{name}{i}"
+        steps.append(_nearest(near, rows, old))
+        steps.append(f"""{means} AS (SELECT part, c, list(mean ORDER BY d) AS centre FROM (
+            SELECT part, c, d, avg(v[d]) AS mean FROM {near} JOIN {rows} USING (part, n), range(1, {DIM + 1}) r(d)
+            WHERE d <= len(v) GROUP BY ALL) GROUP BY ALL)""")
+        steps.append(f"""{name}{i + 1} AS MATERIALIZED (SELECT o.part, o.c, coalesce(m.centre, o.centre) AS centre
+            FROM {old} o LEFT JOIN {means} m ON m.part = o.part AND m.c = o.c)""")
+    return ", ".join(steps)
+
+
+def _nearest(name: str, rows: str, centres: str) -> str:
+    """The number c of the nearest centre for each (part, n)."""
+    return f"""{name} AS MATERIALIZED (SELECT part, n, arg_max(c, (closeness, -c)) AS c FROM (
+        SELECT part, n, c, round(list_inner_product(v, centre) - list_inner_product(centre, centre) / 2, 9) AS closeness
+        FROM {rows} JOIN {centres} USING (part)) GROUP BY ALL)"""
+
+
+_WIDTH = DIM // PARTS
+_INDEX_SQL = f"""units AS MATERIALIZED (SELECT *, 0 AS part, row_number() OVER (ORDER BY md5(clip_id || ':' || modality)) - 1 AS n,
+        list_transform(embedding, lambda x: x / sqrt(list_inner_product(embedding, embedding))) AS v FROM vectors),
+    {_lloyd("coarse", "units", CELLS, ROUNDS)}, {_nearest("cell_of", "units", f"coarse{ROUNDS}")},
+    residuals AS (SELECT u.n, list_transform(list_zip(u.v, k.centre), lambda p: p[1] - p[2]) AS v
+        FROM units u JOIN cell_of o ON o.n = u.n JOIN coarse{ROUNDS} k ON k.c = o.c),
+    pieces AS MATERIALIZED (SELECT part, n, v[part * {_WIDTH} + 1 : (part + 1) * {_WIDTH}] AS v FROM residuals, range({PARTS}) r(part)),
+    {_lloyd("words", "pieces", WORDS, ROUNDS)}, {_nearest("code_of", "pieces", f"words{ROUNDS}")},
+    asked AS (SELECT query_id, list_transform(embedding, lambda x: x / sqrt(list_inner_product(embedding, embedding))) AS v FROM label_queries),
+    probed AS (SELECT query_id, c, list_inner_product(v, centre) AS near FROM asked, coarse{ROUNDS}
+        QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY
+            round(list_inner_product(v, centre) - list_inner_product(centre, centre) / 2, 9) DESC, c) <= {PROBES}),
+    offers AS MATERIALIZED (SELECT query_id, part, c, list_inner_product(v[part * {_WIDTH} + 1 : (part + 1) * {_WIDTH}], centre) AS offer
+        FROM asked, words{ROUNDS}),
+    estimated AS (SELECT p.query_id, o.n, round(any_value(p.near) + sum(f.offer), 6) AS estimate
+        FROM probed p JOIN cell_of o ON o.c = p.c JOIN code_of d ON d.n = o.n
+        JOIN offers f ON f.query_id = p.query_id AND f.part = d.part AND f.c = d.c GROUP BY ALL),
+    survivors AS (SELECT query_id, clip_id FROM estimated JOIN units USING (n)
+        QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY estimate DESC, clip_id, modality) <= {RERANK})"""
+_SURVIVES = "EXISTS (SELECT 1 FROM survivors s WHERE s.query_id = q.query_id AND s.clip_id = v.clip_id)"
+
+
+def _stored_index(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, vector_index.VectorIndex]:
+    folder = run_dir(spark, "index")
+    vectors = views.vectors(spark, sf_dir)
+    vector_index.write_index(vectors, vector_index.fit(vectors, DIM, CELLS, PARTS, WORDS, rounds=ROUNDS), folder)
+    return vector_index.read_index(spark, folder)
 
 
-_IN_PROBED = """EXISTS (SELECT 1 FROM cells c JOIN probed p ON c.cell = p.cell
-    WHERE c.clip_id = v.clip_id AND p.query_id = q.query_id)"""
+@query(
+    "V9",
+    sql=with_views(_top(10), "vectors", "label_queries", ctes=f'{_INDEX_SQL}, {_scored("label_queries", _SURVIVES)}'),
+)
+def search_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The search over a trained, stored index: codes of three quarters of the cells are read and 100 vectors a query."""
+    rows, index = _stored_index(spark, sf_dir)
+    return vector_index.search_index(rows, index, views.label_queries(spark, sf_dir), ALL, probes=PROBES, rerank=RERANK)
+
+
+_FOUND = f"""{_INDEX_SQL}, {_scored("label_queries")}, best AS (SELECT * FROM scored
+        QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, clip_id) <= 10)"""
 
 
 @query(
     "V9",
-    sql=with_views(_top(10), "vectors", "label_queries", ctes=f'{_probed(64, 6, 16)}, {_scored("label_queries", _IN_PROBED)}'),
+    sql=with_views(
+        "SELECT query_id, count(s.clip_id) / count(*) AS recall FROM best b LEFT JOIN survivors s USING (query_id, clip_id) GROUP BY query_id",
+        "vectors", "label_queries", ctes=_FOUND,
+    ),
 )
-def search_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The search over a stored table of cells, of which a quarter is read per query."""
-    folder = run_dir(spark, "cells")
+def search_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of the ten nearest of each query, the share that the index finds."""
+    rows, index = _stored_index(spark, sf_dir)
     queries = views.label_queries(spark, sf_dir)
-    celled = os_.assign_cells(views.vectors(spark, sf_dir), dim=64, bits=6)
-    celled.hint("rebalance", "cell").write.partitionBy("cell").parquet(folder)
-    return os_.search_approx(spark.read.parquet(folder), queries, ALL, bits=6, probes=16)
+    found = vector_index.search_index(rows, index, queries, ALL, probes=PROBES, rerank=RERANK)
+    return vector_index.recall(found, os_.search(views.vectors(spark, sf_dir), queries, ALL))
 
 
 @query("V9", sql=with_views(_top(10), "vectors", "label_queries", ctes=_scored("label_queries")))
