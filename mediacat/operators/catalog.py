@@ -116,6 +116,18 @@ def upsert_summary(outcomes: DataFrame) -> DataFrame:
     )
 
 
+def folded(updates: DataFrame, seq: str, columns: Mapping[str, Column | None], key: str = KEY) -> DataFrame:
+    """One row per key: for each column `_set_<name>`, a struct with its last value, null where no update sets it."""
+    folds = []
+    for name, condition in columns.items():
+        setting = F.max_by(F.struct(F.col(name).alias("v")), F.col(seq))
+        if condition is not None:
+            kept = F.when(condition, F.struct(F.col(name).alias("v")))
+            setting = F.max_by(kept, F.when(condition, F.col(seq)))
+        folds.append(setting.alias(f"_set_{name}"))
+    return split_blank_keys(updates, key)[0].groupBy(key).agg(*folds)
+
+
 def merge_parts(
     target: DataFrame,
     updates: DataFrame,
@@ -125,15 +137,7 @@ def merge_parts(
     few: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """The pieces of `upsert_merge`: the table's rows with their changes, and rows for absent keys."""
-    folds = []
-    for name, condition in columns.items():
-        setting = F.max_by(F.struct(F.col(name).alias("v")), F.col(seq))
-        if condition is not None:
-            kept = F.when(condition, F.struct(F.col(name).alias("v")))
-            setting = F.max_by(kept, F.when(condition, F.col(seq)))
-        folds.append(setting.alias(f"_set_{name}"))
-    changes = split_blank_keys(updates, key)[0].groupBy(key).agg(*folds)
-
+    changes = folded(updates, seq, columns, key)
     names = target.columns + [c for c in columns if c not in target.columns]
     types = {f.name: f.dataType for f in [*updates.schema.fields, *target.schema.fields]}
 
@@ -217,10 +221,8 @@ def write_task_results(
     return upsert_replace(target, rows, "_seq")
 
 
-def embedding_parts(
-    target: DataFrame, results: DataFrame, now: Column, seq: str = KEY, few: bool = False
-) -> tuple[DataFrame, DataFrame]:
-    """The pieces of `apply_embedding_results`."""
+def embedding_changes(results: DataFrame, now: Column, seq: str = KEY) -> tuple[DataFrame, dict[str, Column | None]]:
+    """Updates for embedding results, ordered by `_seq`, and the columns that they set under which condition."""
     done = F.coalesce(F.col("embedding_s3") != "", F.lit(False))
     error = F.col("error") if "error" in results.columns else F.lit("unknown")
     changes = results.select(
@@ -231,14 +233,13 @@ def embedding_parts(
         error.cast("string").alias("embed_error"),
         now.alias("embedded_at"),
     )
-    sets = {"embedding_status": None, "embedding_s3": done, "embed_error": ~done, "embedded_at": None}
-    return merge_parts(target, changes, "_seq", sets, few=few)
+    return changes, {"embedding_status": None, "embedding_s3": done, "embed_error": ~done, "embedded_at": None}
 
 
 def apply_embedding_results(target: DataFrame, results: DataFrame, now: Column, seq: str = KEY) -> DataFrame:
     """Mark videos embedded with their vector path, or embedding_failed with the error."""
-    updated, fresh = embedding_parts(target, results, now, seq)
-    return updated.unionByName(fresh)
+    changes, sets = embedding_changes(results, now, seq)
+    return upsert_merge(target, changes, "_seq", sets)
 
 
 def embedding_summary(results: DataFrame) -> DataFrame:

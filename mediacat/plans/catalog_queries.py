@@ -12,8 +12,7 @@ from mediacat.plans.registry import query
 from mediacat.plans.views import time_text, with_views
 from mediacat.schemas import LIST_LIMIT, LIST_LIMIT_MAX
 from mediacat.session import run_dir
-from mediacat.sources.snapshots import CatalogTable, put
-from mediacat.sources.snapshots import upsert_batch as upsert
+from mediacat.sources.change_log import ChangeLog, put
 
 NOW = "2024-12-31 00:00:00"
 _T = "'%Y-%m-%d %H:%M:%S'"
@@ -359,9 +358,9 @@ def persist_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("S8", "K2", "T4", sql=with_views(_REPLACED, "catalog", "updates", ctes=_LATEST))
 def catalog_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The upsert through the stored table: a first version, the changes of its touched buckets, a replay that is skipped."""
-    table = CatalogTable(spark, run_dir(spark, "catalog"), buckets=8)
-    table.commit(views.catalog(spark, sf_dir).withColumn("updated_at", F.lit(None).cast("timestamp")))
+    """The upsert through the stored table: a snapshot, a batch of changes, and the same batch once more."""
+    table = ChangeLog(spark, run_dir(spark, "catalog"))
+    table.create(views.catalog(spark, sf_dir).withColumn("updated_at", F.lit(None).cast("timestamp")))
     changes = views.updates(spark, sf_dir)
     for _ in range(2):
         table.apply(changes, put("seq"), "check", 0)
@@ -380,9 +379,9 @@ def catalog_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def upsert_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A guarded batch into the stored table, and its counts."""
-    table = CatalogTable(spark, run_dir(spark, "catalog"), buckets=8)
-    table.commit(views.catalog(spark, sf_dir).withColumn("updated_at", F.lit(None).cast("timestamp")))
-    counts = upsert(table, views.updates(spark, sf_dir), "seq", guard=True)
+    table = ChangeLog(spark, run_dir(spark, "catalog"))
+    table.create(views.catalog(spark, sf_dir).withColumn("updated_at", F.lit(None).cast("timestamp")))
+    counts = table.upsert(views.updates(spark, sf_dir), "seq", guard=True)
     return spark.createDataFrame([counts], "success long, skipped long, failed long, total long")
 
 
@@ -396,7 +395,8 @@ def upsert_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def catalog_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The delete through the stored table."""
-    table = CatalogTable(spark, run_dir(spark, "catalog"), buckets=8)
-    table.commit(views.catalog(spark, sf_dir))
-    table.apply(_deleted(spark, sf_dir), oc.delete_parts)
+    table = ChangeLog(spark, run_dir(spark, "catalog"))
+    table.create(views.catalog(spark, sf_dir))
+    table.delete(_deleted(spark, sf_dir))
+    table.compact()
     return _shown(table.read())

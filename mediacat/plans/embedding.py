@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from mediacat.operators import catalog as oc
 from mediacat.operators.embed import BatchFunction, embed
 from mediacat.operators.reports import append_run_metrics
-from mediacat.sources.snapshots import CatalogTable
+from mediacat.sources.change_log import ChangeLog, set_columns
 from mediacat.sources.vectors import write_vectors
 
 
@@ -26,7 +26,7 @@ def _once(spark: SparkSession, path: str, make: Callable[[], DataFrame]) -> Data
 
 def run(
     spark: SparkSession,
-    table: CatalogTable,
+    table: ChangeLog,
     content: DataFrame,
     fn: BatchFunction,
     folder: str,
@@ -45,8 +45,8 @@ def run(
     stored = _once(spark, f"{folder}/model_output/run={run_id}", lambda: embed(content.join(picked, oc.KEY, "left_semi"), fn, (oc.KEY,)))
     write_vectors(stored, f"{folder}/vectors/run={run_id}", model, mode="overwrite")
     results = oc.embedding_result_rows(stored, model)
-    done = f"embedding:{run_id}"  # the table skips a repeated run
-    table.apply(results, lambda current, new, few: oc.embedding_parts(current, new, now, few=few), done, 0)
+    changes, sets = oc.embedding_changes(results, now)
+    table.apply(changes, set_columns("_seq", sets), f"embedding:{run_id}")  # a repeated run writes its batch again
     summary = oc.embedding_summary(results)
     append_run_metrics(summary, run_id, f"{folder}/run_metrics")
     return summary

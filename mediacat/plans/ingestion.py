@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from mediacat.operators import catalog as oc
 from mediacat.operators.tasks import submission_outcome
 from mediacat.schemas import INDEX_DEADLINE_SEC, OPEN_TASK_STATUSES
-from mediacat.sources.snapshots import CatalogTable, put
+from mediacat.sources.change_log import ChangeLog, put
 from mediacat.streaming.ingest import stream_manifests
 from mediacat.streaming.sinks import upsert_stream
 
@@ -29,8 +29,8 @@ def _numbered(rows: DataFrame) -> DataFrame:
 
 
 def settle(
-    table: CatalogTable, events: DataFrame, index_id: str, now: Column | None = None, deadline_sec: int = INDEX_DEADLINE_SEC
-) -> int | None:
+    table: ChangeLog, events: DataFrame, index_id: str, now: Column | None = None, deadline_sec: int = INDEX_DEADLINE_SEC
+) -> int:
     """Look again at the undecided records of an index and store those that are decided by now; repeating it changes nothing.
 
     A record that gets its video's id leaves the row under its stand-in id.
@@ -46,7 +46,7 @@ def settle(
 
 def run(
     spark: SparkSession,
-    table: CatalogTable,
+    table: ChangeLog,
     queue: str,
     events: DataFrame,
     index_id: str,

@@ -11,7 +11,7 @@ from mediacat.operators.embed import BatchFunction, embed
 from mediacat.operators.joins import spread_join
 from mediacat.operators.tasks import submission_outcome
 from mediacat.schemas import INDEX_DEADLINE_SEC, OPEN_TASK_STATUSES
-from mediacat.sources.snapshots import CatalogTable, put
+from mediacat.sources.change_log import ChangeLog, put
 from mediacat.sources.vectors import write_vectors
 
 
@@ -63,7 +63,7 @@ def embed_stage(records: DataFrame, embedded: DataFrame, now: Column) -> DataFra
 
 def run(
     spark: SparkSession,
-    table: CatalogTable,
+    table: ChangeLog,
     inputs: DataFrame,
     events: DataFrame,
     content: DataFrame,

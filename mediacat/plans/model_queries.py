@@ -17,7 +17,7 @@ from mediacat.plans import embedding, lifecycle, views
 from mediacat.plans.registry import query
 from mediacat.plans.views import time_text, with_views
 from mediacat.session import run_dir
-from mediacat.sources.snapshots import CatalogTable
+from mediacat.sources.change_log import ChangeLog
 from mediacat.sources.vectors import decode_vectors as vectors_of
 from mediacat.sources.vectors import read_vector_table, write_vectors
 
@@ -161,8 +161,8 @@ def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 def embedding_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All waiting catalogue videos that have a text go through the embedding run."""
     folder = run_dir(spark, "embedding")
-    table = CatalogTable(spark, f"{folder}/catalog", buckets=8)
-    table.commit(views.catalog(spark, sf_dir))
+    table = ChangeLog(spark, f"{folder}/catalog")
+    table.create(views.catalog(spark, sf_dir))
     content = _texts(spark, sf_dir).withColumn("video_id", F.concat(F.lit("v"), F.substr("video_id", F.lit(2))))
     now = F.lit(NOW).cast("timestamp")
     embedding.run(spark, table, content, count_letters, folder, "run-1", "letters", now, limit=None)
@@ -182,7 +182,7 @@ _LIFECYCLE = f"""{_EMBEDDED}, lived AS (SELECT doc_id AS pos, lang, CASE WHEN do
         'embeddings/' || video_id || '.npy' END AS embedding_s3 FROM lived)"""
 
 
-def _lifecycle(spark: SparkSession, sf_dir: str) -> tuple[CatalogTable, DataFrame]:
+def _lifecycle(spark: SparkSession, sf_dir: str) -> tuple[ChangeLog, DataFrame]:
     """Every document is an input and submitted; labels say how its task ends, and its text is what the model reads.
 
     Every tenth task ends at its deadline, which is too late; one in ten was submitted so recently that it may still end.
@@ -206,8 +206,8 @@ def _lifecycle(spark: SparkSession, sf_dir: str) -> tuple[CatalogTable, DataFram
         (handed_in + F.make_dt_interval(secs=F.when(F.col("doc_id") % 10 == 3, 1200).otherwise(300))).alias("ts"),
     )
     events = submitted.unionByName(ends)
-    table = CatalogTable(spark, f"{folder}/catalog", buckets=8)
-    table.commit(views.catalog(spark, sf_dir))
+    table = ChangeLog(spark, f"{folder}/catalog")
+    table.create(views.catalog(spark, sf_dir))
     records = lifecycle.run(
         spark, table, inputs, events, _texts(spark, sf_dir), count_letters, folder, "idx_9", "letters", now
     )

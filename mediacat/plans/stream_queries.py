@@ -18,7 +18,7 @@ from mediacat.plans.views import time_text, with_views
 from mediacat.schemas import OBJECT_LISTING, TASK_EVENTS
 from mediacat.session import run_dir
 from mediacat.sources import manifests
-from mediacat.sources.snapshots import CatalogTable, put
+from mediacat.sources.change_log import ChangeLog, put
 from mediacat.streaming.deadlines import DeadlineTable, deadline_join
 from mediacat.streaming.ingest import stream_listing, stream_manifests
 from mediacat.streaming.sinks import late_rows, progress_stream, upsert_stream
@@ -168,8 +168,8 @@ def late_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Updates arriving in two deliveries are put into the stored catalogue."""
     folder = run_dir(spark, "upsert")
-    table = CatalogTable(spark, f"{folder}/catalog", buckets=8)
-    table.commit(views.catalog(spark, sf_dir).withColumn("updated_at", F.lit(None).cast("timestamp")))
+    table = ChangeLog(spark, f"{folder}/catalog")
+    table.create(views.catalog(spark, sf_dir).withColumn("updated_at", F.lit(None).cast("timestamp")))
     changes = views.updates(spark, sf_dir)
     for delivery in _in_order(changes, "seq", parts=2):
         delivery.write.mode("append").parquet(f"{folder}/changes")
@@ -242,8 +242,8 @@ def ingestion_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for index in ("idx_0", "idx_1", "idx_2", "idx_3"):
         queued = valid.filter(F.col("index_id") == index).drop("size_corrected")
         manifests.write_manifest(queued, f"{folder}/pending", index)
-    table = CatalogTable(spark, f"{folder}/catalog", buckets=8)
-    table.commit(ingestion.task_rows(valid.limit(0), log, "idx_9", now))
+    table = ChangeLog(spark, f"{folder}/catalog")
+    table.create(ingestion.task_rows(valid.limit(0), log, "idx_9", now))
     _finish(ingestion.run(spark, table, f"{folder}/pending/*", log, "idx_9", f"{folder}/checkpoint", now=now, array_files=False))
     ingestion.settle(table, log, "idx_9", later)
     return table.read().withColumn("indexed_at", time_text("indexed_at"))

@@ -8,23 +8,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from mediacat.sources.snapshots import CatalogTable, Change
+from mediacat.sources.change_log import Change, ChangeLog
 
 FINISHED = ("embedded", "indexed", "failed", "skipped", "ready", "timeout")
 
 
 def upsert_stream(
     changes: DataFrame,
-    table: CatalogTable,
+    table: ChangeLog,
     change: Change,
     checkpoint: str,
     writer: str,
     available_now: bool = True,
     prepare: Callable[[DataFrame], DataFrame] = lambda batch: batch,
 ) -> StreamingQuery:
-    """Apply each micro-batch of changes to the table. The table remembers the batch ids, so a replay changes nothing.
+    """Append each micro-batch of changes to the table's log. A replay overwrites its own batch.
 
-    Batch ids count from 0 for every new checkpoint, so they are remembered by writer and by the id that the stream keeps in
+    Batch ids count from 0 for every new checkpoint, so batches are named by writer and by the id that the stream keeps in
     its checkpoint.
 
     `prepare` turns a micro-batch into changes with batch operators, such as joins with static tables.
@@ -32,12 +32,7 @@ def upsert_stream(
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         stream = table.spark.read.text(f"{checkpoint}/metadata").select(F.get_json_object("value", "$.id")).first()[0]
-        ready = prepare(batch).persist()
-        try:
-            if not ready.isEmpty():
-                table.apply(ready, change, f"{writer}:{stream}", batch_id)
-        finally:
-            ready.unpersist()
+        table.apply(prepare(batch), change, f"{writer}:{stream}", batch_id)
 
     query = changes.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     return (query.trigger(availableNow=True) if available_now else query).start()

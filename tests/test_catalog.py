@@ -1,15 +1,12 @@
 """Upserts, merges, deletes, lookups and the stored table."""
 
 import random
-from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from mediacat.operators import catalog as oc
 from mediacat.operators import paging
-from mediacat.sources import snapshots
-from mediacat.sources.snapshots import CatalogTable, put, upsert_batch
 
 
 def now():
@@ -158,97 +155,9 @@ def test_deep_pages_equal_shallow_ones(spark, monkeypatch):
     assert [found(paging.numbered_page(df, ["video_id"], p, 60)) for p in range(1, 10)] == shallow
 
 
-replace = put("seq")
 UPDATES = "video_id string, status string, note string, seq long"
 
 
-def test_stored_table(spark, folder):
-    stored = CatalogTable(spark, folder, buckets=4)
-    assert stored.read() is None and stored.version() == 0
-    with pytest.raises(ValueError):
-        stored.apply(table(spark, [("a", "s", "n", 1)], UPDATES), replace)
-    stored.commit(table(spark, [(f"v{i}", "new", None) for i in range(20)]))
-    assert stored.get("v3").first().status == "new" and stored.get("nope").count() == 0
-    stored.apply(table(spark, [("v3", "changed", "n", 1), ("w", "added", "n", 2)], UPDATES), replace, "w", 0)
-    assert stored.version() == 2 and stored.state().batches == {"w": 0}
-    assert stored.apply(table(spark, [("v3", "again", "n", 1)], UPDATES), replace, "w", 0) is None
-    assert stored.read().count() == 21 and stored.get("v3").first().status == "changed"
-
-
-def test_stored_table_rewrites_only_touched_buckets(spark, folder):
-    stored = CatalogTable(spark, folder, buckets=16)
-    stored.commit(table(spark, [(f"v{i}", "new", None) for i in range(100)]))
-    stored.apply(table(spark, [("v5", "x", None, 1)], UPDATES), replace)
-    assert sorted(Counter(stored.state().held.values()).values()) == [1, 15]
-
-
-def test_unfinished_commit_is_invisible(spark, folder):
-    stored = CatalogTable(spark, folder, buckets=2)
-    stored.commit(table(spark, [("a", "s", None)]))
-    lost = table(spark, [("zzz", "lost", None)]).withColumn("bucket", F.lit(0))
-    lost.write.partitionBy("bucket").parquet(f"{folder}/data/lost")
-    assert found(stored.read()) == [("a", "s", None)]
-    stored.commit(table(spark, [("b", "s", None)]))
-    assert found(stored.read()) == [("b", "s", None)]
-
-
-def test_stored_table_gains_columns(spark, folder):
-    stored = CatalogTable(spark, folder, buckets=4)
-    stored.commit(table(spark, [(f"v{i}", "s", None) for i in range(10)]))
-    change = table(spark, [("v1", "s", 7, 1)], "video_id string, status string, extra int, seq int")
-    stored.apply(change, replace)
-    rows = {r.video_id: r.extra for r in stored.read().collect()}
-    assert len(rows) == 10 and rows["v1"] == 7 and rows["v2"] is None
-
-
-def test_second_writer_of_a_version_fails(spark, folder):
-    stored = CatalogTable(spark, folder, buckets=2)
-    before = stored.state()
-    stored.commit(table(spark, [("a", "s", None)]))
-    with pytest.raises(Exception, match="already exists|ALREADY_EXISTS"):
-        stored.commit(table(spark, [("b", "s", None)]), state=before)
-    assert stored.version() == 1 and found(stored.read()) == [("a", "s", None)]
-
-
-def test_bucket_number_is_the_tables_own(spark, folder):
-    CatalogTable(spark, folder, buckets=8).commit(table(spark, [(f"v{i}", "s", None) for i in range(20)]))
-    opened = CatalogTable(spark, folder)
-    assert opened.get("v1").count() == 1
-    opened.apply(table(spark, [(f"v{i}", "t", None, 1) for i in range(20)], UPDATES), replace)
-    assert opened.read().count() == 20 and {r.status for r in opened.read().collect()} == {"t"}
-
-
-def test_log_entry_of_a_dead_writer_is_replaced(spark, folder):
-    import os
-
-    stored = CatalogTable(spark, folder, buckets=2)
-    stored.commit(table(spark, [("a", "s", None)]))
-    os.makedirs(f"{folder}/log/version=2/_temporary/0")
-    assert stored.version() == 1
-    stored.commit(table(spark, [("b", "s", None)]))
-    assert stored.version() == 2 and found(stored.read()) == [("b", "s", None)]
-
-
-def test_rows_for_other_buckets_are_refused(spark, folder):
-    stored = CatalogTable(spark, folder, buckets=8)
-    stored.commit(table(spark, [(f"v{i}", "s", None) for i in range(45)]))
-    other = table(spark, [(f"w{i}", "s", None) for i in range(40)])
-    with pytest.raises(ValueError, match="other buckets"):
-        stored.apply(table(spark, [("v1", "s", None, 1)], UPDATES), lambda current, new, few: (current, other))
-    assert stored.version() == 1 and stored.read().count() == 45
-
-
-def test_changes_that_differ_each_time_are_evaluated_once(spark, folder):
-    stored = CatalogTable(spark, folder, buckets=16)
-    stored.commit(table(spark, [(f"v{i}", "s", None) for i in range(40)]))
-    changes = spark.range(5).select(
-        F.concat(F.lit("x"), (F.rand() * 1e9).cast("long")).alias("video_id"), F.lit("n").alias("status"), F.lit(None).cast("string").alias("note"),
-        F.lit(1).cast("long").alias("seq"),
-    )
-    stored.apply(changes, replace)
-    assert stored.read().count() == 45
-
-
 def test_statuses_are_read_whole_or_page_by_page(spark):
     rows = [(f"v{i:03}", "failed", None if i % 7 == 0 else i // 3) for i in range(250)] + [("z", "ready", 1)]
     df = spark.createDataFrame(rows, "video_id string, status string, at long").select("video_id", "status", F.timestamp_seconds("at").alias("created_at"))
@@ -267,44 +176,10 @@ def test_operators_refuse_limits_that_are_none(spark):
             paging.list_videos(df, limit)
 
 
-def test_emptied_table_is_empty(spark, folder):
-    stored = CatalogTable(spark, folder, buckets=2)
-    stored.commit(table(spark, [("a", "s", None)]))
-    stored.commit(table(spark, []))
-    assert stored.read().count() == 0
-
-
-def test_upsert_batch_counts(spark, folder):
-    stored = CatalogTable(spark, folder, buckets=4)
-    stored.commit(table(spark, [("a", "embedded", None), ("b", "ready", None)]))
-    updates = table(spark, [("a", "ready", None, 1), ("b", "failed", None, 2), (None, "x", None, 3)], UPDATES)
-    assert upsert_batch(stored, updates, "seq", guard=True) == {"success": 1, "skipped": 1, "failed": 1, "total": 3}
-    assert found(stored.read(), "video_id", "status") == [("a", "embedded"), ("b", "failed")]
-
-
-@pytest.mark.parametrize("limit", [0, 100_000])
-def test_many_and_few_changes_give_the_same_table(spark, folder, monkeypatch, limit):
-    monkeypatch.setattr(snapshots, "FEW_CHANGES", limit)
-    rows = [(f"v{i}", "embedded" if i % 3 else "ready", f"n{i}") for i in range(200)]
-    updates = [(f"v{i}", "failed", "new", i) for i in range(100, 260)]
-    stored = CatalogTable(spark, folder, buckets=4)
-    stored.commit(table(spark, rows))
-    stored.apply(table(spark, updates, UPDATES), put("seq", guard=True))
-    whole = oc.upsert_replace(table(spark, rows), table(spark, updates, UPDATES), "seq", guard=True)
-    assert found(stored.read()) == found(whole)
-    stored.apply(table(spark, [("v7", "x", None, 1)], UPDATES), lambda c, n, few: oc.merge_parts(c, n, "seq", {"status": None}, few=few))
-    assert stored.get("v7").first().status == "x" and stored.read().count() == 260
-    doomed = stored.read().select("video_id", F.lit("i").alias("index_id")).limit(0)
-    stored.commit(stored.read().withColumn("index_id", F.lit("i")))
-    stored.apply(doomed.unionByName(table(spark, [("v7", "i"), ("v8", "j")], "video_id string, index_id string")), oc.delete_parts)
-    assert stored.get("v7").count() == 0 and stored.read().count() == 259
-
-
 def test_few_changes_leave_the_table_in_place(spark, folder):
     """A wide table is scanned and written without a shuffle of its rows."""
-    stored = CatalogTable(spark, folder, buckets=4)
-    stored.commit(table(spark, [(f"v{i}", "ready", "n") for i in range(100)]))
-    current = stored.read()
+    table(spark, [(f"v{i}", "ready", "n") for i in range(100)]).write.parquet(folder)
+    current = spark.read.parquet(folder)
     updates = table(spark, [("v1", "x", None, 1)], UPDATES)
     for kept, _ in (
         oc.replace_parts(current, updates, "seq", few=True),
@@ -314,15 +189,3 @@ def test_few_changes_leave_the_table_in_place(spark, folder):
         plan = kept._jdf.queryExecution().executedPlan().toString()
         scan = plan.index("FileScan parquet")
         assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan[:scan]
-
-
-def test_stored_pages_follow_each_other(spark, folder):
-    stored = CatalogTable(spark, folder, buckets=4)
-    stored.commit(table(spark, [(f"v{i}", "s", None) for i in range(50)]))
-    seen, last = [], None
-    while True:
-        page, last = stored.page(15, last)
-        seen += [r.video_id for r in page.collect()]
-        if last is None:
-            break
-    assert len(seen) == 50 and set(seen) == {f"v{i}" for i in range(50)}
