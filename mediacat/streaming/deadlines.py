@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
 
-from mediacat.operators.tasks import MICROS, task_deadline
+from mediacat.operators.tasks import MICROS
 from mediacat.schemas import INDEX_DEADLINE_SEC, TERMINAL_TASK_STATUSES
 
+ALIVE = "alive"
+
 
 def deadline_join(
     submitted: DataFrame,
@@ -21,7 +20,7 @@ def deadline_join(
     """Stream of (task_id, submitted_at, status, ended_at), one row per task once its outcome is certain.
 
     For task ids that are submitted once: a submission meets only its own task's few final events, of which the
-    first counts. Use `DeadlineTable` where one key has many submissions.
+    first counts. Use `deadline_stream` where one key has many submissions.
     """
     starts = submitted.select("task_id", F.col("ts").alias("submitted_at")).withWatermark("submitted_at", lateness)
     ends = events.filter(F.col("status").isin(*TERMINAL_TASK_STATUSES)).select(
@@ -40,102 +39,51 @@ def deadline_join(
     )
 
 
-class DeadlineTable:
-    """Outcomes of submissions while events arrive, for keys with any number of submissions.
-
-    Time is cut into windows as long as the deadline. A submission's outcome is certain when the watermark has
-    passed the window after its own; then the batch operator runs over the windows that became certain. Events are kept in Parquet by
-    window and batch, so that only those windows are read, a replayed batch replaces its own files, and no state
-    sits in one task however often a key occurs.
-    """
-
-    EVENTS = "event_id long, key string, status string, ts timestamp, window long, batch long"
-    LISTED_WINDOWS = 500
-    PROGRESS = "batch long, closed long, newest long, late long"
-
-    def __init__(
-        self, spark: SparkSession, path: str, deadline_sec: int = INDEX_DEADLINE_SEC, lateness_sec: int = 600,
-        slice_sec: int = 60,
-    ) -> None:
-        self.spark = spark
-        self.path = path.rstrip("/")
-        self.deadline_sec = deadline_sec
-        self.lateness_sec = lateness_sec
-        self.slice_sec = slice_sec
-
-    def _table(self, name: str, schema: str | T.StructType, below: str = "") -> DataFrame:
-        """A stored table, or those of its folders that match `below`; empty when there is nothing."""
-        reader = self.spark.read.schema(schema).option("basePath", f"{self.path}/{name}")
-        try:
-            return reader.parquet(f"{self.path}/{name}{below}")
-        except AnalysisException as exc:
-            if exc.getCondition() == "PATH_NOT_FOUND":
-                return self.spark.createDataFrame([], schema)
-            raise
-
-    def _replace(self, rows: DataFrame, name: str, *parts: str) -> None:
-        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy(*parts).parquet(f"{self.path}/{name}")
-
-    def _window(self, ts: str) -> Column:
-        return F.floor(F.unix_micros(ts) / (self.deadline_sec * MICROS))
-
-    def add(self, events: DataFrame, batch_id: int, final: bool = False) -> None:
-        """Take in one batch of (event_id, key, status, ts). `final` closes all that is open, as at the end of a run."""
-        before = self._table("progress", self.PROGRESS).filter(F.col("batch") < batch_id)
-        last = before.orderBy(F.desc("batch")).limit(1).first()
-        closed, newest = (last["closed"], last["newest"]) if last else (None, None)
-        micros = F.unix_micros("ts")
-        on_time = F.lit(True) if newest is None else micros >= newest - self.lateness_sec * MICROS
-        seen = events.agg(
-            F.max(micros).alias("newest"), F.count_if(~on_time).alias("late"), F.min(self._window("ts")).alias("oldest")
-        ).first()
-        newest = max((t for t in (seen["newest"], newest) if t is not None), default=None)
-        if newest is not None:
-            kept = events.filter(on_time).select("event_id", "key", "status", "ts", self._window("ts").alias("window"))
-            self._replace(kept.withColumn("batch", F.lit(batch_id)), "events", "window", "batch")
-            certain = (newest - self.lateness_sec * MICROS) // (self.deadline_sec * MICROS) - 2
-            closed = min(seen["oldest"] - 1, certain) if closed is None else closed
-            until = newest // (self.deadline_sec * MICROS) if final else certain
-            if until > closed:
-                self._close(closed + 1, until, batch_id)
-                closed = until
-        row = [(batch_id, closed, newest, seen["late"])]
-        self._replace(self.spark.createDataFrame(row, self.PROGRESS).coalesce(1), "progress", "batch")
-
-    def _close(self, first: int, last: int, batch_id: int) -> None:
-        window = F.col("window")
-        events = self._windows(first, last + 1).filter((window >= first) & (window <= last + 1))
-        events = events.filter(F.col("batch") <= batch_id)
-        outcome = task_deadline(events, self.deadline_sec, "key", self.slice_sec)
-        outcome = outcome.filter(self._window("submitted_at") <= last).withColumn("batch", F.lit(batch_id))
-        self._replace(outcome, "outcomes", "batch")
-
-    def _windows(self, first: int, last: int) -> DataFrame:
-        """Events of a range of windows. A short range is named folder by folder, so that old ones are not listed."""
-        if last - first >= self.LISTED_WINDOWS:
-            return self._table("events", self.EVENTS)
-        names = ",".join(str(w) for w in range(first, last + 1))
-        return self._table("events", self.EVENTS, f"/window={{{names}}}")
-
-    def outcomes(self) -> DataFrame:
-        """(event_id, key, submitted_at, status, ended_at) of all submissions that are certain."""
-        schema = "event_id long, key string, submitted_at timestamp, status string, ended_at timestamp, batch long"
-        return self._table("outcomes", schema).drop("batch")
-
-    def late_rows(self) -> DataFrame:
-        """One row with the number of events that came behind the watermark and were left out."""
-        return self._table("progress", self.PROGRESS).agg(F.coalesce(F.sum("late"), F.lit(0)).alias("late"))
-
-    def stream(self, events: DataFrame, checkpoint: str, available_now: bool = True) -> StreamingQuery:
-        """Feed the table from a stream of (event_id, key, status, ts)."""
+def deadline_stream(
+    events: DataFrame, deadline_sec: int = INDEX_DEADLINE_SEC, lateness: str = "10 minutes", key: str = "task_id", slices: int = 16
+) -> DataFrame:
+    """Stream of (event_id, key, submitted_at, status, ended_at): each submission once its outcome is certain, append mode.
 
-        def take(batch: DataFrame, batch_id: int) -> None:
-            batch.persist()
-            try:
-                self.add(batch, batch_id)
-            finally:
-                batch.unpersist()
+    For keys with any number of submissions; `events` is a stream of (event_id, key, status, ts). One query of four stateful
+    operators, whose state Spark keeps and clears by the watermark. The deadline is cut into `slices`. An aggregate finds the
+    first final event of each key and slice. A submission is joined with the final events of its own slice and with the
+    first ones of the slices up to its deadline, so it meets at most `slices` + 1 rows besides those of its own slice; a last
+    aggregate takes the earliest. Equality on key and slice (or a stretch of slices) deals a key with very many events over
+    many tasks. Events behind the watermark are left out and counted in the stream's progress.
 
-        query = events.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)
-        return (query.trigger(availableNow=True) if available_now else query).start()
+    Events with the status `alive` (any key and id, not null) only move the watermark, so that an idle queue's submissions are
+    decided too. They pass every filter below, because Spark evaluates filters on other columns before it looks at event times.
+    """
+    whole = MICROS * int(deadline_sec)
+    width = -(-whole // slices)
+    stretch = width * (slices + 1)
+    marked = events.withWatermark("ts", lateness)
+    number = F.floor(F.unix_micros("ts") / width)
+    hit = F.when(F.col("status") != ALIVE, F.struct("ts", "event_id", "status"))
+    ends = marked.filter(F.col("status").isin(*TERMINAL_TASK_STATUSES, ALIVE))
+    starts = marked.filter(F.col("status").isin("submitted", ALIVE))
+    starts = starts.select("event_id", key, F.col("ts").alias("submitted_at"), F.col("status").alias("_word"))
+    of_start = F.floor(F.unix_micros("submitted_at") / width)
+    found = ["event_id", key, "submitted_at", "_word", "_hit"]
+
+    own = ends.select(F.col(key).alias("_key"), number.alias("_slice"), F.col("ts").alias("_ts"), hit.alias("_hit"))
+    within = F.expr(f"_ts >= submitted_at AND _ts < submitted_at + INTERVAL {width} MICROSECONDS")
+    near = starts.join(own, (F.col(key) == F.col("_key")) & (of_start == F.col("_slice")) & within).select(*found)
+
+    firsts = ends.groupBy(F.col(key).alias("_key"), F.window("ts", f"{width} microseconds").alias("_window")).agg(F.min(hit).alias("_hit"))
+    firsts = firsts.select(
+        "_key", F.window_time("_window").alias("_ts"), F.floor(F.unix_micros("_window.start") / width).alias("_slice"),
+        F.floor(F.unix_micros("_window.start") / stretch).alias("_stretch"), "_hit",
+    )
+    reached = F.array_distinct(F.array(*(F.floor((F.unix_micros("submitted_at") + F.lit(d)) / stretch) for d in (0, whole))))
+    spread = starts.withColumn("_reached", F.explode(reached))
+    within = F.expr(f"_ts >= submitted_at AND _ts < submitted_at + INTERVAL {whole + width} MICROSECONDS")
+    ahead = (F.col("_slice") > of_start) & (F.unix_micros("_hit.ts") < F.unix_micros("submitted_at") + whole)
+    far = spread.join(firsts, (F.col(key) == F.col("_key")) & (F.col("_reached") == F.col("_stretch")) & ahead & within).select(*found)
+
+    nothing = starts.withColumn("_hit", F.lit(None).cast("struct<ts:timestamp,event_id:long,status:string>"))
+    first = nothing.unionByName(near).unionByName(far).groupBy("event_id", key, "submitted_at")
+    first = first.agg(F.min("_hit").alias("_hit"), F.max("_word").alias("_word")).filter(F.col("_word") == "submitted")
+    return first.select(
+        "event_id", key, "submitted_at", F.coalesce("_hit.status", F.lit("timeout")).alias("status"), F.col("_hit.ts").alias("ended_at")
+    )

@@ -12,9 +12,9 @@ from mediacat.operators.tasks import task_deadline
 from mediacat.plans import ingestion
 from mediacat.sources.change_log import ChangeLog
 from mediacat.sources.change_log import put as put_rows
-from mediacat.streaming.deadlines import DeadlineTable, deadline_join
+from mediacat.streaming.deadlines import deadline_join, deadline_stream
 from mediacat.streaming.ingest import stream_files, stream_manifests
-from mediacat.streaming.sinks import progress_stream, upsert_stream
+from mediacat.streaming.sinks import late_rows, progress_stream, upsert_stream
 
 START = datetime(2024, 1, 1, tzinfo=timezone.utc)
 EVENTS = "event_id long, key string, status string, ts timestamp"
@@ -70,52 +70,56 @@ def random_events(n=500, seed=2):
     return sorted(rows, key=lambda r: r[3])
 
 
-def status_of(df):
-    return {r.event_id: r.status for r in df.collect()}
+def outcomes(spark, folder, deliveries, deadline_sec=1200, lateness="10 minutes", slices=16):
+    """All outcomes after each delivery, and the rows that were late."""
+    seen, late = [], 0
+    for rows in deliveries:
+        spark.createDataFrame(rows, EVENTS).write.mode("append").parquet(f"{folder}/events")
+        arriving = spark.readStream.schema(EVENTS).parquet(f"{folder}/events")
+        stream = deadline_stream(arriving, deadline_sec, lateness, "key", slices)
+        writer = stream.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/c")
+        query = writer.trigger(availableNow=True).start()
+        query.awaitTermination()
+        late += late_rows(query)
+        seen.append({r.event_id: (r.status, r.ended_at) for r in spark.read.schema(stream.schema).parquet(f"{folder}/out").collect()})
+    return seen, late
 
 
-def test_deadline_table_equals_batch_once_certain(spark, folder):
-    rows = random_events()
-    table = DeadlineTable(spark, folder, 1200, lateness_sec=600)
-    for batch in range(4):
-        table.add(spark.createDataFrame(rows[batch * 125 : (batch + 1) * 125], EVENTS), batch)
-    whole = status_of(task_deadline(spark.createDataFrame(rows, EVENTS), key="key"))
-    early = status_of(table.outcomes())
-    newest = rows[-1][3]
-    certain = {r[0] for r in rows if r[2] == "submitted" and r[3] + timedelta(seconds=2400 + 600) <= newest}
-    assert certain <= set(early) < set(whole)
-    assert early == {k: whole[k] for k in early}
-    table.add(spark.createDataFrame(rows[350:475], EVENTS), 3)  # an earlier batch comes again, with less in it
-    table.add(spark.createDataFrame(rows[375:], EVENTS), 3)
-    assert status_of(table.outcomes()) == early
-    table.add(spark.createDataFrame([], EVENTS), 4, final=True)
-    assert status_of(table.outcomes()) == whole
-    assert table.late_rows().first().late == 0
-
+def alive(*hours):
+    return [[(-h, "-", "alive", START + timedelta(hours=h))] for h in hours]
 
-def test_late_events_are_counted_and_left_out(spark, folder):
-    def at(sec):
-        return START + timedelta(seconds=sec)
 
-    table = DeadlineTable(spark, folder, 100, lateness_sec=10)
-    table.add(spark.createDataFrame([(1, "a", "submitted", at(0)), (2, "b", "submitted", at(995))], EVENTS), 0)
-    late = [(3, "a", "ready", at(50)), (4, "b", "ready", at(990)), (5, "b", "failed", at(1000))]
-    table.add(spark.createDataFrame(late, EVENTS), 1)
-    table.add(spark.createDataFrame([], EVENTS), 2, final=True)
-    assert status_of(table.outcomes()) == {1: "timeout", 2: "failed"}
-    assert table.late_rows().first().late == 1
+def test_deadline_stream_equals_batch(spark, folder):
+    rows = random_events()
+    deliveries = [rows[:170], rows[170:340], rows[340:], *alive(40)]
+    seen, late = outcomes(spark, folder, deliveries)
+    whole = {r.event_id: (r.status, r.ended_at) for r in task_deadline(spark.createDataFrame(rows, EVENTS), key="key").collect()}
+    assert seen[-1] == whole and late == 0
+    assert 0 < len(seen[2]) < len(whole) and all(early == {k: whole[k] for k in early} for early in seen)
+
+
+def test_a_hot_key_makes_no_pairs(spark, folder):
+    """4,000 submissions and ends of one key within the deadline: a submission meets its slice and one row for each other."""
+    rows = [(i, "hot", "submitted" if i % 2 else "ready", START + timedelta(milliseconds=250 * i)) for i in range(4000)]
+    spark.createDataFrame([*rows, *alive(40)[0]], EVENTS).write.parquet(f"{folder}/events")
+    stream = deadline_stream(spark.readStream.schema(EVENTS).parquet(f"{folder}/events"), 1200, "10 minutes", "key")
+    writer = stream.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/c")
+    query = writer.trigger(availableNow=True).start()
+    query.awaitTermination()
+    got = {r.event_id: r.status for r in spark.read.schema(stream.schema).parquet(f"{folder}/out").collect()}
+    assert got == {i: "ready" if i < 3999 else "timeout" for i in range(1, 4000, 2)}
+    state = max(op["numRowsTotal"] for report in query.recentProgress for op in report["stateOperators"])
+    assert state < 20_000  # rows of the input and of the slices, not their pairs (2,000 x 2,000)
 
 
-def test_older_events_within_the_lateness_count(spark, folder):
+def test_late_events_are_counted_and_left_out(spark, folder):
     def at(sec):
         return START + timedelta(seconds=sec)
 
-    table = DeadlineTable(spark, folder, 100, lateness_sec=600)
-    table.add(spark.createDataFrame([], EVENTS), 0)
-    table.add(spark.createDataFrame([(1, "a", "ready", at(10_000))], EVENTS), 1)
-    table.add(spark.createDataFrame([(2, "a", "submitted", at(9_500)), (3, "a", "failed", at(9_550))], EVENTS), 2)
-    table.add(spark.createDataFrame([(4, "b", "submitted", at(20_000))], EVENTS), 3)
-    assert status_of(table.outcomes()) == {2: "failed"}
+    first = [(1, "a", "submitted", at(0)), (2, "b", "submitted", at(995))]
+    late = [(3, "a", "ready", at(50)), (4, "b", "failed", at(1000))]
+    seen, dropped = outcomes(spark, folder, [first, late, *alive(40)], 100, "10 seconds")
+    assert {k: s for k, (s, _) in seen[-1].items()} == {1: "timeout", 2: "failed"} and dropped >= 1
 
 
 def test_deadline_join_equals_batch(spark, folder):
