@@ -1,6 +1,7 @@
 """Search, pages, packing, preference pairs and the pipeline."""
 
 import html as html_module
+import itertools
 import re
 
 import duckdb
@@ -181,6 +182,18 @@ def test_odd_pages(spark):
     assert html_wrapper.extract_articles(df.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("levels", [100, 255, 256, 257, 500, 5_000, 100_000])
+def test_deep_pages_keep_their_text(levels):
+    """Closed or not, below the last level of the tree or above: every text, in page order, and what is dropped stays dropped."""
+    page = "<article>" + "<div>" * levels + "<p>one<div class=x>two <b>bold</b></div>three<script>no</script>" + "</div>" * (levels // 2) + "four<nav>no<div>no</div>no</nav><p>five"
+    tree = html_wrapper.parse(page)
+    wrapper = html_wrapper.wrap(tree)
+    assert html_wrapper.article_text(tree, wrapper) == "one two bold three four five"
+    mixed = "<article>" + "".join(f"<{t}>{i} " for i, t in zip(range(levels), itertools.cycle(("div", "p", "ul", "li", "table", "span", "a"))))
+    text = html_wrapper.article_text(html_wrapper.parse(mixed), html_wrapper.wrap(html_wrapper.parse(mixed)))
+    assert text.split() == [str(i) for i in range(levels)]
+
+
 def test_wrapper_is_a_union_free_expression():
     pages = ["<body><nav>a</nav><h1>T</h1><p>1</p><p>2</p><footer>f</footer></body>", "<body><nav>a</nav><h1>U</h1><div>ad</div><p>3</p><footer>f</footer></body>"]
     one, two = (html_wrapper.wrap(html_wrapper.parse(p)) for p in pages)
