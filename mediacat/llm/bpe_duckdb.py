@@ -24,7 +24,7 @@ from mediacat.llm.common import slices, text_bytes
 
 RANKS = "byte_bpe_50k.tiktoken"
 BLOCK_CHARS = 1 << 20
-KNOWN_WORDS = 250_000
+KNOWN_WORDS = 600_000
 BATCH_ROWS = 400_000
 LONG_WORD = 256
 """Words above this many bytes contract all the pairs of the minimum rank in one step, leftmost first."""
@@ -116,6 +116,27 @@ class Words:
         self.known: dict[int, int] = {}
         self.coded: list[bytes] = []
         self.plain: list[bytes] = []
+        self.older: tuple[dict[int, int], list[bytes], list[bytes]] = {}, [], []
+
+    def age(self) -> None:
+        """Forget the older half of the known words; of the newer half those stay that are met again."""
+        older = self.known, self.coded, self.plain
+        self.clear()
+        self.older = older
+
+    def recall(self, hashes: list[int]) -> list[int]:
+        """Take over what the older half knows; returns the hashes that it does not know."""
+        known, coded, plain = self.older
+        missing = []
+        for h in hashes:
+            number = known.get(h)
+            if number is None:
+                missing.append(h)
+                continue
+            self.known[h] = len(self.coded)
+            self.coded.append(coded[number])
+            self.plain.append(plain[number])
+        return missing
 
     def contract(self, words: list[bytes]) -> Iterator[tuple[int, bytes, bytes]]:
         """Number, ids (little-endian, 32 bits) and decoded bytes of each word."""
@@ -285,10 +306,11 @@ def encode_block(words: Words, texts: list[str]) -> list[tuple[bytes, bytes]]:
     hashes = word_hashes(points, starts)
     distinct, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
     listed = distinct.tolist()
-    if len(words.known) > KNOWN_WORDS:
-        words.clear()
-    new = [i for i, h in enumerate(listed) if h not in words.known]
-    if new:
+    if len(words.known) > KNOWN_WORDS // 2:
+        words.age()
+    missing = set(words.recall([h for h in listed if h not in words.known]))
+    if missing:
+        new = [i for i, h in enumerate(listed) if h in missing]
         stops = np.append(starts[1:], len(points))
         at = first[new]
         words.learn([listed[i] for i in new], [whole[a:b].encode() for a, b in zip(starts[at].tolist(), stops[at].tolist())])
