@@ -35,6 +35,31 @@ def latency_quantiles(batch: DataFrame, *by: str) -> DataFrame:
     )
 
 
+SKETCH_K = 4096
+"""Size of a quantile sketch; at most some 50 kB, and exact as long as a group has no more rows than about this."""
+
+
+def latency_sketches(batch: DataFrame, *by: str, k: int = SKETCH_K) -> DataFrame:
+    """A mergeable quantile sketch (KLL) of the indexing latency per group, to be stored: `by`, videos, latencies.
+
+    However many rows a group has, a partial aggregate holds one sketch. With k = 4096 the rank of a quantile is off by less than
+    0.15 % of the rows with 99 % confidence (k = 200: 1.7 %).
+    """
+    known = batch.filter(F.col("indexing_latency_sec").isNotNull())
+    sketch = F.kll_sketch_agg_bigint(F.col("indexing_latency_sec").cast("long"), F.lit(k))
+    return known.groupBy(*by).agg(F.count(F.lit(1)).alias("videos"), sketch.alias("latencies"))
+
+
+def merged_quantiles(sketches: DataFrame, *by: str, k: int = SKETCH_K) -> DataFrame:
+    """Median, 90th and 99th percentile of any union of stored sketches, without reading a row of the batches."""
+    merged = sketches.groupBy(*by).agg(
+        F.sum("videos").alias("videos"), F.kll_merge_agg_bigint("latencies", F.lit(k)).alias("_all")
+    )
+    found = F.kll_sketch_get_quantile_bigint("_all", F.array(F.lit(0.5), F.lit(0.9), F.lit(0.99)))
+    names = ("p50_sec", "p90_sec", "p99_sec")
+    return merged.withColumn("_found", found).select(*by, "videos", *(F.col("_found")[i].alias(n) for i, n in enumerate(names)))
+
+
 def manifest_stats(records: DataFrame, *by: str) -> DataFrame:
     """Records and JSON bytes a manifest of these rows holds."""
     columns = [f for f in records.schema.fields if f.name not in by]

@@ -102,6 +102,23 @@ def latency_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.latency_quantiles(batch_metadata.transform(views.raw_metadata(spark, sf_dir)), "status_normalized")
 
 
+@query(
+    "A8",
+    sql=with_views(
+        f"""SELECT source, count(*) AS videos, quantile_disc(indexing_latency_sec::BIGINT, 0.5) AS p50_sec,
+        quantile_disc(indexing_latency_sec::BIGINT, 0.9) AS p90_sec, quantile_disc(indexing_latency_sec::BIGINT, 0.99) AS p99_sec
+        FROM ({_TRANSFORM}) WHERE indexing_latency_sec IS NOT NULL AND day(created_at_ts::TIMESTAMP) BETWEEN 2 AND 20 GROUP BY source""",
+        "raw_metadata",
+    ),
+)
+def latency_over_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latencies per source over a range of days, from sketches that are stored per day and source."""
+    folder = run_dir(spark, "sketches")
+    batch = batch_metadata.transform(views.raw_metadata(spark, sf_dir)).withColumn("day", F.dayofmonth("created_at_ts"))
+    reports.latency_sketches(batch, "day", "source").write.partitionBy("day").parquet(folder)
+    return reports.merged_quantiles(spark.read.parquet(folder).filter(F.col("day").between(2, 20)), "source")
+
+
 @query("P16", sql=with_views(_TRANSFORM, "raw_metadata"))
 def drop_null_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A column without any value is left out again."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +21,8 @@ from mediacat.sources import manifests
 from mediacat.sources.change_log import ChangeLog, put
 from mediacat.streaming.deadlines import ALIVE, deadline_join, deadline_stream
 from mediacat.streaming.ingest import stream_listing, stream_manifests
-from mediacat.streaming.sinks import late_rows, progress_stream, upsert_stream
+from mediacat.streaming import windows
+from mediacat.streaming.sinks import DroppedRows, counts_stream, latest_counts, progress_stream, running_counts, upsert_stream
 
 NOW = "2024-12-31 00:00:00"
 LATER = "2024-12-31 01:00:00"
@@ -156,16 +157,18 @@ def late_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Half of the events come after the other half; those behind its watermark are left out and counted."""
     folder = run_dir(spark, "late")
     events = views.task_events(spark, sf_dir).select("event_id", "ts", "status")
-    late = 0
+    dropped = DroppedRows(spark, f"{folder}/dropped")
+    spark.streams.addListener(dropped)
     for odd in (0, 1):
         events.filter(F.col("event_id") % 2 == odd).write.mode("append").parquet(f"{folder}/events")
         arriving = spark.readStream.schema(events.schema).parquet(f"{folder}/events").withWatermark("ts", "12 hours")
         writer = arriving.dropDuplicates(["event_id", "ts"]).writeStream.format("parquet").option("path", f"{folder}/out")
         stream = writer.option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
         _finish(stream)
-        late += late_rows(stream)
+    late = dropped.total(stream)
+    spark.streams.removeListener(dropped)
     kept = spark.read.schema(events.schema).parquet(f"{folder}/out").agg(F.count(F.lit(1)).alias("kept"))
-    return kept.withColumn("late", F.lit(late).cast("long"))
+    return kept.withColumn("late", F.lit(late.first()["late"]).cast("long"))
 
 
 @query("T4", "K2", "S8", sql=with_views(_REPLACED, "catalog", "updates", ctes=_LATEST))
@@ -183,6 +186,65 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return current.withColumns({c: time_text(c) for c in ("created_at", "updated_at")})
 
 
+def _windowed(spark: SparkSession, sf_dir: str, label: str, over: Callable[[DataFrame], DataFrame], key: str) -> DataFrame:
+    """What a windowed stream gives of all task events, in two deliveries and a sign of life."""
+    folder = run_dir(spark, label)
+    events = views.task_events(spark, sf_dir).select(F.col("user_id").alias(key), "status", "ts")
+    for delivery in (*_in_order(events, "ts", parts=2), _alive(events, 2)):
+        delivery.write.mode("append").parquet(f"{folder}/events")
+        arriving = spark.readStream.schema(events.schema).parquet(f"{folder}/events")
+        found = _to_parquet(over(arriving), folder)
+    return found
+
+
+@query(
+    "A8", "T6",
+    sql=with_views(
+        """SELECT strftime(time_bucket(INTERVAL 6 HOURS, ts, TIMESTAMP '1970-01-01'), '%Y-%m-%d %H:%M:%S') AS start, status, count(*) AS events
+        FROM task_events GROUP BY ALL""",
+        "task_events",
+    ),
+)
+def stream_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events per status in tumbling windows of six hours."""
+    found = _windowed(spark, sf_dir, "windows", lambda e: windows.status_windows(e, "6 hours"), "task_id")
+    return found.filter(F.col("status") != ALIVE).select(time_text("start").alias("start"), "status", "events")
+
+
+@query(
+    "A8", "T6",
+    sql=with_views(
+        """SELECT task_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS start, count(*) AS events, count(*) FILTER (status = 'failed') AS failed FROM (
+            SELECT *, sum(opens) OVER (PARTITION BY task_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS island FROM (
+                SELECT user_id AS task_id, status, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) <= INTERVAL 12 HOURS
+                    THEN 0 ELSE 1 END AS opens FROM task_events))
+        GROUP BY task_id, island""",
+        "task_events",
+    ),
+)
+def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions of each user's tasks: events with at most twelve hours between them."""
+    found = _windowed(spark, sf_dir, "sessions", lambda e: windows.task_sessions(e, "12 hours"), "task_id")
+    return found.filter(F.col("task_id") != -1).select("task_id", time_text("start").alias("start"), "events", "failed")
+
+
+@query(
+    "T5", "A4",
+    sql=f"""WITH {_RESULTS} SELECT run_id, count(*) AS done, count(*) FILTER (status <> 'embedded') AS failed, count(*) AS total, 100.0::DOUBLE AS percent
+        FROM results GROUP BY run_id""",
+)
+def stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running counts of each run while its items arrive in three deliveries; the last row of each run."""
+    folder = run_dir(spark, "counts")
+    items = _results(spark, sf_dir).select("run_id", "item_id", "status", "finished_at")
+    planned = items.groupBy("run_id").agg(F.count(F.lit(1)).alias("total"))
+    for delivery in _in_order(items, "finished_at"):
+        delivery.write.mode("append").parquet(f"{folder}/items")
+        arriving = spark.readStream.schema(items.schema).parquet(f"{folder}/items")
+        _finish(counts_stream(running_counts(arriving, planned), f"{folder}/out", f"{folder}/checkpoint"))
+    return latest_counts(spark, f"{folder}/out")
+
+
 @query("T5", sql=f"WITH {_RESULTS} SELECT run_id, item_id, status FROM results WHERE status <> 'embedding'")
 def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Finished items, passed on as they come."""
