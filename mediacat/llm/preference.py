@@ -71,20 +71,22 @@ def next_ids(conversations: DataFrame) -> DataFrame:
     """
     ranged = written(conversations.select("conv_id").distinct().repartitionByRange("conv_id").withColumn("slice", F.spark_partition_id()), "conversation-ids")
     slices = ranged.groupBy("slice").agg(F.min("conv_id").alias("first"))
-    following = slices.select("slice", F.lead("first").over(Window.orderBy("slice")).alias("following"))
+    in_turn = Window.orderBy("slice")
+    around = F.coalesce(F.lead("first").over(in_turn), F.min("first").over(in_turn))
+    following = slices.select("slice", around.alias("following"))
     inside = F.lead("conv_id").over(Window.partitionBy("slice").orderBy("conv_id"))
     return (
         ranged.withColumn("inside", inside).join(F.broadcast(following), "slice")  # one row per range
-        .select("conv_id", F.coalesce("inside", "following").alias("next_id")).where("next_id IS NOT NULL")
+        .select("conv_id", F.coalesce("inside", "following").alias("next_id")).where("next_id <> conv_id")
     )
 
 
 def swapped_endings(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Pairs from plain conversations: a conversation as it is, and with the text of its last assistant turn replaced by
-    the last assistant turn of the next conversation: the one with the next higher id in the table, however far.
+    the last assistant turn of the next conversation that has one: the next higher such id in the table, however far, and after
+    the last the first again.
 
-    A conversation without an assistant turn, one whose next has none, and the last one make no pair. The SQL of the query
-    knows the next conversation by its id plus one, which is the same where ids have no gaps.
+    A conversation without an assistant turn makes no pair, nor does one that is alone in having one.
     """
     rows = written(turns(conversations), "turns")
     last = (
@@ -92,7 +94,7 @@ def swapped_endings(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
         .select("conv_id", F.col("at.turn").alias("turn"), F.col("at.again").alias("again"))
     )
     answers = written(rows.join(last, ["conv_id", "turn", "again"]).select("conv_id", "turn", "again", F.col("text").alias("answer")), "answers")
-    given = answers.join(next_ids(rows).select(F.col("conv_id").alias("pair_id"), F.col("next_id").alias("conv_id")), "conv_id").select("pair_id", "answer")
+    given = answers.join(next_ids(answers).select(F.col("conv_id").alias("pair_id"), F.col("next_id").alias("conv_id")), "conv_id").select("pair_id", "answer")
     swap = written(
         answers.select(F.col("conv_id").alias("pair_id"), F.col("turn").alias("last_turn"), F.col("again").alias("last_again")).join(given, "pair_id"),
         "swaps",

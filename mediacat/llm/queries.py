@@ -119,11 +119,13 @@ WITH t AS (
 ), a AS (
   SELECT conv_id, turn AS last_turn, again AS last_again, text AS answer FROM t WHERE role = 'assistant'
   QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, again DESC) = 1
+), n AS (
+  SELECT conv_id, coalesce(lead(conv_id) OVER (ORDER BY conv_id), first_value(conv_id) OVER (ORDER BY conv_id)) AS next_id FROM a
 ), p AS (
   SELECT t.conv_id AS pair_id, t.turn, t.again, t.role, t.text, b.answer,
          (t.turn, t.again) = (a.last_turn, a.last_again) AS is_last,
          t.turn < a.last_turn OR (t.turn = a.last_turn AND t.again <= a.last_again) AS up_to_last
-  FROM t JOIN a USING (conv_id) JOIN a b ON b.conv_id = a.conv_id + 1
+  FROM t JOIN a USING (conv_id) JOIN n USING (conv_id) JOIN a b ON b.conv_id = n.next_id AND n.next_id <> n.conv_id
 ), split AS (
   SELECT pair_id, min((turn, again)) AS at FROM p
   WHERE (is_last AND text <> answer) OR NOT up_to_last GROUP BY pair_id

@@ -290,20 +290,25 @@ def test_odd_conversations(spark):
     rows = [(1, 0, "user", "a"), (1, 0, "user", "a"), (1, 1, "assistant", "b"), (1, None, "user", "c"), (None, 0, "user", "d"), (2, 5, None, None), (2, 7, "assistant", None), (3, 0, "user", "e")]
     df = spark.createDataFrame([(*r, "z", "z", "z") for r in rows], schema)
     got = [tuple(r)[:5] for r in preference.preference_turns(*preference.swapped_endings(df)).collect()]
-    assert sorted(got) == [(1, "chosen", 1, 0, "assistant"), (1, "prompt", 0, 0, "user"), (1, "prompt", 0, 1, "user"), (1, "rejected", 1, 0, "assistant")]
+    want = [(1, "chosen", 1, 0, "assistant"), (1, "prompt", 0, 0, "user"), (1, "prompt", 0, 1, "user"), (1, "rejected", 1, 0, "assistant")]
+    want += [(2, "chosen", 7, 0, "assistant"), (2, "prompt", 5, 0, None), (2, "rejected", 7, 0, "assistant")]
+    assert sorted(got, key=str) == sorted(want, key=str)
     assert preference.preference_turns(*preference.swapped_endings(df.limit(0))).collect() == []
 
 
 def test_next_conversation_across_gaps(spark):
-    """3,000 even ids over many ranges, a conversation without an answer and ids at both ends of the type."""
+    """3,000 even ids over many ranges, conversations without an answer and ids at both ends of the type."""
     least, most = -(2**63), 2**63 - 1
     ids = [least, *range(0, 6000, 2), 10**12, most - 5, most]
-    silent = {40, 10**12}
+    silent = {40, 10**12, most}
     rows = [(i, 0, "user", f"ask {i}") for i in ids] + [(i, 1, "assistant", f"answer {i}") for i in ids if i not in silent]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(7)
-    assert sorted(tuple(r) for r in preference.next_ids(df).collect()) == list(zip(ids, ids[1:]))
+    assert sorted(tuple(r) for r in preference.next_ids(df).collect()) == list(zip(ids, [*ids[1:], ids[0]]))
+    speakers = [i for i in ids if i not in silent]
     got = {r["pair_id"]: r["text"] for r in preference.preference_turns(*preference.swapped_endings(df)).where("part = 'rejected'").collect()}
-    want = {a: f"<|assistant|>\nanswer {b}<|end|>\n" for a, b in zip(ids, ids[1:]) if not {a, b} & silent}
+    want = {a: f"<|assistant|>\nanswer {b}<|end|>\n" for a, b in zip(speakers, [*speakers[1:], speakers[0]])}
+    alone = df.where("conv_id in (40, 42)")
+    assert preference.preference_turns(*preference.swapped_endings(alone)).collect() == []
     assert got == want
 
 
