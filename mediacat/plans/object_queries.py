@@ -17,6 +17,7 @@ from mediacat.plans.views import time_text, with_views
 from mediacat.session import run_dir
 from mediacat.sources import manifests
 from mediacat.sources import objects as so
+from mediacat.sources.listing_source import ObjectListing
 
 NOW = "2024-12-31 00:00:00"
 
@@ -70,6 +71,24 @@ def list_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return by_folder.agg((F.sum("size_bytes") > 0).alias("filled"))
 
 
+@query(
+    "S2",
+    sql="""SELECT 'source=' || source || '/lang=' || lang AS folder, 'video/mp2t' AS content_type, true AS filled
+        FROM documents GROUP BY ALL""",
+)
+def list_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same files, listed by tasks: one partition per folder below the root."""
+    folder = run_dir(spark, "prefixes")
+    rows = views.table(spark, sf_dir, "documents").select("source", "lang", "text")
+    rows.write.partitionBy("source", "lang").parquet(folder)
+    spark.dataSource.register(ObjectListing)
+    listed = spark.read.format("object_listing").options(root=folder, bucket="raw").load()
+    inside = F.concat(F.regexp_extract("s3_key", r"^(.*)/[^/]*$", 1), F.lit(".ts"))
+    named = so.list_objects(listed.withColumn("s3_key", inside))
+    by_folder = named.groupBy(F.regexp_replace("s3_key", r"\.ts$", "").alias("folder"), "content_type")
+    return by_folder.agg((F.sum("size_bytes") > 0).alias("filled"))
+
+
 def _requested(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A request for every labelled document; the toxic ones are asked for by a key that does not exist."""
     labels = views.table(spark, sf_dir, "labels")

@@ -19,7 +19,9 @@ from mediacat.schemas import OBJECT_LISTING, TASK_EVENTS
 from mediacat.session import run_dir
 from mediacat.sources import manifests
 from mediacat.sources.change_log import ChangeLog, put
+from mediacat.sources.listing_source import ObjectListing
 from mediacat.streaming.deadlines import ALIVE, deadline_join, deadline_stream
+from mediacat.sources.task_events import final_states, first_deliveries
 from mediacat.streaming.ingest import stream_listing, stream_manifests
 from mediacat.streaming import windows
 from mediacat.streaming.sinks import DroppedRows, counts_stream, latest_counts, progress_stream, running_counts, upsert_stream
@@ -70,6 +72,24 @@ def stream_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("last_modified", time_text("last_modified"))
 
 
+@query(
+    "T1", "S2",
+    sql="""SELECT 'source=' || source || '/delivery=' || (doc_id % 2 + 1) || '/lang=' || lang AS folder, true AS filled
+        FROM documents GROUP BY ALL""",
+)
+def stream_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Objects below many prefixes as they come: a first delivery is listed, the stream stops, and goes on behind the last keys."""
+    folder = run_dir(spark, "prefixes")
+    spark.dataSource.register(ObjectListing)
+    docs = views.table(spark, sf_dir, "documents").select("source", (F.col("doc_id") % 2 + 1).alias("delivery"), "lang", "text")
+    for delivery in (1, 2):
+        docs.filter(F.col("delivery") == delivery).write.mode("append").partitionBy("source", "delivery", "lang").parquet(f"{folder}/raw")
+        arriving = spark.readStream.format("object_listing").options(root=f"{folder}/raw", bucket="raw").load()
+        found = _to_parquet(arriving, folder)
+    inside = F.regexp_extract("s3_key", r"^(.*)/[^/]*$", 1).alias("folder")
+    return found.groupBy(inside).agg((F.sum("size_bytes") > 0).alias("filled"))
+
+
 @query(
     "T2", "K7", "K9", "Q6",
     sql=with_views(
@@ -186,6 +206,28 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return current.withColumns({c: time_text(c) for c in ("created_at", "updated_at")})
 
 
+@query(
+    "S9", "T6",
+    sql=with_views(
+        """SELECT user_id::VARCHAR AS task_id, arg_min(status, ts) AS status, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS ended_at, count(*) AS events
+        FROM task_events WHERE status IN ('ready', 'failed') GROUP BY user_id""",
+        "task_events",
+    ),
+)
+def stream_task_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Task events of which every other one is delivered twice; then the final row of each task."""
+    folder = run_dir(spark, "states")
+    events = views.task_events(spark, sf_dir).select(
+        F.col("user_id").cast("string").alias("task_id"), F.concat(F.lit("v"), "user_id").alias("video_id"), "status", "ts", "event_id"
+    )
+    for delivery in _in_order(events, "ts"):
+        again = delivery.filter(F.col("event_id") % 2 == 0)
+        delivery.unionByName(again).drop("event_id").write.mode("append").parquet(f"{folder}/in")
+        arriving = spark.readStream.schema(TASK_EVENTS).parquet(f"{folder}/in")
+        log = _to_parquet(first_deliveries(arriving, "1 hour"), folder)
+    return final_states(log).drop("video_id").withColumn("ended_at", time_text("ended_at"))
+
+
 def _windowed(spark: SparkSession, sf_dir: str, label: str, over: Callable[[DataFrame], DataFrame], key: str) -> DataFrame:
     """What a windowed stream gives of all task events, in two deliveries and a sign of life."""
     folder = run_dir(spark, label)
