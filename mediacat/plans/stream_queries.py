@@ -347,6 +347,8 @@ def ingestion_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = log.unionByName(event(again, "a", nothing, F.lit("failed"), after(-3500)))
     log = log.unionByName(event(ended, "t", video, word, after(F.when(n % 5 == 2, 1200).otherwise(600))))
     log = log.unionByName(event(known.filter(waits & (n % 17 != 0) & (n % 2 == 0)), "t", video, F.lit("ready"), after(900)))
+    log.write.parquet(f"{folder}/log")  # the log is a stored table, which every batch reads
+    log = spark.read.schema(log.schema).parquet(f"{folder}/log")
     for index in ("idx_0", "idx_1", "idx_2", "idx_3"):
         queued = valid.filter(F.col("index_id") == index).drop("size_corrected")
         manifests.write_manifest(queued, f"{folder}/pending", index)
