@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import warnings
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -84,19 +85,15 @@ def run_metrics(summary: DataFrame, run_id: str) -> DataFrame:
     return summary.select(F.lit(run_id).alias("run_id"), metrics)
 
 
-def _has_run(summary: DataFrame, run_id: str, path: str) -> bool:
-    try:
-        return not summary.sparkSession.read.parquet(path).filter(F.col("run_id") == run_id).isEmpty()
-    except AnalysisException:  # nothing is stored yet
-        return False
-
-
 def append_run_metrics(summary: DataFrame, run_id: str, path: str) -> bool:
-    """Append the metric rows, once for each run id. A failure is not fatal to the run: it returns False."""
+    """Store the metric rows in the run's own partition, which a repeat overwrites, so they count once whoever writes first.
+
+    A failure is reported as a warning and not fatal to the run that the metrics describe: it returns False.
+    """
     try:
-        if _has_run(summary, run_id, path):
-            return True
-        run_metrics(summary, run_id).coalesce(1).write.mode("append").parquet(path)
-    except Exception:  # noqa: BLE001 - metrics must not stop the run that they describe
+        writer = run_metrics(summary, run_id).coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("run_id").parquet(path)
+    except Exception as error:  # noqa: BLE001 - whatever it is, the run goes on
+        warnings.warn(f"metrics of run {run_id} are not stored: {error}", stacklevel=2)
         return False
     return True

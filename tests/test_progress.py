@@ -4,6 +4,7 @@ import math
 import random
 from datetime import datetime, timedelta, timezone
 
+import pytest
 from pyspark.sql import functions as F
 
 from mediacat.operators import reports
@@ -107,3 +108,14 @@ def test_running_counts_end_where_the_batch_ends(spark, folder):
         last = {r.run_id: r for r in latest_counts(spark, f"{folder}/out").collect()}
         assert all(whole[r.run_id, r.done] == (r.failed, r.total, r.percent) for r in last.values())  # each is a step of the run
     assert all(math.isclose(r.percent, 100.0) and r.done == r.total for r in last.values()) and len(last) == 3
+
+
+def test_run_metrics_count_once_and_faults_are_told(spark, folder):
+    summary = spark.createDataFrame([(3, 1)], "success long, failed long")
+    for run_id in ("run-1", "a/b", "run-1", "run-1"):
+        assert reports.append_run_metrics(summary, run_id, folder)
+    stored = sorted((r.run_id, r.metric, r.value) for r in spark.read.parquet(folder).collect())
+    assert stored == [(i, m, v) for i in ("a/b", "run-1") for m, v in (("EmbeddingsFailed", 1), ("EmbeddingsGenerated", 3))]
+    with pytest.warns(UserWarning, match="run-2"):
+        assert not reports.append_run_metrics(summary.drop("failed").withColumn("failed", F.raise_error(F.lit("no count")).cast("long")), "run-2", folder)
+    assert spark.read.parquet(folder).count() == 4
