@@ -218,6 +218,21 @@ def test_words_that_share_a_hash(words, monkeypatch):
     words.clear()
 
 
+def test_words_are_forgotten_and_met_again(words, monkeypatch):
+    """Ages of 20 words: the older half is taken over when met again, else worked out anew."""
+    monkeypatch.setattr(bpe_duckdb, "KNOWN_WORDS", 40)
+    words.clear()
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=words.ranks, special_tokens={})
+    learnt = []
+    monkeypatch.setattr(words, "learn", lambda hashes, new, learn=words.learn: (learnt.extend(new), learn(hashes, new))[1])
+    for k in (0, 5, 10, 15, 20, 25, 100, 10, 10):
+        text = " ".join(f"wörd{i}" for i in range(k, k + 25))
+        (coded, plain), = bpe_duckdb.encode_block(words, [text])
+        assert np.frombuffer(coded, "<u4").tolist() == library.encode_ordinary(text) and plain == text.encode()
+    assert len(words.known) <= 80 and learnt.count(" wörd".encode()) < 9
+    words.clear()
+
+
 def test_documents_round_trip(spark, docs, words):
     library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=words.ranks, special_tokens={})
     odd = util.odd_documents(spark)
