@@ -6,14 +6,15 @@
    anchors to hash buckets and learns which occur elsewhere.
 3. Those anchors are sent again with the bytes around them that a window through the anchor can reach, equal contexts
    of a chunk once with their smallest id. A bucket sorts the suffixes that begin at the anchors, and the reversed
-   prefixes before them, deep-shallow: by 8-byte characters to a shallow depth, then blind tries for what still agrees. The
-   shallow phase is NumPy's sort of the first character and of the next ones among ties, in place of multikey quicksort. From the longest common prefixes of neighbours follow the classes of equal windows at every
+   prefixes before them, deep-shallow: multikey quicksort by 8-byte characters to a shallow depth, then blind tries for what
+   still agrees. From the longest common prefixes of neighbours follow the classes of equal windows at every
    offset, and of each class the smallest id. Bytes decide, never hashes.
-4. Every context gets back one bit per window; the chunk marks the bytes.
+4. A gram that stands more than `HOT_ROWS` times is dealt by chunk over as many salts as it takes. Each salt is resolved like
+   a bucket; the windows for which a salt knows no smaller id, at most a few per salt where texts agree, meet by their bytes
+   and learn the smallest id of all salts.
+5. Every context gets back one bit per window; the chunk marks the bytes.
 
-Contexts that lie wholly inside a hot passage leave a chunk once. Those of anchors near its edges also hold bytes of their
-own documents and leave it once per document, and one bucket takes all contexts of a gram: with a passage in very many
-documents a task grows with their number. Nothing passes the driver but one byte count.
+Nothing passes the driver but one byte count. A text stays in one chunk, however long it is.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mediacat.llm.common import flat, ids, slices, text_bytes, written
@@ -36,6 +37,8 @@ SHALLOW_WORDS = 4
 CHUNK_BYTES = 4 << 20
 BUCKET_BYTES = 12 << 20
 BLOCK = 1 << 17
+HOT_ROWS = 1 << 14
+SALT_BITS = 24
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -55,6 +58,19 @@ def _sliding(x: np.ndarray, width: int, pick: np.ufunc) -> np.ndarray:
     return pick(x[:-rest], x[rest:]) if rest else x
 
 
+def _gram_hashes(head: np.ndarray, tail: np.ndarray) -> np.ndarray:
+    """Hashes of grams by their two 8-byte words."""
+    h = (head * np.uint64(0x9E3779B97F4A7C15)) ^ (tail * np.uint64(0xC2B2AE3D27D4EB4F))
+    h ^= h >> np.uint64(29)
+    return h * np.uint64(0xFF51AFD7ED558CCD)
+
+
+def _gram_ranks(grams: np.ndarray) -> np.ndarray:
+    """What the least gram of a window is chosen by, for byte rows [n, GRAM]."""
+    words = np.ascontiguousarray(grams).view("<u8")
+    return (_gram_hashes(words[:, 0], words[:, 1]) >> np.uint64(32)).astype(np.uint32)
+
+
 def find_anchors(data: np.ndarray, ends: np.ndarray, span: int = SPAN) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Positions, 64-bit gram hashes and document numbers of the anchors. ends: offsets of the documents in `data`."""
     windows = span - GRAM + 1
@@ -68,9 +84,7 @@ def find_anchors(data: np.ndarray, ends: np.ndarray, span: int = SPAN) -> tuple[
             break  # shorter than one span
         part = data[low : high + GRAM - 1]
         words = np.ndarray((len(part) - 7,), "<u8", buffer=part, strides=(1,)).copy()
-        h = (words[:-8] * np.uint64(0x9E3779B97F4A7C15)) ^ (words[8:] * np.uint64(0xC2B2AE3D27D4EB4F))
-        h ^= h >> np.uint64(29)
-        h *= np.uint64(0xFF51AFD7ED558CCD)
+        h = _gram_hashes(words[:-8], words[8:])
         order = (h >> np.uint64(32)).astype(np.uint32)
         least = _sliding(order, windows, np.minimum)
         edge = np.zeros(windows - 1, np.uint32)
@@ -134,31 +148,51 @@ def blind_trie_order(strings: list[bytes]) -> list[list[int]]:
     return out
 
 
+def multikey_quicksort(words: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order of rows [n, width] by their first `depth` words, and where a row differs from the one before it.
+
+    Every group of rows that agree on the words before its own depth is parted by a pivot word into less, equal and greater;
+    the equal part goes on with the next word, the others with the same one. All groups are parted in one pass.
+    """
+    n = len(words)
+    order, fresh = np.arange(n), np.zeros(n, bool)
+    fresh[:1] = True
+    pick = np.random.default_rng(11)
+    at, sizes, level = np.arange(n), np.array([n]), np.zeros(1, np.int64)
+    if n < 2 or depth < 1:
+        return order, fresh
+    while len(at):
+        starts, group = np.cumsum(sizes) - sizes, np.repeat(np.arange(len(sizes)), sizes)
+        members = order[at]
+        word = words[members, level[group]]
+        one, two, three = (word[starts + (pick.random(len(sizes)) * sizes).astype(np.int64)] for _ in range(3))
+        pivot = np.maximum(np.minimum(one, two), np.minimum(np.maximum(one, two), three))[group]
+        side = (word >= pivot).astype(np.int8) + (word > pivot)
+        counts = np.bincount(group * 3 + side, minlength=3 * len(sizes)).reshape(-1, 3)
+        begin = (np.cumsum(counts) - counts.ravel()).reshape(-1, 3)
+        parted = np.empty_like(members)
+        for k in range(3):
+            mine = np.flatnonzero(side == k)
+            of = group[mine]
+            parted[begin[of, k] + np.arange(len(mine)) - (np.cumsum(counts[:, k]) - counts[:, k])[of]] = members[mine]
+        order[at] = parted
+        fresh[at[begin[counts > 0]]] = True
+        deeper = (level[:, None] + np.array([0, 1, 0])).ravel()
+        sizes = counts.ravel()
+        goes_on = (sizes > 1) & (deeper < depth)
+        at = at[np.repeat(goes_on, sizes)]
+        sizes, level = sizes[goes_on], deeper[goes_on]
+    return order, fresh
+
+
 def deep_shallow(rows: np.ndarray, shallow_words: int = SHALLOW_WORDS) -> tuple[np.ndarray, np.ndarray]:
     """Sort byte rows [n, length]; the order and the longest common prefix of each row with the one before it (first: 0)."""
     n, length = rows.shape
     wide = np.zeros((n, -(-length // 8) * 8), np.uint8)
     wide[:, :length] = rows
     words = wide.view(">u8").astype(np.uint64)
-    order = np.argsort(words[:, 0], kind="stable")
-    fresh = np.ones(n, bool)
-    fresh[1:] = words[order[1:], 0] != words[order[:-1], 0]
-
-    def tied() -> np.ndarray:
-        last = np.append(fresh[1:], True)
-        return np.flatnonzero(~(fresh & last))
-
-    for depth in range(1, min(shallow_words, words.shape[1])):
-        at = tied()
-        if not len(at):
-            break
-        members, group = order[at], np.cumsum(fresh)[at]
-        members = members[np.lexsort((words[members, depth], group))]
-        order[at] = members
-        new = np.ones(len(at), bool)
-        new[1:] = words[members[1:], depth] != words[members[:-1], depth]
-        fresh[at] |= new
-    at = tied()
+    order, fresh = multikey_quicksort(words, min(shallow_words, words.shape[1]))
+    at = np.flatnonzero(~(fresh & np.append(fresh[1:], True)))
     if len(at) and shallow_words < words.shape[1]:
         group = np.cumsum(fresh)[at]
         starts = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
@@ -211,21 +245,29 @@ def _equal_to_last(rows: np.ndarray) -> np.ndarray:
 
 
 class Contexts:
-    """The candidate anchors of one chunk: equal contexts are one entry, entries are ordered by bucket."""
+    """The candidate anchors of one chunk: equal contexts are one entry, entries are ordered by route.
 
-    def __init__(self, data: np.ndarray, ends: np.ndarray, doc_ids: np.ndarray, bits: dict[int, bytes], buckets: int, span: int):
+    A route is a bucket and a salt: 0, or for a hot gram one from 1 on, by the chunk.
+    """
+
+    def __init__(self, data: np.ndarray, ends: np.ndarray, doc_ids: np.ndarray, bits: dict[int, tuple[bytes, bytes]], buckets: int, span: int, chunk: int):
         left, reach = span - GRAM, 2 * span - GRAM
         place, hashed, doc = find_anchors(data, ends, span)
         distinct, inverse, count = np.unique(hashed, return_inverse=True, return_counts=True)
         wanted = count > 1
         bucket = _bucket(distinct, buckets)
-        for number, packed in bits.items():
+        route = bucket << SALT_BITS
+        for number, (packed, salts) in bits.items():
             a, b = np.searchsorted(bucket, (number, number + 1))
             wanted[a:b] |= np.unpackbits(np.frombuffer(packed, np.uint8), count=b - a).astype(bool)
+            if salts:
+                parts = np.frombuffer(salts, np.uint32).astype(np.uint64)
+                dealt = _mix(distinct[a:b] ^ np.uint64(chunk)) % np.maximum(parts, np.uint64(1))
+                route[a:b] += np.where(parts > 0, dealt + np.uint64(1), np.uint64(0)).astype(np.int64)
         chosen = wanted[inverse] if len(place) else np.zeros(0, bool)
         self.place, doc = place[chosen], doc[chosen]
         self.doc_id = doc_ids[doc]
-        of_bucket = bucket[inverse[chosen]] if len(place) else np.zeros(0, np.int64)
+        of_route = route[inverse[chosen]] if len(place) else np.zeros(0, np.int64)
         before = np.minimum(self.place - ends[doc], left)
         after = np.minimum(ends[doc + 1] - self.place, span)
         padded = np.concatenate((np.zeros(left, np.uint8), data, np.zeros(span, np.uint8)))
@@ -236,13 +278,13 @@ class Contexts:
             rows[i, : left - before[i]] = 0
             rows[i, left + after[i] : reach] = 0
         rows[:, reach], rows[:, reach + 1] = before, after
-        order = np.lexsort((_row_hashes(rows), of_bucket))
-        rows, of_bucket = rows[order], of_bucket[order]
+        order = np.lexsort((_row_hashes(rows), of_route))
+        rows, of_route = rows[order], of_route[order]
         new = ~_equal_to_last(rows)
         self.entry = np.empty(len(order), np.int64)
         self.entry[order] = np.cumsum(new) - 1
         first = np.flatnonzero(new)
-        self.rows, self.bucket = rows[first], of_bucket[first]
+        self.rows, self.route = rows[first], of_route[first]
         self.least = np.minimum.reduceat(self.doc_id[order], first) if len(first) else np.empty(0, np.int64)
         self.before, self.after = before, after
 
@@ -279,6 +321,27 @@ def window_bits(rows: np.ndarray, doc_ids: np.ndarray, span: int = SPAN) -> np.n
     return bits
 
 
+def open_windows(rows: np.ndarray, bits: np.ndarray, span: int = SPAN) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Contexts, places s and bytes of the windows that name the gram of their context and have no bit.
+
+    A window lies in the contexts of all grams it holds; of these it names the ones with the least hash, and so do equal windows.
+    """
+    left, reach = span - GRAM, 2 * span - GRAM
+    before, after = rows[:, reach].astype(np.int64), rows[:, reach + 1].astype(np.int64)
+    ranks = np.stack([_gram_ranks(rows[:, i : i + GRAM]) for i in range(reach - GRAM + 1)], axis=1)
+    own = ranks[:, left]
+    back, ahead = np.minimum.accumulate(ranks[:, left::-1], axis=1), np.minimum.accumulate(ranks[:, left:], axis=1)
+    contexts, places, windows = [], [], []
+    for s in range(left + 1):
+        named = (back[:, left - s] >= own) & (ahead[:, s] >= own)
+        unset = (bits >> np.uint64(s)) & np.uint64(1) == 0
+        at = np.flatnonzero(named & unset & (before >= left - s) & (after >= s + GRAM))
+        contexts.append(at)
+        places.append(np.full(len(at), s))
+        windows.append(rows[at, s : s + span])
+    return np.concatenate(contexts), np.concatenate(places), np.concatenate(windows)
+
+
 def _pack(column: str, chunk_bytes: int) -> Callable:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=1)
@@ -309,68 +372,75 @@ def _pack(column: str, chunk_bytes: int) -> Callable:
     return run
 
 
-def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray, pa.Table, dict, dict]]:
-    """Chunk number, bytes, offsets, other columns, bits and masks (if joined) of every row."""
+def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray, pa.Table, dict]]:
+    """Chunk number, bytes, offsets, other columns and bits (if joined) of every row."""
     grow = zstandard.ZstdDecompressor()
     for row in batch.to_pylist():
         data = np.frombuffer(grow.decompress(row["data"]) if row["data"] else b"", np.uint8)
         rows = pa.ipc.open_stream(grow.decompress(row["rows"])).read_all()
-        extra = [{x["bucket"]: x["packed"] for x in row.get(name) or ()} for name in ("bits", "masks")]
-        yield row["chunk"], data, np.frombuffer(row["ends"], np.int64), rows, *extra
+        bits = {x["bucket"]: (x["packed"], x["salts"]) for x in row.get("bits") or ()}
+        yield row["chunk"], data, np.frombuffer(row["ends"], np.int64), rows, bits
 
 
 def _send_fingerprints(buckets: int, span: int) -> Callable:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk, data, ends, *_ in _chunks(batch):
-                distinct = np.unique(find_anchors(data, ends, span)[1])
+                distinct, times = np.unique(find_anchors(data, ends, span)[1], return_counts=True)
                 bucket = _bucket(distinct, buckets)
                 starts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else np.empty(0, np.int64)
-                short = distinct.astype(np.uint32)
-                blobs = [short[a:b].tobytes() for a, b in zip(starts, np.append(starts[1:], len(bucket)))]
+                blobs, counts = ([x[a:b].tobytes() for a, b in zip(starts, np.append(starts[1:], len(bucket)))] for x in (distinct.astype(np.uint32), times.astype(np.uint32)))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(bucket[starts]), pa.array(np.full(len(starts), chunk)), pa.array(blobs, pa.binary())], names=["bucket", "chunk", "packed"]
+                    [pa.array(bucket[starts]), pa.array(np.full(len(starts), chunk)), pa.array(blobs, pa.binary()), pa.array(counts, pa.binary())],
+                    names=["bucket", "chunk", "packed", "times"],
                 )
 
     return run
 
 
-def _shared(key: tuple, part: pa.Table) -> pa.Table:
-    """Of each chunk's fingerprints, which occur in another chunk."""
-    blobs = [np.frombuffer(b, np.uint32) for b in part.column("packed").to_pylist()]
-    values = np.concatenate(blobs)
-    order = np.argsort(values, kind="stable")
-    same = values[order[1:]] == values[order[:-1]]
-    twice = np.zeros(len(values), bool)
-    twice[order[1:][same]] = True
-    twice[order[:-1][same]] = True
-    out, at = [], 0
-    for chunk, blob in zip(part.column("chunk").to_pylist(), blobs):
-        mine = twice[at : at + len(blob)]
-        at += len(blob)
-        if mine.any():
-            out.append((chunk, np.packbits(mine).tobytes()))
-    return pa.table({
-        "bucket": pa.array([key[0].as_py()] * len(out), pa.int64()), "chunk": pa.array([o[0] for o in out], pa.int64()),
-        "packed": pa.array([o[1] for o in out], pa.binary()),
-    })
+def _shared(hot_rows: int) -> Callable:
+    """Of each chunk's fingerprints, which occur in another chunk, and over how many salts the hot ones are dealt (0: not hot)."""
+
+    def run(key: tuple, part: pa.Table) -> pa.Table:
+        blobs = [np.frombuffer(b, np.uint32) for b in part.column("packed").to_pylist()]
+        values = np.concatenate(blobs)
+        times = np.concatenate([np.frombuffer(b, np.uint32) for b in part.column("times").to_pylist()]).astype(np.int64)
+        order = np.argsort(values, kind="stable")
+        starts = np.flatnonzero(np.append(True, values[order[1:]] != values[order[:-1]]))
+        sizes = np.diff(np.append(starts, len(order)))
+        total = np.add.reduceat(times[order], starts)
+        twice, salts = np.empty(len(values), bool), np.empty(len(values), np.uint32)
+        twice[order] = np.repeat(sizes > 1, sizes)
+        salts[order] = np.repeat(np.where((sizes > 1) & (total > hot_rows), -(-total // hot_rows), 0), sizes)
+        out, at = [], 0
+        for chunk, blob in zip(part.column("chunk").to_pylist(), blobs):
+            mine, dealt = twice[at : at + len(blob)], salts[at : at + len(blob)]
+            at += len(blob)
+            if mine.any():
+                out.append((chunk, np.packbits(mine).tobytes(), dealt.tobytes() if dealt.any() else b""))
+        return pa.table({
+            "bucket": pa.array([key[0].as_py()] * len(out), pa.int64()), "chunk": pa.array([o[0] for o in out], pa.int64()),
+            "packed": pa.array([o[1] for o in out], pa.binary()), "salts": pa.array([o[2] for o in out], pa.binary()),
+        })
+
+    return run
 
 
 def _send_contexts(buckets: int, span: int) -> Callable:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            for chunk, data, ends, rows, bits, _ in _chunks(batch):
-                found = Contexts(data, ends, ids(rows.column("doc_id").combine_chunks()), bits, buckets, span)
-                starts = np.flatnonzero(np.append(True, found.bucket[1:] != found.bucket[:-1])) if len(found.bucket) else np.empty(0, np.int64)
-                stops = np.append(starts[1:], len(found.bucket))
+            for chunk, data, ends, rows, bits in _chunks(batch):
+                found = Contexts(data, ends, ids(rows.column("doc_id").combine_chunks()), bits, buckets, span, chunk)
+                starts = np.flatnonzero(np.append(True, found.route[1:] != found.route[:-1])) if len(found.route) else np.empty(0, np.int64)
+                stops = np.append(starts[1:], len(found.route))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(found.bucket[starts]), pa.array(np.full(len(starts), chunk)),
+                        pa.array(found.route[starts]), pa.array(np.full(len(starts), chunk)), pa.array(starts, pa.int64()),
                         pa.array([press.compress(found.rows[a:b].tobytes()) for a, b in zip(starts, stops)], pa.binary()),
                         pa.array([found.least[a:b].tobytes() for a, b in zip(starts, stops)], pa.binary()),
                     ],
-                    names=["bucket", "chunk", "rows", "ids"],
+                    names=["route", "chunk", "first", "rows", "ids"],
                 )
 
     return run
@@ -385,13 +455,27 @@ def _resolve(span: int) -> Callable:
         least = [np.frombuffer(b, np.int64) for b in part.column("ids").to_pylist()]
         blobs = part.column("rows").to_pylist()
         rows = np.concatenate([np.frombuffer(grow.decompress(b), np.uint8).reshape(-1, width) for b in blobs])
-        bits = window_bits(rows, np.concatenate(least), span)
-        stops = np.cumsum([len(x) for x in least])
-        out = [(c, bits[b - len(x) : b].tobytes()) for c, x, b in zip(chunks, least, stops)]
-        return pa.table({
-            "bucket": pa.array([key[0].as_py()] * len(out), pa.int64()), "chunk": pa.array([o[0] for o in out], pa.int64()),
-            "packed": pa.array([o[1] for o in out], pa.binary()),
+        doc_ids = np.concatenate(least)
+        bits = window_bits(rows, doc_ids, span)
+        sizes = [len(x) for x in least]
+        stops = np.cumsum(sizes)
+        packed = [bits[b - n : b].tobytes() for n, b in zip(sizes, stops)]
+        route, n = key[0].as_py(), len(packed)
+        masks = pa.table({
+            "route": pa.array([route] * n, pa.int64()), "chunk": pa.array(chunks, pa.int64()), "packed": pa.array(packed, pa.binary()),
+            "entry": pa.nulls(n, pa.int64()), "place": pa.nulls(n, pa.int32()), "doc_id": pa.nulls(n, pa.int64()), "window": pa.nulls(n, pa.binary()),
         })
+        if not route & ((1 << SALT_BITS) - 1):
+            return masks
+        at, place, windows = open_windows(rows, bits, span)
+        n = len(at)
+        first = np.array(part.column("first").to_pylist(), np.int64)
+        entry = np.arange(len(rows)) + np.repeat(first - (stops - sizes), sizes)
+        text = pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(np.arange(n + 1, dtype=np.int64) * span), pa.py_buffer(windows.tobytes())])
+        return pa.concat_tables([masks, pa.table({
+            "route": pa.array(np.full(n, route)), "chunk": pa.array(np.repeat(np.array(chunks, np.int64), sizes)[at]), "packed": pa.nulls(n, pa.binary()),
+            "entry": pa.array(entry[at]), "place": pa.array(place.astype(np.int32)), "doc_id": pa.array(doc_ids[at]), "window": text.cast(pa.binary()),
+        })])
 
     return run
 
@@ -416,12 +500,15 @@ def _mark(buckets: int, span: int, keep: str | None, names: list[str]) -> Callab
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, data, ends, rows, bits, masks in _chunks(batch):
-                found = Contexts(data, ends, ids(rows.column("doc_id").combine_chunks()), bits, buckets, span)
+            joined = zip(_chunks(batch), batch.column("masks").to_pylist(), batch.column("late").to_pylist())
+            for (chunk, data, ends, rows, bits), masks, late in joined:
+                found = Contexts(data, ends, ids(rows.column("doc_id").combine_chunks()), bits, buckets, span, chunk)
                 mask = np.zeros(len(found.rows), np.uint64)
-                for number, packed in masks.items():
-                    a, b = np.searchsorted(found.bucket, (number, number + 1))
-                    mask[a:b] = np.frombuffer(packed, np.uint64)
+                for part in masks or ():
+                    a, b = np.searchsorted(found.route, (part["route"], part["route"] + 1))
+                    mask[a:b] = np.frombuffer(part["packed"], np.uint64)
+                for part in late or ():
+                    mask[part["entry"]] |= np.uint64(part["bits"])
                 later = found.doc_id > found.least[found.entry] if len(found.entry) else np.zeros(0, bool)
                 mine = mask[found.entry] if len(found.entry) else np.zeros(0, np.uint64)
                 change = np.zeros(len(data) + 1, np.int32)
@@ -463,37 +550,40 @@ def _mark(buckets: int, span: int, keep: str | None, names: list[str]) -> Callab
     return run
 
 
-def _resolved(docs: DataFrame, text: str, span: int, chunk_bytes: int, bucket_bytes: int, keep: str | None) -> DataFrame:
+def _resolved(docs: DataFrame, text: str, span: int, chunk_bytes: int, bucket_bytes: int, hot_rows: int, keep: str | None) -> DataFrame:
     """`docs` has doc_id (long) and the binary column `text`; its other columns are carried along."""
     names = [c for c in docs.columns if c != text]
     chunks = written(docs.mapInArrow(_pack(text, chunk_bytes), "chunk long, size long, rows binary, ends binary, data binary"), "chunks")
     buckets = max(8, -(-(chunks.agg(F.sum("size")).first()[0] or 0) // bucket_bytes))
     chunks = chunks.drop("size")
-
-    def by_chunk(df: DataFrame, name: str) -> DataFrame:
-        return written(df, name).groupBy("chunk").agg(F.collect_list(F.struct("bucket", "packed")).alias(name))
-
-    short = "bucket long, chunk long, packed binary"
-    bits = by_chunk(
-        chunks.mapInArrow(_send_fingerprints(buckets, span), short)
-        .groupBy("bucket").applyInArrow(_shared, short),
+    bits = written(
+        chunks.mapInArrow(_send_fingerprints(buckets, span), "bucket long, chunk long, packed binary, times binary")
+        .groupBy("bucket").applyInArrow(_shared(hot_rows), "bucket long, chunk long, packed binary, salts binary"),
         "bits",
-    )
+    ).groupBy("chunk").agg(F.collect_list(F.struct("bucket", "packed", "salts")).alias("bits"))
     asked = chunks.join(bits, "chunk", "left")
-    masks = by_chunk(
-        asked.mapInArrow(_send_contexts(buckets, span), "bucket long, chunk long, rows binary, ids binary")
-        .groupBy("bucket").applyInArrow(_resolve(span), short),
+    found = written(
+        asked.mapInArrow(_send_contexts(buckets, span), "route long, chunk long, first long, rows binary, ids binary").groupBy("route")
+        .applyInArrow(_resolve(span), "route long, chunk long, packed binary, entry long, place int, doc_id long, window binary"),
         "masks",
     )
+    masks = found.where("packed is not null").groupBy("chunk").agg(F.collect_list(F.struct("route", "packed")).alias("masks"))
+    late = (
+        found.where("window is not null")
+        .withColumn("least", F.min("doc_id").over(Window.partitionBy("window"))).where("least < doc_id")
+        .groupBy("chunk", "entry").agg(F.bit_or(F.expr("shiftleft(1L, place)")).alias("bits"))
+        .groupBy("chunk").agg(F.collect_list(F.struct("entry", "bits")).alias("late"))
+    )
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name != text]
     schema = ", ".join([
         *fields, "n_bytes long", "n_removed long", "n_spans long", "kept_sha256 string", "spans array<struct<start:long,stop:long>>", "kept binary",
     ])
-    return asked.join(masks, "chunk", "left").mapInArrow(_mark(buckets, span, keep, names), schema)
+    return asked.join(masks, "chunk", "left").join(late, "chunk", "left").mapInArrow(_mark(buckets, span, keep, names), schema)
 
 
 def repeated_passages(
-    docs: DataFrame, span: int = SPAN, chunk_bytes: int = CHUNK_BYTES, bucket_bytes: int = BUCKET_BYTES, with_kept: bool = False
+    docs: DataFrame, span: int = SPAN, chunk_bytes: int = CHUNK_BYTES, bucket_bytes: int = BUCKET_BYTES, with_kept: bool = False,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Mark the bytes that are covered by a `span`-byte string that also starts in a document with a smaller id.
 
@@ -501,12 +591,12 @@ def repeated_passages(
     n_spans (maximal removed runs), kept_sha256, spans (start, stop within the document's bytes) and, if asked for, kept (the
     bytes that stay). Null texts are empty; texts shorter than `span` lose nothing. A null id comes after all others
     and rows with equal ids (so also with null ids) do not remove each other's bytes. An empty table gives no rows.
-    span: 17 to 79 bytes.
+    span: 17 to 79 bytes. hot_rows: a gram that stands more often is dealt over salts of about so many contexts.
     """
     if not GRAM < span < 80:
         raise ValueError("span must be from 17 to 79")
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("text_"))
-    out = _resolved(source, "text_", span, chunk_bytes, bucket_bytes, "bytes" if with_kept else None)
+    out = _resolved(source, "text_", span, chunk_bytes, bucket_bytes, hot_rows, "bytes" if with_kept else None)
     return out if with_kept else out.drop("kept")
 
 
@@ -517,7 +607,7 @@ def drop_repeated_passages(docs: DataFrame, span: int = SPAN) -> DataFrame:
     of any name but text_, kept, spans, n_bytes, n_removed, n_spans and kept_sha256.
     """
     source = docs.withColumn("text_", text_bytes()).withColumn("doc_id", F.col("doc_id").cast("long")).drop("text")
-    found = _resolved(source, "text_", span, CHUNK_BYTES, BUCKET_BYTES, "characters")
+    found = _resolved(source, "text_", span, CHUNK_BYTES, BUCKET_BYTES, HOT_ROWS, "characters")
     text = F.col("kept").cast("string")
     changed = {"text": text, "n_chars": F.length(text).cast("long")}
     return found.select(*(changed[c].alias(c) if c in changed else F.col(c) for c in docs.columns))

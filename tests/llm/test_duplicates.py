@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -165,6 +166,51 @@ def test_passages_of_random_pieces(spark, span):
     check_passages(util.documents(spark, rows), span, chunk_bytes=2000, bucket_bytes=4000)
 
 
+@pytest.mark.parametrize("hot_rows", [1, 7])
+def test_hot_passages_are_dealt_over_salts(spark, docs, hot_rows):
+    rnd = random.Random(hot_rows)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(7))
+    passage = " ".join(word() for _ in range(40))
+    short = passage[50:110]
+    rows = [(i, f"{word()} {word()} {passage if i % 3 else short}{word()} {word() * rnd.randint(1, 9)}") for i in range(150)]
+    rows += [(200, passage * 6), (200, passage), (201, passage), (None, "x" + passage), (12, short + short)]
+    check_passages(util.documents(spark, rows), 50, chunk_bytes=1500, bucket_bytes=20_000, hot_rows=hot_rows)
+    check_passages(util.documents(spark, rows[:60]), 20, chunk_bytes=1500, bucket_bytes=20_000, hot_rows=hot_rows)
+    check_passages(docs.limit(150), 50, chunk_bytes=30_000, bucket_bytes=60_000, hot_rows=hot_rows)
+
+
+def test_no_task_takes_a_hot_gram():
+    """Contexts of one gram in very many chunks: every salt holds about as many as it may."""
+    passage = np.frombuffer(bytes(random.Random(5).choices(range(97, 123), k=400)), np.uint8)
+    hashes = np.unique(suffix_dedup.find_anchors(passage, np.array([0, 400]))[1])
+    bucket = int(suffix_dedup._bucket(hashes, 8)[0])
+    mine = hashes[suffix_dedup._bucket(hashes, 8) == bucket].astype(np.uint32)
+    n = 5000
+    table = pa.table({
+        "bucket": [bucket] * n, "chunk": list(range(n)), "packed": pa.array([mine.tobytes()] * n, pa.binary()),
+        "times": pa.array([np.ones(len(mine), np.uint32).tobytes()] * n, pa.binary()),
+    })
+    found = suffix_dedup._shared(100)((pa.scalar(bucket),), table)
+    routes = {}
+    for chunk, packed, salts in zip(*(found.column(c).to_pylist() for c in ("chunk", "packed", "salts"))):
+        assert set(np.frombuffer(salts, np.uint32)) == {50}
+        at = suffix_dedup.Contexts(passage, np.array([0, 400]), np.array([chunk]), {bucket: (packed, salts)}, 8, 50, chunk)
+        for route in at.route.tolist():
+            routes[route] = routes.get(route, 0) + 1
+    assert len(routes) == 50 and max(routes.values()) < 160 * len(mine)
+
+
+def test_multikey_quicksort():
+    rnd = np.random.default_rng(3)
+    for n, letters, width in [(0, 2, 3), (1, 2, 3), (2, 1, 2), (500, 3, 4), (3000, 2, 6), (3000, 1000, 2)]:
+        words = rnd.integers(0, letters, (n, width)).astype(np.uint64) * np.uint64(1 << 62)
+        for depth in {1, width}:
+            order, fresh = suffix_dedup.multikey_quicksort(words, depth)
+            texts = [tuple(words[i, :depth]) for i in order]
+            assert texts == sorted(texts) and sorted(order.tolist()) == list(range(n))
+            assert fresh.tolist() == [k == 0 or texts[k] != texts[k - 1] for k in range(n)]
+
+
 def test_deep_shallow_sorts():
     rng = np.random.default_rng(5)
     rows = rng.integers(97, 99, (600, 50), dtype=np.uint8)
