@@ -20,7 +20,8 @@ from mediacat.llm.common import flat, held_out, slices, text_bytes
 SAMPLE_PER_CLASS = 2000
 """Labelled documents of each class that the model is fitted on, taken in the order of a hash of their ids."""
 SAMPLE_LINES = 128
-"""Lines of a sampled document that training looks at; scoring looks at all."""
+"""Lines of a sampled document that training takes: all up to here, else `SAMPLE_RUNS` runs from all over it; scoring takes all."""
+SAMPLE_RUNS = 8
 ROUNDS = 250
 EMPTY_SCORE = 0.0
 
@@ -181,11 +182,34 @@ def score(model: dict, texts: pa.Array) -> np.ndarray:
     return np.round(np.clip(out, 0.0, 1.0), 6)
 
 
+def sample_runs(lines: int, seed: int) -> list[tuple[int, int]]:
+    """Runs of lines that training takes from a document: one from each of equal stretches, at a place chosen by the seed."""
+    if lines <= SAMPLE_LINES:
+        return [(0, lines)] if lines else []
+    long = SAMPLE_LINES // SAMPLE_RUNS
+    bounds = [lines * i // SAMPLE_RUNS for i in range(SAMPLE_RUNS + 1)]
+    pick = np.random.default_rng(seed)
+    starts = [a + int(pick.integers(0, b - a - long + 1)) for a, b in zip(bounds, bounds[1:])]
+    return [(a, a + long) for a in starts]
+
+
+def run_features(rows: np.ndarray, lead: int, trail: int) -> np.ndarray:
+    """Features of a run with its neighbours; `rows` begins `lead` lines before the run and ends `trail` lines after it."""
+    wide = with_neighbours(rows, np.array([0, len(rows)]))
+    return wide[lead : len(rows) - trail]
+
+
 def _sample_features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in slices(batches, "text", 2 << 20):
         rows, _, ends = line_features(part.column("text"))
-        blobs = [rows[a : min(b, a + SAMPLE_LINES)].tobytes() for a, b in zip(ends[:-1], ends[1:])]
-        yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("quality"), pa.array(blobs, pa.binary())], names=["doc_id", "quality", "rows"])
+        out = []
+        for i, q, head, tail in zip(part.column("doc_id").to_pylist(), part.column("quality").to_pylist(), ends[:-1].tolist(), ends[1:].tolist()):
+            for a, b in sample_runs(tail - head, i & 0xFFFFFFFF):
+                low, high = max(head, head + a - 1), min(tail, head + b + 1)
+                out.append((i, q, a, head + a - low, high - head - b, rows[low:high].tobytes()))
+        types = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
+        columns = list(zip(*out)) if out else [()] * 6
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["doc_id", "quality", "start", "lead", "trail", "rows"])
 
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> dict | None:
@@ -205,15 +229,14 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS)
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("text"))
     rows = (
         source.join(F.broadcast(chosen), "doc_id")  # two times per_class rows of two numbers
-        .mapInArrow(_sample_features, "doc_id long, quality int, rows binary").collect()
+        .mapInArrow(_sample_features, "doc_id long, quality int, start long, lead int, trail int, rows binary").collect()
     )
-    rows = sorted((r["doc_id"], r["quality"], bytes(r["rows"])) for r in rows if r["rows"])
+    rows = sorted(tuple(r[:5]) + (bytes(r["rows"]),) for r in rows)
     if len({r[1] for r in rows}) < 2:
         return None
-    parts = [np.frombuffer(r[2], np.float32).reshape(-1, N_FEATURES) for r in rows]
+    parts = [run_features(np.frombuffer(blob, np.float32).reshape(-1, N_FEATURES), lead, trail) for *_, lead, trail, blob in rows]
     ends = np.concatenate(([0], np.cumsum([len(p) for p in parts])))
-    features = with_neighbours(np.vstack(parts), ends).astype(np.float64)
-    return fit(features, ends, np.array([r[1] for r in rows]))
+    return fit(np.vstack(parts).astype(np.float64), ends, np.array([r[1] for r in rows]))
 
 
 def _scored(model: dict | None) -> Callable:

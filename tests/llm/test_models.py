@@ -89,6 +89,32 @@ def test_quality_of_odd_documents(spark, labels):
     assert kept.count() == 2 and "keep_id" in kept.columns
 
 
+def test_sampled_runs_have_their_true_neighbours():
+    for n in (0, 1, quality_crf.SAMPLE_LINES, quality_crf.SAMPLE_LINES + 1, 5000):
+        runs = quality_crf.sample_runs(n, 7)
+        assert sum(b - a for a, b in runs) == min(n, quality_crf.SAMPLE_LINES)
+        assert all(b <= c for (_, b), (c, _) in zip(runs, runs[1:])) and all(0 <= a < b <= n for a, b in runs)
+    text = "\n".join(f"Line {i} of many" + " and more" * (i % 7) + "!" * (i % 3) for i in range(1000))
+    rows, _, ends = quality_crf.line_features(pa.array([text.encode()]))
+    whole = quality_crf.with_neighbours(rows, ends)
+    batch = pa.RecordBatch.from_arrays([pa.array([5]), pa.array([1], pa.int32()), pa.array([text.encode()], pa.binary())], names=["doc_id", "quality", "text"])
+    found = [r for part in quality_crf._sample_features([batch]) for r in part.to_pylist()]
+    assert len(found) == quality_crf.SAMPLE_RUNS and found[-1]["start"] > 800
+    for r in found:
+        part = quality_crf.run_features(np.frombuffer(r["rows"], np.float32).reshape(-1, quality_crf.N_FEATURES), r["lead"], r["trail"])
+        assert np.array_equal(part, whole[r["start"] : r["start"] + len(part)])
+
+
+def test_lines_far_down_are_learned(spark):
+    """Long documents that differ only behind their first 128 lines, and short ones that do not tell."""
+    same = "\n".join(f"The same plain opening stands here, line {i}." for i in range(150))
+    good = same + "\n" + "\n".join(f"Then whole sentences follow in good order, number {i}." for i in range(600))
+    bad = same + "\n" + "\n".join(f"%%% ### $$$ {i} | | |" for i in range(600))
+    docs = spark.createDataFrame([(i, good if i % 2 else bad) for i in range(60)], "doc_id long, text string")
+    marks = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    assert all(r["predicted"] == r["doc_id"] % 2 for r in quality_crf.classify(docs, marks).collect())
+
+
 def test_line_features_of_nothing():
     rows, size, ends = quality_crf.line_features(pa.array([b"", None, b"\n \n"], pa.binary()))
     assert len(rows) == 0 and len(size) == 0 and ends.tolist() == [0, 0, 0, 0]
