@@ -37,7 +37,7 @@ SHALLOW_WORDS = 4
 CHUNK_BYTES = 4 << 20
 BUCKET_BYTES = 12 << 20
 BLOCK = 1 << 17
-HOT_ROWS = 1 << 11
+HOT_ROWS = 1 << 14
 SALT_BITS = 24
 
 
