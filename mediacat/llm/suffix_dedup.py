@@ -10,8 +10,8 @@
    still agrees. From the longest common prefixes of neighbours follow the classes of equal windows at every
    offset, and of each class the smallest id. Bytes decide, never hashes.
 4. A gram that stands more than `HOT_ROWS` times is dealt by chunk over as many salts as it takes. Each salt is resolved like
-   a bucket; the windows for which a salt knows no smaller id, at most a few per salt where texts agree, meet by their bytes
-   and learn the smallest id of all salts.
+   a bucket. Of the windows for which a salt knows no smaller id it sends distinct fingerprints and learns which occur in another
+   salt; only those meet by their bytes and learn the smallest id of all salts.
 5. Every context gets back one bit per window; the chunk marks the bytes.
 
 Nothing passes the driver but one byte count. A text stays in one chunk, however long it is.
@@ -26,10 +26,10 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mediacat.llm.common import flat, ids, slices, text_bytes, written
+from mediacat.llm.common import LAST_ID, flat, ids, slices, text_bytes, written
 
 SPAN = 50
 GRAM = 16
@@ -321,8 +321,8 @@ def window_bits(rows: np.ndarray, doc_ids: np.ndarray, span: int = SPAN) -> np.n
     return bits
 
 
-def open_windows(rows: np.ndarray, bits: np.ndarray, span: int = SPAN) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Contexts, places s and bytes of the windows that name the gram of their context and have no bit.
+def open_windows(rows: np.ndarray, bits: np.ndarray, span: int = SPAN) -> tuple[np.ndarray, np.ndarray]:
+    """Contexts and places s of the windows that name the gram of their context and have no bit.
 
     A window lies in the contexts of all grams it holds; of these it names the ones with the least hash, and so do equal windows.
     """
@@ -331,15 +331,14 @@ def open_windows(rows: np.ndarray, bits: np.ndarray, span: int = SPAN) -> tuple[
     ranks = np.stack([_gram_ranks(rows[:, i : i + GRAM]) for i in range(reach - GRAM + 1)], axis=1)
     own = ranks[:, left]
     back, ahead = np.minimum.accumulate(ranks[:, left::-1], axis=1), np.minimum.accumulate(ranks[:, left:], axis=1)
-    contexts, places, windows = [], [], []
+    contexts, places = [], []
     for s in range(left + 1):
         named = (back[:, left - s] >= own) & (ahead[:, s] >= own)
         unset = (bits >> np.uint64(s)) & np.uint64(1) == 0
         at = np.flatnonzero(named & unset & (before >= left - s) & (after >= s + GRAM))
         contexts.append(at)
         places.append(np.full(len(at), s))
-        windows.append(rows[at, s : s + span])
-    return np.concatenate(contexts), np.concatenate(places), np.concatenate(windows)
+    return np.concatenate(contexts), np.concatenate(places)
 
 
 def _pack(column: str, chunk_bytes: int) -> Callable:
@@ -446,11 +445,15 @@ def _send_contexts(buckets: int, span: int) -> Callable:
     return run
 
 
+RESOLVED = "route long, chunk long, packed binary, contexts binary, ids binary, origins binary, entries binary, at binary, places binary"
+"""One row of bits for each chunk of a route; of a salted route also one row of the contexts with open windows, and these windows."""
+
+
 def _resolve(span: int) -> Callable:
     width = 2 * span - GRAM + 2
 
     def run(key: tuple, part: pa.Table) -> pa.Table:
-        grow = zstandard.ZstdDecompressor()
+        grow, press = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1)
         chunks = part.column("chunk").to_pylist()
         least = [np.frombuffer(b, np.int64) for b in part.column("ids").to_pylist()]
         blobs = part.column("rows").to_pylist()
@@ -461,25 +464,121 @@ def _resolve(span: int) -> Callable:
         stops = np.cumsum(sizes)
         packed = [bits[b - n : b].tobytes() for n, b in zip(sizes, stops)]
         route, n = key[0].as_py(), len(packed)
+        rest = ("contexts", "ids", "origins", "entries", "at", "places")
         masks = pa.table({
             "route": pa.array([route] * n, pa.int64()), "chunk": pa.array(chunks, pa.int64()), "packed": pa.array(packed, pa.binary()),
-            "entry": pa.nulls(n, pa.int64()), "place": pa.nulls(n, pa.int32()), "doc_id": pa.nulls(n, pa.int64()), "window": pa.nulls(n, pa.binary()),
+            **{name: pa.nulls(n, pa.binary()) for name in rest},
         })
         if not route & ((1 << SALT_BITS) - 1):
             return masks
-        at, place, windows = open_windows(rows, bits, span)
-        n = len(at)
+        at, places = open_windows(rows, bits, span)
+        if not len(at):
+            return masks
         first = np.array(part.column("first").to_pylist(), np.int64)
         entry = np.arange(len(rows)) + np.repeat(first - (stops - sizes), sizes)
-        text = pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(np.arange(n + 1, dtype=np.int64) * span), pa.py_buffer(windows.tobytes())])
+        used, at = np.unique(at, return_inverse=True)
+        blobs = (
+            press.compress(rows[used].tobytes()), doc_ids[used].tobytes(), np.repeat(np.array(chunks, np.int64), sizes)[used].tobytes(),
+            entry[used].tobytes(), at.astype(np.int32).tobytes(), places.astype(np.uint8).tobytes(),
+        )
         return pa.concat_tables([masks, pa.table({
-            "route": pa.array(np.full(n, route)), "chunk": pa.array(np.repeat(np.array(chunks, np.int64), sizes)[at]), "packed": pa.nulls(n, pa.binary()),
-            "entry": pa.array(entry[at]), "place": pa.array(place.astype(np.int32)), "doc_id": pa.array(doc_ids[at]), "window": text.cast(pa.binary()),
+            "route": pa.array([route], pa.int64()), "chunk": pa.nulls(1, pa.int64()), "packed": pa.nulls(1, pa.binary()),
+            **{name: pa.array([blob], pa.binary()) for name, blob in zip(rest, blobs)},
         })])
 
     return run
 
 
+def _windows_of(row: dict, span: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Contexts, places, bytes and hashes of the open windows of a salted route, in the order of the hashes, and where a hash differs from the one before it."""
+    contexts = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["contexts"]), np.uint8).reshape(-1, 2 * span - GRAM + 2)
+    at, places = np.frombuffer(row["at"], np.int32), np.frombuffer(row["places"], np.uint8)
+    windows = np.lib.stride_tricks.sliding_window_view(contexts, span, axis=1)[at, places]
+    hashes = _row_hashes(windows)
+    order = np.argsort(hashes, kind="stable")
+    hashes = hashes[order]
+    return at[order], places[order], windows[order], hashes, np.append(True, hashes[1:] != hashes[:-1])
+
+
+def _send_window_fingerprints(parts: int, span: int) -> Callable:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                *_, hashes, new = _windows_of(row, span)
+                distinct = hashes[new]
+                edges = np.searchsorted(_bucket(distinct, parts), np.arange(parts + 1))
+                filled = np.flatnonzero(np.diff(edges))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(filled, pa.int64()), pa.array(np.full(len(filled), row["route"]), pa.int64()),
+                        pa.array([distinct[edges[k] : edges[k + 1]].astype(np.uint32).tobytes() for k in filled], pa.binary()),
+                    ],
+                    names=["part", "route", "packed"],
+                )
+
+    return run
+
+
+def _met(key: tuple, part: pa.Table) -> pa.Table:
+    """Of each salted route's fingerprints, which occur in another route."""
+    blobs = [np.frombuffer(b, np.uint32) for b in part.column("packed").to_pylist()]
+    _, inverse, counts = np.unique(np.concatenate(blobs), return_inverse=True, return_counts=True)
+    # hashes that agree by chance are only asked for in vain
+    bits = np.split(counts[inverse] > 1, np.cumsum([len(b) for b in blobs])[:-1])
+    out = [(route, np.packbits(b).tobytes()) for route, b in zip(part.column("route").to_pylist(), bits) if b.any()]
+    return pa.table({
+        "part": pa.array([key[0].as_py()] * len(out), pa.int64()), "route": pa.array([o[0] for o in out], pa.int64()), "packed": pa.array([o[1] for o in out], pa.binary()),
+    })
+
+
+def _send_windows(parts: int, span: int) -> Callable:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            for row in batch.to_pylist():
+                at, places, windows, hashes, new = _windows_of(row, span)
+                ids_, origins, entries = (np.frombuffer(row[name], np.int64)[at] for name in ("ids", "origins", "entries"))
+                of_part, numbers = _bucket(hashes[new], parts), np.cumsum(new) - 1
+                found = []
+                for met in row["met"]:
+                    a, b = np.searchsorted(of_part, (met["part"], met["part"] + 1))
+                    asked = np.zeros(len(of_part), bool)
+                    asked[a:b] = np.unpackbits(np.frombuffer(met["packed"], np.uint8), count=b - a).astype(bool)
+                    mine = np.flatnonzero(asked[numbers])
+                    found.append((met["part"], press.compress(windows[mine].tobytes()), *(x[mine].tobytes() for x in (ids_, origins, entries, places))))
+                names = ["part", "windows", "ids", "origins", "entries", "places"]
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary() if k else pa.int64()) for k, x in enumerate(zip(*found))], names=names)
+
+    return run
+
+
+def _least(span: int) -> Callable:
+    """For each chunk the contexts in which a window that met also starts in a document with a smaller id, and the bits of these windows."""
+
+    def run(key: tuple, part: pa.Table) -> pa.Table:
+        grow = zstandard.ZstdDecompressor()
+        windows = np.frombuffer(b"".join(grow.decompress(b) for b in part.column("windows").to_pylist()), np.uint8).reshape(-1, span)
+        doc_ids, origins, entries = (np.frombuffer(b"".join(part.column(c).to_pylist()), np.int64) for c in ("ids", "origins", "entries"))
+        places = np.frombuffer(b"".join(part.column("places").to_pylist()), np.uint8)
+        same = _classes(*deep_shallow(windows), span)
+        least = np.full(same.max() + 1, LAST_ID)
+        np.minimum.at(least, same, doc_ids)
+        hit = np.flatnonzero(least[same] < doc_ids)
+        hit = hit[np.lexsort((entries[hit], origins[hit]))]
+        origins, entries, bits = origins[hit], entries[hit], np.uint64(1) << places[hit].astype(np.uint64)
+        new = np.flatnonzero(np.append(True, (origins[1:] != origins[:-1]) | (entries[1:] != entries[:-1]))) if len(hit) else hit
+        bits = np.bitwise_or.reduceat(bits, new) if len(hit) else bits
+        origins, entries = origins[new], entries[new]
+        chunks, starts = np.unique(origins, return_index=True)
+        stops = np.append(starts[1:], len(origins))
+        return pa.table({
+            "chunk": pa.array(chunks, pa.int64()), "entries": pa.array([entries[a:b].tobytes() for a, b in zip(starts, stops)], pa.binary()),
+            "bits": pa.array([bits[a:b].tobytes() for a, b in zip(starts, stops)], pa.binary()),
+        })
+
+    return run
+
+
 def whole_characters(text: bytes, spans: list[dict]) -> bytes:
     """What stays of a text if a character goes only when all its bytes are in one removed span."""
     out, at = [], 0
@@ -508,7 +607,7 @@ def _mark(buckets: int, span: int, keep: str | None, names: list[str]) -> Callab
                     a, b = np.searchsorted(found.route, (part["route"], part["route"] + 1))
                     mask[a:b] = np.frombuffer(part["packed"], np.uint64)
                 for part in late or ():
-                    mask[part["entry"]] |= np.uint64(part["bits"])
+                    mask[np.frombuffer(part["entries"], np.int64)] |= np.frombuffer(part["bits"], np.uint64)
                 later = found.doc_id > found.least[found.entry] if len(found.entry) else np.zeros(0, bool)
                 mine = mask[found.entry] if len(found.entry) else np.zeros(0, np.uint64)
                 change = np.zeros(len(data) + 1, np.int32)
@@ -564,15 +663,21 @@ def _resolved(docs: DataFrame, text: str, span: int, chunk_bytes: int, bucket_by
     asked = chunks.join(bits, "chunk", "left")
     found = written(
         asked.mapInArrow(_send_contexts(buckets, span), "route long, chunk long, first long, rows binary, ids binary").groupBy("route")
-        .applyInArrow(_resolve(span), "route long, chunk long, packed binary, entry long, place int, doc_id long, window binary"),
+        .applyInArrow(_resolve(span), RESOLVED),
         "masks",
     )
     masks = found.where("packed is not null").groupBy("chunk").agg(F.collect_list(F.struct("route", "packed")).alias("masks"))
+    salted = found.where("contexts is not null").drop("chunk", "packed")
+    met = (
+        salted.mapInArrow(_send_window_fingerprints(buckets, span), "part long, route long, packed binary")
+        .groupBy("part").applyInArrow(_met, "part long, route long, packed binary")
+        .groupBy("route").agg(F.collect_list(F.struct("part", "packed")).alias("met"))
+    )
     late = (
-        found.where("window is not null")
-        .withColumn("least", F.min("doc_id").over(Window.partitionBy("window"))).where("least < doc_id")
-        .groupBy("chunk", "entry").agg(F.bit_or(F.expr("shiftleft(1L, place)")).alias("bits"))
-        .groupBy("chunk").agg(F.collect_list(F.struct("entry", "bits")).alias("late"))
+        salted.join(met, "route")
+        .mapInArrow(_send_windows(buckets, span), "part long, windows binary, ids binary, origins binary, entries binary, places binary")
+        .groupBy("part").applyInArrow(_least(span), "chunk long, entries binary, bits binary")
+        .groupBy("chunk").agg(F.collect_list(F.struct("entries", "bits")).alias("late"))
     )
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name != text]
     schema = ", ".join([

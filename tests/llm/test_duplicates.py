@@ -5,8 +5,10 @@ import random
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 import xxhash
+import zstandard
 
 from mediacat.llm import exact_dedup, simhash, suffix_dedup
 from mediacat.llm.common import components
@@ -200,6 +202,41 @@ def test_no_task_takes_a_hot_gram():
     assert len(routes) == 50 and max(routes.values()) < 160 * len(mine)
 
 
+def test_open_windows_are_one_row_of_a_salt():
+    """A gram among ever new words: a salt gives one row for each chunk and one for all its open windows, and sends bytes only of what met."""
+    rnd = np.random.default_rng(8)
+    passages = rnd.integers(97, 123, (200, 16), dtype=np.uint8)
+    passage = passages[suffix_dedup._gram_ranks(passages).argmin()]  # windows name the gram of the least hash
+    rows = rnd.integers(97, 123, (600, 86), dtype=np.uint8)
+    rows[:, 34:50] = passage
+    rows[:, 84:] = (34, 50)
+    rows[300] = rows[7]  # the only context that both salts have
+
+    def salt(number, part):
+        table = pa.table({
+            "chunk": [2 * number, 2 * number + 1], "first": [0, 0], "rows": [zstandard.compress(x.tobytes()) for x in (part[:100], part[100:])],
+            "ids": [np.arange(a, b).tobytes() for a, b in ((300 * number, 300 * number + 100), (300 * number + 100, 300 * number + 300))],
+        })
+        return suffix_dedup._resolve(50)((pa.scalar(number + 1),), table)
+
+    found = [salt(0, rows[:300]), salt(1, rows[300:])]
+    assert [t.num_rows for t in found] == [3, 3]
+    opened = [t.slice(2).to_batches()[0] for t in found]
+    sent = pa.Table.from_batches([b for o in opened for b in suffix_dedup._send_window_fingerprints(4, 50)([o])])
+    met = [suffix_dedup._met((pa.scalar(k),), sent.filter(pc.equal(sent["part"], k))) for k in range(4)]
+    met = pa.concat_tables(met).to_pylist()
+    late, windows = {}, 0
+    asked = [o.append_column("met", pa.array([[m for m in met if m["route"] == k + 1]])) for k, o in enumerate(opened)]
+    parts = pa.Table.from_batches([b for o in asked for b in suffix_dedup._send_windows(4, 50)([o])])
+    for k in set(parts["part"].to_pylist()):
+        part = parts.filter(pc.equal(parts["part"], k))
+        windows += sum(len(b) for b in part["places"].to_pylist())
+        for r in suffix_dedup._least(50)((pa.scalar(k),), part).to_pylist():
+            for entry, bits in zip(np.frombuffer(r["entries"], np.int64), np.frombuffer(r["bits"], np.uint64)):
+                late[r["chunk"], int(entry)] = late.get((r["chunk"], int(entry)), 0) | int(bits)
+    assert set(late) == {(2, 0)} and windows == 2 * late[2, 0].bit_count() > 0
+
+
 def test_multikey_quicksort():
     rnd = np.random.default_rng(3)
     for n, letters, width in [(0, 2, 3), (1, 2, 3), (2, 1, 2), (500, 3, 4), (3000, 2, 6), (3000, 1000, 2)]:
