@@ -25,6 +25,7 @@ from mediacat.sources.task_events import final_states, first_deliveries
 from mediacat.streaming.ingest import stream_listing, stream_manifests
 from mediacat.streaming import windows
 from mediacat.streaming.sinks import DroppedRows, counts_stream, latest_counts, progress_stream, running_counts, upsert_stream
+from mediacat.streaming.state import state_partitions
 
 NOW = "2024-12-31 00:00:00"
 LATER = "2024-12-31 01:00:00"
@@ -54,9 +55,12 @@ def _alive(events: DataFrame, days: int) -> DataFrame:
     return last.select(*(values.get(c, F.lit(-1)).cast(events.schema[c].dataType).alias(c) for c in events.columns))
 
 
-def _to_parquet(stream: DataFrame, folder: str) -> DataFrame:
+def _to_parquet(stream: DataFrame, folder: str, rows: int | None = None) -> DataFrame:
+    """rows: of all deliveries, where the stream keeps state."""
     writer = stream.writeStream.format("parquet").option("path", f"{folder}/out")
-    _finish(writer.option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start())
+    with state_partitions(stream.sparkSession, rows):
+        started = writer.option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
+    _finish(started)
     return stream.sparkSession.read.schema(stream.schema).parquet(f"{folder}/out")
 
 
@@ -131,10 +135,11 @@ def stream_deadline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Outcomes of submissions while events arrive in three deliveries and a sign of life; users submit again and again."""
     folder = run_dir(spark, "deadline")
     events = views.task_events(spark, sf_dir).select("event_id", "user_id", "status", "ts")
+    rows = events.count()
     for delivery in (*_in_order(events, "ts"), _alive(events, 2)):
         delivery.write.mode("append").parquet(f"{folder}/events")
         arriving = spark.readStream.schema(events.schema).parquet(f"{folder}/events")
-        outcome = _to_parquet(deadline_stream(arriving, HALF_DAY, "10 minutes", "user_id"), folder)
+        outcome = _to_parquet(deadline_stream(arriving, HALF_DAY, "10 minutes", "user_id"), folder, rows)
     return outcome.withColumns({c: time_text(c) for c in ("submitted_at", "ended_at")})
 
 
@@ -159,8 +164,9 @@ def stream_deadline_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     end = raw.filter((F.col("status") == "ready") & stamp.isNotNull()).select(F.col("s3_key").alias("task_id"), "status", stamp.alias("ts"))
     log = start.unionByName(end).withColumn("video_id", F.lit(None).cast("string"))
     log.select(*TASK_EVENTS.names).write.parquet(f"{folder}/log")
+    rows = spark.read.schema(TASK_EVENTS).parquet(f"{folder}/log").count()
     events = spark.readStream.schema(TASK_EVENTS).parquet(f"{folder}/log")
-    outcome = _to_parquet(deadline_join(events.filter(F.col("status") == "submitted"), events), folder)
+    outcome = _to_parquet(deadline_join(events.filter(F.col("status") == "submitted"), events), folder, rows)
     return outcome.withColumns({c: time_text(c) for c in ("submitted_at", "ended_at")})
 
 
@@ -177,13 +183,15 @@ def late_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Half of the events come after the other half; those behind its watermark are left out and counted."""
     folder = run_dir(spark, "late")
     events = views.task_events(spark, sf_dir).select("event_id", "ts", "status")
+    rows = events.count()
     dropped = DroppedRows(spark, f"{folder}/dropped")
     spark.streams.addListener(dropped)
     for odd in (0, 1):
         events.filter(F.col("event_id") % 2 == odd).write.mode("append").parquet(f"{folder}/events")
         arriving = spark.readStream.schema(events.schema).parquet(f"{folder}/events").withWatermark("ts", "12 hours")
         writer = arriving.dropDuplicates(["event_id", "ts"]).writeStream.format("parquet").option("path", f"{folder}/out")
-        stream = writer.option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
+        with state_partitions(spark, rows):
+            stream = writer.option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
         _finish(stream)
     late = dropped.total(stream)
     spark.streams.removeListener(dropped)
@@ -220,11 +228,12 @@ def stream_task_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = views.task_events(spark, sf_dir).select(
         F.col("user_id").cast("string").alias("task_id"), F.concat(F.lit("v"), "user_id").alias("video_id"), "status", "ts", "event_id"
     )
+    rows = events.count()
     for delivery in _in_order(events, "ts"):
         again = delivery.filter(F.col("event_id") % 2 == 0)
         delivery.unionByName(again).drop("event_id").write.mode("append").parquet(f"{folder}/in")
         arriving = spark.readStream.schema(TASK_EVENTS).parquet(f"{folder}/in")
-        log = _to_parquet(first_deliveries(arriving, "1 hour"), folder)
+        log = _to_parquet(first_deliveries(arriving, "1 hour"), folder, rows)
     return final_states(log).drop("video_id").withColumn("ended_at", time_text("ended_at"))
 
 
@@ -232,10 +241,11 @@ def _windowed(spark: SparkSession, sf_dir: str, label: str, over: Callable[[Data
     """What a windowed stream gives of all task events, in two deliveries and a sign of life."""
     folder = run_dir(spark, label)
     events = views.task_events(spark, sf_dir).select(F.col("user_id").alias(key), "status", "ts")
+    rows = events.count()
     for delivery in (*_in_order(events, "ts", parts=2), _alive(events, 2)):
         delivery.write.mode("append").parquet(f"{folder}/events")
         arriving = spark.readStream.schema(events.schema).parquet(f"{folder}/events")
-        found = _to_parquet(over(arriving), folder)
+        found = _to_parquet(over(arriving), folder, rows)
     return found
 
 
@@ -279,11 +289,14 @@ def stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running counts of each run while its items arrive in three deliveries; the last row of each run."""
     folder = run_dir(spark, "counts")
     items = _results(spark, sf_dir).select("run_id", "item_id", "status", "finished_at")
+    rows = items.count()
     planned = items.groupBy("run_id").agg(F.count(F.lit(1)).alias("total"))
     for delivery in _in_order(items, "finished_at"):
         delivery.write.mode("append").parquet(f"{folder}/items")
         arriving = spark.readStream.schema(items.schema).parquet(f"{folder}/items")
-        _finish(counts_stream(running_counts(arriving, planned), f"{folder}/out", f"{folder}/checkpoint"))
+        with state_partitions(spark, rows):
+            started = counts_stream(running_counts(arriving, planned), f"{folder}/out", f"{folder}/checkpoint")
+        _finish(started)
     return latest_counts(spark, f"{folder}/out")
 
 

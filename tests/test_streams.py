@@ -7,14 +7,16 @@ import time
 from datetime import datetime, timedelta, timezone
 
 import pytest
+from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from mediacat.operators.tasks import task_deadline
-from mediacat.plans import ingestion
+from mediacat.plans import ingestion, stream_queries
 from mediacat.sources.change_log import ChangeLog
 from mediacat.sources.change_log import put as put_rows
 from mediacat.streaming.deadlines import deadline_join, deadline_stream
 from mediacat.streaming.ingest import stream_files, stream_manifests
 from mediacat.streaming.sinks import late_rows, progress_stream, upsert_stream
+from mediacat.streaming.state import partitions_for
 
 START = datetime(2024, 1, 1, tzinfo=timezone.utc)
 EVENTS = "event_id long, key string, status string, ts timestamp"
@@ -112,6 +114,30 @@ def test_a_hot_key_makes_no_pairs(spark, folder):
     assert state < 20_000  # rows of the input and of the slices, not their pairs (2,000 x 2,000)
 
 
+def test_state_is_dealt_by_the_root_of_the_rows(spark, folder):
+    """What tasks report of the state grows with the square of its partitions, so these grow with the root of the rows."""
+    assert [partitions_for(n, 10_000) for n in (0, 8192, 8193, 600_000, 6_000_000, 36_000_000)] == [1, 1, 2, 9, 28, 67]
+    assert partitions_for(36_000_000, 12) == 12
+    rows = random_events()
+    spark.createDataFrame([*rows, *alive(40)[0]], EVENTS).write.parquet(f"{folder}/events")
+    stream = deadline_stream(spark.readStream.schema(EVENTS).parquet(f"{folder}/events"), 1200, "10 minutes", "key")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    started = []
+    start = DataStreamWriter.start
+
+    def noted(self, *args, **options):
+        started.append(start(self, *args, **options))
+        return started[-1]
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(DataStreamWriter, "start", noted)
+        got = stream_queries._to_parquet(stream, folder, 9000)
+    whole = {r.event_id: r.status for r in task_deadline(spark.createDataFrame(rows, EVENTS), key="key").collect()}
+    assert {r.event_id: r.status for r in got.collect()} == whole
+    assert {op["numShufflePartitions"] for report in started[0].recentProgress for op in report["stateOperators"]} == {2}
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
 def test_late_events_are_counted_and_left_out(spark, folder):
     def at(sec):
         return START + timedelta(seconds=sec)
