@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import html
 import json
+import math
 import re
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
@@ -34,9 +35,8 @@ TEMPLATE_PAGES = 3
 """Pages, no two with the same texts, on which a text must be the same before it counts as the host's own."""
 GROUP = 4
 """Longest repeated group of neighbours that is folded."""
-CELLS = 20_000
 DEPTH = 256
-"""Largest alignment table; longer lists of children are aligned greedily."""
+"""Levels of a tree, as in browsers."""
 
 # HTML element names by their role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -315,36 +315,66 @@ def merge(a: list, b: list) -> list:
 
 
 def pairs(a: list[str], b: list[str]) -> list[tuple[int, int]]:
-    """A longest common subsequence of two lists of signatures; greedy where the table would be too large."""
-    if a == b:
-        return [(i, i) for i in range(len(a))]
-    if len(a) * len(b) > CELLS:
-        at: dict[str, list[int]] = {}
-        for j, s in enumerate(b):
-            at.setdefault(s, []).append(j)
-        out, last = [], -1
-        for i, s in enumerate(a):
-            j = next((j for j in at.get(s, ()) if j > last), None)
-            if j is not None:
-                out.append((i, j))
-                last = j
+    """A longest common subsequence of two lists of signatures; of several the one that matches as soon as it can and else skips in `a`.
+
+    A row of the table of lengths is one number with a bit for each place at which the length grows, so a row takes a few operations
+    on whole numbers. Every sqrt(len(a))-th row is kept and the ones between are made again, so lists of any length are aligned alike.
+    """
+    start = 0
+    while start < min(len(a), len(b)) and a[start] == b[start]:
+        start += 1
+    out = [(i, i) for i in range(start)]
+    n, m = len(a) - start, len(b) - start
+    places: dict[str, int] = {}
+    for j in range(m):
+        places[b[start + j]] = places.get(b[start + j], 0) | 1 << m - 1 - j
+    if not any(s in places for s in a[start:]):
         return out
-    table = [[0] * (len(b) + 1)]
-    for i in range(len(a) - 1, -1, -1):
-        below, row = table[-1], [0] * (len(b) + 1)
-        for j in range(len(b) - 1, -1, -1):
-            row[j] = below[j + 1] + 1 if a[i] == b[j] else max(below[j], row[j + 1])
-        table.append(row)
-    table.reverse()
-    out, i, j = [], 0, 0
-    while i < len(a) and j < len(b):
-        if a[i] == b[j]:
-            out.append((i, j))
-            i, j = i + 1, j + 1
-        elif table[i + 1][j] >= table[i][j + 1]:
-            i += 1
-        else:
+    full = (1 << m) - 1
+
+    def above(row: int, i: int) -> int:
+        """Row i of the table from row i + 1: bit m - 1 - j is 0 if the lists from i and j on have more in common than those from i and j + 1 on."""
+        same = row & places.get(a[start + i], 0)
+        return (row + same | row - same) & full if same else row
+
+    step = math.isqrt(n) + 1
+    kept, row = {n: full}, full
+    for i in range(n - 1, -1, -1):
+        row = above(row, i)
+        if i % step == 0:
+            kept[i] = row
+    rows: dict[int, int] = {}
+
+    def grown(i: int) -> int:
+        """Row i with a 1 where the length grows."""
+        if i > n:
+            return 0
+        if i not in rows:
+            rows.clear()
+            stop = min(n, i - i % step + step)
+            rows[stop] = kept[stop]
+            for k in range(stop - 1, i - 1, -1):
+                rows[k] = above(rows[k + 1], k)
+        return rows[i] ^ full
+
+    i, j, here, under = 0, 0, grown(0), grown(1)
+    length, below = here.bit_count(), under.bit_count()  # in common from (i, j) and from (i + 1, j) on
+    here, under = (x.to_bytes(m // 8 + 1, "little") for x in (here, under))
+    while length:
+        at = m - 1 - j
+        if a[start + i] == b[start + j]:
+            out.append((start + i, start + j))
+            below -= under[at >> 3] >> (at & 7) & 1
+            j += 1
+        elif below < length:
+            length -= here[at >> 3] >> (at & 7) & 1
+            below -= under[at >> 3] >> (at & 7) & 1
             j += 1
+            continue
+        i, length, here = i + 1, below, under
+        row = grown(i + 1)
+        below = (row & (1 << m - j) - 1).bit_count()
+        under = row.to_bytes(m // 8 + 1, "little")
     return out
 
 

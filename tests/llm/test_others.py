@@ -2,6 +2,7 @@
 
 import html as html_module
 import itertools
+import random
 import re
 
 import duckdb
@@ -103,6 +104,41 @@ def test_pages_without_an_article_element(spark):
         assert got[i] == f"Title {i} Long running text {i} that says many things & more {'x' * i}. one {i} two"
 
 
+@pytest.mark.parametrize("blocks", [5, 400])
+def test_lists_of_any_length_are_aligned_alike(spark, blocks):
+    """A block that stands first on some pages and last on others costs the rest of the list nothing, however long it is."""
+    names = ["".join(p) for p in itertools.product("bdghklmnprtv", "aeiou", "bdghklmnprtv")][:blocks]
+    moving = "<section><p>Moves</p></section>"
+    rows = []
+    for i in range(12):
+        notes = "".join(f"<div class={name}><p>Note {name} {i}</p></div>" for name in names)
+        story = f"<div class=story><p>Running text number {i} that is longer than all notes of the page together {'and on ' * 3 * blocks}</p></div>"
+        rows.append(page(3 * i, f"<body>{moving if i % 2 else ''}{notes}{story}{'' if i % 2 else moving}</body>"))
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    got = html_wrapper.extract_articles(pages).collect()
+    assert len(got) == 12 and all(r["text"].startswith(f"Running text number {r['page_id'] // 3} ") and "Note" not in r["text"] for r in got)
+
+
+def test_pairs_are_a_longest_common_subsequence():
+    rnd = random.Random(9)
+    for most, letters in [(0, 1), (6, 2), (6, 9), (60, 3), (220, 4), (220, 300)]:
+        for _ in range(20 if most < 100 else 3):
+            a, b = ([str(rnd.randrange(letters)) for _ in range(rnd.randint(most // 2, most))] for _ in range(2))
+            table = np.zeros((len(a) + 1, len(b) + 1), int)
+            for i, j in itertools.product(reversed(range(len(a))), reversed(range(len(b)))):
+                table[i, j] = table[i + 1, j + 1] + 1 if a[i] == b[j] else max(table[i + 1, j], table[i, j + 1])
+            want, i, j = [], 0, 0
+            while i < len(a) and j < len(b):
+                if a[i] == b[j]:
+                    want.append((i, j))
+                    i, j = i + 1, j + 1
+                elif table[i + 1, j] >= table[i, j + 1]:
+                    i += 1
+                else:
+                    j += 1
+            assert html_wrapper.pairs(a, b) == want
+
+
 @pytest.mark.parametrize("element", ["article", "main", "div"])
 @pytest.mark.parametrize("wrapper", ["div class='content-sidebar-wrap'", "div class='main has-sidebar'", "form id=aspnetForm", "div class='main has-comments'"])
 def test_wrappers_with_dropped_words(spark, element, wrapper):
